@@ -14,7 +14,7 @@ DATE_SHAPES = (
 )
 
 # The strict stored form, with the one-digit fields a lenient reader also takes.
-STORED_FORM = (r"^(\d{4})-(1[0-2]|0?[1-9])-(3[01]|[12]\d|0?[1-9]| [1-9])\s+(2[0-3]|[01]?\d):([0-5]?\d):([0-5]?\d)$")
+STORED_FORM = (r"^(\d{4})-(1[0-2]|0?[1-9])-(3[01]|[12]\d|0?[1-9]| [1-9])\s+(2[0-3]|[01]?\d):([0-5]?\d):([0-5]?\d)\z")
 STORED_FORMAT = "yyyy-MM-dd HH:mm:ss"
 UNKNOWN = "Unknown"
 

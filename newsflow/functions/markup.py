@@ -39,6 +39,11 @@ def decode_entities(text: Column) -> Column:
     return out
 
 
+def without_tags(fragment: Column) -> Column:
+    """Tags out, white space collapsed and trimmed."""
+    return strip(collapse_spaces(F.regexp_replace(fragment, TAG, " ")))
+
+
 def plain(fragment: Column) -> Column:
     """Tags out, references decoded, white space collapsed and trimmed."""
     return strip(collapse_spaces(decode_entities(F.regexp_replace(fragment, TAG, " "))))
@@ -134,19 +139,23 @@ class Rule:
         return rf"""(?s).*<[^>]*?\s(?i:{name})\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 
     def candidate(self, html: Column) -> Column:
-        """The raw string this rule finds on a page, empty when there is none."""
+        """The raw string this rule finds on a page, references not decoded; empty when there is none."""
         if self.every:
-            parts = F.transform(F.regexp_extract_all(html, F.lit(self.pattern), F.lit(1)), plain)
+            parts = F.transform(F.regexp_extract_all(html, F.lit(self.pattern), F.lit(1)), without_tags)
             found = F.array_join(F.filter(parts, lambda text: text != ""), " ")
         else:
             found = F.regexp_extract(html, self.pattern, 1)
             if self.attribute:
                 found = F.concat(F.regexp_extract(found, self.attribute, 1),
                                  F.regexp_extract(found, self.attribute, 2))
-            found = decode_entities(found)
         return F.when(F.contains(html, F.lit(self.needle)), found).otherwise(F.lit(""))
 
 
+def candidates(html: Column, rules: tuple[Rule, ...]) -> Column:
+    """What each rule finds, in rule order, decoded."""
+    return F.transform(F.array(*[rule.candidate(html) for rule in rules]), decode_entities)
+
+
 # Where an author name may stand, in the order tried; True joins all matches.
 AUTHOR_RULES = tuple(Rule(*entry) for entry in (
     ('a[href*="tac-gia"]::text', True),

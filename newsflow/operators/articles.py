@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import dates, markup, people, urls
 from newsflow.functions.lexical import bind
 from newsflow.functions.text import blank, collapse_spaces, strip
+from newsflow.operators.compute import compute_once
 
 MIN_TEXT = 100
 
@@ -13,8 +14,8 @@ MIN_TEXT = 100
 def page_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, html, title, text) for every page."""
     html = F.col("html")
-    return pages.select("page_id", "url", "html", markup.page_title(html).alias("title"),
-                        markup.main_text(html).alias("text"))
+    return compute_once(pages.select("page_id", "url", "html"), title=markup.page_title(html),
+                        text=markup.main_text(html))
 
 
 def long_enough(texts: DataFrame) -> DataFrame:
@@ -29,8 +30,8 @@ def join_authors(authors: Column) -> Column:
 
 def byline(html: Column) -> Column:
     """Author list a page declares in its metadata."""
-    rule = markup.META_AUTHOR_RULES[0]
-    names = F.transform(F.split(rule.candidate(html), ","), strip)
+    declared = F.get(markup.candidates(html, markup.META_AUTHOR_RULES[:1]), F.lit(0))
+    names = F.transform(F.split(declared, ","), strip)
     return F.filter(names, lambda name: name != "")
 
 
@@ -44,7 +45,7 @@ def park_house_name(author: Column) -> tuple[Column, Column]:
 
 def author_candidates(html: Column) -> Column:
     """What each author rule finds, in rule order."""
-    return F.array(*[rule.candidate(html) for rule in markup.AUTHOR_RULES])
+    return markup.candidates(html, markup.AUTHOR_RULES)
 
 
 def first_valid_author(candidates: Column) -> Column:
@@ -79,9 +80,8 @@ def tail_author(nodes: Column) -> Column:
 
 def meta_author(html: Column) -> Column:
     """The first author in page metadata, if it is a valid name."""
-    found = [rule.candidate(html) for rule in markup.META_AUTHOR_RULES]
-    name = strip(F.when(found[0] != "", found[0]).otherwise(found[1]))
-    return F.when(people.is_valid_author(name), name)
+    found = F.filter(markup.candidates(html, markup.META_AUTHOR_RULES), lambda raw: raw != "")
+    return bind(strip(F.get(found, F.lit(0))), lambda name: F.when(people.is_valid_author(name), name))
 
 
 def last_resort_author(author: Column, parked: Column, from_meta: Column) -> Column:
@@ -91,29 +91,25 @@ def last_resort_author(author: Column, parked: Column, from_meta: Column) -> Col
 
 def page_authors(pages: DataFrame) -> DataFrame:
     """Adds ``author``, trying byline, rules, closing blocks, the parked name and metadata in turn."""
-    html = F.col("html")
-    kept, parked = park_house_name(F.col("_byline"))
-    return (
-        pages.withColumn("_byline", join_authors(byline(html)))
-        .withColumns({"_kept": kept, "_parked": parked})
-        .withColumn("author", last_resort_author(
-            F.coalesce(F.nullif(F.col("_kept"), F.lit("")),
-                       first_valid_author(author_candidates(html)),
-                       tail_author(tail_nodes(html))),
-            F.col("_parked"), meta_author(html)))
-        .drop("_byline", "_kept", "_parked")
-    )
+    def find(html: Column) -> Column:
+        def decide(declared: Column) -> Column:
+            kept, parked = park_house_name(declared)
+            found = F.coalesce(F.nullif(kept, F.lit("")), first_valid_author(author_candidates(html)),
+                               tail_author(tail_nodes(html)))
+            return last_resort_author(found, parked, meta_author(html))
+        return bind(join_authors(byline(html)), decide)
+
+    return compute_once(pages, author=bind(F.col("html"), find))
 
 
 def date_candidates(html: Column) -> Column:
     """What each date rule finds, in rule order, without blanks."""
-    found = F.array(*[rule.candidate(html) for rule in markup.DATE_RULES])
-    return F.filter(found, lambda raw: strip(raw) != "")
+    return F.filter(markup.candidates(html, markup.DATE_RULES), lambda raw: strip(raw) != "")
 
 
 def page_dates(pages: DataFrame) -> DataFrame:
     """Adds ``publish_date`` in the stored form, or ``Unknown``."""
-    moment = dates.first_publish_date(date_candidates(F.col("html")))
+    moment = bind(F.col("html"), lambda html: dates.first_publish_date(date_candidates(html)))
     return pages.withColumn("publish_date", dates.format_publish_date(moment))
 
 

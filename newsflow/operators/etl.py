@@ -1,6 +1,6 @@
 """Raw articles to clean articles."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import dates, people
@@ -24,48 +24,51 @@ def dedup_titles(articles: DataFrame) -> DataFrame:
     return articles.join(winners, "url_hash", "left_semi")
 
 
-def parse_articles(articles: DataFrame) -> DataFrame:
-    """Read the raw message: adds ``raw_content``, ``raw_date``, ``author_text``, ``author_list``, ``state``.
-
-    ``state`` is ``error`` for what cannot be read, ``skipped`` without author or date, else ``loaded``.
-    """
-    author = F.try_variant_get("v", "$.author", "variant")
-    content = F.try_variant_get("v", "$.content", "variant")
-    date = F.try_variant_get("v", "$.publish_date", "variant")
-    author_text = F.try_variant_get("v", "$.author", "string")
-    date_text = F.try_variant_get("v", "$.publish_date", "string")
+def _read(message: Column, url: Column) -> Column:
+    """Fields and state of a parsed raw message."""
+    author = F.try_variant_get(message, "$.author", "variant")
+    content = F.try_variant_get(message, "$.content", "variant")
+    date = F.try_variant_get(message, "$.publish_date", "variant")
+    author_text = F.try_variant_get(message, "$.author", "string")
+    date_text = F.try_variant_get(message, "$.publish_date", "string")
     author_kind = F.schema_of_variant(author)
 
-    def absent(value, text):
+    def absent(value: Column, text: Column) -> Column:
         hollow = F.when(F.schema_of_variant(value) == "STRING", text.isin("", people.UNKNOWN)).otherwise(
             text.isin("[]", "{}", "0", "false"))
         return value.isNull() | F.is_variant_null(value) | hollow
 
-    is_object = F.coalesce(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")), F.lit(False))
-    missing = absent(author, author_text) | absent(date, date_text)
-    readable = ((author_kind == "STRING") | F.startswith(author_kind, F.lit("ARRAY"))) & (
-        content.isNull() | F.schema_of_variant(content).isin("STRING", "VOID")) & F.col("url").isNotNull()
+    is_object = F.coalesce(F.startswith(F.schema_of_variant(message), F.lit("OBJECT")), F.lit(False))
+    is_list = F.startswith(author_kind, F.lit("ARRAY"))
+    readable = (
+        ((author_kind == "STRING") | is_list)
+        & (content.isNull() | F.schema_of_variant(content).isin("STRING", "VOID"))
+        & url.isNotNull()
+    )
     state = (
         F.when(~is_object, "error")
-        .when(missing, "skipped")
+        .when(absent(author, author_text) | absent(date, date_text), "skipped")
         .when(~readable, "error")
         .otherwise("loaded")
     )
-    listed = F.when(F.startswith(author_kind, F.lit("ARRAY")),
-                    F.try_variant_get("v", "$.author", "array<string>"))
-    return (
-        articles.withColumn("v", F.try_parse_json("content"))
-        .select(
-            "url_hash", "title", "url",
-            F.try_variant_get("v", "$.content", "string").alias("raw_content"),
-            date_text.alias("raw_date"),
-            author_text.alias("author_text"),
-            listed.alias("author_list"),
-            state.alias("state"),
-        )
+    return F.struct(
+        F.try_variant_get(message, "$.content", "string").alias("raw_content"),
+        date_text.alias("raw_date"),
+        author_text.alias("author_text"),
+        F.when(is_list, F.try_variant_get(message, "$.author", "array<string>")).alias("author_list"),
+        state.alias("state"),
     )
 
 
+def parse_articles(articles: DataFrame) -> DataFrame:
+    """Read the raw message once: adds ``raw_content``, ``raw_date``, ``author_text``, ``author_list``, ``state``.
+
+    ``state`` is ``error`` for what cannot be read, ``skipped`` without author or date, else ``loaded``.
+    """
+    fields = F.transform(F.array(F.try_parse_json("content")), lambda message: _read(message, F.col("url")))
+    return articles.select("url_hash", "title", "url", F.inline_outer(fields))
+
+
 def gate_articles(parsed: DataFrame) -> DataFrame:
     """Only articles that can be read and have an author and a publish date."""
     return parsed.filter(F.col("state") == "loaded")

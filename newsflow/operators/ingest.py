@@ -1,6 +1,6 @@
 """Topic messages to raw articles: decode, defaults, first arrival wins."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions.text import blank
@@ -11,39 +11,42 @@ UNKNOWN_TITLE = "Unknown Title"
 UNKNOWN = "Unknown"
 
 
-def _field(name: str, missing):
+def _field(message: Column, name: str, missing: Column) -> Column:
     """A text field; the default stands in for a missing key, an explicit null stays NULL."""
-    raw = F.try_variant_get("v", f"$.{name}", "variant")
-    return F.when(raw.isNull(), missing).otherwise(F.try_variant_get("v", f"$.{name}", "string"))
+    raw = F.try_variant_get(message, f"$.{name}", "variant")
+    return F.when(raw.isNull(), missing).otherwise(F.try_variant_get(message, f"$.{name}", "string"))
 
 
-def decode_messages(messages: DataFrame) -> DataFrame:
-    """(seq, value) to (seq, value, status, url, title, author, publish_date).
-
-    ``status`` is ``bad`` for text that is no JSON object or whose url is no string, ``skipped`` without
-    a url, else ``ok``.
-    """
-    parsed = messages.withColumn("v", F.try_parse_json("value"))
-    url = F.try_variant_get("v", "$.url", "variant")
-    is_object = F.coalesce(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")), F.lit(False))
-    no_url = url.isNull() | F.is_variant_null(url)
-    is_text = F.schema_of_variant(url) == "STRING"
-    text = F.try_variant_get("v", "$.url", "string")
+def _read(message: Column) -> Column:
+    """Status and fields of a parsed message."""
+    url = F.try_variant_get(message, "$.url", "variant")
+    text = F.try_variant_get(message, "$.url", "string")
+    is_object = F.coalesce(F.startswith(F.schema_of_variant(message), F.lit("OBJECT")), F.lit(False))
     status = (
         F.when(~is_object, "bad")
-        .when(no_url, "skipped")
-        .when(~is_text, "bad")
+        .when(url.isNull() | F.is_variant_null(url), "skipped")
+        .when(F.schema_of_variant(url) != "STRING", "bad")
         .when(blank(text), "skipped")
         .otherwise("ok")
     )
-    return parsed.select(
-        "seq", "value", status.alias("status"), text.alias("url"),
-        _field("title", F.lit(UNKNOWN_TITLE)).alias("title"),
-        _field("author", F.lit(UNKNOWN)).alias("author"),
-        _field("publish_date", F.lit(None).cast("string")).alias("publish_date"),
+    return F.struct(
+        status.alias("status"), text.alias("url"),
+        _field(message, "title", F.lit(UNKNOWN_TITLE)).alias("title"),
+        _field(message, "author", F.lit(UNKNOWN)).alias("author"),
+        _field(message, "publish_date", F.lit(None).cast("string")).alias("publish_date"),
     )
 
 
+def decode_messages(messages: DataFrame) -> DataFrame:
+    """(seq, value) to (seq, value, status, url, title, author, publish_date); every message is parsed once.
+
+    ``status`` is ``bad`` for text that is no JSON object or whose url is no string, ``skipped`` without
+    a url, else ``ok``.
+    """
+    fields = F.transform(F.array(F.try_parse_json("value")), _read)
+    return messages.select("seq", "value", F.inline_outer(fields))
+
+
 def usable_messages(decoded: DataFrame) -> DataFrame:
     """Messages with a url, with its key."""
     return decoded.filter(F.col("status") == "ok").withColumn("url_hash", url_key(F.col("url")))

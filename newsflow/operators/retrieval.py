@@ -118,7 +118,7 @@ def project_hits(hits: DataFrame) -> DataFrame:
 
 def _ranked(*fields: str) -> Column:
     """The hits of a query in rank order; a list is never longer than the rerank pool."""
-    return F.array_sort(F.collect_list(F.struct("rank", *fields)))
+    return F.array_sort(F.collect_list(F.struct("rank", *fields)), lambda a, b: a["rank"] - b["rank"])
 
 
 def format_context(hits: DataFrame) -> DataFrame:

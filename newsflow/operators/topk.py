@@ -96,15 +96,20 @@ def _sparse_scorer(vocabulary: np.ndarray, weights: np.ndarray) -> Callable:
     return score
 
 
-def _scan(points: DataFrame, query_ids: list, scorer: Callable, k: int, schema: T.StructType) -> DataFrame:
-    """Score all points against one block of queries; at most k rows per query and task."""
+def _scan(points: DataFrame, query_ids: list, scorer: Callable, arrays: tuple, k: int,
+          schema: T.StructType) -> DataFrame:
+    """Score all points against one block of queries; at most k rows per query and task.
+
+    ``scorer`` makes the scoring function of a task from the broadcast arrays.
+    """
     context = points.sparkSession.sparkContext
-    shared = context.broadcast((query_ids, scorer))
+    shared = context.broadcast((query_ids, arrays))
     arrow = {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string()}
     names = pa.schema([pa.field(f.name, arrow.get(type(f.dataType), pa.float64())) for f in schema])
 
     def best_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of_queries, score = shared.value
+        ids_of_queries, values = shared.value
+        score = scorer(*values)
         best = _Best(len(ids_of_queries), k)
         for batch in batches:
             ids = np.asarray(batch.column(0).to_pylist())
@@ -165,7 +170,7 @@ def dense_topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
     for rows in _blocks(queries.select("query_id", "vector"), per_block):
         matrix = np.array([row["vector"] for row in rows], dtype=np.float64)
         parts.append(_scan(points.select("id", "vector"), [row["query_id"] for row in rows],
-                           _dense_scorer(matrix), k, schema))
+                           _dense_scorer, (matrix,), k, schema))
     return _top(_collected(parts, queries, points), k)
 
 
@@ -184,5 +189,5 @@ def sparse_topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame
             for entry in row["entries"]:
                 weights[np.searchsorted(vocabulary, entry["id"]), column] = entry["weight"]
         parts.append(_scan(points.select("id", "entries"), [row["query_id"] for row in rows],
-                           _sparse_scorer(vocabulary, weights), k, schema))
+                           _sparse_scorer, (vocabulary, weights), k, schema))
     return _top(_collected(parts, queries, points), k)

@@ -38,6 +38,10 @@ class Warehouse:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def refresh(self, table: str) -> None:
+        """Notice files that another session has written."""
+        self.spark.catalog.refreshTable(self.name(table))
+
     def _create(self, table: str) -> None:
         partition = " PARTITIONED BY (load_id)" if table in WAREHOUSE_TABLES else ""
         columns = TABLE_COLUMNS[table] + (", load_id BIGINT" if partition else "")

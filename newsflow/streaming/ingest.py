@@ -48,11 +48,13 @@ def ingest_articles(messages: DataFrame, warehouse: Warehouse, checkpoint: str,
     def load(batch: DataFrame, _: int) -> None:
         numbered = batch if "seq" in batch.columns else with_seq(batch)
         decoded = usable_messages(decode_messages(numbered)).persist(StorageLevel.DISK_ONLY)
+        inside = Warehouse(batch.sparkSession, warehouse.database, buckets=warehouse.buckets)
         try:
-            known = warehouse.table(METADATA).select("url_hash")
-            warehouse.append_metadata(metadata_rows(first_arrivals(decoded, known)))
+            known = inside.table(METADATA).select("url_hash")
+            inside.append_metadata(metadata_rows(first_arrivals(decoded, known)))
         finally:
             decoded.unpersist()
+        warehouse.refresh(METADATA)
 
     return (
         messages.writeStream.foreachBatch(load)
