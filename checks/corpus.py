@@ -11,7 +11,7 @@ from newsflow.operators.ingest import ingest_batch
 from newsflow.operators.retrieval import encode_queries
 from newsflow.plans.etl import run_etl
 from newsflow.plans.vectorize import vectorize
-from newsflow.session import new_folder
+from newsflow.session import new_folder, spread
 from newsflow.sources.warehouse import Warehouse
 
 DIM = 64
@@ -72,15 +72,16 @@ DATE_TEXTS = """
     FROM {events}
 """
 
-# Pages of one site that link to each other, one text for both engines: a page takes its first link as address.
+# Pages of one site that link to each other, one text for both engines: a page takes the first word of its title as address.
 LINKED_PAGES = """
-    SELECT page_id, 'https://news.example.com' || regexp_extract(html, 'href="([^"]*)"', 1) AS url, html
+    SELECT page_id, 'https://news.example.com'
+      || '/' || split_part(regexp_extract(html, '<title>([^<]*)', 1), ' ', 1) AS url, html
     FROM {pages}
 """
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,9 @@ Encoder = Callable[[list[str]], np.ndarray]
 ENCODE_BATCH = 32
 COLLECTION_DIM = 1024
 
+# Tokens whose hash a worker remembers.
+_REMEMBERED = 1 << 20
+
 
 def hashing_encoder(dim: int) -> Callable[[], Encoder]:
     """Factory of a signed feature-hashing encoder: token counts folded into ``dim`` cells, length 1."""
@@ -26,21 +29,27 @@ def hashing_encoder(dim: int) -> Callable[[], Encoder]:
         import hashlib
         import re
         from collections import Counter
-        from functools import lru_cache
 
         word = re.compile(r"[^\W_]+")
-
-        @lru_cache(maxsize=1 << 18)
-        def cell(token: str) -> tuple[int, int]:
-            number = int(hashlib.sha256(token.encode()).hexdigest()[:7], 16)
-            return number % dim, 1 if (number // dim) % 2 == 0 else -1
+        numbers: dict[str, int] = {}
+
+        def number(token: str) -> int:
+            found = numbers.get(token)
+            if found is None:
+                if len(numbers) >= _REMEMBERED:
+                    numbers.clear()
+                found = numbers[token] = int(hashlib.sha256(token.encode()).hexdigest()[:7], 16)
+            return found
+
+        def vector(text: str) -> np.ndarray:
+            counts = Counter(word.findall(text.lower()))
+            ids = np.fromiter(map(number, counts), np.int64, len(counts))
+            signed = np.fromiter(counts.values(), np.float64, len(counts))
+            signed[(ids // dim) % 2 == 1] *= -1
+            return np.bincount(ids % dim, weights=signed, minlength=dim)
 
         def encode(texts: list[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dim))
-            for row, text in zip(out, texts):
-                for token, count in Counter(word.findall(text.lower())).items():
-                    at, sign = cell(token)
-                    row[at] += sign * count
+            out = np.stack([vector(text) for text in texts])
             length = np.linalg.norm(out, axis=1, keepdims=True)
             return np.divide(out, length, out=np.zeros_like(out), where=length > 0)
 

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsflow.functions.text import bind
+
 # What separates tokens, and how many hex digits of the hash make a token id.
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 TOKEN_ID_DIGITS = 7
@@ -19,11 +21,6 @@ def token_id(token: Column) -> Column:
     return F.conv(head, 16, 10).cast("int")
 
 
-def bind(value: Column, use) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``use``, also inside higher-order functions."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def run_starts(ordered: Column, key=lambda item: item) -> Column:
     """Indexes at which a sorted array starts a new key."""
     return F.filter(
@@ -42,7 +39,7 @@ def token_counts(text: Column) -> Column:
             ))
         return F.when(F.size(ordered) > 0, bind(run_starts(ordered), runs)).otherwise(
             F.array().cast("array<struct<token:string,n:int>>"))
-    return bind(F.array_sort(tokens(text)), count)
+    return bind(F.sort_array(tokens(text)), count)
 
 
 def lexical_weight(count: Column) -> Column:
@@ -58,8 +55,9 @@ def max_by_token(entries: Column) -> Column:
             lambda i: (i == F.size(ordered) - 1)
             | (F.get(ordered, i)["id"] != F.get(ordered, i + 1)["id"]),
         )
-        return F.when(F.size(ordered) > 0, F.transform(last, lambda i: F.get(ordered, i))).otherwise(ordered)
-    return bind(F.array_sort(entries), collapse)
+        repeated = F.size(F.array_distinct(ordered["id"])) < F.size(ordered)
+        return F.when(repeated, F.transform(last, lambda i: F.get(ordered, i))).otherwise(ordered)
+    return bind(F.sort_array(entries), collapse)
 
 
 def sparse_entries(text: Column) -> Column:

@@ -1,5 +1,8 @@
 """Whitespace handling and text cleaning."""
 
+import functools
+import operator
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -7,10 +10,6 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 SPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
                "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
-# A run worth rewriting: two or more, or a single one that is not a plain space.
-SPACE_RUN = SPACE_CLASS + r"{2,}|[\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}" \
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-
 # Boilerplate removed from article text, in this order, whatever the case.
 JUNK_PATTERNS = (
     r"Chia sẻ bài viết qua email",
@@ -21,13 +20,16 @@ JUNK_PATTERNS = (
     r"Hãy gửi câu hỏi về.*",
 )
 
+# The literal start of each of these patterns, in lower case.
+JUNK_HEADS = ("chia sẻ bài viết qua email", "ảnh:", "video:", "độc giả", "bản quyền thuộc về", "hãy gửi câu hỏi về")
+
 # Characters stripped from the start of a chunk.
 CHUNK_LEAD = ". ,!?\n\t"
 
 
 def collapse_spaces(text: Column) -> Column:
     """Every run of white space becomes one space."""
-    return F.regexp_replace(text, SPACE_RUN, " ")
+    return F.regexp_replace(text, SPACE_CLASS + "+", " ")
 
 
 def strip(text: Column) -> Column:
@@ -35,12 +37,31 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE_CHARS))
 
 
-def clean_text(text: Column) -> Column:
-    """Collapse white space, then delete the boilerplate; NULL becomes empty."""
-    out = collapse_spaces(text)
+def bind(value: Column, use) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``use``, also inside higher-order functions."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _may_hold_junk(text: Column) -> Column:
+    """False only where no boilerplate pattern can match: folding case both ways keeps every match visible."""
+    folded = F.lower(F.upper(F.translate(text, "İ", "i")))
+    return bind(folded, lambda t: functools.reduce(
+        operator.or_, [F.contains(t, F.lit(head)) for head in JUNK_HEADS]))
+
+
+def _without_junk(text: Column) -> Column:
     for pattern in JUNK_PATTERNS:
-        out = F.regexp_replace(out, f"(?iu){pattern}", "")
-    return F.coalesce(F.btrim(out), F.lit(""))
+        text = F.regexp_replace(text, f"(?iu){pattern}", "")
+    return text
+
+
+def clean_text(text: Column) -> Column:
+    """Collapse white space, then delete the boilerplate; NULL becomes empty.
+
+    Six patterns run only over texts in which one of them can match.
+    """
+    cleaned = bind(collapse_spaces(text), lambda t: F.when(_may_hold_junk(t), _without_junk(t)).otherwise(t))
+    return F.coalesce(F.btrim(cleaned), F.lit(""))
 
 
 def strip_chunk_lead(chunk: Column) -> Column:

@@ -4,8 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import dates, markup, people, urls
-from newsflow.functions.lexical import bind
-from newsflow.functions.text import blank, collapse_spaces, strip
+from newsflow.functions.text import bind, blank, collapse_spaces, strip
 from newsflow.operators.compute import compute_once
 
 MIN_TEXT = 100

@@ -60,3 +60,14 @@ def broadcast_limit(spark: SparkSession) -> int:
     """The session's automatic broadcast threshold in bytes, 0 when switched off."""
     size = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return max(0, int(size))
+
+
+def spread(df: DataFrame, limit: int = 256 << 20) -> DataFrame:
+    """A small input in one piece per core.
+
+    One file with one row group is one task, whatever the work per row. Inputs above ``limit`` bytes have
+    enough splits of their own and are left alone.
+    """
+    if estimated_bytes(df) > limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
