@@ -11,7 +11,7 @@ from newsflow.operators.ingest import ingest_batch
 from newsflow.operators.retrieval import encode_queries
 from newsflow.plans.etl import run_etl
 from newsflow.plans.vectorize import vectorize
-from newsflow.session import new_folder, spread
+from newsflow.session import new_folder, spread, staging
 from newsflow.sources.warehouse import Warehouse
 
 DIM = 64
@@ -167,7 +167,8 @@ def build_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     location = new_folder(spark, "warehouse")
     warehouse = Warehouse(spark, location.rsplit("/", 1)[1].replace("-", "_"), location)
     warehouse.init_metadata()
-    warehouse.append_metadata(metadata(spark, sf_dir))
+    with staging(spark):
+        warehouse.append_metadata(metadata(spark, sf_dir))
     run_etl(warehouse)
     return warehouse
 

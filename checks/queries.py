@@ -10,12 +10,13 @@ from newsflow.functions import dates, encoders, ids, lexical, markup, people, ur
 from newsflow.functions.text import clean_text
 from newsflow.operators import articles as art
 from newsflow.operators import chunks, etl, evaluation, ingest, links, points, retrieval, topk
+from newsflow.operators.compute import unfold
 from newsflow.operators.upsert import upsert
 from newsflow.plans import reports
 from newsflow.plans.etl import run_etl
 from newsflow.plans.search import retrieve
 from newsflow.plans.vectorize import warehouse_chunks
-from newsflow.session import new_folder, stage
+from newsflow.session import new_folder, stage, staging
 from newsflow.sources import files, topic
 from newsflow.sources.warehouse import METADATA, POINTS, Warehouse
 from newsflow.streaming.ingest import ingest_articles
@@ -368,7 +369,8 @@ def run_etl_whole(spark, sf):
     location = new_folder(spark, "warehouse")
     warehouse = Warehouse(spark, location.rsplit("/", 1)[1].replace("-", "_"), location)
     warehouse.init_metadata()
-    warehouse.append_metadata(corpus.metadata(spark, sf))
+    with staging(spark):
+        warehouse.append_metadata(corpus.metadata(spark, sf))
     return run_etl(warehouse)
 
 
@@ -417,13 +419,13 @@ def new_chunks(spark, sf):
 def vec_5(spark, sf):
     encoded = corpus.articles(spark, sf).select(
         "doc_id", encoders.dense_vector(F.col("content"), encoders.hashing_encoder(corpus.DIM)).alias("dense"))
-    return encoded.select("doc_id", F.posexplode("dense").alias("cell", "value")).select(
+    return unfold(encoded, ["doc_id"], F.col("dense"), "cell", "value").select(
         "doc_id", "cell", F.round(F.col("value").cast("double"), 5).alias("value"))
 
 
 @query("vec_6")
 def vec_6(spark, sf):
-    return corpus.articles(spark, sf).select("doc_id", F.explode(lexical.token_counts(F.col("content"))).alias("e")).select(
+    return unfold(corpus.articles(spark, sf), ["doc_id"], lexical.token_counts(F.col("content")), "at", "e").select(
         "doc_id", F.col("e.token").alias("token"), F.round(lexical.lexical_weight(F.col("e.n")), 6).alias("weight"))
 
 
@@ -456,7 +458,8 @@ def vectorize(spark, sf):
 def encode_queries(spark, sf):
     encoded = retrieval.encode_queries(corpus.questions(spark, sf), encoders.hashing_encoder(corpus.DIM),
                                        retrieval.QUERY_PREFIX + " ")
-    return encoded.select("query_id", F.size("entries").alias("tokens"), F.posexplode("vector").alias("cell", "value")).select(
+    counted = encoded.select("query_id", F.size("entries").alias("tokens"), "vector")
+    return unfold(counted, ["query_id", "tokens"], F.col("vector"), "cell", "value").select(
         "query_id", "tokens", "cell", F.round(F.col("value").cast("double"), 5).alias("value"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions.text import strip_chunk_lead
+from newsflow.operators.compute import unfold
 
 # Chunk size and overlap in characters, and the separators from coarse to fine.
 CHUNK_SIZE = 800
@@ -98,10 +99,9 @@ def chunk_array(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERL
 def chunk_text(articles: DataFrame, text: str = "content", size: int = CHUNK_SIZE,
                overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """One row per chunk: ``chunk_index`` from 0 and ``chunk`` replace the text column. No shuffle."""
-    return articles.withColumn("_chunks", chunk_array(F.col(text), size, overlap)).select(
-        *[name for name in articles.columns if name != text],
-        F.posexplode("_chunks").alias("chunk_index", "chunk"),
-    )
+    keep = [name for name in articles.columns if name != text]
+    cut = articles.withColumn("_chunks", chunk_array(F.col(text), size, overlap))
+    return unfold(cut, keep, F.col("_chunks"), "chunk_index", "chunk")
 
 
 def chunk_rows(articles: DataFrame) -> DataFrame:

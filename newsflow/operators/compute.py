@@ -12,3 +12,13 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     row = F.struct(*[value.alias(name) for name, value in columns.items()])
     return df.select("*", F.inline_outer(F.array(row)))
+
+
+def unfold(df: DataFrame, keep: list[str], items: Column, position: str, item: str) -> DataFrame:
+    """One row per array element: the kept columns, its position and the element.
+
+    A plain explode makes Catalyst add a filter on the array below it, which evaluates a costly array
+    expression a second time; the outer form with a filter above does not.
+    """
+    rows = df.select(*keep, F.posexplode_outer(items).alias(position, item))
+    return rows.filter(F.col(position).isNotNull())

@@ -24,6 +24,12 @@ def dedup_titles(articles: DataFrame) -> DataFrame:
     return articles.join(winners, "url_hash", "left_semi")
 
 
+def articles_to_load(metadata: DataFrame, fact_articles: DataFrame) -> DataFrame:
+    """New articles, one per title. Only keys and titles take part in the choice; text moves once."""
+    keys = new_articles(metadata.select("url_hash", "title"), fact_articles)
+    return metadata.join(first_per_title(keys), "url_hash", "left_semi")
+
+
 def _read(message: Column, url: Column) -> Column:
     """Fields and state of a parsed raw message."""
     author = F.try_variant_get(message, "$.author", "variant")

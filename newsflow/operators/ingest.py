@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions.text import blank
 from newsflow.functions.urls import url_key
+from newsflow.session import stage
 
 # What a field holds when its key is missing from the message.
 UNKNOWN_TITLE = "Unknown Title"
@@ -71,8 +72,12 @@ def metadata_rows(messages: DataFrame) -> DataFrame:
 
 
 def ingest_batch(messages: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows to insert for a batch of messages (value, seq)."""
-    return metadata_rows(first_arrivals(usable_messages(decode_messages(messages)), known))
+    """Rows to insert for a batch of messages (value, seq).
+
+    Usable messages are staged: they are parsed once, and a live topic is read once.
+    """
+    usable = stage(usable_messages(decode_messages(messages)), "messages")
+    return metadata_rows(first_arrivals(usable, known))
 
 
 def ingest_counters(messages: DataFrame) -> DataFrame:

@@ -4,13 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import markup, urls
+from newsflow.operators.compute import unfold
 from newsflow.session import stage
 
 
 def raw_links(pages: DataFrame) -> DataFrame:
     """Every link target: (page_id, src_url, position, href), position from 0 in document order."""
-    return pages.select("page_id", F.col("url").alias("src_url"),
-                        F.posexplode(markup.hrefs(F.col("html"))).alias("position", "href"))
+    named = pages.select("page_id", F.col("url").alias("src_url"), "html")
+    return unfold(named, ["page_id", "src_url"], markup.hrefs(F.col("html")), "position", "href")
 
 
 def followable_links(links: DataFrame) -> DataFrame:

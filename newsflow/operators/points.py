@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import dates, ids, lexical
 from newsflow.functions.encoders import COLLECTION_DIM, dense_vector, hashing_encoder
+from newsflow.operators.compute import unfold
 from newsflow.operators.joins import lookup
 
 # Chunks of one article that share a join key; a longer article is spread over several keys.
@@ -68,7 +69,7 @@ def publish_timestamp(publish_date: Column) -> Column:
 
 def sparse_weights(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, token_id, weight): lexical weights per text, the largest weight of equal token ids."""
-    return texts.select(key, F.explode(lexical.sparse_entries(F.col(text))).alias("_e")).select(
+    return unfold(texts, [key], lexical.sparse_entries(F.col(text)), "_at", "_e").select(
         key, F.col("_e.id").alias("token_id"), F.col("_e.weight").alias("weight"))
 
 

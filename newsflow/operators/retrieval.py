@@ -9,6 +9,7 @@ from newsflow.functions import lexical
 from newsflow.functions.encoders import dense_vector, pair_score
 from newsflow.functions.text import or_default
 from newsflow.operators.topk import SCORE_DECIMALS, dense_topk, sparse_topk
+from newsflow.session import stage
 
 # List lengths, fusion weight, and what stands in for missing fields.
 TOP_K = 50
@@ -62,8 +63,9 @@ def fuse(dense: DataFrame, sparse: DataFrame, k: int = TOP_K, alpha: float = ALP
 
 
 def hybrid_topk(queries: DataFrame, points: DataFrame, k: int = TOP_K, alpha: float = ALPHA) -> DataFrame:
-    """Dense and sparse top-k, fused. Queries have vector and entries, points too."""
-    return fuse(dense_topk(queries, points, k), sparse_topk(queries, points, k), k, alpha)
+    """Dense and sparse top-k, fused. Queries have vector and entries, points too; queries are encoded once."""
+    encoded = stage(queries.select("query_id", "vector", "entries"), "queries")
+    return fuse(dense_topk(encoded, points, k), sparse_topk(encoded, points, k), k, alpha)
 
 
 def rerank_pool(hits: DataFrame, n: int = RERANK_POOL) -> DataFrame:

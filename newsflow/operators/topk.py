@@ -35,7 +35,12 @@ class _Best:
 
     def add(self, scores: np.ndarray, ids: np.ndarray, keep: np.ndarray) -> None:
         """Scores are (points, queries); ``keep`` marks the pairs that may be hits."""
-        row, query = np.nonzero(keep & (scores >= self.floor))
+        floor = self.floor
+        if len(scores) > self.k:
+            cut = len(scores) - self.k
+            here = np.partition(np.where(keep, scores, -np.inf), cut, axis=0)[cut]
+            floor = np.maximum(floor, here)
+        row, query = np.nonzero(keep & (scores >= floor))
         if not len(row):
             return
         query = np.concatenate([self.query, query])
@@ -132,10 +137,15 @@ def _top(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _blocks(queries: DataFrame, per_block: int) -> Iterator[list]:
+def _size(queries: DataFrame, values: str) -> tuple[int, int]:
+    """Number of queries and length of the longest array."""
+    row = queries.agg(F.count(F.lit(1)), F.max(F.size(values))).first()
+    return row[0], max(1, row[1] or 0)
+
+
+def _blocks(queries: DataFrame, count: int, per_block: int) -> Iterator[list]:
     """Queries in blocks of about ``per_block``; a block is the most the driver ever holds."""
-    count = queries.count()
-    blocks = math.ceil(count / per_block)
+    blocks = math.ceil(count / max(1, per_block))
     for number in range(blocks):
         part = queries if blocks == 1 else queries.filter(
             F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)
@@ -163,11 +173,10 @@ def _collected(parts: list[DataFrame], queries: DataFrame, points: DataFrame) ->
 
 def dense_topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
     """Cosine top-k: queries (query_id, vector), points (id, vector) to (query_id, id, score, rank)."""
-    width = queries.agg(F.max(F.size("vector"))).first()[0] or 0
+    count, width = _size(queries, "vector")
     schema = _hit_schema(queries, points)
     parts = []
-    per_block = max(1, QUERY_BLOCK_BYTES // (8 * max(1, width)))
-    for rows in _blocks(queries.select("query_id", "vector"), per_block):
+    for rows in _blocks(queries.select("query_id", "vector"), count, QUERY_BLOCK_BYTES // (8 * width)):
         matrix = np.array([row["vector"] for row in rows], dtype=np.float64)
         parts.append(_scan(points.select("id", "vector"), [row["query_id"] for row in rows],
                            _dense_scorer, (matrix,), k, schema))
@@ -176,11 +185,11 @@ def dense_topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
 
 def sparse_topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
     """Dot-product top-k over shared token ids; ``entries`` is an array of (id, weight) on both sides."""
-    longest = queries.agg(F.max(F.size("entries"))).first()[0] or 0
+    count, longest = _size(queries, "entries")
     schema = _hit_schema(queries, points)
     parts = []
-    per_block = max(1, math.isqrt(QUERY_BLOCK_BYTES // (8 * max(1, longest))))
-    for rows in _blocks(queries.select("query_id", "entries"), per_block):
+    per_block = math.isqrt(QUERY_BLOCK_BYTES // (8 * longest))
+    for rows in _blocks(queries.select("query_id", "entries"), count, per_block):
         vocabulary = np.unique(np.array([e["id"] for row in rows for e in row["entries"]], dtype=np.int64))
         if not len(vocabulary):
             continue

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.chunks import chunk_rows
-from newsflow.operators.etl import (clean_articles, dedup_titles, gate_articles, new_articles, parse_articles,
-                                    run_summary)
+from newsflow.operators.etl import articles_to_load, clean_articles, gate_articles, parse_articles, run_summary
 from newsflow.operators.joins import lookup
 from newsflow.operators.keys import new_keys
-from newsflow.session import stage
+from newsflow.session import stage, staging
 from newsflow.sources.warehouse import Warehouse
 
 # Bits of a chunk key that hold the chunk's place in its article.
@@ -64,42 +63,46 @@ def bridge_rows(keyed: DataFrame, dim_author: DataFrame) -> DataFrame:
                   F.col("article_id")).select("article_id", "author_id")
 
 
-def chunk_fact_rows(keyed: DataFrame) -> DataFrame:
+def chunk_fact_rows(texts: DataFrame) -> DataFrame:
     """``fact_chunks``; the chunk key is article key and place, so it needs no ordering of all chunks."""
     chunk_id = F.shiftleft("article_id", CHUNK_BITS) + F.col("chunk_index")
-    return chunk_rows(keyed).select(chunk_id.alias("chunk_id"), "article_id", "chunk_index", "content")
+    return chunk_rows(texts).select(chunk_id.alias("chunk_id"), "article_id", "chunk_index", "content")
 
 
 
 def run_etl(warehouse: Warehouse) -> DataFrame:
     """Load all new raw articles; returns one row: found, loaded, skipped, errors.
 
-    Read articles are staged once, with their state, and every table is filled from there by column.
+    Read articles are staged once, with their state, and every table is filled from there by column. Text
+    meets its key in one join, for ``dim_content``; chunks are cut from what that wrote.
     ``fact_articles`` is written last: until then the load does not count, and a repeated run replaces
     its partitions.
     """
+    spark = warehouse.spark
     warehouse.init_warehouse()
     load = warehouse.next_load()
 
     def known(table: str) -> DataFrame:
         return warehouse.loaded(table, load)
 
-    chosen = dedup_titles(new_articles(warehouse.read_metadata(), known("fact_articles")))
-    read = stage(clean_articles(parse_articles(chosen)), "articles")
-    clean = gate_articles(read)
-
-    new_source = source_rows(clean, known("dim_source"))
-    new_time = time_rows(clean, known("dim_time"))
-    new_author = author_rows(clean, known("dim_author"))
-    warehouse.write_load("dim_source", new_source, load)
-    warehouse.write_load("dim_time", new_time, load)
-    warehouse.write_load("dim_author", new_author, load)
-
-    keys = article_keys(clean, known("fact_articles"))
-    keyed = clean.join(keys, "url_hash")
-    warehouse.write_load("dim_content", content_rows(keyed), load)
-    warehouse.write_load("fact_chunks", chunk_fact_rows(keyed), load)
-    warehouse.write_load("fact_article_authors", bridge_rows(keyed, warehouse.loaded("dim_author", load + 1)), load)
-    warehouse.write_load("fact_articles", fact_rows(keyed, warehouse.loaded("dim_source", load + 1),
-                                                    warehouse.loaded("dim_time", load + 1)), load)
-    return run_summary(read)
+    with staging(spark):
+        chosen = articles_to_load(warehouse.read_metadata(), known("fact_articles"))
+        read = stage(clean_articles(parse_articles(chosen)), "articles")
+        clean = gate_articles(read)
+
+        warehouse.write_load("dim_source", source_rows(clean, known("dim_source")), load)
+        warehouse.write_load("dim_time", time_rows(clean, known("dim_time")), load)
+        warehouse.write_load("dim_author", author_rows(clean, known("dim_author")), load)
+
+        keyed = clean.join(article_keys(clean, known("fact_articles")), "url_hash")
+        warehouse.write_load("dim_content", content_rows(keyed), load)
+        written = warehouse.table("dim_content").filter(F.col("load_id") == load)
+        texts = written.select(F.col("content_id").alias("article_id"), "content")
+        warehouse.write_load("fact_chunks", chunk_fact_rows(texts), load)
+
+        now = load + 1
+        warehouse.write_load("fact_article_authors", bridge_rows(keyed, warehouse.loaded("dim_author", now)), load)
+        warehouse.write_load("fact_articles", fact_rows(
+            keyed, warehouse.loaded("dim_source", now), warehouse.loaded("dim_time", now)), load)
+        summary = run_summary(read)
+        return spark.createDataFrame(summary.collect(), summary.schema)

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 
 from newsflow.functions.encoders import hashing_encoder
 from newsflow.operators.points import assemble_points, chunk_view, new_chunks
+from newsflow.session import staging
 from newsflow.sources.warehouse import METADATA, POINTS, Warehouse
 
 
@@ -18,4 +19,5 @@ def vectorize(warehouse: Warehouse, encoder=None) -> None:
     warehouse.init_points()
     factory = encoder or hashing_encoder(warehouse.points_dim())
     fresh = new_chunks(warehouse_chunks(warehouse), warehouse.table(POINTS))
-    warehouse.upsert_points(assemble_points(fresh, factory))
+    with staging(warehouse.spark):
+        warehouse.upsert_points(assemble_points(fresh, factory))

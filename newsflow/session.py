@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,10 @@ def build_session(app: str = "newsflow", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_own_folders: dict[str, str] = {}
+_staging: list[list[str]] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -34,9 +40,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _own_folders[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -47,10 +54,25 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write once, read back: cuts the lineage and survives the loss of executors."""
     path = new_folder(df.sparkSession, label)
+    if _staging:
+        _staging[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Deletes what was staged inside the block when it ends; results must be written or collected by then."""
+    _staging.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in _staging.pop():
+            folder = hadoop.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan, used before anything is broadcast."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

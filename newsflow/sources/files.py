@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsflow.operators.compute import unfold
 from newsflow.schemas import PAGE
 
 
@@ -13,9 +14,9 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
 
 def seed_urls(lists: DataFrame) -> DataFrame:
     """Rows with a JSON array in ``value``, of strings or objects with ``url``, to one row per URL."""
-    items = F.explode(F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>"))
+    items = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
     url = F.coalesce(F.try_variant_get("item", "$.url", "string"), F.try_variant_get("item", "$", "string"))
-    return lists.select(items.alias("item")).select(url.alias("url"))
+    return unfold(lists, [], items, "position", "item").select(url.alias("url"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -37,7 +37,7 @@ def _kafka_messages(raw: DataFrame) -> DataFrame:
 
 def with_seq(lines: DataFrame) -> DataFrame:
     """Lines with an arrival number: the message's own ``seq``, else the order of reading."""
-    own = F.try_variant_get(F.try_parse_json("value"), "$.seq", "bigint")
+    own = F.get_json_object("value", "$.seq").try_cast("bigint")
     return lines.select("value", F.coalesce(own, F.monotonically_increasing_id()).alias("seq"))
 
 

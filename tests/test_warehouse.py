@@ -168,3 +168,15 @@ def test_lookup_beyond_the_broadcast_limit(spark, limit, how):
         assert ("_salt" in joined._jdf.queryExecution().optimizedPlan().toString()) == (limit == "-1")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_staged_folders_go_with_their_block(spark, monkeypatch, tmp_path):
+    import os
+
+    from newsflow import session
+
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path))
+    with session.staging(spark):
+        held = session.stage(spark.range(5), "x")
+        assert held.count() == 5 and os.listdir(tmp_path / "newsflow")
+    assert not os.listdir(tmp_path / "newsflow")
