@@ -9,7 +9,7 @@ from newsflow.operators.chunks import chunk_rows
 from newsflow.operators.etl import articles_to_load, clean_articles, gate_articles, parse_articles, run_summary
 from newsflow.operators.joins import lookup
 from newsflow.operators.keys import new_keys
-from newsflow.session import stage, staging
+from newsflow.session import stage, staging, together
 from newsflow.sources.warehouse import Warehouse
 
 # Bits of a chunk key that hold the chunk's place in its article.
@@ -90,18 +90,29 @@ def run_etl(warehouse: Warehouse) -> DataFrame:
         read = stage(clean_articles(parse_articles(chosen)), "articles")
         clean = gate_articles(read)
 
-        warehouse.write_load("dim_source", source_rows(clean, known("dim_source")), load)
-        warehouse.write_load("dim_time", time_rows(clean, known("dim_time")), load)
-        warehouse.write_load("dim_author", author_rows(clean, known("dim_author")), load)
-
-        keyed = clean.join(article_keys(clean, known("fact_articles")), "url_hash")
-        warehouse.write_load("dim_content", content_rows(keyed), load)
-        written = warehouse.table("dim_content").filter(F.col("load_id") == load)
-        texts = written.select(F.col("content_id").alias("article_id"), "content")
-        warehouse.write_load("fact_chunks", chunk_fact_rows(texts), load)
+        def fill(table: str, rows) -> None:
+            warehouse.write_load(table, rows(clean, known(table)), load)
 
+        *_, keys = together(
+            lambda: fill("dim_source", source_rows),
+            lambda: fill("dim_time", time_rows),
+            lambda: fill("dim_author", author_rows),
+            lambda: article_keys(clean, known("fact_articles")),
+        )
+        keyed = clean.join(keys, "url_hash")
         now = load + 1
-        warehouse.write_load("fact_article_authors", bridge_rows(keyed, warehouse.loaded("dim_author", now)), load)
+
+        def fill_texts() -> None:
+            warehouse.write_load("dim_content", content_rows(keyed), load)
+            written = warehouse.table("dim_content").filter(F.col("load_id") == load)
+            texts = written.select(F.col("content_id").alias("article_id"), "content")
+            warehouse.write_load("fact_chunks", chunk_fact_rows(texts), load)
+
+        def fill_bridge() -> None:
+            rows = bridge_rows(keyed, warehouse.loaded("dim_author", now))
+            warehouse.write_load("fact_article_authors", rows, load)
+
+        together(fill_texts, fill_bridge)
         warehouse.write_load("fact_articles", fact_rows(
             keyed, warehouse.loaded("dim_source", now), warehouse.loaded("dim_time", now)), load)
         summary = run_summary(read)

@@ -5,10 +5,15 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def build_session(app: str = "newsflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tuned for; a cluster's own settings win."""
@@ -73,6 +78,13 @@ def staging(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent jobs at the same time, so that small ones do not leave the cluster idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        return [job.result() for job in running]
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan, used before anything is broadcast."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

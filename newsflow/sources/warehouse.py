@@ -114,11 +114,12 @@ class Warehouse:
         return self.table(table).filter(F.col("load_id") < before)
 
     def write_load(self, table: str, df: DataFrame, load_id: int) -> None:
-        """Fill, or replace, the partition of one load."""
+        """Fill, or replace, the partition of one load, and record the table's size for join planning."""
         columns = ", ".join(_columns(table))
         self.spark.sql(
             f"INSERT OVERWRITE {self.name(table)} PARTITION (load_id = {int(load_id)}) "
             f"SELECT {columns} FROM {{rows}}", rows=self._placed(table, df))
+        self.spark.sql(f"ANALYZE TABLE {self.name(table)} COMPUTE STATISTICS NOSCAN")
 
     def truncate_all(self) -> None:
         """Empty the raw table and the star schema. Keys restart, as the next key is the highest plus one."""

@@ -154,6 +154,30 @@ def test_assign_keys_are_dense_and_ordered(spark):
     assert sorted(r["k"] for r in fresh.collect()) == list(range(5, 5004))
 
 
+def test_latest_articles_widens_its_range(spark, warehouse):
+    warehouse.init_metadata()
+    warehouse.init_warehouse()
+    facts = spark.range(1, 1001).select(F.col("id").alias("article_id"), F.col("id").cast("string").alias("url_hash"),
+                                        F.concat(F.lit("t"), "id").alias("title"), F.lit(1).alias("source_id"),
+                                        F.lit(1).alias("time_id"), "id", F.lit(1).alias("content_length"))
+    warehouse.write_load("fact_articles", facts.withColumnRenamed("id", "content_id"), 1)
+    warehouse.write_load("dim_author", spark.sql("SELECT 1L AS author_id, 'B' AS author_name UNION ALL SELECT 2, 'A'"), 1)
+    few = spark.sql("SELECT explode(array(3L, 7L, 900L)) AS article_id").crossJoin(spark.sql("SELECT explode(array(1L, 2L)) AS author_id"))
+    warehouse.write_load("fact_article_authors", few, 1)
+    rows = reports.latest_articles(warehouse, 2).collect()
+    assert [(r["article_id"], r["authors"]) for r in rows] == [(900, "A & B"), (7, "A & B")]
+    assert len(reports.latest_articles(warehouse).collect()) == 3
+
+
+def test_small_dimensions_are_broadcast(spark, warehouse):
+    warehouse.init_metadata()
+    warehouse.append_metadata(raw(spark, ("https://d/1", "one", GOOD)))
+    run_etl(warehouse)
+    joined = lookup(warehouse.table("fact_articles"), warehouse.table("dim_time").select("time_id", "date"), "time_id",
+                    F.col("article_id"))
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("limit", ["10MB", "-1"])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_beyond_the_broadcast_limit(spark, limit, how):
