@@ -40,6 +40,9 @@ MARKED_PAGES = """
         || CASE page_id % 6 WHEN 0 THEN '<meta property="article:published_time" content="2026-04-06T19:33:59+07:00">'
                             WHEN 1 THEN '<meta content="31/02/2024, 10:00" name="pubdate">'
                             ELSE '' END
+        || CASE page_id % 3 WHEN 0 THEN '<!-- <p class="author">Hidden One</p><time datetime="2001-01-01T01:01"> -->'
+                            WHEN 1 THEN '<script>x = "<p class=tac-gia rel=''author''>Hidden Two</p></article>"</script>'
+                            ELSE '' END
         || '</head>'), '</article>',
         CASE page_id % 8 WHEN 0 THEN '<div class="detail-author big"> - Lan Anh ' || CAST(page_id % 13 AS STRING) || ' • 12/3</div>'
                          WHEN 1 THEN '<p><i>Theo: Reuters</i></p>'

@@ -39,7 +39,12 @@ def with_(*parts: str) -> str:
 
 
 ART = f"articles AS ({ARTICLES.format(documents='documents')})"
-MARKED = f"marked AS ({MARKED_PAGES.format(pages='pages')})"
+def visible(name: str, source: str) -> str:
+    return f"{name} AS (SELECT page_id, url, regexp_replace(html, {text(markup.HIDDEN)}, ' ', 'g') AS html FROM {source})"
+
+
+MARKED = visible("marked", f"({MARKED_PAGES.format(pages='pages')})")
+SEEN = visible("seen", "pages")
 LINKED = f"linked AS ({LINKED_PAGES.format(pages='pages')})"
 LABELLED = "labelled AS (SELECT a.* FROM articles a WHERE doc_id IN (SELECT doc_id FROM labels))"
 
@@ -130,16 +135,16 @@ def texts(pages: str) -> str:
     return f"""texts AS (
   SELECT page_id, url, html, {plain(f"regexp_extract(html, {text(markup.TITLE)}, 1)")} AS title,
     array_to_string(list_filter(list_transform(regexp_split_to_array(
-      regexp_replace({REGION}, {text(markup.HIDDEN)}, ' ', 'g'), {text(markup.BLOCK)}),
+      {REGION}, {text(markup.BLOCK)}),
       lambda x: {plain('x')}), lambda x: x <> ''), chr(10) || chr(10)) AS body
   FROM {pages})"""
 
 
-ORACLES["ext_1"] = with_(texts("pages")) + "SELECT page_id, title, md5(body) AS text FROM texts"
-ORACLES["ext_2"] = with_(texts("pages")) + """
+ORACLES["ext_1"] = with_(SEEN, texts("seen")) + "SELECT page_id, title, md5(body) AS text FROM texts"
+ORACLES["ext_2"] = with_(SEEN, texts("seen")) + """
 SELECT page_id, CAST(length(body) AS INTEGER) AS n_chars FROM texts WHERE length(body) >= 100"""
 ORACLES["ext_3"] = with_(ART) + rf"""
-SELECT doc_id, {strip("array_to_string(regexp_split_to_array(author, ',|\s-\s'), ', ')")} AS author FROM articles"""
+SELECT doc_id, {strip(r"array_to_string(regexp_split_to_array(author, ',|\s-\s'), ', ')")} AS author FROM articles"""
 
 
 def valid(c: str) -> str:

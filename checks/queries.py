@@ -67,7 +67,7 @@ def read_topic(spark, sf):
 def peek_topic(spark, sf):
     path = new_folder(spark, "topic")
     topic.write_topic(corpus.messages(spark, sf), path)
-    first = topic.peek_topic(topic.read_topic(spark, path).filter(F.col("seq").isNotNull()))
+    first = topic.peek_topic(topic.read_topic(spark, path))
     return ingest.decode_messages(first).select("seq", "status", "title")
 
 
@@ -151,12 +151,12 @@ def lnk_7(spark, sf):
 
 @query("ext_1")
 def ext_1(spark, sf):
-    return art.page_texts(corpus.table(spark, sf, "pages")).select("page_id", "title", hashed("text"))
+    return art.page_texts(art.visible_pages(corpus.table(spark, sf, "pages"))).select("page_id", "title", hashed("text"))
 
 
 @query("ext_2")
 def ext_2(spark, sf):
-    return art.long_enough(art.page_texts(corpus.table(spark, sf, "pages"))).select(
+    return art.long_enough(art.page_texts(art.visible_pages(corpus.table(spark, sf, "pages")))).select(
         "page_id", F.length("text").alias("n_chars"))
 
 
@@ -181,9 +181,13 @@ def is_valid_author(spark, sf):
     return _names(spark, sf).select("k", hashed("name"), people.is_valid_author(F.col("name")).alias("valid"))
 
 
+def _marked(spark, sf) -> DataFrame:
+    return art.visible_pages(corpus.marked_pages(spark, sf))
+
+
 @query("ext_5")
 def ext_5(spark, sf):
-    pages = corpus.marked_pages(spark, sf).withColumn("byline", art.join_authors(art.byline(F.col("html"))))
+    pages = _marked(spark, sf).withColumn("byline", art.join_authors(art.byline(F.col("html"))))
     kept, parked = art.park_house_name(F.col("byline"))
     return pages.select("page_id", kept.alias("author"), parked.alias("parked"))
 
@@ -191,23 +195,23 @@ def ext_5(spark, sf):
 @query("ext_6")
 def ext_6(spark, sf):
     found = art.first_valid_author(art.author_candidates(F.col("html")))
-    return corpus.marked_pages(spark, sf).select("page_id", found.alias("author"))
+    return _marked(spark, sf).select("page_id", found.alias("author"))
 
 
 @query("ext_7")
 def ext_7(spark, sf):
     found = art.tail_author(art.tail_nodes(F.col("html")))
-    return corpus.marked_pages(spark, sf).select("page_id", found.alias("author"))
+    return _marked(spark, sf).select("page_id", found.alias("author"))
 
 
 @query("ext_8")
 def ext_8(spark, sf):
-    return art.page_authors(corpus.marked_pages(spark, sf)).select("page_id", "author")
+    return art.page_authors(_marked(spark, sf)).select("page_id", "author")
 
 
 @query("ext_9")
 def ext_9(spark, sf):
-    return corpus.marked_pages(spark, sf).select(
+    return _marked(spark, sf).select(
         "page_id", F.array_join(art.date_candidates(F.col("html")), "|").alias("candidates"))
 
 
@@ -219,7 +223,7 @@ def parse_publish_date(spark, sf):
 
 @query("ext_11")
 def ext_11(spark, sf):
-    return art.page_dates(corpus.marked_pages(spark, sf)).select("page_id", "publish_date")
+    return art.page_dates(_marked(spark, sf)).select("page_id", "publish_date")
 
 
 @query("extract_articles")

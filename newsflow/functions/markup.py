@@ -54,6 +54,11 @@ def page_title(html: Column) -> Column:
     return plain(F.regexp_extract(html, TITLE, 1))
 
 
+def visible(html: Column) -> Column:
+    """The page without scripts, styles and comments, whose content is no markup of the page."""
+    return F.regexp_replace(html, HIDDEN, " ")
+
+
 def main_region(html: Column) -> Column:
     """Inside the article element, else the body, else all."""
     article = F.regexp_extract(html, ARTICLE, 1)
@@ -62,9 +67,8 @@ def main_region(html: Column) -> Column:
 
 
 def main_text(html: Column) -> Column:
-    """Paragraphs of the main region, joined by a blank line."""
-    visible = F.regexp_replace(main_region(html), HIDDEN, " ")
-    paragraphs = F.filter(F.transform(F.split(visible, BLOCK), plain), lambda p: p != "")
+    """Paragraphs of the main region of a visible page, joined by a blank line."""
+    paragraphs = F.filter(F.transform(F.split(main_region(html), BLOCK), plain), lambda p: p != "")
     return F.array_join(paragraphs, "\n\n")
 
 
@@ -93,13 +97,6 @@ def _open_tag(compound: str) -> str:
     return rf"{head}{condition}[^>]*>"
 
 
-def _needle(compound: str) -> str:
-    """A literal that every match contains, to skip pages without running the pattern."""
-    words = re.findall(r'="([^"]*)"|\.([\w-]+)', compound)
-    found = [a or b for a, b in words]
-    return max(found, key=len) if found else "<" + re.match(r"[\w]+", compound).group()
-
-
 @dataclass(frozen=True)
 class Rule:
     """One selector: ``selector`` ends in ``::text`` or ``::attr(name)``; ``every`` joins all matches by a space."""
@@ -110,15 +107,15 @@ class Rule:
     def _paths(self) -> tuple[list[list[str]], str]:
         """Element paths of a comma list, and the target they share."""
         parts = [part.rsplit("::", 1) for part in self.selector.split(", ")]
-        return [path.split(" ") for path, _ in parts], parts[0][1]
+        return [re.findall(r"(?:\[[^\]]*\]|[^\s\[])+", path) for path, _ in parts], parts[0][1]
 
     @property
     def needle(self) -> str:
-        paths, _ = self._paths()
-        if len(paths) > 1:
+        """A literal that every match contains, to skip pages without running the pattern."""
+        if ", " in self.selector:
             return "<"
-        path = paths[0]
-        return _needle(path[0] if path[-1] == "*" else path[-1])
+        words = re.findall(r'="([^"]*)"|\.([\w-]+)', self.selector)
+        return max((value or name for value, name in words), key=len, default="<")
 
     @property
     def pattern(self) -> str:

@@ -10,6 +10,12 @@ from newsflow.operators.compute import compute_once
 MIN_TEXT = 100
 
 
+def visible_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, url, html) without scripts, styles and comments; the operators below read these."""
+    return compute_once(pages.select("page_id", "url", F.col("html").alias("_raw")),
+                        html=markup.visible(F.col("_raw"))).drop("_raw")
+
+
 def page_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, html, title, text) for every page."""
     html = F.col("html")
@@ -114,7 +120,7 @@ def page_dates(pages: DataFrame) -> DataFrame:
 
 def extract_articles(pages: DataFrame) -> DataFrame:
     """Pages to article items: (title, content, url, source, author, publish_date). One pass, no shuffle."""
-    return page_dates(page_authors(long_enough(page_texts(pages)))).select(
+    return page_dates(page_authors(long_enough(page_texts(visible_pages(pages))))).select(
         strip(collapse_spaces(F.col("title"))).alias("title"),
         strip(F.col("text")).alias("content"),
         "url",

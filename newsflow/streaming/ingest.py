@@ -43,7 +43,8 @@ class IngestCounters(StreamingQueryListener):
 def ingest_articles(messages: DataFrame, warehouse: Warehouse, checkpoint: str, **trigger) -> StreamingQuery:
     """Stream (value[, seq]) into the raw table. Options of ``trigger()`` pass through.
 
-    A batch inserts only keys the table does not hold, so repeating it after a failure adds nothing.
+    A batch inserts only keys the table does not hold, so repeating it after a failure adds nothing. Every
+    batch reads the key column of the table; lengthen the trigger as the table grows.
     """
     def load(batch: DataFrame, _: int) -> None:
         numbered = batch if "seq" in batch.columns else with_seq(batch)

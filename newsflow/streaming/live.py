@@ -11,10 +11,10 @@ REFRESH = "10 seconds"
 
 
 def live_counts(spark: SparkSession, tables: dict[str, str], where: dict[str, str] | None = None) -> DataFrame:
-    """Running row count per label. ``tables`` maps a label to a Parquet folder or table name.
+    """Running row count per label; ``tables`` maps a label to a table, ``where`` a label to a filter.
 
-    ``where`` holds a filter per label. Only constant columns leave the scans, and each task counts before
-    the shuffle.
+    Only the filtered columns are read, and each task counts before the shuffle. Files count when they
+    appear: after a load that had to be repeated, start again with a new checkpoint.
     """
     where = where or {}
     parts = []

@@ -20,6 +20,12 @@ RULES = [
     (".author-info .name::text", False, '<p class="name">No</p><div class="author-info"><b class="name">An</b></div>', "An"),
     ('[itemprop="author"] [itemprop="name"]::text', False, '<i itemprop="author"><b itemprop="name">An</b></i>', "An"),
     ('p[style*="text-align:right"] strong::text', False, '<p style="x;text-align:right;"><strong>An</strong>', "An"),
+    ('p[style*="text-align: right"] strong::text', False, '<P STYLE="text-align: right"><STRONG>An</STRONG></P>', "An"),
+    ('div.name a[href*="tac-gia"]::text', False, '<a href="/tac-gia/x">No</a><div class="name"><a href="/tac-gia/y">An</a></div>', "An"),
+    (".author-name a::text", False, '<p class="author-name"><a href="x">An</a></p>', "An"),
+    ("time::text", False, "<TIME>14:00</TIME>", "14:00"),
+    ('[data-role="publishdate"]::text', False, '<i data-role="publishdate">1/2/2024</i>', "1/2/2024"),
+    (".bread-crumb__detail-time p::text", False, '<div class="bread-crumb__detail-time"><p>1/2/2024</p></div>', "1/2/2024"),
     ("span.t1::text, span.t2::text", False, '<span class="t2">Hai</span><span class="t1">Một</span>', "Hai"),
     (".news-detail-project *::text", True, '<div class="news-detail-project"><b>An</b> <i>Bo</i></div>', "An Bo"),
     ('meta[name="author"]::attr(content)', False, '<meta content="An" name="author">', "An"),
@@ -42,7 +48,7 @@ def test_rule_counts():
 def test_main_text(spark):
     html = ("<title>T &amp; U</title><body><nav>menu</nav><article><script>p('<p>')</script><h1>Head</h1><p>one<br>two <b>x</b>"
             "<p>&nbsp;<p>three<!-- no --></article>footer</body>")
-    assert one(spark, html, markup.main_text) == "Head\n\none\n\ntwo x\n\nthree"
+    assert one(spark, html, lambda h: markup.main_text(markup.visible(h))) == "Head\n\none\n\ntwo x\n\nthree"
     assert one(spark, html, markup.page_title) == "T & U"
 
 
@@ -74,7 +80,8 @@ def test_tail_reads_the_last_fifteen_blocks_backwards(spark):
 
 
 def test_extract_articles(spark):
-    html = "<title> T </title><article><p>" + "a" * 100 + '</p><time datetime="2026-04-06T19:33">x</time></article>'
+    """Scripts and comments hold no author, date or text of the page."""
+    html = "<!-- <p class='author'>No One</p> --><script>'<time datetime=\"2001-01-01T00:00\">'</script><title> T </title><article><p>" + "a" * 100 + '</p><time datetime="2026-04-06T19:33">x</time></article>'
     pages = spark.createDataFrame([(1, "https://d:80/x.html", html), (2, "https://d/y.html", "<p>short</p>")],
                                   "page_id BIGINT, url STRING, html STRING")
     rows = art.extract_articles(pages).collect()
