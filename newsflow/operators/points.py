@@ -24,21 +24,23 @@ def article_authors(bridge: DataFrame, dim_author: DataFrame, separator: str = "
 
 def chunk_view(chunks: DataFrame, articles: DataFrame, metadata: DataFrame, times: DataFrame,
                bridge: DataFrame, dim_author: DataFrame) -> DataFrame:
-    """Chunks with title, url, publish date and authors.
+    """Chunks with title, url, publish date and authors, for all chunks or only some.
 
-    Authors are gathered per article before the chunks join, so chunk text never enters that
-    aggregate. Equal chunks collapse first, on all their columns; then chunk and article meet on
+    Authors are gathered per article that has chunks here, before the chunks join, so chunk text never
+    enters that aggregate. Equal chunks collapse first, on all their columns; then chunk and article meet on
     (article_id, block of 1,024 chunks), which spreads a very long article over many tasks.
     """
+    block = F.floor(F.col("chunk_index") / BLOCK).cast("int")
+    blocks = chunks.groupBy("article_id").agg(F.max(block).alias("_last"))
+    credits = article_authors(bridge.join(blocks, "article_id", "left_semi"), dim_author)
     about = (
         articles.select("article_id", "url_hash", "title", "time_id")
+        .join(blocks, "article_id")
         .join(metadata.select("url_hash", "url"), "url_hash")
         .transform(lambda df: lookup(df, times.select("time_id", "date"), "time_id", F.col("article_id"), "left"))
-        .join(article_authors(bridge, dim_author), "article_id", "left")
+        .join(credits, "article_id", "left")
     )
-    block = F.floor(F.col("chunk_index") / BLOCK).cast("int")
-    blocks = chunks.groupBy("article_id").agg(F.max(block).alias("_last"))
-    copies = about.join(blocks, "article_id").withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_last"))))
+    copies = about.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_last"))))
     return (
         chunks.select("article_id", "chunk_index", "content").distinct()
         .withColumn("_block", block)

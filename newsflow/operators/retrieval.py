@@ -74,9 +74,10 @@ def rerank_pool(hits: DataFrame, n: int = RERANK_POOL) -> DataFrame:
 
 
 def with_texts(hits: DataFrame, queries: DataFrame, points: DataFrame) -> DataFrame:
-    """Hits with query text and payload; only the few hits kept travel to the stored texts."""
-    return hits.join(queries.select("query_id", F.col("text").alias("query")), "query_id").join(
-        points.select("id", *PAYLOAD_FIELDS, *[c for c in points.columns if c == "metadata"]), "id")
+    """Hits with payload and query text. Points come first: a few hits are sent to the stored texts, not these to them."""
+    payload = points.select("id", *PAYLOAD_FIELDS, *[c for c in points.columns if c == "metadata"])
+    asked = queries.select("query_id", F.col("text").alias("query"))
+    return hits.join(payload, "id").join(asked, "query_id")
 
 
 def overlap_score(query: Column, text: Column) -> Column:

@@ -40,9 +40,12 @@ def search_view(points: DataFrame) -> DataFrame:
 
 def retrieve(queries: DataFrame, points: DataFrame, factory, k: int = TOP_K, pool: int = RERANK_POOL,
              scorer=None, prefix: str = "") -> Retrieved:
-    """Hybrid top-k, rerank of the first ``pool`` hits, context and prompt for every (query_id, text)."""
+    """Hybrid top-k, rerank of the first ``pool`` hits, context and prompt for every (query_id, text).
+
+    The pool is staged, so its size is known when it is joined to the stored texts.
+    """
     encoded = encode_queries(queries, factory, prefix)
-    first = rerank_pool(hybrid_topk(encoded, points, k), pool)
+    first = stage(rerank_pool(hybrid_topk(encoded, points, k), pool), "pool")
     hits = stage(project_hits(rerank(with_texts(first, queries, points), pool, scorer)), "hits")
     contexts = format_context(hits)
     return Retrieved(hits, contexts, build_prompts(queries, contexts))

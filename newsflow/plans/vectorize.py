@@ -1,23 +1,31 @@
 """Chunks that are not in the vector collection yet become points."""
 
+from __future__ import annotations
+
 from pyspark.sql import DataFrame
 
 from newsflow.functions.encoders import hashing_encoder
 from newsflow.operators.points import assemble_points, chunk_view, new_chunks
-from newsflow.session import staging
+from newsflow.session import stage, staging
 from newsflow.sources.warehouse import METADATA, POINTS, Warehouse
 
 
-def warehouse_chunks(warehouse: Warehouse) -> DataFrame:
-    """The chunk view over the warehouse tables."""
-    return chunk_view(*[warehouse.table(t) for t in (
-        "fact_chunks", "fact_articles", METADATA, "dim_time", "fact_article_authors", "dim_author")])
+def warehouse_chunks(warehouse: Warehouse, chunks: DataFrame | None = None) -> DataFrame:
+    """The chunk view over the warehouse tables, for all chunks or the given ones."""
+    return chunk_view(warehouse.table("fact_chunks") if chunks is None else chunks, *[warehouse.table(t) for t in (
+        "fact_articles", METADATA, "dim_time", "fact_article_authors", "dim_author")])
 
 
 def vectorize(warehouse: Warehouse, encoder=None) -> None:
-    """Encode new chunks and add them to the collection. Nothing new means nothing written."""
+    """Encode new chunks and add them to the collection. Nothing new means nothing written.
+
+    New chunks are found by key; only their text is read on, joined and encoded.
+    """
     warehouse.init_points()
     factory = encoder or hashing_encoder(warehouse.points_dim())
-    fresh = new_chunks(warehouse_chunks(warehouse), warehouse.table(POINTS))
+    chunks = warehouse.table("fact_chunks")
+    place = ["article_id", "chunk_index"]
     with staging(warehouse.spark):
-        warehouse.upsert_points(assemble_points(fresh, factory))
+        fresh = new_chunks(chunks.select(*place).distinct(), warehouse.table(POINTS))
+        todo = chunks.join(stage(fresh.select(*place), "fresh"), place, "left_semi")
+        warehouse.upsert_points(assemble_points(warehouse_chunks(warehouse, todo), factory))
