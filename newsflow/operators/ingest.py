@@ -53,17 +53,22 @@ def usable_messages(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("status") == "ok").withColumn("url_hash", url_key(F.col("url")))
 
 
+def numbered(messages: DataFrame) -> DataFrame:
+    """Adds ``row``, a number no other message of the batch has; stage or persist it before use."""
+    return messages.withColumn("row", F.monotonically_increasing_id())
+
+
 def first_arrivals(messages: DataFrame, known: DataFrame) -> DataFrame:
     """The message with the lowest ``seq`` of every ``url_hash`` that ``known(url_hash)`` does not hold.
 
-    Winners are found on (url_hash, seq) alone, combined before the shuffle; the wide rows then meet
-    them on both columns, so many copies of one URL spread over all tasks.
+    Winners are found on numbers alone, combined before the shuffle; the wide rows then meet them on
+    ``row``, so any number of copies of one message spreads over all tasks.
     """
     winners = (
-        messages.groupBy("url_hash").agg(F.min("seq").alias("seq"))
+        messages.groupBy("url_hash").agg(F.min_by("row", "seq").alias("row"))
         .join(known.select("url_hash"), "url_hash", "left_anti")
     )
-    return messages.join(winners, ["url_hash", "seq"], "left_semi")
+    return messages.join(winners.select("row"), "row", "left_semi")
 
 
 def metadata_rows(messages: DataFrame) -> DataFrame:
@@ -76,7 +81,7 @@ def ingest_batch(messages: DataFrame, known: DataFrame) -> DataFrame:
 
     Usable messages are staged: they are parsed once, and a live topic is read once.
     """
-    usable = stage(usable_messages(decode_messages(messages)), "messages")
+    usable = stage(numbered(usable_messages(decode_messages(messages))), "messages")
     return metadata_rows(first_arrivals(usable, known))
 
 

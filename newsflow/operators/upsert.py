@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """``target`` with the rows of ``source`` inserted, or put in place of rows with the same key."""
+    """``target`` with the rows of ``source``, unique on the key, inserted or put in place of rows with the same key."""
     survivors = target.join(source.select(key), key, "left_anti").select(*source.columns)
     return survivors.unionByName(source)
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from newsflow.operators.ingest import decode_messages, first_arrivals, metadata_rows, usable_messages
+from newsflow.operators.ingest import decode_messages, first_arrivals, metadata_rows, numbered, usable_messages
 from newsflow.sources.topic import with_seq
 from newsflow.sources.warehouse import METADATA, Warehouse
 
@@ -47,8 +47,8 @@ def ingest_articles(messages: DataFrame, warehouse: Warehouse, checkpoint: str,
     batch reads the key column of the table; lengthen the trigger as the table grows.
     """
     def load(batch: DataFrame, _: int) -> None:
-        numbered = batch if "seq" in batch.columns else with_seq(batch)
-        decoded = usable_messages(decode_messages(numbered)).persist(StorageLevel.DISK_ONLY)
+        arrived = batch if "seq" in batch.columns else with_seq(batch)
+        decoded = numbered(usable_messages(decode_messages(arrived))).persist(StorageLevel.DISK_ONLY)
         inside = Warehouse(batch.sparkSession, warehouse.database, buckets=warehouse.buckets)
         try:
             known = inside.table(METADATA).select("url_hash")
@@ -67,9 +67,9 @@ def ingest_articles(messages: DataFrame, warehouse: Warehouse, checkpoint: str,
 
 def count_statuses(messages: DataFrame, checkpoint: str, name: str, **trigger) -> StreamingQuery:
     """Stream messages through the decoder for their counters alone."""
-    numbered = messages if "seq" in messages.columns else messages.withColumn("seq", F.lit(0).cast("bigint"))
+    arrived = messages if "seq" in messages.columns else messages.withColumn("seq", F.lit(0).cast("bigint"))
     return (
-        observe_counters(decode_messages(numbered)).writeStream.format("noop").queryName(name)
+        observe_counters(decode_messages(arrived)).writeStream.format("noop").queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()

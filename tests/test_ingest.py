@@ -42,6 +42,13 @@ def test_hot_url(spark):
     assert [(r["url"], r["title"]) for r in rows] == [("hot", "0")]
 
 
+def test_equal_copies_of_one_message(spark):
+    """A message sent again has the same number and the same text."""
+    copies = spark.range(0, 20000, 1, 8).select(F.lit('{"url":"hot","title":"t"}').alias("value"), F.lit(7).cast("bigint").alias("seq"))
+    rows = ingest_batch(copies, spark.createDataFrame([], "url_hash STRING")).collect()
+    assert [(r["url"], r["title"]) for r in rows] == [("hot", "t")]
+
+
 def write(spark, folder, lines):
     topic.write_topic(spark.createDataFrame([(line,) for line in lines], "value STRING").coalesce(1), folder)
 
@@ -61,9 +68,11 @@ def test_stream_restarts_and_repeats(spark, folder, warehouse):
                                      json.dumps({"url": "b", "title": "báo", "seq": 4}), "[]"])
     assert run() == {("a", "one"), ("b", "báo")}
     assert run() == {("a", "one"), ("b", "báo")}
+    write(spark, f"{folder}/topic", [json.dumps({"url": "c", "title": "twice", "seq": 5})] * 3)
+    assert run() == {("a", "one"), ("b", "báo"), ("c", "twice")}
     again = topic.stream_topic(spark, f"{folder}/topic")
     ingest_articles(again, warehouse, f"{folder}/checkpoint2", availableNow=True).awaitTermination()
-    assert warehouse.table("article_metadata").count() == 2
+    assert warehouse.table("article_metadata").count() == 3
 
 
 def test_topic_round_trip_and_peek(spark, folder):

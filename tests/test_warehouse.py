@@ -204,3 +204,17 @@ def test_staged_folders_go_with_their_block(spark, monkeypatch, tmp_path):
         held = session.stage(spark.range(5), "x")
         assert held.count() == 5 and os.listdir(tmp_path / "newsflow")
     assert not os.listdir(tmp_path / "newsflow")
+
+
+def test_scratch_folder_without_the_setting():
+    from types import SimpleNamespace
+
+    from newsflow import session
+
+    def fake(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+
+    assert session.scratch_root(fake("local[2]")) == session.scratch_root(fake("local[2]"))
+    with pytest.raises(ValueError):
+        session.scratch_root(fake("yarn"))
