@@ -6,6 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from newsflow.llm.contamination import decontaminate
+from newsflow.llm.lines import drop_boilerplate
+from newsflow.llm.mixing import mixture
+from newsflow.llm.neardup import near_dedup
 from newsflow.llm.quality import quality_filter
 from newsflow.session import stage
 
@@ -17,8 +21,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_filter(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the boilerplate lines of their sources; none goes."""
+    return drop_boilerplate(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dedup(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that have no benchmark item in them."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row per copy taken of a document, with its shard and its position there."""
+    return mixture(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
+    ("line_dedup", lines),
+    ("near_dedup", near_duplicates),
+    ("decontamination", benchmark),
+    ("mixing", mix),
 ]
 
 # Hashes, models and alignments have no SQL; the stages are tested against brute force.
