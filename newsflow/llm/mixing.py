@@ -131,9 +131,9 @@ def hypergeometric(all_: str, marked: str, drawn: str, chance: str) -> str:
     logs = f"{_log_choose(marked, 'v')} + {_log_choose(f'({all_} - {marked})', f'({drawn} - v)')}"
     raw = f"transform(sequence({low}, {high}), v -> {logs})"
     weights = f"transform(array({raw}), l -> transform(l, x -> exp(x - array_max(l))))[0]"
-    total = "aggregate(w, 0D, (s, x) -> s + x)"
-    passed = ("aggregate(w, named_struct('sum', 0D, 'n', 0L), (s, x) -> named_struct('sum', s.sum + x, 'n',"
-              f" s.n + IF(s.sum + x < {chance} * {total}, 1L, 0L))).n")
+    total = "aggregate(w, 0D, (acc, y) -> acc + y)"
+    passed = ("aggregate(w, named_struct('sum', 0D, 'n', 0L), (acc, y) -> named_struct('sum', acc.sum + y, 'n',"
+              f" acc.n + IF(acc.sum + y < {chance} * {total}, 1L, 0L))).n")
     return f"transform(array({weights}), w -> least({high}, {low} + {passed}))[0]"
 
 
