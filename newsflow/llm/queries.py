@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from newsflow.llm.contamination import op3_decontamination
+from newsflow.llm.langid import op1_language_id
 from newsflow.llm.lines import OP5_SQL, op5_line_dedup
+from newsflow.llm.lmscore import op7_lm_scoring
 from newsflow.llm.mixing import op9_mixing
 from newsflow.llm.neardup import op2_near_dedup
 from newsflow.llm.quality import op6_quality
 from newsflow.llm.topk import OP4_SQL, op4_topk
+from newsflow.llm.toxicity import op8_toxicity
 from newsflow.llm.urls import OP10_SQL, op10_url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,11 +29,14 @@ def _over(function: Callable[..., DataFrame], *names: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": _over(op1_language_id, "documents"),
     "op2_near_dedup": _over(op2_near_dedup, "documents"),
     "op3_decontamination": _over(op3_decontamination, "documents", "benchmark"),
     "op4_topk": _over(op4_topk, "embeddings"),
     "op5_line_dedup": _over(op5_line_dedup, "documents"),
     "op6_quality": _over(op6_quality, "documents", "labels"),
+    "op7_lm_scoring": _over(op7_lm_scoring, "documents", "labels"),
+    "op8_toxicity": _over(op8_toxicity, "documents", "labels"),
     "op9_mixing": _over(op9_mixing, "documents"),
     "op10_url_filters": _over(op10_url_filters, "pages"),
 }
