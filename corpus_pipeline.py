@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newsflow.llm.contamination import decontaminate
 from newsflow.llm.lines import drop_boilerplate
@@ -22,8 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their sources; none goes."""
-    return drop_boilerplate(docs)
+    """Documents without the boilerplate lines of their sources; none goes. ``n_chars`` follows the text."""
+    clean = drop_boilerplate(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else clean
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
