@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 from collections.abc import Callable, Iterator
 
@@ -14,6 +15,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 BATCH_ROWS = 1000
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of ``rows`` rows for what runs inside, where one row holds much."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Arrow batches of at most ``rows`` rows: whole texts of any length travel in them."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -5,9 +5,10 @@ shingles with the least hash values and keeps them in text order, so that texts
 (edit similarity), not only as a set. Texts that agree on one of several sketches are candidates; a banded alignment of the
 two shingle runs decides: shingles aligned, divided by all shingles of both less the aligned ones, is 0.8 or more.
 
-Equal word sequences are one node. In a bucket every node is first compared with the bucket's least node. Nodes of a
-bucket that are then still in different groups are compared pair by pair where the bucket is small; a larger bucket is first parted
-by further sketches on which similar texts agree too, and what no sketch parts is compared in full.
+Equal word sequences are one node. In a bucket every node is first compared with one of them, the leader, twice over. In buckets that
+then still hold nodes of different groups, the nodes outside of the largest group are compared with all others, in blocks: labelled
+shingles that two texts share bound their alignment from above, and what passes the bound is aligned until the two groups are
+linked. In buckets of more than one block, texts have to agree on a second sketch for that, as similar ones do.
 """
 
 from __future__ import annotations
@@ -20,17 +21,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.llm.batches import fresh, over_batches, small_batches
+from newsflow.llm.batches import arrow_rows, fresh, over_batches, small_batches
 from newsflow.llm.spans import mix, split_words, text_slices, windows, word_keys
 from newsflow.session import stage
 
 WIDTH = 5
-SKETCHES = 10
-PICKS = 2
+SKETCHES = 16
+PICKS = 4
 SIMILARITY = 0.8
-SMALL_BUCKET = 32
+BLOCK = 256
+BLOCK_BATCH = 4
 PER_LEADER = 64
-DEPTH = 3
+LEADERS = 2
+COLUMNS = 4096
+_PLACE_BITS = np.uint64(28)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64))
 
@@ -53,19 +57,18 @@ def sketch(labelled: np.ndarray, bounds: np.ndarray, sketches: int = SKETCHES, p
     Rows need a shingle at least.
     """
     starts = bounds[:-1]
-    rows, sizes = len(starts), np.diff(bounds)
+    rows = len(starts)
+    # a hash's upper bits and the place in the row share a number, so that the least tells the place too
+    place = (np.arange(len(labelled)) - np.repeat(starts, np.diff(bounds))).astype(np.uint64)
+    low = (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
     out = np.empty((rows, sketches), dtype=np.uint64)
     for number in range(sketches):
-        hashed = (labelled ^ _SEEDS[number]) * _ODD
+        hashed = ((labelled ^ _SEEDS[number]) * _ODD & ~low) | place
         places = np.empty((picks, rows), dtype=np.int64)
         for pick in range(picks):
-            least = np.minimum.reduceat(hashed, starts)
-            found = np.flatnonzero(hashed == np.repeat(least, sizes))
-            row = np.searchsorted(bounds, found, side="right") - 1
-            first = np.ones(len(found), dtype=bool)
-            first[1:] = row[1:] != row[:-1]
-            places[pick] = found[first]
-            hashed[places[pick]] = np.iinfo(np.uint64).max
+            places[pick] = np.minimum.reduceat(hashed, starts) & low
+            places[pick] += starts
+            hashed[places[pick]] |= ~low
         places.sort(axis=0)
         key = np.full(rows, _SEEDS[number])
         for pick in range(picks):
@@ -159,20 +162,20 @@ def _aligned(a: list[int], b: list[int], band: int) -> int:
     return len(a) - state.bit_count()
 
 
-def similar(first: bytes, second: bytes, least: float = SIMILARITY) -> bool:
-    """Whether the shingles of two token runs align to ``least`` or more."""
-    tokens = [np.frombuffer(x, dtype=np.uint32).astype(np.uint64) for x in (first, second)]
-    a, b = (windows(x, np.array([0, len(x)]), WIDTH)[0] for x in tokens)
-    if not len(a) or not len(b):
-        return False
-    total = len(a) + len(b)
-    needed = int(np.ceil(total * least / (1 + least) - 1e-9))
-    if min(len(a), len(b)) < needed:
-        return False
-    values, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-    both = np.minimum(np.bincount(place[:len(a)], minlength=len(values)),
-                      np.bincount(place[len(a):], minlength=len(values)))
-    if both.sum() < needed:
+def _needed(total: int, least: float) -> int:
+    """Shingles to be aligned out of ``total`` of two texts."""
+    return int(np.ceil(total * least / (1 + least) - 1e-9))
+
+
+def _shingles(tokens: bytes) -> np.ndarray:
+    words = np.frombuffer(tokens, dtype=np.uint32).astype(np.uint64)
+    return windows(words, np.array([0, len(words)]), WIDTH)[0]
+
+
+def _alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two runs of shingles align to ``least`` or more."""
+    needed = _needed(len(a) + len(b), least)
+    if not len(a) or not len(b) or min(len(a), len(b)) < needed:
         return False
     short = min(len(a), len(b))
     differ = np.flatnonzero(a[:short] != b[:short])
@@ -185,8 +188,16 @@ def similar(first: bytes, second: bytes, least: float = SIMILARITY) -> bool:
     rest = needed - head - tail
     if rest <= 0:
         return True
+    values, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    both = np.minimum(np.bincount(place[:len(a)], minlength=len(values)),
+                      np.bincount(place[len(a):], minlength=len(values)))
     band = len(a) + len(b) - 2 * rest
-    return band >= 0 and _aligned(a.tolist(), b.tolist(), band) >= rest
+    return both.sum() >= rest and band >= 0 and _aligned(a.tolist(), b.tolist(), band) >= rest
+
+
+def similar(first: bytes, second: bytes, least: float = SIMILARITY) -> bool:
+    """Whether the shingles of two token runs align to ``least`` or more."""
+    return _alike(_shingles(first), _shingles(second), least)
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, least: float) -> DataFrame:
@@ -226,36 +237,125 @@ def components(links: DataFrame) -> DataFrame:
         roots = moved.select("node", F.col("new").alias("root"))
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of members (key, node, root) of one key that have different roots."""
-    left = members.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-    right = members.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
-    return left.join(right, "key").filter("a < b AND ra != rb").select("a", "b")
+def _open_buckets(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows (key, used, node, root, n) of the buckets (key, used, node) that hold more than one root."""
+    own = buckets.withColumn("root", F.col("node")) if roots is None else buckets.join(roots, "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
+    sizes = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    return own.join(sizes.filter("low != high").select("key", "n"), "key").select("key", "used", "node", "root", "n")
+
+
+def _leader_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """(a, b): the nodes of every bucket with the node that leads it this turn, if their roots differ."""
+    first = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("order"), "node", "root")).alias("first")
+    leaders = members.groupBy("key").agg(first).select("key", F.col("first.node").alias("a"), F.col("first.root").alias("lead"))
+    return members.join(leaders, "key").filter("root != lead").select("a", F.col("node").alias("b")).distinct()
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """(left, right) numbers of labelled shingles that each two texts share."""
+    def rows(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        row = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+        shingles = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+        return row, _labelled(shingles, row)
+
+    (row_a, a), (row_b, b) = rows(left), rows(right)
+    common = np.intersect1d(a, b)
+    out = np.zeros((len(left), len(right)))
+    keep_a, keep_b = np.isin(a, common), np.isin(b, common)
+    row_a, a, row_b, b = row_a[keep_a], np.searchsorted(common, a[keep_a]), row_b[keep_b], np.searchsorted(common, b[keep_b])
+    for first in range(0, len(common), COLUMNS):
+        sides = []
+        for row, column, size in ((row_a, a, len(left)), (row_b, b, len(right))):
+            side = np.zeros((size, COLUMNS), dtype=np.float32)
+            here = (column >= first) & (column < first + COLUMNS)
+            side[row[here], column[here] - first] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
 
 
-def _open_pairs(members: DataFrame) -> list[DataFrame]:
-    """Pairs that are left to compare in buckets (key, used, node, root, sketches) with more than one root."""
-    found = []
-    for depth in range(DEPTH + 1):
-        sizes = members.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-        sizes = sizes.filter("low != high").select("key", "n")
-        members = stage(members.join(sizes, "key"), "members")
-        if depth == DEPTH:
-            found.append(_cross_pairs(members))
-            break
-        found.append(_cross_pairs(members.filter(F.col("n") <= SMALL_BUCKET)))
-        large = members.filter(F.col("n") > SMALL_BUCKET)
-        if large.isEmpty():
-            break
-        more = large.withColumn("used", F.explode(F.transform(
-            F.filter(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), lambda x: ~F.array_contains("used", x)),
-            lambda x: F.array_sort(F.concat("used", F.array(x))))))
-        members = more.withColumn("key", F.xxhash64("used", F.transform("used", lambda x: F.get("sketches", x)))).select(
-            "key", "used", "node", "root", "sketches").distinct()
+def _block_links(left: list[dict], right: list[dict], band: int, agreements: int, least: float) -> list[tuple[bytes, bytes]]:
+    """Links between the nodes of two blocks, one for every two groups that have any.
+
+    Pairs that agree on an earlier sketch meet in that one's bucket.
+    """
+    agree = np.array([x["sketches"] for x in left])[:, None, :] == np.array([x["sketches"] for x in right])[None, :, :]
+    wanted = (agree.sum(axis=2) >= agreements) & (agree.argmax(axis=2) == band) & agree.any(axis=2)
+    groups = {root: i for i, root in enumerate({x["root"] for x in (*left, *right)})}
+    group_a, group_b = (np.array([groups[x["root"]] for x in side]) for side in (left, right))
+    wanted &= group_a[:, None] != group_b[None, :]
+    if not wanted.any():
+        return []
+    runs_a, runs_b = ([_shingles(x["tokens"]) for x in side] for side in (left, right))
+    total = np.array([len(x) for x in runs_a])[:, None] + np.array([len(x) for x in runs_b])[None, :]
+    shared = _shared(runs_a, runs_b)
+    found, parent = [], list(range(len(groups)))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in zip(*np.nonzero(wanted & (shared >= np.ceil(total * least / (1 + least) - 1e-9)))):
+        one, two = top(group_a[i]), top(group_b[j])
+        if one != two and _alike(runs_a[i], runs_b[j], least):
+            parent[one] = two
+            found.append((left[i]["node"], right[j]["node"]))
     return found
 
 
+def _open_links(members: DataFrame, reps: DataFrame, tokens: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between nodes of different groups in buckets (key, used, node, root, n).
+
+    Nodes of a bucket's largest group form blocks of their own, numbered below 0, which need not meet each other.
+    """
+    size = BLOCK
+    groups = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    largest = groups.groupBy("key").agg(F.max(F.struct("size", "root")).alias("most"))
+    known = members.join(largest, "key")
+    main = F.ceil(F.col("most.size") / size)
+    rest = F.ceil((F.col("n") - F.col("most.size")) / size)
+    block = F.when(F.col("root") == F.col("most.root"), -1 - F.pmod(F.xxhash64("node"), main)).otherwise(
+        F.pmod(F.xxhash64("node"), rest))
+    placed = known.select("key", "used", "node", "root", "n", main.alias("main"), rest.alias("rest"), block.alias("block"))
+    nodes = placed.join(reps.select("node", "sketches"), "node").join(tokens, "node")
+    packed = stage(nodes.groupBy("key", "used", "n", "main", "rest", "block").agg(
+        F.collect_list(F.struct("node", "root", "sketches", "tokens")).alias("nodes")), "blocks")
+    meets = F.concat(F.sequence(F.col("block"), F.col("rest") - 1), F.sequence(-F.col("main"), F.lit(-1).cast("bigint")))
+    left = packed.filter("block >= 0").select("key", "used", "n", F.col("nodes").alias("left"), F.explode(meets).alias("block"))
+    both = left.join(packed.select("key", "block", F.col("nodes").alias("right")), ["key", "block"]).select(
+        "used", "n", "left", "right")
+    node = T.StructField("a", T.BinaryType())
+
+    def search(batch: pa.RecordBatch) -> dict:
+        found = []
+        for at in range(batch.num_rows):
+            used, n, left, right = (batch.column(i)[at].as_py() for i in range(4))
+            found += _block_links(left, right, used, 1 if n <= size else 2, least)
+        return {"a": _binary([x for x, _ in found]), "b": _binary([x for _, x in found])}
+
+    return over_batches(both, search, T.StructType([node, T.StructField("b", T.BinaryType())]))
+
+
+def _linked(buckets: DataFrame, reps: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of all nodes that have a link."""
+    spark = buckets.sparkSession
+    links = compared = roots = None
+    members = stage(_open_buckets(buckets, None), "members")
+    for turn in range(LEADERS):
+        pairs = _leader_pairs(members, turn)
+        pairs = stage(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        found = stage(_verified(pairs, tokens, similarity), "links")
+        links = found if links is None else links.union(found)
+        compared = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        roots = components(links)
+        members = stage(_open_buckets(buckets, roots), "members")
+    with arrow_rows(spark, BLOCK_BATCH):
+        found = stage(_open_links(members, reps, tokens, similarity), "links")
+    return roots if found.isEmpty() else components(links.union(found))
+
+
 def _rep(*columns) -> F.Column:
     """The row with the least id, ids that are there first."""
     return F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_key", *columns))
@@ -286,27 +386,14 @@ def near_classes(documents: DataFrame, key: str = "doc_id", text: str = "text",
         "node", "rep.id", "rep.row_key", "rep.sketches"), "nodes")
 
     buckets = reps.select("node", F.posexplode("sketches").alias("used", "key"))
-    leaders = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = stage(buckets.join(leaders.drop("n"), "key"), "buckets")
+    often = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    shared = stage(buckets.join(often, "key"), "buckets")
     wanted = shared.select("node").distinct().join(reps.select("node", "id", "row_key"), "node")
     texts = source.withColumnRenamed("id", "own").join(wanted, "row_key").filter(F.col("own").eqNullSafe(F.col("id")))
     token_schema = T.StructType([reps.schema["node"], T.StructField("tokens", T.BinaryType())])
     tokens = stage(over_batches(texts.select("node", "text"), lambda batch: {
         "node": batch.column(0), "tokens": _tokens(batch.column(1))}, token_schema).dropDuplicates(["node"]), "tokens")
-
-    first = shared.filter("leader != node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    first = stage(first, "pairs")
-    links = stage(_verified(first, tokens, similarity), "links")
-    roots = components(links)
-
-    members = shared.join(roots, "node", "left").join(reps.select("node", "sketches"), "node").select(
-        "key", F.array("used").alias("used"), "node", F.coalesce("root", "node").alias("root"), "sketches")
-    pairs = None
-    for part in _open_pairs(members):
-        pairs = part if pairs is None else pairs.union(part)
-    more = stage(_verified(pairs.distinct().join(first, ["a", "b"], "left_anti"), tokens, similarity), "links")
-    if not more.isEmpty():
-        roots = components(links.union(more))
+    roots = _linked(shared, reps, tokens, similarity)
 
     grouped = reps.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = grouped.groupBy("root").agg(_rep().alias("rep")).select(
