@@ -164,5 +164,6 @@ def op7_lm_scoring(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, tokens, target_loss, background_loss, score for every row; the target is documents labelled as of good quality."""
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("good", F.lit(True))
     texts = documents.select("doc_id", "text")
-    models = train(texts.join(good, "doc_id", "left"), F.col("good"))
+    # labels grow with the corpus, so texts and labels are always merged, never broadcast
+    models = train(texts.join(good.hint("merge"), "doc_id", "left"), F.col("good"))
     return score(texts, models).drop("text")
