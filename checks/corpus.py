@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import lexical
 from newsflow.functions.encoders import dense_vector, hashing_encoder
+from newsflow.functions.ids import point_id
 from newsflow.operators.ingest import ingest_batch
 from newsflow.operators.retrieval import encode_queries
 from newsflow.plans.etl import run_etl
@@ -31,11 +32,27 @@ ARTICLES = """
     FROM {documents}
 """
 
-# Pages with the author and date markup of several sites, one text for both engines.
+# Links that are easily misread, one text for both engines: unquoted, with references, hidden, with blanks in front.
+LINK_PAGES = """
+    SELECT page_id, url, replace(html, '<footer>',
+        CASE page_id % 6 WHEN 0 THEN '<a href=/unquoted.html>u</a>'
+                         WHEN 1 THEN '<a href="/x?a=1&amp;b=2&#38;c=&eacute;">r</a>'
+                         WHEN 2 THEN '<!-- <a href="/hidden">h</a> --><script>s = "<a href=''/written''>"</script>'
+                         WHEN 3 THEN '<a class="k" href=" /lead.html">b</a>'
+                         WHEN 4 THEN '<A CLASS=k HREF=''/single''>s</A><a name="none">n</a>'
+                         ELSE '' END || '<footer>') AS html
+    FROM {pages}
+"""
+
+# Pages with the author and date markup of several sites, one text for both engines. What a reader finds in each is known by
+# page_id: strays outside of their ancestor, text behind a child, unquoted attributes, references, nested blocks, footers.
 MARKED_PAGES = """
-    SELECT page_id, url, replace(replace(html, '</head>',
+    SELECT page_id,
+      CASE page_id % 4 WHEN 3 THEN 'https://news.example.com/2023/11/05/n' || CAST(page_id AS STRING) || '.html' ELSE url END AS url,
+      replace(replace(replace(html, '<title>', '<title>' ||
+        CASE page_id % 3 WHEN 2 THEN 'B&aacute;o &#7843;nh&hellip; &amp;amp; ' ELSE '' END), '</head>',
         CASE page_id % 5 WHEN 0 THEN '<meta name="author" content="Dân trí">'
-                         WHEN 1 THEN '<meta content="Writer ' || CAST(page_id % 41 AS STRING) || '" name="author">'
+                         WHEN 1 THEN '<meta content="Writer ' || CAST(page_id % 41 AS STRING) || '" name=author>'
                          ELSE '' END
         || CASE page_id % 6 WHEN 0 THEN '<meta property="article:published_time" content="2026-04-06T19:33:59+07:00">'
                             WHEN 1 THEN '<meta content="31/02/2024, 10:00" name="pubdate">'
@@ -44,18 +61,27 @@ MARKED_PAGES = """
                             WHEN 1 THEN '<script>x = "<p class=tac-gia rel=''author''>Hidden Two</p></article>"</script>'
                             ELSE '' END
         || '</head>'), '</article>',
-        CASE page_id % 8 WHEN 0 THEN '<div class="detail-author big"> - Lan Anh ' || CAST(page_id % 13 AS STRING) || ' • 12/3</div>'
-                         WHEN 1 THEN '<p><i>Theo: Reuters</i></p>'
-                         WHEN 2 THEN '<p style="text-align: right"><strong>Minh Hà</strong></p>'
-                         WHEN 3 THEN '<a href="/tac-gia/b" title="Tú Anh">Tú Anh &amp; Bình</a>'
-                         WHEN 4 THEN '<span itemprop="author"><b itemprop="name">Quang 0912 345 678</b></span>'
-                         WHEN 5 THEN '<p class="t-a-r"><b>Mayer</b></p><p><b>Thu Trang</b></p>'
-                         ELSE '' END
+        CASE page_id % 16 WHEN 0 THEN '<div class="detail-author big"> - Lan Anh ' || CAST(page_id % 13 AS STRING) || ' • 12/3</div>'
+                          WHEN 1 THEN '<p><i>Theo: Reuters</i></p>'
+                          WHEN 2 THEN '<p style="text-align: right"><strong>Minh Hà</strong></p>'
+                          WHEN 3 THEN '<div><a href="/tac-gia/b" title="Tú Anh">Tú Anh &amp; Bình</a></div>'
+                          WHEN 4 THEN '<div><span itemprop="author"><b itemprop="name">Quang 0912 345 678</b></span></div>'
+                          WHEN 5 THEN '<p class="t-a-r"><b>Mayer</b></p><p><b>Thu Trang</b></p>'
+                          WHEN 6 THEN '<div class="author-info"></div><div class="menu"><span class="name">Menu Item</span></div>'
+                          WHEN 7 THEN '<div class="author"><b>By</b> Lan Anh</div>'
+                          WHEN 8 THEN '<div><span class=author>Hà My</span></div>'
+                          WHEN 9 THEN '<p class="author">B&#7843;o Ng&#x1ECD;c &ndash; L&ecirc;</p>'
+                          WHEN 10 THEN '<p class="t-a-r">x</p><p><strong>Outside Bold</strong></p>'
+                          WHEN 11 THEN '<div class="right"><p>a </p><div><b>Lan Anh</b></div></div>'
+                          ELSE '' END
         || CASE page_id % 7 WHEN 0 THEN '<div class="detail-time"><div>Thứ hai, 6/4/2026, 17:02</div></div>'
-                            WHEN 1 THEN '<time datetime="14:29 06/02/2024">cũ</time>'
-                            WHEN 2 THEN '<span class="date">6-4-2026</span>'
+                            WHEN 1 THEN '<div><time datetime="14:29 06/02/2024">cũ</time></div>'
+                            WHEN 2 THEN '<div><span class="date">6-4-2026</span></div>'
+                            WHEN 3 THEN '<div class="bread-crumb__detail-time"></div><h2>1/1/2001</h2>'
+                            WHEN 4 THEN '<div><i class=publish-date><b>Ngày</b> 7/4/2026 08:15</i></div>'
                             ELSE '' END
-        || '</article>') AS html
+        || '</article>' ||
+        CASE page_id % 16 WHEN 12 THEN '<div class="foot"><p><b>Contact Us</b></p></div>' ELSE '' END) AS html
     FROM {pages}
 """
 
@@ -95,8 +121,12 @@ def marked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(MARKED_PAGES, pages=table(spark, sf_dir, "pages"))
 
 
+def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(LINK_PAGES, pages=table(spark, sf_dir, "pages"))
+
+
 def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(LINKED_PAGES, pages=table(spark, sf_dir, "pages"))
+    return spark.sql(LINKED_PAGES, pages=link_pages(spark, sf_dir))
 
 
 def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,10 +195,29 @@ def once(spark: SparkSession, sf_dir: str, what: str, build):
     return _built[key]
 
 
+def new_warehouse(spark: SparkSession) -> Warehouse:
+    location = new_folder(spark, "warehouse")
+    return Warehouse(spark, location.rsplit("/", 1)[1].replace("-", "_"), location)
+
+
+def article_points(spark: SparkSession, sf_dir: str):
+    """Points of all articles for a width and a title, with plain vectors."""
+    named = articles(spark, sf_dir)
+
+    def rows(dim: int, title: str) -> DataFrame:
+        return named.select(
+            point_id(F.col("doc_id"), F.lit(0)).alias("id"), F.array_repeat(F.lit(1.0).cast("float"), dim).alias("dense"),
+            F.create_map(F.lit(1), F.lit(1.0).cast("float")).alias("sparse"),
+            F.struct(F.col("doc_id").alias("article_id"), F.lit(0).alias("chunk_index"), F.lit(title).alias("title"), "url",
+                     F.lit("").alias("content"), F.col("author").alias("authors"),
+                     F.lit(0).cast("bigint").alias("publish_timestamp")).alias("payload"))
+
+    return rows
+
+
 def build_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """A new warehouse, ingested and loaded from the tables."""
-    location = new_folder(spark, "warehouse")
-    warehouse = Warehouse(spark, location.rsplit("/", 1)[1].replace("-", "_"), location)
+    warehouse = new_warehouse(spark)
     warehouse.init_metadata()
     with staging(spark):
         warehouse.append_metadata(metadata(spark, sf_dir))

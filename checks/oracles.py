@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from checks.corpus import ARTICLES, DATE_TEXTS, DIM, LINKED_PAGES, MARKED_PAGES
-from newsflow.functions import markup, people
+from checks.corpus import ARTICLES, DATE_TEXTS, DIM, LINK_PAGES, LINKED_PAGES, MARKED_PAGES
+from newsflow.functions import people
 from newsflow.functions.dates import DATE_SHAPES
 from newsflow.functions.ids import DNS_NAMESPACE
 from newsflow.functions.text import CHUNK_LEAD, JUNK_PATTERNS, SPACE_CHARS, SPACE_CLASS
@@ -39,13 +39,7 @@ def with_(*parts: str) -> str:
 
 
 ART = f"articles AS ({ARTICLES.format(documents='documents')})"
-def visible(name: str, source: str) -> str:
-    return f"{name} AS (SELECT page_id, url, regexp_replace(html, {text(markup.HIDDEN)}, ' ', 'g') AS html FROM {source})"
-
-
-MARKED = visible("marked", f"({MARKED_PAGES.format(pages='pages')})")
-SEEN = visible("seen", "pages")
-LINKED = f"linked AS ({LINKED_PAGES.format(pages='pages')})"
+LINKED = f"linked AS ({LINKED_PAGES.format(pages=f'({LINK_PAGES.format(pages="pages")})')})"
 LABELLED = "labelled AS (SELECT a.* FROM articles a WHERE doc_id IN (SELECT doc_id FROM labels))"
 
 # Sources
@@ -55,9 +49,11 @@ ORACLES["read_pages"] = "SELECT page_id, url, md5(html) AS html FROM pages"
 ORACLES["read_topic"] = with_(ART) + """
 SELECT url, source, author, publish_date, md5(title) AS title, md5(content) AS content FROM articles"""
 ORACLES["peek_topic"] = """
-SELECT seq, 'skipped' AS status, title FROM (
-  SELECT -item_id * 4 - 3 AS seq, text AS title FROM benchmark
-  UNION ALL SELECT -item_id * 4 - 4, text FROM benchmark) ORDER BY seq LIMIT 5"""
+SELECT seq, status, title FROM (
+  SELECT -item_id * 4 - 1 AS seq, 'bad' AS status, 'Unknown Title' AS title FROM benchmark
+  UNION ALL SELECT -item_id * 4 - 2, 'bad', 'Unknown Title' FROM benchmark
+  UNION ALL SELECT -item_id * 4 - 3, 'skipped', text FROM benchmark
+  UNION ALL SELECT -item_id * 4 - 4, 'skipped', text FROM benchmark) ORDER BY seq LIMIT 5"""
 PAIRS = """pairs AS (
   SELECT u.conv_id, u.turn, u.text AS question, a.text AS ground_truth
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
@@ -84,12 +80,17 @@ UNION ALL SELECT id || '-gone', 'old', url FROM named"""
 
 # Links
 
+# The given pages have plain links only; what was put in front of the footer is known by page_id.
 RAW_LINKS = r"""raw AS (
   SELECT page_id, url, generate_subscripts(hrefs, 1) - 1 AS position, unnest(hrefs) AS href FROM (
-    SELECT page_id, url, regexp_extract_all(html, '<a\b[^>]*?href="([^"]*)"', 1) AS hrefs FROM {pages}))"""
+    SELECT page_id, url, list_concat(regexp_extract_all(html, '<a href="([^"]*)"', 1), CASE page_id % 6
+      WHEN 0 THEN ['/unquoted.html'] WHEN 1 THEN ['/x?a=1&b=2&c=é'] WHEN 3 THEN [' /lead.html'] WHEN 4 THEN ['/single']
+      ELSE [] END) AS hrefs FROM {pages}))"""
+PLAIN_LINKED = """plain_linked AS (
+  SELECT page_id, 'https://news.example.com/' || split_part(regexp_extract(html, '<title>([^<]*)', 1), ' ', 1) AS url, html FROM pages)"""
 KINDS = r"""follow AS (SELECT * FROM raw WHERE NOT regexp_matches(href, '^(mailto:|tel:|javascript:|#)')),
 resolved AS (
-  SELECT *, regexp_extract(url, '^[a-z]+://[^/?#]*') || href AS dst_url,
+  SELECT *, regexp_extract(url, '^[a-z]+://[^/?#]*') || ltrim(href) AS dst_url,
          regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host FROM follow),
 kinds AS (
   SELECT *, CASE WHEN regexp_matches(dst_url, '\.html|\.htm|\.amp') THEN 'article'
@@ -102,7 +103,7 @@ ORACLES["lnk_2"] = with_(LINKS, KINDS) + f"SELECT {POSITION} FROM follow"
 ORACLES["lnk_3"] = with_(LINKS, KINDS) + f"SELECT {POSITION}, dst_url FROM resolved"
 ORACLES["lnk_4"] = with_(LINKS, KINDS) + f"SELECT {POSITION}, dst_url FROM kinds"
 ORACLES["extract_links"] = with_(LINKS, KINDS) + f"SELECT {POSITION}, dst_url, kind FROM kinds WHERE kind IS NOT NULL"
-ORACLES["crawl_frontier"] = with_(LINKED, RAW_LINKS.format(pages="linked"), KINDS, """
+ORACLES["crawl_frontier"] = with_(LINKED, PLAIN_LINKED, RAW_LINKS.format(pages="plain_linked"), KINDS, """
 edges AS (SELECT DISTINCT url AS src, dst_url AS dst, kind FROM kinds WHERE kind IS NOT NULL),
 walk AS (
   SELECT min(url) AS url, 0 AS depth, 'seed' AS kind FROM linked
@@ -110,38 +111,52 @@ walk AS (
   WHERE w.depth < 5 AND w.kind <> 'article')""") + "SELECT url, min(depth) AS depth FROM walk GROUP BY url"
 ORACLES["lnk_7"] = "SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS domain FROM pages"
 
-# Articles from pages
-
-
-def decode(x: str) -> str:
-    for entity, char in markup.ENTITIES:
-        x = f"replace({x}, {text(entity)}, {text(char)})"
-    return x
-
-
-def plain(x: str) -> str:
-    return strip(collapse(decode(f"regexp_replace({x}, '<[^>]*>', ' ', 'g')")))
-
-
-def bare(x: str) -> str:
-    return strip(collapse(f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"))
-
-
-REGION = (f"CASE WHEN regexp_extract(html, {text(markup.ARTICLE)}, 1) <> '' THEN regexp_extract(html, {text(markup.ARTICLE)}, 1) "
-          f"WHEN regexp_extract(html, {text(markup.BODY)}, 1) <> '' THEN regexp_extract(html, {text(markup.BODY)}, 1) ELSE html END")
-
-
-def texts(pages: str) -> str:
-    return f"""texts AS (
-  SELECT page_id, url, html, {plain(f"regexp_extract(html, {text(markup.TITLE)}, 1)")} AS title,
-    array_to_string(list_filter(list_transform(regexp_split_to_array(
-      {REGION}, {text(markup.BLOCK)}),
-      lambda x: {plain('x')}), lambda x: x <> ''), chr(10) || chr(10)) AS body
-  FROM {pages})"""
-
-
-ORACLES["ext_1"] = with_(SEEN, texts("seen")) + "SELECT page_id, title, md5(body) AS text FROM texts"
-ORACLES["ext_2"] = with_(SEEN, texts("seen")) + """
+# Articles from pages: the given pages hold h1, p, br and b in their article, without attributes; what was added is known by page_id.
+
+AMP = "replace(replace({}, '&quot;', '\"'), '&amp;', '&')".format
+PLAIN_TITLE = strip(collapse(AMP("split_part(split_part(html, '<title>', 2), '</title>', 1)")))
+INNER = "split_part(split_part(html, '<article>', 2), '</article>', 1)"
+NUMBER = "CAST(page_id % 13 AS VARCHAR)"
+# per page_id % 16: paragraphs, and closing blocks (text, bold or right) that were added; the author the rules find
+ADDED = {
+    0: (f"['- Lan Anh ' || {NUMBER} || ' • 12/3']", f"[('- Lan Anh ' || {NUMBER} || ' • 12/3', false)]", f"'Lan Anh ' || {NUMBER}"),
+    1: ("['Theo: Reuters']", "[('Theo: Reuters', false)]", None),
+    2: ("['Minh Hà']", "[('Minh Hà', true)]", "'Minh Hà'"),
+    3: ("['Tú Anh & Bình']", None, "'Tú Anh & Bình'"),
+    4: ("['Quang 0912 345 678']", None, "'Quang'"),
+    5: ("['Mayer', 'Thu Trang']", "[('Mayer', true), ('Thu Trang', true)]", None),
+    6: ("['Menu Item']", "[('', false)]", None),
+    7: ("['By Lan Anh']", "[('By Lan Anh', true)]", "'Lan Anh'"),
+    8: ("['Hà My']", None, "'Hà My'"),
+    9: ("['Bảo Ngọc – Lê']", "[('Bảo Ngọc – Lê', false)]", "'Bảo Ngọc – Lê'"),
+    10: ("['x', 'Outside Bold']", "[('x', true), ('Outside Bold', true)]", None),
+    11: ("['a', 'Lan Anh']", "[('a Lan Anh', true), ('a', false)]", None),
+}
+DATE_PARAGRAPHS = ("CASE page_id % 7 WHEN 0 THEN ['Thứ hai, 6/4/2026, 17:02'] WHEN 1 THEN ['cũ'] WHEN 2 THEN ['6-4-2026'] "
+                   "WHEN 3 THEN ['1/1/2001'] WHEN 4 THEN ['Ngày 7/4/2026 08:15'] ELSE [] END")
+
+
+def added(part: int, otherwise: str) -> str:
+    cases = " ".join(f"WHEN {k} THEN {v[part]}" for k, v in ADDED.items() if v[part])
+    return f"CASE page_id % 16 {cases} ELSE {otherwise} END"
+
+
+def cut(x: str, *tags: str) -> str:
+    for tag in tags:
+        x = f"replace({x}, '{tag}', chr(1))"
+    return f"string_split({x}, chr(1))"
+
+
+MARKED = f"marked AS ({MARKED_PAGES.format(pages='pages')})"
+TEXTS = f"""texts AS (
+  SELECT page_id, (SELECT m.url FROM marked m WHERE m.page_id = p.page_id) AS url,
+    CASE page_id % 3 WHEN 2 THEN 'Báo ảnh… &amp; ' ELSE '' END || {PLAIN_TITLE} AS title,
+    array_to_string(list_concat(list_filter(list_transform({cut(INNER, '<h1>', '</h1>', '<p>', '</p>', '<br>')},
+      lambda x: {strip(collapse(AMP("replace(replace(x, '<b>', ' '), '</b>', ' ')")))}), lambda x: x <> ''),
+      list_concat({added(0, '[]')}, {DATE_PARAGRAPHS})), chr(10) || chr(10)) AS body
+  FROM pages p)"""
+ORACLES["ext_1"] = with_(MARKED, TEXTS) + "SELECT page_id, title, md5(body) AS text FROM texts"
+ORACLES["ext_2"] = with_(MARKED, TEXTS) + """
 SELECT page_id, CAST(length(body) AS INTEGER) AS n_chars FROM texts WHERE length(body) >= 100"""
 ORACLES["ext_3"] = with_(ART) + rf"""
 SELECT doc_id, {strip(r"array_to_string(regexp_split_to_array(author, ',|\s-\s'), ', ')")} AS author FROM articles"""
@@ -160,71 +175,46 @@ def valid(c: str) -> str:
 
 ORACLES["is_valid_author"] = with_(ART, f"""names AS (
   SELECT doc_id AS k, unnest([author, title, publish_date]) AS name FROM articles
-  UNION ALL SELECT -page_id - 1, {plain(f"regexp_extract(html, {text(markup.TITLE)}, 1)")} FROM pages)""") + f"""
+  UNION ALL SELECT -page_id - 1, {PLAIN_TITLE} FROM pages)""") + f"""
 SELECT k, md5(name) AS name, {valid('name')} AS valid FROM names"""
 
 
-def found(rule: markup.Rule) -> str:
-    if rule.every:
-        return (f"array_to_string(list_filter(list_transform(regexp_extract_all(html, {text(rule.pattern)}, 1), "
-                f"lambda x: {bare('x')}), lambda x: x <> ''), ' ')")
-    match = f"regexp_extract(html, {text(rule.pattern)}, 1)"
-    if rule.attribute:
-        return (f"regexp_extract({match}, {text(rule.attribute)}, 1) || "
-                f"regexp_extract({match}, {text(rule.attribute)}, 2)")
-    return match
-
-
-def rule_rows(name: str, rules, pages: str) -> str:
-    """(page_id, pos, raw) for every rule."""
-    listed = ", ".join(found(rule) for rule in rules)
-    return f"""{name} AS (SELECT page_id, generate_subscripts(c, 1) AS pos, {decode('unnest(c)')} AS raw FROM (
-  SELECT page_id, [{listed}] AS c FROM {pages}))"""
-
-
-HOUSE = "|".join(people.HOUSE_NAMES)
-BYLINES = rule_rows("declared", markup.META_AUTHOR_RULES[:1], "marked") + f""",
-bylines AS (SELECT page_id, {strip("array_to_string(list_filter(list_transform(string_split(raw, ','), "
-                                   f"lambda x: {strip('x')}), lambda x: x <> ''), ', ')")} AS byline FROM declared),
-parking AS (SELECT page_id, byline, byline <> '' AND (regexp_matches(lower(byline), {text(HOUSE)})
-            OR NOT {valid('byline')}) AS doubtful FROM bylines),
-parked AS (SELECT page_id, CASE WHEN doubtful THEN '' ELSE byline END AS author,
-           CASE WHEN doubtful THEN byline ELSE '' END AS parked FROM parking)"""
-ORACLES["ext_5"] = with_(MARKED, BYLINES) + "SELECT page_id, author, parked FROM parked"
-
-TIDY = (f"regexp_replace({strip('split_part(raw, ' + text('•') + ', 1)')}, {text('(?i)' + people.PHONE)}, '', 'g')")
-CASCADE = rule_rows("candidates", markup.AUTHOR_RULES, "marked") + f""",
-tidied AS (SELECT page_id, pos, {strip(f"regexp_replace({TIDY}, '^-|-$', '', 'g')")} AS name FROM candidates
-           WHERE {strip('raw')} NOT IN ('', 'Unknown')),
-cascade AS (SELECT page_id, arg_min(name, pos) AS author FROM tidied WHERE {valid('name')} GROUP BY page_id)"""
-ORACLES["ext_6"] = with_(MARKED, CASCADE) + "SELECT m.page_id, c.author FROM marked m LEFT JOIN cascade c USING (page_id)"
-
-TAIL = f"""blocks AS (SELECT page_id, list_filter(string_split(regexp_replace({REGION}, {text(markup.TAIL_BLOCK)},
-    chr(1) || '<\\1', 'g'), chr(1)), lambda x: regexp_matches(x, {text(markup.TAIL_NODE)})) AS nodes FROM marked),
-last_blocks AS (SELECT page_id, nodes[greatest(len(nodes) - 14, 1):] AS nodes FROM blocks),
-tail_rows AS (SELECT page_id, -generate_subscripts(nodes, 1) AS pos, unnest(nodes) AS node FROM last_blocks),
-tail_texts AS (SELECT page_id, pos, node, {strip(f"regexp_replace({plain('node')}, {text(markup.QUOTES)}, '', 'g')")} AS t FROM tail_rows),
-tail_named AS (SELECT *, {strip(f"regexp_extract(t, {text('(?i)' + people.SOURCE_PREFIX)}, 1)")} AS named FROM tail_texts
+PARKED = """parked AS (
+  SELECT page_id, CASE WHEN page_id % 5 = 1 THEN 'Writer ' || CAST(page_id % 41 AS VARCHAR) ELSE '' END AS author,
+         CASE WHEN page_id % 5 = 0 THEN 'Dân trí' ELSE '' END AS parked FROM pages)"""
+ORACLES["ext_5"] = with_(PARKED) + "SELECT page_id, author, parked FROM parked"
+CASCADE = f"cascade AS (SELECT page_id, {added(2, 'NULL')} AS author FROM pages)"
+ORACLES["ext_6"] = with_(CASCADE) + "SELECT page_id, author FROM cascade"
+
+TAIL = f"""blocks AS (
+  SELECT page_id, list_concat(list_transform(string_split({INNER}, '<p>')[2:], lambda x: row(
+    {strip(collapse(AMP("replace(replace(replace(replace(x, '<b>', ''), '</b>', ''), '</p>', ''), '<br>', '')")))}, contains(x, '<b>'))),
+    {added(1, '[]')}) AS nodes FROM pages),
+tail_rows AS (SELECT page_id, -generate_subscripts(nodes, 1) AS pos, unnest(nodes) AS node FROM (
+  SELECT page_id, nodes[greatest(len(nodes) - 14, 1):] AS nodes FROM blocks)),
+tail_texts AS (SELECT page_id, pos, translate(node[1], '"“”', '') AS t, node[2] AS marked FROM tail_rows),
+tail_named AS (SELECT *, {strip("regexp_extract(t, '(?i)(?:Nguồn|Theo|Source) *:? *(.+)', 1)")} AS named FROM tail_texts
                WHERE length(t) BETWEEN 2 AND 100),
 tail_found AS (SELECT page_id, pos, CASE WHEN {valid('named')} THEN named
-    WHEN (regexp_matches(node, {text(markup.TAIL_EMPHASIS)}) OR regexp_matches(node, {text(markup.TAIL_ALIGNED)}))
-         AND {valid('t')} THEN t END AS author FROM tail_named),
+    WHEN marked AND {valid('t')} THEN t END AS author FROM tail_named),
 tail AS (SELECT page_id, arg_min(author, pos) AS author FROM tail_found WHERE author IS NOT NULL GROUP BY page_id)"""
-ORACLES["ext_7"] = with_(MARKED, TAIL) + "SELECT m.page_id, t.author FROM marked m LEFT JOIN tail t USING (page_id)"
+ORACLES["ext_7"] = with_(TAIL) + "SELECT p.page_id, t.author FROM pages p LEFT JOIN tail t USING (page_id)"
 
-AUTHORS = ",\n".join([BYLINES, CASCADE, TAIL, rule_rows("meta_rows", markup.META_AUTHOR_RULES, "marked"), f"""
-meta_names AS (SELECT page_id, {strip('arg_min(raw, pos)')} AS name FROM meta_rows WHERE raw <> '' GROUP BY page_id),
+AUTHORS = ",\n".join([PARKED, CASCADE, TAIL, """
 authors AS (
-  SELECT m.page_id, coalesce(nullif(p.author, ''), c.author, t.author, nullif(p.parked, ''),
-         CASE WHEN {valid('n.name')} THEN n.name END, 'Unknown') AS author
-  FROM marked m JOIN parked p USING (page_id) LEFT JOIN cascade c USING (page_id)
-  LEFT JOIN tail t USING (page_id) LEFT JOIN meta_names n USING (page_id))"""])
-ORACLES["ext_8"] = with_(MARKED, AUTHORS) + "SELECT page_id, author FROM authors"
+  SELECT p.page_id, coalesce(nullif(p.author, ''), c.author, t.author, nullif(p.parked, ''), 'Unknown') AS author
+  FROM parked p JOIN cascade c USING (page_id) LEFT JOIN tail t USING (page_id))"""])
+ORACLES["ext_8"] = with_(AUTHORS) + "SELECT page_id, author FROM authors"
 
-DATES = rule_rows("date_rows", markup.DATE_RULES, "marked")
-ORACLES["ext_9"] = with_(MARKED, DATES) + f"""
-SELECT m.page_id, coalesce(string_agg(raw, '|' ORDER BY pos) FILTER (WHERE {strip('raw')} <> ''), '') AS candidates
-FROM marked m LEFT JOIN date_rows USING (page_id) GROUP BY m.page_id"""
+# What the date rules find, in their order.
+DATES = """date_rows AS (
+  SELECT page_id, unnest([1, 2, 3, 4, 5, 6, 7]) AS pos, unnest([
+    CASE WHEN page_id % 6 = 0 THEN '2026-04-06T19:33:59+07:00' END, CASE WHEN page_id % 7 = 1 THEN '14:29 06/02/2024' END,
+    CASE WHEN page_id % 7 = 1 THEN 'cũ' END, CASE WHEN page_id % 6 = 1 THEN '31/02/2024, 10:00' END,
+    CASE WHEN page_id % 7 = 4 THEN ' 7/4/2026 08:15' END, CASE WHEN page_id % 7 = 0 THEN 'Thứ hai, 6/4/2026, 17:02' END,
+    CASE WHEN page_id % 7 = 2 THEN '6-4-2026' END]) AS raw FROM pages)"""
+ORACLES["ext_9"] = with_(DATES) + """
+SELECT page_id, coalesce(string_agg(raw, '|' ORDER BY pos), '') AS candidates FROM date_rows GROUP BY page_id"""
 
 
 def moment(t: str) -> str:
@@ -246,16 +236,16 @@ ORACLES["parse_publish_date"] = with_(EVENT_DATES) + f"""
 SELECT event_id, strftime({moment('t')}, '%Y-%m-%d %H:%M:%S') AS moment FROM neat"""
 
 PAGE_DATES = DATES + f""",
-date_texts AS (SELECT page_id, pos, {strip(collapse('raw'))} AS t FROM date_rows),
+date_texts AS (SELECT page_id, pos, {strip(collapse('raw'))} AS t FROM date_rows WHERE raw IS NOT NULL),
 date_moments AS (SELECT page_id, pos, {moment('t')} AS ts FROM date_texts),
 dates AS (SELECT page_id, strftime(arg_min(ts, pos), '%Y-%m-%d %H:%M:%S') AS d FROM date_moments WHERE ts IS NOT NULL
-          GROUP BY page_id)"""
-ORACLES["ext_11"] = with_(MARKED, PAGE_DATES) + """
-SELECT m.page_id, coalesce(d, 'Unknown') AS publish_date FROM marked m LEFT JOIN dates USING (page_id)"""
-ORACLES["extract_articles"] = with_(MARKED, texts("marked"), AUTHORS, PAGE_DATES) + f"""
-SELECT url, title, md5({strip('body')}) AS content, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS source, author,
-       coalesce(d, 'Unknown') AS publish_date
-FROM texts JOIN authors USING (page_id) LEFT JOIN dates USING (page_id) WHERE length(body) >= 100"""
+          GROUP BY page_id),
+dated AS (SELECT page_id, coalesce(d, CASE WHEN page_id % 4 = 3 THEN '2023-11-05 00:00:00' END, 'Unknown') AS publish_date
+          FROM pages LEFT JOIN dates USING (page_id))"""
+ORACLES["ext_11"] = with_(PAGE_DATES) + "SELECT page_id, publish_date FROM dated"
+ORACLES["extract_articles"] = with_(MARKED, TEXTS, AUTHORS, PAGE_DATES) + f"""
+SELECT url, title, md5({strip('body')}) AS content, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS source, author, publish_date
+FROM texts JOIN authors USING (page_id) JOIN dated USING (page_id) WHERE length(body) >= 100"""
 
 # Ingest
 
@@ -278,7 +268,8 @@ ORACLES["ingest_batch"] = with_(ART, META) + f"SELECT {META_COLUMNS} FROM meta W
 ORACLES["ingest_articles"] = with_(ART, META) + f"SELECT {META_COLUMNS} FROM meta"
 ORACLES["ingest_counters"] = f"SELECT status, count(*) AS n FROM ({ORACLES['ing_1']}) GROUP BY status"
 ORACLES["article_count"] = "SELECT count(*) AS n_articles FROM documents"
-ORACLES["read_metadata"] = with_(ART, META) + "SELECT url_hash, title, url FROM meta"
+ORACLES["read_metadata"] = with_(ART, META) + "SELECT url_hash, title, url, md5(content) AS content FROM meta"
+ORACLES["reset_metadata"] = with_(ART, META) + "SELECT url_hash, title, url FROM meta WHERE doc_id IN (SELECT doc_id FROM labels)"
 
 # Warehouse
 
@@ -392,7 +383,13 @@ CHUNKED = f"""keyed AS (SELECT article_id AS id, content FROM loaded),
 {chunking('keyed')},
 parts AS (SELECT id AS article_id, chunk_index, {LEAD} AS content FROM chunks WHERE {LEAD} <> '')"""
 CHUNK_STAR = with_(ART, META, DEDUP, LOADED, CHUNKED)
-ORACLES["fact_chunks"] = CHUNK_STAR + "SELECT article_id, chunk_index, md5(content) AS content FROM parts"
+ORACLES["fact_chunks"] = CHUNK_STAR + """
+SELECT CAST(article_id * 16777216 + chunk_index AS BIGINT) AS chunk_id, article_id, chunk_index, md5(content) AS content FROM parts"""
+ORACLES["truncate_all"] = ORACLES["fact_articles"]
+ORACLES["init_warehouse"] = CHUNK_STAR + " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n FROM {rows}" for name, rows in (
+        ("dim_source", "src"), ("dim_time", "(SELECT 1 FROM tim UNION ALL SELECT 1)"), ("dim_content", "loaded"), ("dim_author", "aut"),
+        ("fact_articles", "facts"), ("fact_article_authors", "bridge"), ("fact_chunks", "parts")))
 
 # Vectors
 
@@ -440,14 +437,22 @@ FROM doc_tokens GROUP BY doc_id, id"""
 ORACLES["vec_8"] = VIEW_STAR + f"""
 SELECT {point_id('article_id', 'chunk_index')} AS id, article_id, chunk_index, title, url, md5(content) AS content, authors,
        publish_timestamp FROM viewed"""
+ORACLES["init_points"] = VIEW_STAR + f"""
+SELECT {point_id('article_id', 'chunk_index')} AS id, CAST({DIM} AS INTEGER) AS dim FROM viewed"""
+NAMED_POINTS = with_(f"named AS (SELECT doc_id, {point_id('doc_id', '0')} AS id FROM documents)")
+ORACLES["drop_points"] = NAMED_POINTS + "SELECT id, CAST(3 AS INTEGER) AS dim, 'new' AS title FROM named"
+ORACLES["upsert_table"] = NAMED_POINTS + """
+SELECT id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'new' ELSE 'old' END AS title FROM named
+UNION ALL SELECT id || '-more', 'new' FROM named WHERE doc_id IN (SELECT doc_id FROM labels)"""
 ORACLES["vectorize"] = with_(ART, META, DEDUP, LOADED, CHUNKED, VIEWED,
                              f"named AS (SELECT {point_id('article_id', 'chunk_index')} AS pid, content FROM viewed)",
                              tokens("point_tokens", "named", "pid", "content"),
                              cells("point_cells", "point_tokens", "pid")) + f"""
 SELECT pid AS id, CAST({DIM} AS INTEGER) AS dim, CAST(coalesce(t.n, 0) AS INTEGER) AS tokens,
-       round(coalesce(c.length, 0), 4) AS length
+       round(coalesce(c.length, 0), 4) AS length, round(coalesce(c.checksum, 0), 3) + 0.0 AS checksum
 FROM named LEFT JOIN (SELECT pid, count(DISTINCT id) AS n FROM point_tokens GROUP BY pid) t USING (pid)
-LEFT JOIN (SELECT pid, sqrt(sum(CAST(value AS DOUBLE) * value)) AS length FROM point_cells GROUP BY pid) c USING (pid)"""
+LEFT JOIN (SELECT pid, sqrt(sum(CAST(value AS DOUBLE) * value)) AS length, sum(CAST(value AS DOUBLE) * (cell + 1)) AS checksum
+           FROM point_cells GROUP BY pid) c USING (pid)"""
 
 # Retrieval
 
@@ -477,22 +482,23 @@ def ranked(source: str, k: int = retrieval.TOP_K) -> str:
   FROM {source} QUALIFY rank <= {k}"""
 
 
+SHOWN = "SELECT query_id, id, round(score, 6) + 0.0 AS score, rank FROM {}"
 ORACLES["dense_topk"] = with_(CENTROIDS, f"""scored AS (
-  SELECT query_id, vec_id AS id, round({list_cosine('vector', 'CAST(embedding AS DOUBLE[])')}, 6) AS score
-  FROM means CROSS JOIN embeddings)""") + ranked("scored")
+  SELECT query_id, vec_id AS id, round({list_cosine('vector', 'CAST(embedding AS DOUBLE[])')}, 12) AS score
+  FROM means CROSS JOIN embeddings), best AS ({ranked('scored')})""") + SHOWN.format("best")
 SEARCH = ",\n".join([
     ART, ASKED, DOC_TOKENS, cells("doc_cells", "doc_tokens", "doc_id"),
     tokens("asked_tokens", "asked", "query_id", "text"), cells("asked_cells", "asked_tokens", "query_id"), f"""
 doc_weights AS (SELECT doc_id, id, max(1 + ln(n)) AS w FROM doc_tokens GROUP BY doc_id, id),
 asked_weights AS (SELECT query_id, id, max(1 + ln(n)) AS w FROM asked_tokens GROUP BY query_id, id),
-sparse_scores AS (SELECT query_id, doc_id AS id, round(sum(a.w * d.w), 6) AS score
+sparse_scores AS (SELECT query_id, doc_id AS id, round(sum(a.w * d.w), 12) AS score
                   FROM asked_weights a JOIN doc_weights d ON a.id = d.id GROUP BY query_id, doc_id),
 sparse_top AS ({ranked('sparse_scores')}),
 doc_norms AS (SELECT doc_id, sqrt(sum(CAST(value AS DOUBLE) * value)) AS len FROM doc_cells GROUP BY doc_id),
 asked_norms AS (SELECT query_id, sqrt(sum(CAST(value AS DOUBLE) * value)) AS len FROM asked_cells GROUP BY query_id),
 dots AS (SELECT query_id, doc_id, sum(CAST(a.value AS DOUBLE) * CAST(d.value AS DOUBLE)) AS dot
          FROM asked_cells a JOIN doc_cells d ON a.cell = d.cell GROUP BY query_id, doc_id),
-dense_scores AS (SELECT a.query_id, d.doc_id AS id, round(coalesce(dot / (an.len * dn.len), 0), 6) + 0.0 AS score
+dense_scores AS (SELECT a.query_id, d.doc_id AS id, round(coalesce(dot / (an.len * dn.len), 0), 12) + 0.0 AS score
   FROM asked a CROSS JOIN articles d LEFT JOIN dots s ON s.query_id = a.query_id AND s.doc_id = d.doc_id
   LEFT JOIN asked_norms an ON an.query_id = a.query_id LEFT JOIN doc_norms dn ON dn.doc_id = d.doc_id),
 dense_top AS ({ranked('dense_scores')}),
@@ -502,11 +508,11 @@ sparse_unit AS (SELECT query_id, id, CASE WHEN max(score) OVER w = min(score) OV
 dense_unit AS (SELECT query_id, id, CASE WHEN max(score) OVER w = min(score) OVER w THEN score
   ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS d FROM dense_top
   WINDOW w AS (PARTITION BY query_id)),
-fused AS (SELECT query_id, id, round(coalesce(s, 0.0) * 0.5 + coalesce(d, 0.0) * 0.5, 6) AS score
+fused AS (SELECT query_id, id, round(coalesce(s, 0.0) * 0.5 + coalesce(d, 0.0) * 0.5, 12) AS score
           FROM sparse_unit FULL JOIN dense_unit USING (query_id, id)),
 hybrid AS ({ranked('fused')})"""])
-ORACLES["sparse_topk"] = with_(SEARCH) + "SELECT query_id, id, score, rank FROM sparse_top"
-ORACLES["hybrid_topk"] = with_(SEARCH) + "SELECT query_id, id, score, rank FROM hybrid"
+ORACLES["sparse_topk"] = with_(SEARCH) + SHOWN.format("sparse_top")
+ORACLES["hybrid_topk"] = with_(SEARCH) + SHOWN.format("hybrid")
 ORACLES["ret_5"] = with_(SEARCH) + f"SELECT query_id, id, rank FROM hybrid WHERE rank <= {retrieval.RERANK_POOL}"
 
 
@@ -516,7 +522,7 @@ pairs AS (SELECT query_id, id, score AS retrieval_score, rank AS retrieval_rank
 shares AS (SELECT p.query_id, p.id, count(t.token) / count(*) AS share FROM pairs p
   JOIN asked_words w ON w.query_id = p.query_id LEFT JOIN doc_tokens t ON t.doc_id = p.id AND t.token = w.token
   GROUP BY p.query_id, p.id),
-rescored AS (SELECT p.*, round(share, 6) AS score FROM pairs p JOIN shares USING (query_id, id)),
+rescored AS (SELECT p.*, share AS score FROM pairs p JOIN shares USING (query_id, id)),
 reranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, retrieval_rank, id) AS INTEGER) AS rank
              FROM rescored),
 hits AS (SELECT r.query_id, r.rank, CAST(r.id AS VARCHAR) AS id, coalesce(nullif({title}, ''), 'No Title') AS title,
@@ -526,7 +532,8 @@ hits AS (SELECT r.query_id, r.rank, CAST(r.id AS VARCHAR) AS id, coalesce(nullif
 
 RERANKED = overlap_hits("CASE WHEN a.doc_id % 3 <> 0 THEN a.title END", "CASE WHEN a.doc_id % 4 <> 0 THEN a.url END")
 HITS = with_(SEARCH, RERANKED)
-ORACLES["rerank"] = HITS + "SELECT query_id, id, score, rank, retrieval_score FROM reranked"
+ORACLES["rerank"] = HITS + """
+SELECT query_id, id, round(score, 6) AS score, rank, round(retrieval_score, 6) + 0.0 AS retrieval_score FROM reranked"""
 ORACLES["ret_7"] = HITS + """
 SELECT query_id, rank, id, title, md5(content) AS content, url, score, 'author' AS fields, author FROM hits"""
 CONTEXTS = """contexts AS (SELECT query_id, string_agg('[' || rank || '] ' || title || ': ' || content || chr(10) || 'Source: ' || url,
@@ -588,6 +595,4 @@ SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, cou
 FROM loaded GROUP BY ALL ORDER BY year DESC, month DESC"""
 ORACLES["bad_dates"] = with_(ART, META) + """
 SELECT title, url FROM meta WHERE publish_date = 'Unknown' ORDER BY url_hash LIMIT 10"""
-ORACLES["live_metrics"] = with_(ART, META, DEDUP, LOADED, CHUNKED, COUNTS) + """
-SELECT 'articles' AS metric, articles AS n FROM counts UNION ALL SELECT 'chunks', chunks FROM counts
-UNION ALL SELECT 'unknown_dates', unknown_dates FROM counts"""
+ORACLES["live_metrics"] = ORACLES["warehouse_metrics"]

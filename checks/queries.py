@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +19,12 @@ from newsflow.plans import reports
 from newsflow.plans.etl import run_etl
 from newsflow.plans.search import retrieve
 from newsflow.plans.vectorize import warehouse_chunks
+from newsflow.schemas import WAREHOUSE_TABLES
 from newsflow.session import new_folder, stage, staging
 from newsflow.sources import files, topic
 from newsflow.sources.warehouse import METADATA, POINTS, Warehouse
 from newsflow.streaming.ingest import ingest_articles
-from newsflow.streaming.live import live_counts, live_metrics
+from newsflow.streaming.live import live_metrics
 
 QUERIES = {}
 
@@ -65,15 +69,85 @@ def read_topic(spark, sf):
 
 @query("peek_topic")
 def peek_topic(spark, sf):
-    path = new_folder(spark, "topic")
-    topic.write_topic(corpus.messages(spark, sf), path)
-    first = topic.peek_topic(topic.read_topic(spark, path))
+    first = topic.peek_topic(corpus.messages(spark, sf))
     return ingest.decode_messages(first).select("seq", "status", "title")
 
 
 @query("read_metadata")
 def read_metadata(spark, sf):
-    return corpus.shared_warehouse(spark, sf).read_metadata().select("url_hash", "title", "url")
+    kept = F.try_variant_get(F.parse_json("content"), "$.content", "string")
+    return corpus.shared_warehouse(spark, sf).read_metadata().select(
+        "url_hash", "title", "url", F.md5(kept).alias("content"))
+
+
+def _counts(warehouse: Warehouse, tables) -> DataFrame:
+    parts = [warehouse.table(t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n") for t in tables]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query("init_warehouse")
+def init_warehouse(spark, sf):
+    """Creating the tables again keeps what is in them."""
+    warehouse = corpus.build_warehouse(spark, sf)
+    warehouse.init_warehouse()
+    return _counts(warehouse, WAREHOUSE_TABLES)
+
+
+@query("truncate_all")
+def truncate_all(spark, sf):
+    """Loaded, emptied and loaded again: keys restart at 1."""
+    warehouse = corpus.build_warehouse(spark, sf)
+    warehouse.truncate_all()
+    warehouse.append_metadata(stage(corpus.metadata(spark, sf), "again"))
+    run_etl(warehouse)
+    return warehouse.table("fact_articles").drop("load_id")
+
+
+@query("reset_metadata")
+def reset_metadata(spark, sf):
+    """Filled, reset and filled with fewer articles: only those are left."""
+    warehouse = corpus.new_warehouse(spark)
+    rows = stage(corpus.metadata(spark, sf), "rows")
+    warehouse.init_metadata()
+    warehouse.append_metadata(rows)
+    warehouse.reset_metadata()
+    warehouse.append_metadata(rows.join(corpus.labelled_keys(spark, sf), "url_hash", "left_semi"))
+    return warehouse.table(METADATA).select("url_hash", "title", "url")
+
+
+@query("init_points")
+def init_points(spark, sf):
+    """The first width of a collection stays."""
+    warehouse = corpus.shared_points(spark, sf)
+    warehouse.init_points(corpus.DIM * 2)
+    return warehouse.table(POINTS).select("id", F.lit(warehouse.points_dim()).alias("dim"))
+
+
+@query("drop_points")
+def drop_points(spark, sf):
+    """Filled, dropped, created with another width and filled again."""
+    warehouse = corpus.new_warehouse(spark)
+    warehouse.init_points(2)
+    rows = corpus.article_points(spark, sf)
+    warehouse.append_points(rows(2, "old"))
+    warehouse.drop_points()
+    warehouse.init_points(3)
+    warehouse.append_points(rows(3, "new"))
+    return warehouse.table(POINTS).select("id", F.size("dense").alias("dim"), F.col("payload.title").alias("title"))
+
+
+@query("upsert_table")
+def upsert_table(spark, sf):
+    """A collection in which the points of labelled documents are replaced and a few are new."""
+    warehouse = corpus.new_warehouse(spark)
+    warehouse.init_points(2)
+    rows = corpus.article_points(spark, sf)
+    warehouse.append_points(rows(2, "old"))
+    changed = rows(2, "new").join(corpus.table(spark, sf, "labels").select(
+        F.col("doc_id").alias("article_id")), F.col("payload.article_id") == F.col("article_id"), "left_semi")
+    fresh = changed.withColumn("id", F.concat("id", F.lit("-more")))
+    warehouse.upsert_points(changed.unionByName(fresh))
+    return warehouse.table(POINTS).select("id", F.col("payload.title").alias("title"))
 
 
 @query("read_testset")
@@ -110,28 +184,28 @@ def _link_columns(df: DataFrame, *more: str) -> DataFrame:
 
 @query("lnk_1")
 def lnk_1(spark, sf):
-    return _link_columns(links.raw_links(corpus.table(spark, sf, "pages")))
+    return _link_columns(links.raw_links(corpus.link_pages(spark, sf)))
 
 
 @query("lnk_2")
 def lnk_2(spark, sf):
-    return _link_columns(links.followable_links(links.raw_links(corpus.table(spark, sf, "pages"))))
+    return _link_columns(links.followable_links(links.raw_links(corpus.link_pages(spark, sf))))
 
 
 @query("lnk_3")
 def lnk_3(spark, sf):
-    return _link_columns(links.resolved_links(links.raw_links(corpus.table(spark, sf, "pages"))), "dst_url")
+    return _link_columns(links.resolved_links(links.raw_links(corpus.link_pages(spark, sf))), "dst_url")
 
 
 @query("lnk_4")
 def lnk_4(spark, sf):
-    resolved = links.resolved_links(links.raw_links(corpus.table(spark, sf, "pages")))
+    resolved = links.resolved_links(links.raw_links(corpus.link_pages(spark, sf)))
     return _link_columns(links.same_site_links(resolved), "dst_url")
 
 
 @query("extract_links")
 def extract_links(spark, sf):
-    return _link_columns(links.extract_links(corpus.table(spark, sf, "pages")), "dst_url", "kind")
+    return _link_columns(links.extract_links(corpus.link_pages(spark, sf)), "dst_url", "kind")
 
 
 @query("crawl_frontier")
@@ -149,14 +223,18 @@ def lnk_7(spark, sf):
 
 # Articles from pages
 
+def _marked(spark, sf) -> DataFrame:
+    return art.visible_pages(corpus.marked_pages(spark, sf))
+
+
 @query("ext_1")
 def ext_1(spark, sf):
-    return art.page_texts(art.visible_pages(corpus.table(spark, sf, "pages"))).select("page_id", "title", hashed("text"))
+    return art.page_texts(_marked(spark, sf)).select("page_id", "title", hashed("text"))
 
 
 @query("ext_2")
 def ext_2(spark, sf):
-    return art.long_enough(art.page_texts(art.visible_pages(corpus.table(spark, sf, "pages")))).select(
+    return art.long_enough(art.page_texts(_marked(spark, sf))).select(
         "page_id", F.length("text").alias("n_chars"))
 
 
@@ -181,26 +259,22 @@ def is_valid_author(spark, sf):
     return _names(spark, sf).select("k", hashed("name"), people.is_valid_author(F.col("name")).alias("valid"))
 
 
-def _marked(spark, sf) -> DataFrame:
-    return art.visible_pages(corpus.marked_pages(spark, sf))
-
-
 @query("ext_5")
 def ext_5(spark, sf):
-    pages = _marked(spark, sf).withColumn("byline", art.join_authors(art.byline(F.col("html"))))
+    pages = _marked(spark, sf).withColumn("byline", art.join_authors(art.byline(F.col("html"), F.col("tags"))))
     kept, parked = art.park_house_name(F.col("byline"))
     return pages.select("page_id", kept.alias("author"), parked.alias("parked"))
 
 
 @query("ext_6")
 def ext_6(spark, sf):
-    found = art.first_valid_author(art.author_candidates(F.col("html")))
+    found = art.first_valid_author(art.author_candidates(F.col("html"), F.col("tags")))
     return _marked(spark, sf).select("page_id", found.alias("author"))
 
 
 @query("ext_7")
 def ext_7(spark, sf):
-    found = art.tail_author(art.tail_nodes(F.col("html")))
+    found = art.tail_author(F.col("tags"))
     return _marked(spark, sf).select("page_id", found.alias("author"))
 
 
@@ -212,7 +286,7 @@ def ext_8(spark, sf):
 @query("ext_9")
 def ext_9(spark, sf):
     return _marked(spark, sf).select(
-        "page_id", F.array_join(art.date_candidates(F.col("html")), "|").alias("candidates"))
+        "page_id", F.array_join(art.date_candidates(F.col("html"), F.col("tags")), "|").alias("candidates"))
 
 
 @query("parse_publish_date")
@@ -268,7 +342,11 @@ def ingest_batch(spark, sf):
 @query("ingest_articles")
 def ingest_articles_stream(spark, sf):
     folder = new_folder(spark, "stream")
-    topic.write_topic(corpus.messages(spark, sf), f"{folder}/topic")
+    sent = corpus.messages(spark, sf)
+    late = (F.col("seq") > 0) & (F.col("seq") % 2 == 1)
+    for part in (~late, late):
+        topic.write_topic(sent.filter(part), f"{folder}/topic")
+        time.sleep(1)  # file times tell which part came first
     warehouse = Warehouse(spark, folder.rsplit("/", 1)[1].replace("-", "_"), f"{folder}/db")
     warehouse.init_metadata()
     ingest_articles(topic.stream_topic(spark, f"{folder}/topic"), warehouse, f"{folder}/checkpoint",
@@ -387,7 +465,7 @@ def chunk_text(spark, sf):
 @query("fact_chunks")
 def fact_chunks(spark, sf):
     return corpus.shared_warehouse(spark, sf).table("fact_chunks").select(
-        "article_id", "chunk_index", hashed("content"))
+        "chunk_id", "article_id", "chunk_index", hashed("content"))
 
 
 # Vectors
@@ -453,7 +531,8 @@ def vec_8(spark, sf):
 def vectorize(spark, sf):
     stored = corpus.shared_points(spark, sf).table(POINTS)
     return stored.select("id", F.size("dense").alias("dim"), F.size("sparse").alias("tokens"),
-                         F.round(lexical.norm(F.col("dense")), 4).alias("length"))
+                         F.round(lexical.norm(F.col("dense")), 4).alias("length"),
+                         F.round(lexical.dot(F.col("dense"), F.sequence(F.lit(1), F.lit(corpus.DIM))), 3).alias("checksum"))
 
 
 # Retrieval
@@ -467,15 +546,20 @@ def encode_queries(spark, sf):
         "query_id", "tokens", "cell", F.round(F.col("value").cast("double"), 5).alias("value"))
 
 
+def _shown(hits: DataFrame, *names: str) -> DataFrame:
+    """Scores to six decimals: the engines' last bits differ."""
+    return hits.withColumns({name: F.round(name, 6) + 0.0 for name in names or ("score",)})
+
+
 @query("dense_topk")
 def dense_topk(spark, sf):
     stored = corpus.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return topk.dense_topk(corpus.centroids(spark, sf), stored)
+    return _shown(topk.dense_topk(corpus.centroids(spark, sf), stored))
 
 
 @query("sparse_topk")
 def sparse_topk(spark, sf):
-    return topk.sparse_topk(corpus.encoded_questions(spark, sf), corpus.search_points(spark, sf))
+    return _shown(topk.sparse_topk(corpus.encoded_questions(spark, sf), corpus.search_points(spark, sf)))
 
 
 def _hybrid(spark, sf) -> DataFrame:
@@ -484,7 +568,7 @@ def _hybrid(spark, sf) -> DataFrame:
 
 @query("hybrid_topk")
 def hybrid_topk(spark, sf):
-    return _hybrid(spark, sf).select("query_id", "id", "score", "rank")
+    return _shown(_hybrid(spark, sf)).select("query_id", "id", "score", "rank")
 
 
 def _shared_hybrid(spark, sf) -> DataFrame:
@@ -510,7 +594,8 @@ def _reranked(spark, sf) -> DataFrame:
 
 @query("rerank")
 def rerank(spark, sf):
-    return _reranked(spark, sf).select("query_id", "id", "score", "rank", "retrieval_score")
+    return _shown(_reranked(spark, sf), "score", "retrieval_score").select(
+        "query_id", "id", "score", "rank", "retrieval_score")
 
 
 def _hits(spark, sf) -> DataFrame:
@@ -658,8 +743,11 @@ def live_metrics_once(spark: SparkSession, sf):
     warehouse = corpus.shared_warehouse(spark, sf)
     folder = new_folder(spark, "live")
     name = folder.rsplit("/", 1)[1].replace("-", "_")
-    counts = live_counts(spark, {
-        "articles": warehouse.name("fact_articles"), "chunks": warehouse.name("fact_chunks"),
-        "unknown_dates": warehouse.name(METADATA)}, {"unknown_dates": "publish_date = 'Unknown'"})
-    live_metrics(counts, name, folder, availableNow=True).awaitTermination()
+    running = live_metrics(warehouse, name, folder, processingTime="1 second")
+    try:
+        deadline = time.monotonic() + 120
+        while not spark.catalog.tableExists(name) and running.isActive and time.monotonic() < deadline:
+            time.sleep(0.2)
+    finally:
+        running.stop()
     return spark.table(name)

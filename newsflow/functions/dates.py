@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsflow.functions.text import collapse_spaces, strip
+from newsflow.functions.text import bind, collapse_spaces, strip
 
 # The four date shapes, tried in this order, and which group holds which part.
 DATE_SHAPES = (
@@ -15,6 +15,7 @@ DATE_SHAPES = (
 
 # The strict stored form, with the one-digit fields a lenient reader also takes.
 STORED_FORM = (r"^(\d{4})-(1[0-2]|0?[1-9])-(3[01]|[12]\d|0?[1-9]| [1-9])\s+(2[0-3]|[01]?\d):([0-5]?\d):([0-5]?\d)\z")
+URL_DAY = r"/((?:19|20)\d{2})[/_.-](1[0-2]|0?[1-9])[/_.-](3[01]|[12]\d|0?[1-9])(?:[/_.-]|$)"
 STORED_FORMAT = "yyyy-MM-dd HH:mm:ss"
 UNKNOWN = "Unknown"
 
@@ -51,6 +52,13 @@ def first_publish_date(candidates: Column) -> Column:
     return F.get(F.filter(F.transform(candidates, parse_publish_date), lambda ts: ts.isNotNull()), F.lit(0))
 
 
+def url_date(url: Column) -> Column:
+    """The day in the path of an address, as in ``/2024/05/17/``; NULL without one."""
+    return bind(F.regexp_extract(url, URL_DAY, 0), lambda found: _moment(
+        *[F.regexp_extract(found, URL_DAY, group).try_cast("int") for group in (1, 2, 3)],
+        F.lit(0), F.lit(0), F.lit(0)))
+
+
 def stored_timestamp(text: Column) -> Column:
     """Strictly parse the stored form; anything else is NULL."""
     def part(group: int) -> Column:

@@ -1,47 +1,70 @@
-"""Reading HTML with native regular expressions.
+"""Reading HTML with native functions.
 
-Stored pages are not well formed, so markup is read by patterns. A selector names the element and the
-text or attribute wanted; ``Rule`` turns it into patterns that run inside the scan stage. The patterns
-use neither look-around nor back-references, so any linear-time engine can check them.
+Stored pages are not well formed. A visible page is cut once into tags, each with the text behind it; selectors are evaluated on
+that array by higher-order functions: an element reaches from its opening tag to its end, a descendant has to start inside,
+and its own text is what stands in it outside of child elements. Patterns use neither look-around nor back-references.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
-from itertools import permutations
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsflow.functions.text import collapse_spaces, strip
+from newsflow.functions.text import bind, collapse_spaces, strip
 
-# Character references that are decoded, the ampersand last.
-ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
-    ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"),
-)
-
-HREF = r"""(?i)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article\s*>"
 BODY = r"(?is)<body\b[^>]*>(.*?)</body\s*>"
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 BLOCK = r"(?i)</?(?:p|div|h[1-6]|li|ul|ol|br|blockquote|section|header|footer|table|tr)\b[^>]*>"
 TAG = r"<[^>]*>"
+# A tag and the text behind it; a bare < is text.
+TAG_AND_TEXT = r"(?s)</?[a-zA-Z][^>]*>[^<]*(?:<[^a-zA-Z/][^<]*)*"
+ATTRIBUTE = r"""[^\s"'>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,30});"
 
+# Elements without content, elements whose end closes what is open in them, and what ends a paragraph.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
+CONTAINERS = ("article", "aside", "blockquote", "body", "div", "footer", "header", "main", "nav", "ol", "section", "table", "td",
+              "tr", "ul")
+ENDS_PARAGRAPH = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "form", "figure", "hr", "pre", *CONTAINERS)
 
-def decode_entities(text: Column) -> Column:
-    """Decode the common character references."""
-    out = text
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+
+def _character(point: Column) -> Column:
+    """The character of a code point; U+FFFD for none."""
+    real = ((point > 0) & (point < 0xD800)) | ((point > 0xDFFF) & (point <= 0x10FFFF))
+    safe = F.when(real, point).otherwise(F.lit(0xFFFD))
+    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+
+
+def _named() -> Column:
+    """Names of character references and what they stand for."""
+    known = {"apos": "'", **{name: chr(point) for name, point in name2codepoint.items()}}
+    return F.from_json(F.lit(json.dumps(known)), "map<string,string>")
 
 
-def without_tags(fragment: Column) -> Column:
-    """Tags out, white space collapsed and trimmed."""
-    return strip(collapse_spaces(F.regexp_replace(fragment, TAG, " ")))
+def _decoded_part(part: Column) -> Column:
+    """What follows an ampersand, with its reference decoded if it is one."""
+    def read(name: Column) -> Column:
+        number = F.when(F.lower(F.substr(name, F.lit(2), F.lit(1))) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(
+            F.substr(name, F.lit(2))).try_cast("bigint")
+        char = F.when(name == "", None).when(F.startswith(name, F.lit("#")), _character(number)).otherwise(
+            F.try_element_at(_named(), name))
+        char = F.when(char == " ", " ").otherwise(char)
+        return F.when(char.isNull(), F.concat(F.lit("&"), part)).otherwise(
+            F.concat(char, F.substr(part, F.length(name) + 2)))
+    return bind(F.regexp_extract(part, REFERENCE, 1), read)
+
+
+def decode_entities(text: Column) -> Column:
+    """Decode numeric and named character references, once."""
+    parts = F.transform(F.split(text, "&", -1), lambda part, i: F.when(i == 0, part).otherwise(_decoded_part(part)))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
 
 
 def plain(fragment: Column) -> Column:
@@ -72,29 +95,133 @@ def main_text(html: Column) -> Column:
     return F.array_join(paragraphs, "\n\n")
 
 
-def hrefs(html: Column) -> Column:
+def attribute(tag: Column, name) -> Column:
+    """The value of an attribute of a tag, references not decoded; NULL without it."""
+    return F.get(F.filter(tag["attrs"], lambda held: held["name"] == name), F.lit(0))["value"]
+
+
+def _attributes(text: Column) -> Column:
+    """Names and values, quoted or not, of all attributes in a tag."""
+    def read(pair: Column) -> Column:
+        def parts(raw: Column) -> Column:
+            quoted = F.substr(raw, F.lit(1), F.lit(1)).isin('"', "'")
+            value = F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+            return F.struct(F.lower(F.regexp_extract(pair, r"^[^\s=]+", 0)).alias("name"), value.alias("value"))
+        return bind(F.regexp_extract(pair, r"(?s)=\s*(.*)$", 1), parts)
+    return F.transform(F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(0)), read)
+
+
+def tags(html: Column) -> Column:
+    """Tags of a visible page in order: whether it closes, element name, attributes, and the text up to the next tag."""
+    def read(token: Column) -> Column:
+        def parts(tag: Column) -> Column:
+            name = F.regexp_extract(tag, r"^</?([a-zA-Z][^\s/>]*)", 1)
+            return F.struct(
+                F.startswith(tag, F.lit("</")).alias("close"), F.lower(name).alias("name"),
+                _attributes(F.substr(tag, F.length(name) + 2)).alias("attrs"),
+                F.substr(token, F.length(tag) + 2).alias("text"))
+        return bind(F.substring_index(token, ">", 1), parts)
+    return F.transform(F.regexp_extract_all(html, F.lit(TAG_AND_TEXT), F.lit(0)), read)
+
+
+def hrefs(page_tags: Column) -> Column:
     """All link targets of a page in document order."""
-    tags = F.regexp_extract_all(html, F.lit(HREF), F.lit(0))
-    return F.transform(tags, lambda tag: F.concat(F.regexp_extract(tag, HREF, 1), F.regexp_extract(tag, HREF, 2)))
-
-
-def _open_tag(compound: str) -> str:
-    """Pattern of an opening tag for ``tag``, ``.class``, ``[name="v"]`` or ``[name*="v"]``, or a mix of tag and one of these."""
-    tag = re.match(r"[a-zA-Z][a-zA-Z0-9]*", compound)
-    head = rf"<(?i:{tag.group()})\b" if tag else r"<[a-zA-Z]"
-    attribute = re.search(r'\[([\w-]+)(\*?)="([^"]*)"\]', compound)
-    classes = re.findall(r"\.([\w-]+)", compound.split("[")[0])
-    if attribute:
-        name, part, value = attribute.groups()
-        around = r"""[^"'>]*""" if part else ""
-        condition = rf"""[^>]*?\s(?i:{name})\s*=\s*["']{around}{value}{around}["']"""
-    elif classes:
-        orders = ("".join([r"""[^"'>]*\s""".join(order)]) for order in permutations(classes))
-        either = "|".join(orders)
-        condition = rf"""[^>]*?\s(?i:class)\s*=\s*["'](?:[^"'>]*\s)?(?:{either})(?:\s[^"'>]*)?["']"""
-    else:
-        condition = ""
-    return rf"{head}{condition}[^>]*>"
+    links = F.filter(page_tags, lambda t: ~t["close"] & (t["name"] == "a"))
+    found = F.filter(F.transform(links, lambda t: attribute(t, "href")), lambda x: x.isNotNull())
+    return F.transform(found, decode_entities)
+
+
+def _span(first: Column, last: Column) -> Column:
+    """Numbers from ``first`` to ``last``; none if that is less."""
+    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+
+def element_end(page_tags: Column, start: Column) -> Column:
+    """The tag at which the element that starts at tag ``start`` ends.
+
+    That is its own closing tag, the end of an element around it, or for a paragraph what cannot stand in one; the number of tags
+    if nothing ends it.
+    """
+    count = F.size(page_tags)
+    name = F.get(page_tags, start)["name"]
+
+    def step(state: Column, at: Column) -> Column:
+        tag = F.get(page_tags, at)
+        own, box = tag["name"] == name, tag["name"].isin(*CONTAINERS)
+        change = F.when(tag["close"], -1).otherwise(1)
+        depth = state["depth"] + F.when(own, change).otherwise(0)
+        outer = state["outer"] + F.when(box & ~own, change).otherwise(0)
+        new_block = (name == "p") & ~tag["close"] & tag["name"].isin(*ENDS_PARAGRAPH)
+        ends = (depth <= 0) | (outer < 0) | new_block
+        return F.struct(depth.cast("int").alias("depth"), outer.cast("int").alias("outer"),
+                        F.coalesce(state["end"], F.when(ends, at)).alias("end"))
+
+    begin = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("outer"), F.lit(None).cast("int").alias("end"))
+    found = F.aggregate(_span(start + 1, count - 1), begin, step, lambda state: F.coalesce(state["end"], count))
+    return F.when(name.isin(*VOID), start).otherwise(found)
+
+
+def own_texts(page_tags: Column, start: Column) -> Column:
+    """Texts of an element that stand in none of its child elements."""
+    def step(state: Column, at: Column) -> Column:
+        tag = F.get(page_tags, at)
+        change = F.when(at == start, 0).when(tag["name"].isin(*VOID), 0).when(tag["close"], -1).otherwise(1)
+        depth = F.greatest(state["depth"] + change, F.lit(0)).cast("int")
+        here = (depth == 0) & (tag["text"] != "")
+        return F.struct(depth.alias("depth"), F.when(here, F.concat(state["found"], F.array(tag["text"]))).otherwise(
+            state["found"]).alias("found"))
+
+    begin = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("found"))
+    return F.aggregate(_span(start, element_end(page_tags, start) - 1), begin, step, lambda state: state["found"])
+
+
+def whole_text(page_tags: Column, start: Column, end: Column) -> Column:
+    """All text of an element, decoded, its white space collapsed and trimmed."""
+    raw = F.array_join(F.transform(_span(start, end - 1), lambda at: F.get(page_tags, at)["text"]), "")
+    return strip(collapse_spaces(decode_entities(raw)))
+
+
+_COMPOUND = "struct<name:string,attrs:array<struct<name:string,value:string,part:boolean>>,classes:array<string>>"
+
+
+def _compound(text: str) -> dict:
+    """``tag``, ``.class``, ``[name="v"]``, ``[name*="v"]``, ``*`` or a mix of these, as data."""
+    head = re.match(r"[a-zA-Z][a-zA-Z0-9]*", text)
+    return {"name": head.group().lower() if head else "",
+            "attrs": [{"name": name, "value": value, "part": bool(part)}
+                      for name, part, value in re.findall(r'\[([\w-]+)(\*?)="([^"]*)"\]', text)],
+            "classes": re.findall(r"\.([\w-]+)", text.split("[")[0])}
+
+
+def _holds(compound: Column, tag: Column) -> Column:
+    """Whether a tag opens an element that fits a compound."""
+    def held(test: Column) -> Column:
+        return bind(F.coalesce(attribute(tag, test["name"]), F.lit("")), lambda value: F.when(
+            test["part"], F.contains(value, test["value"])).otherwise(value == test["value"]))
+
+    words = F.split(F.coalesce(attribute(tag, "class"), F.lit("")), r"\s+")
+    return (~tag["close"] & ((compound["name"] == "") | (tag["name"] == compound["name"]))
+            & F.forall(compound["attrs"], held)
+            & ((F.size(compound["classes"]) == 0) | (F.size(F.array_except(compound["classes"], words)) == 0)))
+
+
+def _fitting(page_tags: Column, compounds: Column) -> Column:
+    """Places of the opening tags that fit one of an array of compounds."""
+    return F.filter(_span(F.lit(0), F.size(page_tags) - 1), lambda at: bind(
+        F.get(page_tags, at), lambda tag: F.exists(compounds, lambda compound: _holds(compound, tag))))
+
+
+def starts(page_tags: Column, *compounds: str) -> Column:
+    """Places of the opening tags that fit one of the compounds."""
+    listed = F.from_json(F.lit(json.dumps([_compound(x) for x in compounds])), f"array<{_COMPOUND}>")
+    return _fitting(page_tags, listed)
+
+
+def inside(places: Column, page_tags: Column, around: Column) -> Column:
+    """The places that lie in one of the elements starting at ``around``."""
+    spans = F.transform(around, lambda at: F.struct(at.alias("start"), element_end(page_tags, at).alias("end")))
+    return bind(spans, lambda own: F.filter(places, lambda at: F.exists(
+        own, lambda span: (span["start"] < at) & (at < span["end"]))))
 
 
 @dataclass(frozen=True)
@@ -111,46 +238,44 @@ class Rule:
 
     @property
     def needle(self) -> str:
-        """A literal that every match contains, to skip pages without running the pattern."""
+        """A literal that every match contains, to skip pages without looking at their tags."""
         if ", " in self.selector:
             return "<"
         words = re.findall(r'="([^"]*)"|\.([\w-]+)', self.selector)
         return max((value or name for value, name in words), key=len, default="<")
 
-    @property
-    def pattern(self) -> str:
-        """Group 1 is the text wanted; for an attribute it ends in the tag that carries it."""
+    def described(self) -> dict:
+        """The rule as data: last and first compounds of its paths, the attribute wanted (none: text)."""
         paths, target = self._paths()
-        if paths[0][-1] == "*":
-            return rf"(?s){_open_tag(paths[0][0])}(.*?)</(?i:div|section|article|p|ul)\s*>"
-        opened = "|".join(".*?".join(_open_tag(part) for part in path) for path in paths)
-        return rf"(?s)(?:{opened})([^<]+)" if target == "text" else rf"(?s)((?:{opened}))"
+        return {"needle": self.needle, "every": self.every, "last": [_compound(path[-1]) for path in paths],
+                "first": [_compound(path[0]) for path in paths if len(path) > 1],
+                "attribute": "" if target == "text" else target[len("attr("):-1]}
 
-    @property
-    def attribute(self) -> str | None:
-        """Pattern of the attribute value inside the matched tag: group 1 or group 2."""
-        _, target = self._paths()
-        if target == "text":
-            return None
-        name = target[len("attr("):-1]
-        return rf"""(?s).*<[^>]*?\s(?i:{name})\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-
-    def candidate(self, html: Column) -> Column:
-        """The raw string this rule finds on a page, references not decoded; empty when there is none."""
-        if self.every:
-            parts = F.transform(F.regexp_extract_all(html, F.lit(self.pattern), F.lit(1)), without_tags)
-            found = F.array_join(F.filter(parts, lambda text: text != ""), " ")
-        else:
-            found = F.regexp_extract(html, self.pattern, 1)
-            if self.attribute:
-                found = F.concat(F.regexp_extract(found, self.attribute, 1),
-                                 F.regexp_extract(found, self.attribute, 2))
-        return F.when(F.contains(html, F.lit(self.needle)), found).otherwise(F.lit(""))
-
-
-def candidates(html: Column, rules: tuple[Rule, ...]) -> Column:
-    """What each rule finds, in rule order, decoded."""
-    return F.transform(F.array(*[rule.candidate(html) for rule in rules]), decode_entities)
+
+_RULES = (f"array<struct<needle:string,every:boolean,last:array<{_COMPOUND}>,first:array<{_COMPOUND}>,attribute:string>>")
+
+
+def _found(rule: Column, page_tags: Column) -> Column:
+    """The raw string a rule finds on a page; empty when there is none."""
+    places = _fitting(page_tags, rule["last"])
+    places = F.when(F.size(rule["first"]) == 0, places).otherwise(
+        inside(places, page_tags, _fitting(page_tags, rule["first"])))
+
+    def read(places: Column) -> Column:
+        texts = F.flatten(F.transform(places, lambda at: own_texts(page_tags, at)))
+        values = F.filter(F.transform(places, lambda at: attribute(F.get(page_tags, at), rule["attribute"])),
+                          lambda value: value.isNotNull())
+        return bind(F.when(rule["attribute"] == "", texts).otherwise(values), lambda found: F.when(
+            rule["every"], F.array_join(F.filter(F.transform(found, strip), lambda text: text != ""), " ")).otherwise(
+            F.get(found, F.lit(0))))
+    return F.coalesce(bind(places, read), F.lit(""))
+
+
+def candidates(html: Column, page_tags: Column, rules: tuple[Rule, ...]) -> Column:
+    """What each rule finds, in rule order, decoded. A rule that occurs again cannot win and is not evaluated twice."""
+    once = F.from_json(F.lit(json.dumps([rule.described() for rule in dict.fromkeys(rules)])), _RULES)
+    return F.transform(once, lambda rule: F.when(
+        F.contains(html, rule["needle"]), decode_entities(_found(rule, page_tags))).otherwise(F.lit("")))
 
 
 # Where an author name may stand, in the order tried; True joins all matches.
@@ -208,11 +333,10 @@ DATE_RULES = tuple(Rule(selector) for selector in (
     ".time-now::text",
 ))
 
-# Which blocks close a page, how many of them are read, and what marks an aligned or bold one.
-TAIL_BLOCK = r"(?i)<(/?(?:p|div)\b)"
-TAIL_NODE = (r"""(?is)^<(?:p\b|div\b[^>]*?\s(?:class\s*=\s*["'][^"'>]*(?:author|right)"""
-             r"""|style\s*=\s*["'][^"'>]*right|align\s*=\s*["'][^"'>]*right))""")
-TAIL_EMPHASIS = r"(?i)<(?:strong|b|em)\b[^>]*>"
-TAIL_ALIGNED = r"""(?is)^<[^>]*?\s(?:style|class|align)\s*=\s*["'][^"'>]*(?:right|t-a-r)"""
+# Where the content of a page stands, which blocks close it, how many are read, and what marks an aligned or bold one.
+CONTENT_AREAS = ('div[class*="content"]', "article", 'div[id*="content"]', ".post-body", ".detail-content", ".main-content")
+TAIL_BLOCKS = ("p", 'div[class*="author"]', 'div[class*="right"]', 'div[style*="right"]', 'div[align*="right"]')
+TAIL_EMPHASIS = ("strong", "b", "em")
+TAIL_ALIGNED = (("style", "right"), ("class", "right"), ("align", "right"), ("class", "t-a-r"))
 TAIL_NODES = 15
 QUOTES = r"[\"“”]"

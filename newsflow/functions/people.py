@@ -30,14 +30,15 @@ NAME_JOINERS = (",", "-", "và", "&")
 # Patterns for numbered headings, day/month or clock parts, phone numbers and edge dashes.
 HEADING = r"^\d+[\.\-\)]"
 DATE_OR_CLOCK = r"\d{1,2}[/-]\d{1,2}|\d{1,2}:\d{1,2}"
-PHONE = r"(?:hotline|liên hệ|sđt|đt)?\s*:?\s*(?:0|\+84)[\d\s.-]{8,12}"
+PHONE = (r"(?:hotline|liên hệ|sđt|đt)?" + SPACE_CLASS + r"*:?" + SPACE_CLASS + r"*(?:0|\+84)(?:[\d.-]|" + SPACE_CLASS
+         + r"){8,12}")
 EDGE_DASH = r"^-|-$"
-SOURCE_PREFIX = r"(?:Nguồn|Theo|Source)\s*:?\s*(.+)"
+SOURCE_PREFIX = r"(?:Nguồn|Theo|Source)" + SPACE_CLASS + r"*:?" + SPACE_CLASS + r"*(.+)"
 
 # An author string loses its brackets, then all from the word "và", then splits on comma or dash.
 BRACKETS = r"\(.*?\)"
-AND_WORD = r"\s+và\s+"
-NAME_SEPARATOR = r",|\s*-\s*"
+AND_WORD = SPACE_CLASS + "+và" + SPACE_CLASS + "+"
+NAME_SEPARATOR = ",|" + SPACE_CLASS + "*-" + SPACE_CLASS + "*"
 
 
 def _any_of(text: Column, words) -> Column:

@@ -45,7 +45,8 @@ def _without_dots(path: Column) -> Column:
 
 
 def resolve_link(base: Column, link: Column) -> Column:
-    """The absolute form of a link found on page ``base``."""
+    """The absolute form of a link found on page ``base``; blanks in front, tabs and line ends do not belong to it."""
+    link = F.regexp_replace(F.regexp_replace(link, r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
     origin = F.regexp_extract(base, _ORIGIN, 1)
     base_path = F.regexp_extract(base, _ORIGIN + r"([^?#]*)", 2)
     folder = F.regexp_extract(base_path, r"^(.*/)[^/]*$", 1)

@@ -5,21 +5,22 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import dates, markup, people, urls
 from newsflow.functions.text import bind, blank, collapse_spaces, strip
-from newsflow.operators.compute import compute_once
+from newsflow.operators.compute import compute_once, remembered
 
 MIN_TEXT = 100
 
 
 def visible_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html) without scripts, styles and comments; the operators below read these."""
-    return compute_once(pages.select("page_id", "url", F.col("html").alias("_raw")),
+    """(page_id, url, html, tags) without scripts, styles and comments, cut once; the operators below read these."""
+    seen = compute_once(pages.select("page_id", "url", F.col("html").alias("_raw")),
                         html=markup.visible(F.col("_raw"))).drop("_raw")
+    return compute_once(seen, tags=markup.tags(F.col("html")))
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html, title, text) for every page."""
+    """(page_id, url, html, tags, title, text) for every page."""
     html = F.col("html")
-    return compute_once(pages.select("page_id", "url", "html"), title=markup.page_title(html),
+    return compute_once(pages.select("page_id", "url", "html", "tags"), title=markup.page_title(html),
                         text=markup.main_text(html))
 
 
@@ -33,9 +34,9 @@ def join_authors(authors: Column) -> Column:
     return strip(F.array_join(authors, ", "))
 
 
-def byline(html: Column) -> Column:
+def byline(html: Column, tags: Column) -> Column:
     """Author list a page declares in its metadata."""
-    declared = F.get(markup.candidates(html, markup.META_AUTHOR_RULES[:1]), F.lit(0))
+    declared = F.get(markup.candidates(html, tags, markup.META_AUTHOR_RULES[:1]), F.lit(0))
     names = F.transform(F.split(declared, ","), strip)
     return F.filter(names, lambda name: name != "")
 
@@ -48,9 +49,9 @@ def park_house_name(author: Column) -> tuple[Column, Column]:
     return kept, parked
 
 
-def author_candidates(html: Column) -> Column:
+def author_candidates(html: Column, tags: Column) -> Column:
     """What each author rule finds, in rule order."""
-    return markup.candidates(html, markup.AUTHOR_RULES)
+    return markup.candidates(html, tags, markup.AUTHOR_RULES)
 
 
 def first_valid_author(candidates: Column) -> Column:
@@ -59,33 +60,49 @@ def first_valid_author(candidates: Column) -> Column:
     return F.get(F.filter(F.transform(present, people.tidy_candidate), people.is_valid_author), F.lit(0))
 
 
-def tail_nodes(html: Column) -> Column:
-    """The last paragraphs and aligned blocks of the main region, last first, as markup."""
-    marked = F.regexp_replace(markup.main_region(html), markup.TAIL_BLOCK, "\u0001<$1")
-    nodes = F.filter(F.split(marked, "\u0001"), lambda node: F.rlike(node, F.lit(markup.TAIL_NODE)))
-    return F.reverse(F.slice(nodes, F.greatest(F.size(nodes) - markup.TAIL_NODES + 1, F.lit(1)),
-                             F.lit(markup.TAIL_NODES)))
+def tail_nodes(tags: Column) -> Column:
+    """Places of the last paragraphs and aligned blocks of the content areas, last first; of the page if it has no such area.
 
+    A block in two areas, one inside the other, counts in both.
+    """
+    def closing(blocks: Column) -> Column:
+        areas = F.transform(markup.starts(tags, *markup.CONTENT_AREAS), lambda at: F.filter(
+            blocks, lambda block: (at < block) & (block < markup.element_end(tags, at))))
+        found = bind(areas, lambda parts: F.when(F.size(parts) > 0, F.flatten(parts)).otherwise(blocks))
+        return bind(found, lambda nodes: F.reverse(F.slice(
+            nodes, F.greatest(F.size(nodes) - markup.TAIL_NODES + 1, F.lit(1)), F.lit(markup.TAIL_NODES))))
+    return bind(markup.starts(tags, *markup.TAIL_BLOCKS), closing)
 
-def tail_author(nodes: Column) -> Column:
+
+def _emphasised(tags: Column, start: Column, end: Column) -> Column:
+    """Whether a block holds a bold element or is aligned right."""
+    bold = F.exists(markup.starts(tags, *markup.TAIL_EMPHASIS), lambda at: (start < at) & (at < end))
+    tag = F.get(tags, start)
+    for name, mark in markup.TAIL_ALIGNED:
+        bold = bold | F.contains(F.lower(F.coalesce(markup.attribute(tag, name), F.lit(""))), F.lit(mark))
+    return bold
+
+
+def tail_author(tags: Column) -> Column:
     """The first author among closing blocks: a named source, else a valid bold or right-aligned text."""
-    def read(node: Column) -> Column:
-        text = strip(F.regexp_replace(markup.plain(node), markup.QUOTES, ""))
-        emphasised = F.rlike(node, F.lit(markup.TAIL_EMPHASIS)) | F.rlike(node, F.lit(markup.TAIL_ALIGNED))
+    def read(start: Column) -> Column:
+        def within(end: Column) -> Column:
+            text = strip(F.regexp_replace(markup.whole_text(tags, start, end), markup.QUOTES, ""))
 
-        def choose(text: Column) -> Column:
-            named = strip(F.regexp_extract(text, "(?iu)" + people.SOURCE_PREFIX, 1))
-            return (F.when(~F.length(text).between(2, 100), F.lit(None).cast("string"))
-                    .when(people.is_valid_author(named), named)
-                    .when(emphasised & people.is_valid_author(text), text))
-        return bind(text, choose)
+            def choose(text: Column) -> Column:
+                named = strip(F.regexp_extract(text, "(?iu)" + people.SOURCE_PREFIX, 1))
+                return (F.when(~F.length(text).between(2, 100), F.lit(None).cast("string"))
+                        .when(people.is_valid_author(named), named)
+                        .when(people.is_valid_author(text) & _emphasised(tags, start, end), text))
+            return bind(text, choose)
+        return bind(markup.element_end(tags, start), within)
 
-    return F.get(F.filter(F.transform(nodes, read), lambda name: name.isNotNull()), F.lit(0))
+    return F.get(F.filter(F.transform(tail_nodes(tags), read), lambda name: name.isNotNull()), F.lit(0))
 
 
-def meta_author(html: Column) -> Column:
+def meta_author(html: Column, tags: Column) -> Column:
     """The first author in page metadata, if it is a valid name."""
-    found = F.filter(markup.candidates(html, markup.META_AUTHOR_RULES), lambda raw: raw != "")
+    found = F.filter(markup.candidates(html, tags, markup.META_AUTHOR_RULES), lambda raw: raw != "")
     return bind(strip(F.get(found, F.lit(0))), lambda name: F.when(people.is_valid_author(name), name))
 
 
@@ -94,28 +111,52 @@ def last_resort_author(author: Column, parked: Column, from_meta: Column) -> Col
     return F.coalesce(F.nullif(author, F.lit("")), F.nullif(parked, F.lit("")), from_meta, F.lit(people.UNKNOWN))
 
 
+@remembered
+def _page_byline() -> Column:
+    return join_authors(byline(F.col("html"), F.col("tags")))
+
+
+@remembered
+def _rule_author() -> Column:
+    return first_valid_author(author_candidates(F.col("html"), F.col("tags")))
+
+
+@remembered
+def _tail_author() -> Column:
+    return tail_author(F.col("tags"))
+
+
+@remembered
+def _page_meta_author() -> Column:
+    return meta_author(F.col("html"), F.col("tags"))
+
+
+@remembered
+def _page_date() -> Column:
+    return dates.first_publish_date(date_candidates(F.col("html"), F.col("tags")))
+
+
 def page_authors(pages: DataFrame) -> DataFrame:
     """Adds ``author``, trying byline, rules, closing blocks, the parked name and metadata in turn."""
-    def find(html: Column) -> Column:
-        def decide(declared: Column) -> Column:
-            kept, parked = park_house_name(declared)
-            found = F.coalesce(F.nullif(kept, F.lit("")), first_valid_author(author_candidates(html)),
-                               tail_author(tail_nodes(html)))
-            return last_resort_author(found, parked, meta_author(html))
-        return bind(join_authors(byline(html)), decide)
-
-    return compute_once(pages, author=bind(F.col("html"), find))
+    declared = compute_once(pages, _declared=_page_byline())
+    kept, parked = park_house_name(F.col("_declared"))
+    sorted_out = compute_once(declared, _kept=F.nullif(kept, F.lit("")), _parked=parked)
+    by_rule = compute_once(sorted_out, _found=F.coalesce(F.col("_kept"), _rule_author()))
+    by_tail = compute_once(by_rule, _closing=F.coalesce(F.col("_found"), _tail_author()), _meta=_page_meta_author())
+    return by_tail.withColumn("author", last_resort_author(F.col("_closing"), F.col("_parked"), F.col("_meta"))).drop(
+        "_declared", "_kept", "_parked", "_found", "_closing", "_meta")
 
 
-def date_candidates(html: Column) -> Column:
+def date_candidates(html: Column, tags: Column) -> Column:
     """What each date rule finds, in rule order, without blanks."""
-    return F.filter(markup.candidates(html, markup.DATE_RULES), lambda raw: strip(raw) != "")
+    return F.filter(markup.candidates(html, tags, markup.DATE_RULES), lambda raw: strip(raw) != "")
 
 
 def page_dates(pages: DataFrame) -> DataFrame:
-    """Adds ``publish_date`` in the stored form, or ``Unknown``."""
-    moment = bind(F.col("html"), lambda html: dates.first_publish_date(date_candidates(html)))
-    return pages.withColumn("publish_date", dates.format_publish_date(moment))
+    """Adds ``publish_date`` in the stored form: from the page, else from its address, else ``Unknown``."""
+    found = compute_once(pages, _found=_page_date())
+    return found.withColumn("publish_date", dates.format_publish_date(
+        F.coalesce(F.col("_found"), dates.url_date(F.col("url"))))).drop("_found")
 
 
 def extract_articles(pages: DataFrame) -> DataFrame:

@@ -1,5 +1,8 @@
 """Columns that are evaluated once."""
 
+from collections.abc import Callable
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,3 +25,16 @@ def unfold(df: DataFrame, keep: list[str], items: Column, position: str, item: s
     """
     rows = df.select(*keep, F.posexplode_outer(items).alias(position, item))
     return rows.filter(F.col(position).isNotNull())
+
+
+_built: dict[tuple[Callable, int], Column] = {}
+
+
+def remembered(build: Callable[[], Column]) -> Callable[[], Column]:
+    """``build`` makes its column once per JVM: an expression over named columns serves every DataFrame that has them."""
+    def get() -> Column:
+        key = (build, id(SparkContext._gateway))
+        if key not in _built:
+            _built[key] = build()
+        return _built[key]
+    return get

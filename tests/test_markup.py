@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import markup
 from newsflow.functions.markup import Rule
 from newsflow.operators import articles as art
+from newsflow.operators import links
 
 
 def one(spark, html, use):
@@ -32,13 +33,26 @@ RULES = [
     ('meta[name="author"]::attr(content)', False, "<meta name='author' content=\"O'Neil\">", "O'Neil"),
     ("time::attr(datetime)", False, '<time class="x" datetime="2024-01-01">', "2024-01-01"),
     ("span.date::text", False, "<b>none</b>", ""),
+    ("p.t-a-r strong::text", False, '<p class="t-a-r">x</p><p><strong>Outside</strong></p>', ""),
+    (".author-info .name::text", False, '<div class="author-info"></div><div class="menu"><span class="name">Menu</span></div>', ""),
+    (".author-info .name::text", False, '<div class="author-info"><div>x</div><span class="name">An</span></div>', "An"),
+    (".author::text", False, '<div class="author"><b>By</b> Lan Anh</div>', " Lan Anh"),
+    (".author::text", False, "<i class=author>An</i>", "An"),
+    (".author::text", False, '<p class="author"><br>An', "An"),
+    (".news-detail-project *::text", True, '<div class="news-detail-project">No<b>An</b></div><i>No</i>', "An"),
+    ("time::attr(datetime)", False, "<time datetime=2024-01-01>", "2024-01-01"),
+    (".author::text", False, '<p class="author">B&#7843;o &#x1ECD; &ecirc;&amp;lt; &hellip; &none; &#xD800; &', "Bảo ọ ê&lt; … &none; \ufffd &"),
 ]
 
 
-@pytest.mark.parametrize("selector,every,html,expected", RULES)
-def test_rule(spark, selector, every, html, expected):
-    found = one(spark, html, lambda h: F.get(markup.candidates(h, (Rule(selector, every),)), F.lit(0)))
-    assert found == expected
+def test_rules(spark):
+    """Every rule on its page, in one pass per rule."""
+    rules = list(dict.fromkeys(Rule(selector, every) for selector, every, *_ in RULES))
+    pages = spark.createDataFrame([(i, "u", html) for i, (_, _, html, _) in enumerate(RULES)], "page_id BIGINT, url STRING, html STRING")
+    found = markup.candidates(F.col("html"), F.col("tags"), tuple(rules))
+    got = {r["page_id"]: r["found"] for r in art.visible_pages(pages).select("page_id", found.alias("found")).collect()}
+    for i, (selector, every, html, expected) in enumerate(RULES):
+        assert got[i][rules.index(Rule(selector, every))] == expected, (selector, html)
 
 
 def test_rule_counts():
@@ -52,31 +66,61 @@ def test_main_text(spark):
     assert one(spark, html, markup.page_title) == "T & U"
 
 
-def author(spark, html):
-    pages = spark.createDataFrame([(1, "https://d/x.html", html)], "page_id BIGINT, url STRING, html STRING")
-    return art.page_authors(pages).first()["author"]
+def authors(spark, pages):
+    """The author of each page, in one pass."""
+    rows = spark.createDataFrame([(i, "https://d/x.html", html) for i, html in enumerate(pages)], "page_id BIGINT, url STRING, html STRING")
+    return [r["author"] for r in art.page_authors(art.visible_pages(rows)).orderBy("page_id").collect()]
+
+
+META = '<meta name="author" content="{}">'
+RULE = '<p class="author">Thu Trang</p>'
+TAIL = "<article><p>text</p><p>Theo: Reuters</p><p><i>last</i></p></article>"
+FILLER = "<p>x x x x x x x x</p>" * 14
+NESTED = '<div class="right"><p>a </p><div><b>Lan Anh</b></div></div>'
+FOOT = "<footer><p><b>Contact Us</b></p></footer>"
+AUTHORS = [
+    # the order of byline, rules, closing blocks, parked name and metadata
+    (META.format("Lan Anh") + RULE, "Lan Anh"),
+    (META.format("Báo Dân trí") + RULE, "Thu Trang"),
+    (META.format("Báo Dân trí") + TAIL, "Reuters"),
+    (META.format("Báo Dân trí"), "Báo Dân trí"),
+    ('<meta property="article:author" content=" Hà ">', "Hà"),
+    ('<p class="author">15/12</p>', "Unknown"),
+    ('<p class="author">- An • 12/3</p>', "An"),
+    ('<p class="author">An hotline: 0912 345 678</p>', "An"),
+    # the last fifteen blocks, backwards
+    (f"<article><p><b>Thu Trang</b></p>{FILLER}</article>", "Thu Trang"),
+    (f"<article><p><b>Thu Trang</b></p><p>y</p>{FILLER}</article>", "Unknown"),
+    ('<article><p><b>Thu Trang</b></p><div class="author-box">Minh Hà</div><div style="text-align:right">Lan Anh</div></article>', "Lan Anh"),
+    # whole blocks of the content area
+    (f"<article>{NESTED}</article>", "a Lan Anh"),
+    ("<article><p><b>Lan</b><i> Anh</i></p></article>", "Lan Anh"),
+    (f'<div class="main-content"><p><b>Lan Anh</b></p></div>{FOOT}', "Lan Anh"),
+    (f'<div class="main-content"><p>text</p></div>{FOOT}', "Unknown"),
+    ("<p><b>Lan Anh</b></p>", "Lan Anh"),
+]
+
+
+def test_authors(spark):
+    found = authors(spark, [html for html, _ in AUTHORS])
+    assert [(html, author) for (html, _), author in zip(AUTHORS, found)] == AUTHORS
 
 
-def test_author_order(spark):
-    meta = '<meta name="author" content="{}">'
-    rule = '<p class="author">Thu Trang</p>'
-    tail = "<article><p>text</p><p>Theo: Reuters</p><p><i>last</i></p></article>"
-    assert author(spark, meta.format("Lan Anh") + rule) == "Lan Anh"
-    assert author(spark, meta.format("Báo Dân trí") + rule) == "Thu Trang"
-    assert author(spark, meta.format("Báo Dân trí") + tail) == "Reuters"
-    assert author(spark, meta.format("Báo Dân trí")) == "Báo Dân trí"
-    assert author(spark, '<meta property="article:author" content=" Hà ">') == "Hà"
-    assert author(spark, '<p class="author">15/12</p>') == "Unknown"
-    assert author(spark, '<p class="author">- An • 12/3</p>') == "An"
-    assert author(spark, '<p class="author">An hotline: 0912 345 678</p>') == "An"
+def test_links_are_read_from_visible_markup(spark):
+    html = ("<!-- <a href='/no'> --><script>'<a href=\"/no\">'</script><a href=/unq.html>x</a><A HREF='/x?a=1&amp;b=2'>"
+            '<a href=" /lead.html"><a name="none">')
+    pages = spark.createDataFrame([(1, "https://a.b/c/d", html)], "page_id BIGINT, url STRING, html STRING")
+    found = links.resolved_links(links.raw_links(pages)).orderBy("position").collect()
+    assert [r["href"] for r in found] == ["/unq.html", "/x?a=1&b=2", " /lead.html"]
+    assert [r["dst_url"] for r in found] == ["https://a.b/unq.html", "https://a.b/x?a=1&b=2", "https://a.b/lead.html"]
 
 
-def test_tail_reads_the_last_fifteen_blocks_backwards(spark):
-    filler = "<p>x x x x x x x x</p>" * 14
-    assert author(spark, f"<article><p><b>Thu Trang</b></p>{filler}</article>") == "Thu Trang"
-    assert author(spark, f"<article><p><b>Thu Trang</b></p><p>y</p>{filler}</article>") == "Unknown"
-    assert author(spark, '<article><p><b>Thu Trang</b></p><div class="author-box">Minh Hà</div>'
-                         '<div style="text-align:right">Lan Anh</div></article>') == "Lan Anh"
+def test_date_from_the_address(spark):
+    pages = spark.createDataFrame([
+        (1, "https://d/2024/05/17/x.html", "<p>x"), (2, "https://d/2024/13/17/x.html", "<p>x"),
+        (3, "https://d/2024/05/17/x.html", "<time>6/4/2026</time>")], "page_id BIGINT, url STRING, html STRING")
+    assert {r["page_id"]: r["publish_date"] for r in art.page_dates(art.visible_pages(pages)).collect()} == {
+        1: "2024-05-17 00:00:00", 2: "Unknown", 3: "2026-04-06 00:00:00"}
 
 
 def test_extract_articles(spark):
