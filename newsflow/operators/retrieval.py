@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import lexical
 from newsflow.functions.encoders import dense_vector, pair_score
 from newsflow.functions.text import or_default
-from newsflow.operators.topk import SCORE_DECIMALS, dense_topk, sparse_topk
+from newsflow.operators.topk import DENSE, SCORE_DECIMALS, SPARSE, topk
 from newsflow.session import stage
 
 # List lengths, fusion weight, and what stands in for missing fields.
@@ -63,9 +63,10 @@ def fuse(dense: DataFrame, sparse: DataFrame, k: int = TOP_K, alpha: float = ALP
 
 
 def hybrid_topk(queries: DataFrame, points: DataFrame, k: int = TOP_K, alpha: float = ALPHA) -> DataFrame:
-    """Dense and sparse top-k, fused. Queries have vector and entries, points too; queries are encoded once."""
+    """Dense and sparse top-k, fused. Queries have vector and entries, points too; queries are encoded and points read once."""
     encoded = stage(queries.select("query_id", "vector", "entries"), "queries")
-    return fuse(dense_topk(encoded, points, k), sparse_topk(encoded, points, k), k, alpha)
+    hits = stage(topk(encoded, points.select("id", "vector", "entries"), k), "candidates")
+    return fuse(*(hits.filter(F.col("side") == side).drop("side") for side in (DENSE, SPARSE)), k, alpha)
 
 
 def rerank_pool(hits: DataFrame, n: int = RERANK_POOL) -> DataFrame:
@@ -97,7 +98,7 @@ def rerank(hits: DataFrame, n: int = RERANK_POOL, scorer=None) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("retrieval_rank"), F.col("id"))
     return (
         hits.withColumnsRenamed({"score": "retrieval_score", "rank": "retrieval_rank"})
-        .withColumn("score", F.round(value, SCORE_DECIMALS))
+        .withColumn("score", value)
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= n)
     )

@@ -1,34 +1,40 @@
-"""Exact top-k of points for a batch of queries.
+"""Exact top-k of points for a table of queries.
 
-Queries travel to the points in blocks of bounded size. Each task scores its Arrow batches with one
-matrix product and keeps only the k best per query, so no pair is ever emitted and a task hands on
-k rows per query, whatever it read. More queries than fit in one block mean more passes, not a
-different result.
+Queries are packed into blocks of bounded size and staged, points into one row per Arrow batch, and every batch meets every
+block in a join: the points are scanned once, however many queries there are and whether dense, sparse or both scores are
+wanted, and neither queries nor points pass through the driver. A task scores a batch against a block by one
+matrix product (dense) or by the block's postings (sparse) and hands on the k best rows per query it has seen.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-# Scores are compared at this many decimals; equal scores are ordered by id.
-SCORE_DECIMALS = 6
+from newsflow.session import estimated_bytes, stage
+
+# Sums differ in their last bits by the order of summation; scores are compared at this many decimals, equal ones by id.
+SCORE_DECIMALS = 12
 QUERY_BLOCK_BYTES = 32 << 20
+BROADCAST_BYTES = 64 << 20
+DENSE, SPARSE = "dense", "sparse"
 _CELLS = 8 << 20
+_OPEN_BLOCKS = 8
 
 
 class _Best:
-    """The k best (score, id) per query seen by one task."""
+    """The k best (score, id) per query of a block seen by one task."""
 
-    def __init__(self, queries: int, k: int) -> None:
-        self.k = k
-        self.floor = np.full(queries, -np.inf)
+    def __init__(self, queries: list, k: int) -> None:
+        self.k, self.queries = k, queries
+        self.floor = np.full(len(queries), -np.inf)
         self.query = np.empty(0, dtype=np.int64)
         self.score = np.empty(0)
         self.id: np.ndarray | None = None
@@ -55,148 +61,198 @@ class _Best:
         self.floor[query[full]] = score[full]
 
 
-def _dense_scorer(matrix: np.ndarray) -> Callable:
-    """Cosine of every point of a batch with every query."""
-    def unit(rows: np.ndarray) -> np.ndarray:
-        length = np.linalg.norm(rows, axis=1, keepdims=True)
-        return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
-
-    queries = unit(matrix).T
-
-    def score(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-        vectors = batch.column(1)
-        width = queries.shape[0]
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        if len(flat) != width * len(vectors):
-            raise ValueError(f"every vector must have {width} values")
-        rows = unit(flat.reshape(len(vectors), width))
-        step = max(1, _CELLS // queries.shape[1])
-        for at in range(0, len(rows), step):
-            part = np.round(rows[at:at + step] @ queries, SCORE_DECIMALS)
-            yield slice(at, at + step), part, np.ones_like(part, dtype=bool)
-
-    return score
-
-
-def _sparse_scorer(vocabulary: np.ndarray, weights: np.ndarray) -> Callable:
-    """Dot product over shared token ids; ``weights`` is (vocabulary, queries). No shared id, no hit."""
-    def score(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-        entries = batch.column(1)
-        bounds = entries.offsets.to_numpy().astype(np.int64) - entries.offsets[0].as_py()
-        flat = entries.flatten()
-        ids = flat.field(0).to_numpy(zero_copy_only=False)
-        values = flat.field(1).to_numpy(zero_copy_only=False).astype(np.float64)
-        place = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
-        known = vocabulary[place] == ids
-        owner = np.repeat(np.arange(len(entries)), np.diff(bounds))
-        step = max(1, _CELLS // max(len(vocabulary), weights.shape[1]))
-        for at in range(0, len(entries), step):
-            span = slice(int(bounds[at]), int(bounds[min(at + step, len(entries))]))
-            use = known[span]
-            rows = np.zeros((min(step, len(entries) - at), len(vocabulary)))
-            rows[owner[span][use] - at, place[span][use]] = values[span][use]
-            touched = (rows != 0).astype(np.float32) @ (weights != 0).astype(np.float32)
-            yield slice(at, at + step), np.round(rows @ weights, SCORE_DECIMALS), touched > 0
-
-    return score
-
-
-def _scan(points: DataFrame, query_ids: list, scorer: Callable, arrays: tuple, k: int,
-          schema: T.StructType) -> DataFrame:
-    """Score all points against one block of queries; at most k rows per query and task.
-
-    ``scorer`` makes the scoring function of a task from the broadcast arrays.
-    """
-    context = points.sparkSession.sparkContext
-    shared = context.broadcast((query_ids, arrays))
-    arrow = {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string()}
-    names = pa.schema([pa.field(f.name, arrow.get(type(f.dataType), pa.float64())) for f in schema])
-
-    def best_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of_queries, values = shared.value
-        score = scorer(*values)
-        best = _Best(len(ids_of_queries), k)
-        for batch in batches:
-            ids = np.asarray(batch.column(0).to_pylist())
-            for part, scores, keep in score(batch):
-                best.add(scores, ids[part], keep)
-        if best.id is not None:
-            yield pa.RecordBatch.from_arrays([
-                pa.array([ids_of_queries[q] for q in best.query], names.field(0).type),
-                pa.array(best.id.tolist(), names.field(1).type),
-                pa.array(best.score, names.field(2).type),
-            ], schema=names)
+def _matrix(vectors: pa.ListArray, width: int) -> np.ndarray:
+    """Rows of an array column, scaled to length 1; zero rows stay zero."""
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if len(flat) != width * len(vectors):
+        raise ValueError(f"every vector must have {width} values")
+    rows = flat.reshape(len(vectors), width)
+    length = np.linalg.norm(rows, axis=1, keepdims=True)
+    return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
+
+
+def _entries(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, token id and weight of every entry of an array column."""
+    bounds = column.offsets.to_numpy().astype(np.int64)
+    flat = column.flatten()
+    return (np.repeat(np.arange(len(column)), np.diff(bounds)), flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64),
+            flat.field(1).to_numpy(zero_copy_only=False).astype(np.float64))
+
+
+_PACKED = ("dense", "owner", "token", "weight")
+
+
+def _pack(table: pa.Table | pa.RecordBatch, width: int, by_token: bool) -> dict[str, bytes | None]:
+    """The vectors and entries of rows as bytes; entries in order of tokens if asked for."""
+    out: dict[str, bytes | None] = dict.fromkeys(_PACKED)
+    names = table.schema.names
+    if "vector" in names:
+        out["dense"] = _matrix(_whole(table.column("vector")), width).tobytes()
+    if "entries" in names:
+        owner, token, weight = _entries(_whole(table.column("entries")))
+        if by_token:
+            order = np.argsort(token, kind="stable")
+            owner, token, weight = owner[order], token[order], weight[order]
+        out |= {"owner": owner.tobytes(), "token": token.tobytes(), "weight": weight.tobytes()}
+    return out
+
+
+def _whole(column):
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
 
-    wide = 4 * context.defaultParallelism
-    return points.coalesce(wide).mapInArrow(best_of, schema)
+def _packed_fields(prefix: str) -> list[T.StructField]:
+    return [T.StructField(prefix + name, T.BinaryType()) for name in _PACKED]
 
 
-def _top(candidates: DataFrame, k: int) -> DataFrame:
-    """The k best per query with ``rank`` from 1."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("id"))
-    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+def _unpacked(row: dict, prefix: str) -> tuple:
+    kinds = (np.float64, np.int64, np.int64, np.float64)
+    return tuple(None if row[prefix + name] is None else np.frombuffer(row[prefix + name], kind)
+                 for name, kind in zip(_PACKED, kinds))
 
 
-def _size(queries: DataFrame, values: str) -> tuple[int, int]:
-    """Number of queries and length of the longest array."""
-    row = queries.agg(F.count(F.lit(1)), F.max(F.size(values))).first()
-    return row[0], max(1, row[1] or 0)
+def _query_blocks(queries: DataFrame, width: int, longest: int, count: int) -> DataFrame:
+    """(block, query_ids, packed columns), staged: each block at most about ``QUERY_BLOCK_BYTES``."""
+    per_block = max(1, QUERY_BLOCK_BYTES // (8 * width + 24 * longest))
+    blocks = max(1, math.ceil(count / per_block))
+    numbered = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    ids = T.StructField("query_ids", T.ArrayType(queries.schema["query_id"].dataType))
+    schema = T.StructType([T.StructField("block", T.IntegerType()), ids, *_packed_fields("q_")])
+    names = to_arrow_schema(schema)
 
+    def pack(key: tuple, table: pa.Table) -> pa.Table:
+        packed = {f"q_{name}": [value] for name, value in _pack(table, width, by_token=True).items()}
+        row = {"block": [key[0].as_py()], "query_ids": [table.column("query_id").to_pylist()], **packed}
+        return pa.table([pa.array(row[field.name], field.type) for field in names], schema=names)
 
-def _blocks(queries: DataFrame, count: int, per_block: int) -> Iterator[list]:
-    """Queries in blocks of about ``per_block``; a block is the most the driver ever holds."""
-    blocks = math.ceil(count / max(1, per_block))
-    for number in range(blocks):
-        part = queries if blocks == 1 else queries.filter(
-            F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)
-        rows = part.collect()
-        if rows:
-            yield rows
+    return stage(numbered.groupBy("block").applyInArrow(pack, schema), "queries")
+
+
+def _point_batches(points: DataFrame, width: int) -> DataFrame:
+    """(ids, packed columns): a row per Arrow batch."""
+    schema = T.StructType([T.StructField("ids", T.ArrayType(points.schema["id"].dataType)), *_packed_fields("p_")])
+    names = to_arrow_schema(schema)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                row = {f"p_{name}": [value] for name, value in _pack(batch, width, by_token=False).items()}
+                row["ids"] = [batch.column("id").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(row[field.name], field.type) for field in names], schema=names)
+
+    return points.mapInArrow(pack, schema)
+
+
+def _dense_scores(points: np.ndarray, queries: np.ndarray, rows: int, asked: int) -> Iterator[tuple]:
+    """(slice, scores, may be a hit) in pieces of bounded size."""
+    points, queries = points.reshape(rows, -1), queries.reshape(asked, -1).T
+    step = max(1, _CELLS // max(1, asked))
+    for at in range(0, rows, step):
+        scores = np.round(points[at:at + step] @ queries, SCORE_DECIMALS)
+        yield slice(at, at + step), scores, np.ones_like(scores, dtype=bool)
+
+
+def _sparse_scores(points: tuple, queries: tuple, rows: int, asked: int) -> Iterator[tuple]:
+    """Products over shared tokens, found by the queries' postings; no shared token, no hit."""
+    owner, token, weight = points
+    query, known, value = queries
+    first, last = np.searchsorted(known, token), np.searchsorted(known, token, side="right")
+    shared = np.flatnonzero(last > first)
+    owner, weight, first, each = owner[shared], weight[shared], first[shared], (last - first)[shared]
+    step = max(1, _CELLS // max(1, asked))
+    for at in range(0, rows, step):
+        here = slice(*np.searchsorted(owner, [at, at + step]))
+        n = each[here]
+        place = np.repeat(first[here], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        cell = np.repeat(owner[here] - at, n) * asked + query[place]
+        size = min(step, rows - at)
+        scores = np.bincount(cell, np.repeat(weight[here], n) * value[place], size * asked).reshape(size, asked)
+        touched = np.bincount(cell, minlength=size * asked).reshape(size, asked) > 0
+        yield slice(at, at + step), np.round(scores, SCORE_DECIMALS), touched
 
 
 def _hit_schema(queries: DataFrame, points: DataFrame) -> T.StructType:
     return T.StructType([
+        T.StructField("side", T.StringType()),
         T.StructField("query_id", queries.schema["query_id"].dataType),
         T.StructField("id", points.schema["id"].dataType),
         T.StructField("score", T.DoubleType()),
     ])
 
 
-def _collected(parts: list[DataFrame], queries: DataFrame, points: DataFrame) -> DataFrame:
-    if not parts:
-        return queries.sparkSession.createDataFrame([], _hit_schema(queries, points))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def _candidates(met: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+    """The best rows of every task, from rows of a point batch and a query block each."""
+    names = to_arrow_schema(schema)
+
+    def drain(best: dict) -> Iterator[pa.RecordBatch]:
+        for (_, side), kept in best.items():
+            if kept.id is not None:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([side] * len(kept.query), names.field(0).type),
+                    pa.array([kept.queries[q] for q in kept.query], names.field(1).type),
+                    pa.array(kept.id.tolist(), names.field(2).type),
+                    pa.array(kept.score, names.field(3).type)], schema=names)
+        best.clear()
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[int, str], _Best] = {}
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {name: batch.column(i)[at].as_py() for i, name in enumerate(batch.schema.names)}
+                ids, asked = np.asarray(row["ids"]), row["query_ids"]
+                p_dense, *p_sparse = _unpacked(row, "p_")
+                q_dense, *q_sparse = _unpacked(row, "q_")
+                if (row["block"], DENSE) not in best and (row["block"], SPARSE) not in best and len(best) >= 2 * _OPEN_BLOCKS:
+                    yield from drain(best)
+                scored = []
+                if p_dense is not None and q_dense is not None:
+                    scored.append((DENSE, _dense_scores(p_dense, q_dense, len(ids), len(asked))))
+                if p_sparse[0] is not None and q_sparse[0] is not None:
+                    scored.append((SPARSE, _sparse_scores(p_sparse, q_sparse, len(ids), len(asked))))
+                for side, parts in scored:
+                    kept = best.setdefault((row["block"], side), _Best(asked, k))
+                    for part, scores, keep in parts:
+                        kept.add(scores, ids[part], keep)
+        yield from drain(best)
+
+    return met.mapInArrow(search, schema)
+
+
+def topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
+    """(side, query_id, id, score, rank) by one scan of the points.
+
+    Queries (query_id) and points (id) may both have ``vector`` (side dense: cosine) and ``entries`` (side sparse: dot product over
+    shared token ids). Blocks of all queries are broadcast if they are within ``BROADCAST_BYTES``; beyond it point batches
+    are dealt out and meet them in a shuffle.
+    """
+    sides = [name for name in ("vector", "entries") if name in queries.columns and name in points.columns]
+    sizes = [F.count(F.lit(1)).alias("count"), *[F.max(F.size(name)).alias(name) for name in sides]]
+    row = queries.agg(*sizes).first().asDict()
+    schema = _hit_schema(queries, points)
+    if not row["count"] or not sides:
+        return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
+    width = max(1, row.get("vector") or 1)
+    blocks = _query_blocks(queries.select("query_id", *sides), width, row.get("entries") or 0, row["count"])
+    batches = _point_batches(points.select("id", *sides), width)
+    last = blocks.agg(F.max("block")).first()[0]
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(last))).alias("block")
+    if estimated_bytes(blocks) <= BROADCAST_BYTES:
+        met = batches.select("*", numbers).join(F.broadcast(blocks), "block")
+    else:
+        parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = batches.withColumn("part", F.pmod(F.xxhash64(F.get("ids", F.lit(0))), F.lit(parts)))
+        copies = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("bigint"))
+        met = dealt.select("*", numbers).join(copies, ["block", "part"]).drop("part")
+    order = Window.partitionBy("side", "query_id").orderBy(F.desc("score"), F.col("id"))
+    found = _candidates(met, k, schema)
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def dense_topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
     """Cosine top-k: queries (query_id, vector), points (id, vector) to (query_id, id, score, rank)."""
-    count, width = _size(queries, "vector")
-    schema = _hit_schema(queries, points)
-    parts = []
-    for rows in _blocks(queries.select("query_id", "vector"), count, QUERY_BLOCK_BYTES // (8 * width)):
-        matrix = np.array([row["vector"] for row in rows], dtype=np.float64)
-        parts.append(_scan(points.select("id", "vector"), [row["query_id"] for row in rows],
-                           _dense_scorer, (matrix,), k, schema))
-    return _top(_collected(parts, queries, points), k)
+    return topk(queries.select("query_id", "vector"), points.select("id", "vector"), k).drop("side")
 
 
 def sparse_topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
     """Dot-product top-k over shared token ids; ``entries`` is an array of (id, weight) on both sides."""
-    count, longest = _size(queries, "entries")
-    schema = _hit_schema(queries, points)
-    parts = []
-    per_block = math.isqrt(QUERY_BLOCK_BYTES // (8 * longest))
-    for rows in _blocks(queries.select("query_id", "entries"), count, per_block):
-        vocabulary = np.unique(np.array([e["id"] for row in rows for e in row["entries"]], dtype=np.int64))
-        if not len(vocabulary):
-            continue
-        weights = np.zeros((len(vocabulary), len(rows)))
-        for column, row in enumerate(rows):
-            for entry in row["entries"]:
-                weights[np.searchsorted(vocabulary, entry["id"]), column] = entry["weight"]
-        parts.append(_scan(points.select("id", "entries"), [row["query_id"] for row in rows],
-                           _sparse_scorer, (vocabulary, weights), k, schema))
-    return _top(_collected(parts, queries, points), k)
+    return topk(queries.select("query_id", "entries"), points.select("id", "entries"), k).drop("side")

@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.retrieval import (RERANK_POOL, TOP_K, build_prompts, encode_queries, format_context,
                                           hybrid_topk, project_hits, rerank, rerank_pool, with_texts)
-from newsflow.session import stage
+from newsflow.session import delete_folders, stage, staged_folders
 
 
 @dataclass(frozen=True)
 class Retrieved:
-    """Ranked hits, their context and the prompt, per query."""
+    """Ranked hits, their context and the prompt, per query. They read staged tables until ``close``, or the end of a ``with``."""
 
     hits: DataFrame
     contexts: DataFrame
     prompts: DataFrame
+    folders: list[str] = field(default_factory=list)
+
+    def close(self) -> None:
+        """Delete the staged tables."""
+        delete_folders(self.hits.sparkSession, self.folders)
+
+    def __enter__(self) -> Retrieved:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 def search_view(points: DataFrame) -> DataFrame:
@@ -44,8 +55,9 @@ def retrieve(queries: DataFrame, points: DataFrame, factory, k: int = TOP_K, poo
 
     The pool is staged, so its size is known when it is joined to the stored texts.
     """
-    encoded = encode_queries(queries, factory, prefix)
-    first = stage(rerank_pool(hybrid_topk(encoded, points, k), pool), "pool")
-    hits = stage(project_hits(rerank(with_texts(first, queries, points), pool, scorer)), "hits")
+    with staged_folders() as folders:
+        encoded = encode_queries(queries, factory, prefix)
+        first = stage(rerank_pool(hybrid_topk(encoded, points, k), pool), "pool")
+        hits = stage(project_hits(rerank(with_texts(first, queries, points), pool, scorer)), "hits")
     contexts = format_context(hits)
-    return Retrieved(hits, contexts, build_prompts(queries, contexts))
+    return Retrieved(hits, contexts, build_prompts(queries, contexts), folders)

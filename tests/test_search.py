@@ -45,6 +45,40 @@ def test_dense_topk(spark, monkeypatch, block):
     assert found(hits) == brute_force(unit(queries) @ unit(points).T, 20)
 
 
+def test_dense_topk_tells_close_scores_apart(spark):
+    """Points 1e-7 apart keep their order, though their ids would reverse it."""
+    points = np.array([[1, 0.0005], [1, 0.0003], [1, 0]], dtype=float)
+    hits = topk.dense_topk(vectors(spark, np.array([[1.0, 0]]), "query_id"), vectors(spark, points, "id"), 2)
+    assert [(r["id"], r["rank"]) for r in hits.orderBy("rank").collect()] == [(2, 1), (1, 2)]
+
+
+def test_topk_reads_points_once(spark, monkeypatch, folder):
+    """Both sides and many query blocks take one scan; the driver sees counts only."""
+    monkeypatch.setattr(topk, "QUERY_BLOCK_BYTES", 8 * 4 * 2)
+    rng = np.random.default_rng(4)
+    entries = F.expr("array(struct(CAST(id % 5 AS INT) AS id, 1D AS weight))")
+    vectors(spark, rng.normal(size=(40, 4)), "id").withColumn("entries", entries).write.parquet(folder)
+    queries = vectors(spark, rng.normal(size=(9, 4)), "query_id").withColumn(
+        "entries", F.expr("array(struct(CAST(query_id % 5 AS INT) AS id, 1D AS weight))"))
+    hits = topk.topk(queries, spark.read.parquet(folder), 3)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count(folder.rsplit("/", 1)[1]) == 1
+    assert hits.groupBy("side").count().collect().__len__() == 2 and hits.count() == 9 * 3 * 2
+
+
+def test_topk_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(topk, "QUERY_BLOCK_BYTES", 8 * 4 * 2)
+    rng = np.random.default_rng(5)
+    points, queries = rng.normal(size=(200, 4)), rng.normal(size=(9, 4))
+    cosine = queries @ points.astype(np.float32).astype(float).T
+    hits = topk.dense_topk(vectors(spark, queries, "query_id"), vectors(spark, points, "id").repartition(4), 5)
+    assert hits.count() == 45
+    best = {r["query_id"]: r["id"] for r in hits.filter("rank = 1").collect()}
+    lengths = np.linalg.norm(points, axis=1)
+    assert best == {q: int((cosine[q] / lengths).argmax()) for q in range(9)}
+
+
 def test_dense_topk_rejects_other_widths(spark):
     with pytest.raises(Exception, match="every vector must have 2 values"):
         topk.dense_topk(vectors(spark, np.ones((1, 2)), "query_id"), vectors(spark, np.ones((4, 3)), "id")).collect()
