@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import dates, people
 from newsflow.functions.text import clean_text
 from newsflow.functions.urls import domain_of
+from newsflow.session import stage
 
 
 def new_articles(metadata: DataFrame, fact_articles: DataFrame) -> DataFrame:
@@ -25,9 +26,17 @@ def dedup_titles(articles: DataFrame) -> DataFrame:
 
 
 def articles_to_load(metadata: DataFrame, fact_articles: DataFrame) -> DataFrame:
-    """New articles, one per title. Only keys and titles take part in the choice; text moves once."""
-    keys = new_articles(metadata.select("url_hash", "title"), fact_articles)
-    return metadata.join(first_per_title(keys), "url_hash", "left_semi")
+    """New articles, one per title. Only keys and titles take part in the choice; text moves once.
+
+    The days of ingest that the chosen articles came in are known before their text is read, so other days' partitions
+    are not.
+    """
+    keys = new_articles(metadata.select("url_hash", "title", "ingest_day"), fact_articles)
+    first = F.min(F.struct("url_hash", "ingest_day")).alias("first")
+    winners = stage(keys.groupBy("title").agg(first).select("first.url_hash", "first.ingest_day"), "winners")
+    days = [row["ingest_day"] for row in winners.select("ingest_day").distinct().collect()]
+    return metadata.filter(F.col("ingest_day").isin(days)).join(
+        winners, ["url_hash", "ingest_day"], "left_semi").drop("ingest_day")
 
 
 def _read(message: Column, url: Column) -> Column:

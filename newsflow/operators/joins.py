@@ -7,19 +7,27 @@ from pyspark.sql import functions as F
 
 from newsflow.session import broadcast_limit, estimated_bytes
 
-SALTS = 16
+# A salt for so many bytes of facts, between these bounds.
+SALT_BYTES = 1 << 30
+LEAST_SALTS, MOST_SALTS = 16, 4096
 
 
-def lookup(facts: DataFrame, dim: DataFrame, on: str, spread: Column, how: str = "inner") -> DataFrame:
+def salt_count(facts: DataFrame) -> int:
+    """Parts a key is cut into: enough that a third of the facts in one key is no more than about ``SALT_BYTES`` each."""
+    return max(LEAST_SALTS, min(MOST_SALTS, estimated_bytes(facts) // SALT_BYTES))
+
+
+def lookup(facts: DataFrame, dim: DataFrame, on: str, spread: Column, how: str = "inner", salts: int | None = None) -> DataFrame:
     """Join ``facts`` to a ``dim`` that is unique on ``on``.
 
     A dimension whose estimated size is within the session's broadcast threshold is broadcast. Beyond
-    it both sides are salted: ``spread`` cuts every key of ``facts`` into 16 parts, and the narrow
-    dimension is repeated once per part, so a key with a third of all rows still spreads.
+    it both sides are salted: ``spread`` cuts every key of ``facts`` into ``salts`` parts, by default by the estimated size
+    of ``facts``, and the narrow dimension is repeated once per part, so a key with a third of all rows still spreads.
     """
     limit = broadcast_limit(facts.sparkSession)
     if estimated_bytes(dim) <= limit:
         return facts.join(F.broadcast(dim), on, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = salts or salt_count(facts)
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")

@@ -27,8 +27,8 @@ def chunk_view(chunks: DataFrame, articles: DataFrame, metadata: DataFrame, time
     """Chunks with title, url, publish date and authors, for all chunks or only some.
 
     Authors are gathered per article that has chunks here, before the chunks join, so chunk text never
-    enters that aggregate. Equal chunks collapse first, on all their columns; then chunk and article meet on
-    (article_id, block of 1,024 chunks), which spreads a very long article over many tasks.
+    enters that aggregate. Chunks are dealt out once, by article and block of 1,024 chunks, which spreads a very long
+    article over many tasks; there equal ones collapse, on all their columns, and meet their article.
     """
     block = F.floor(F.col("chunk_index") / BLOCK).cast("int")
     blocks = chunks.groupBy("article_id").agg(F.max(block).alias("_last"))
@@ -42,8 +42,8 @@ def chunk_view(chunks: DataFrame, articles: DataFrame, metadata: DataFrame, time
     )
     copies = about.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_last"))))
     return (
-        chunks.select("article_id", "chunk_index", "content").distinct()
-        .withColumn("_block", block)
+        chunks.select("article_id", "chunk_index", "content", block.alias("_block"))
+        .repartition("article_id", "_block").distinct()
         .join(copies, ["article_id", "_block"])
         .select(
             "article_id", "chunk_index", "content", "title", "url",

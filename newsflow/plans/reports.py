@@ -22,12 +22,13 @@ def article_count(warehouse: Warehouse) -> DataFrame:
 
 
 def warehouse_metrics(warehouse: Warehouse) -> DataFrame:
-    """Articles, chunks, raw articles without a date, and chunks per article."""
+    """Articles, chunks, raw articles without a date, and chunks per article. A load counts when its articles are there."""
     return warehouse.report("""
         SELECT articles, chunks, unknown_dates,
                CASE WHEN articles > 0 THEN bround(chunks / articles, 2) ELSE 0D END AS chunks_per_article
         FROM (SELECT (SELECT count(*) FROM {fact_articles}) AS articles,
-                     (SELECT count(*) FROM {fact_chunks}) AS chunks,
+                     (SELECT count(*) FROM {fact_chunks}
+                      WHERE load_id <= (SELECT max(load_id) FROM {fact_articles})) AS chunks,
                      (SELECT count(*) FROM {article_metadata} WHERE publish_date = 'Unknown') AS unknown_dates)
     """)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from newsflow.functions.encoders import hashing_encoder
 from newsflow.operators.points import assemble_points, chunk_view, new_chunks
@@ -19,13 +20,16 @@ def warehouse_chunks(warehouse: Warehouse, chunks: DataFrame | None = None) -> D
 def vectorize(warehouse: Warehouse, encoder=None) -> None:
     """Encode new chunks and add them to the collection. Nothing new means nothing written.
 
-    New chunks are found by key; only their text is read on, joined and encoded.
+    New chunks are found by key; only the loads they came in are read on, and only their text is joined and encoded.
     """
     warehouse.init_points()
     factory = encoder or hashing_encoder(warehouse.points_dim())
     chunks = warehouse.table("fact_chunks")
     place = ["article_id", "chunk_index"]
     with staging(warehouse.spark):
-        fresh = new_chunks(chunks.select(*place).distinct(), warehouse.table(POINTS))
-        todo = chunks.join(stage(fresh.select(*place), "fresh"), place, "left_semi")
-        warehouse.upsert_points(assemble_points(warehouse_chunks(warehouse, todo), factory))
+        fresh = new_chunks(chunks.select(*place, "load_id").distinct(), warehouse.table(POINTS))
+        keys = stage(fresh.select(*place, "load_id"), "fresh")
+        loads = [row["load_id"] for row in keys.select("load_id").distinct().collect()]
+        if loads:
+            todo = chunks.filter(F.col("load_id").isin(loads)).join(keys, [*place, "load_id"], "left_semi")
+            warehouse.append_points(assemble_points(warehouse_chunks(warehouse, todo), factory))

@@ -34,6 +34,10 @@ TABLE_COLUMNS = {
               "publish_timestamp: BIGINT>",
 }
 
+# Columns that tables are partitioned by beside the load: the day of ingest, and a part of the id that is replaced as a whole.
+PARTITIONS = {"article_metadata": "ingest_day DATE", "points": "id_part INT"}
+ID_PARTS = 64
+
 # The key on which large tables meet; they are bucketed on it when buckets are asked for.
 BUCKET_KEYS = {
     "article_metadata": "url_hash",

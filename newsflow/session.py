@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,24 +16,33 @@ from pyspark.sql import DataFrame, SparkSession
 T = TypeVar("T")
 
 
+# What the library is tuned for, where nothing else is set. Dates are read in UTC; shuffles start in many partitions, which
+# adaptive execution puts together again.
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+}
+
+
 def build_session(app: str = "newsflow", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the library is tuned for; a cluster's own settings win."""
+    """A session with ``conf`` and, where neither that nor the cluster or the user has set a key, the library's defaults."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    defaults = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
-    }
-    for key, value in {**defaults, **conf}.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    for key, value in DEFAULTS.items():
+        if key not in spark.conf.getAll:
+            spark.conf.set(key, value)
+    return spark
 
 
 _own_folders: dict[str, str] = {}
-_staging: list[list[str]] = []
+# The folders staged in each open ``staging`` block, outermost first; every thread and task has its own.
+_staging: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("staging", default=())
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -59,29 +69,48 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write once, read back: cuts the lineage and survives the loss of executors."""
     path = new_folder(df.sparkSession, label)
-    if _staging:
-        _staging[-1].append(path)
+    if _staging.get():
+        _staging.get()[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
-    """Deletes what was staged inside the block when it ends; results must be written or collected by then."""
-    _staging.append([])
+    """Deletes what was staged inside the block when it ends; results must be written or collected by then.
+
+    Operators that return a DataFrame over staged tables leave them to the block they are called in.
+    """
+    with staged_folders() as folders:
+        try:
+            yield
+        finally:
+            delete_folders(spark, folders)
+
+
+@contextlib.contextmanager
+def staged_folders() -> Iterator[list[str]]:
+    """Gives the list of folders that are staged inside the block, for an owner that deletes them later."""
+    own: list[str] = []
+    token = _staging.set((*_staging.get(), own))
     try:
-        yield
+        yield own
     finally:
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        for path in _staging.pop():
-            folder = hadoop.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _staging.reset(token)
+
+
+def delete_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete staged folders and forget them."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while folders:
+        folder = hadoop.Path(folders.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def together(*jobs: Callable[[], T]) -> list[T]:
     """Run independent jobs at the same time, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        running = [pool.submit(contextvars.copy_context().run, inheritable_thread_target(job)) for job in jobs]
         return [job.result() for job in running]
 
 

@@ -11,9 +11,6 @@ from newsflow.schemas import ARTICLE
 TOPIC = "news_raw"
 PEEK = 5
 
-# Kafka positions become one number: offset first, then partition.
-_PARTITION_BITS = 12
-
 
 def to_messages(articles: DataFrame) -> DataFrame:
     """Article items as JSON text in ``value``; non-ASCII text is kept, absent fields are null."""
@@ -31,32 +28,57 @@ def write_topic(messages: DataFrame, path: str | None = None, kafka: dict[str, s
 
 
 def _kafka_messages(raw: DataFrame) -> DataFrame:
-    seq = F.shiftleft(F.col("offset"), _PARTITION_BITS) + F.col("partition")
-    return raw.select(F.col("value").cast("string").alias("value"), seq.alias("seq"))
+    """Messages with their arrival: time, then partition and offset."""
+    return raw.select(F.col("value").cast("string").alias("value"), F.struct("timestamp", "partition", "offset").alias("seq"))
+
+
+def _file_messages(lines: DataFrame) -> DataFrame:
+    """Lines with the place they were read from: when the file was written, its path, and the block in it."""
+    file = F.col("_metadata")
+    return lines.select("value", F.struct(
+        file["file_modification_time"].alias("time"), file["file_path"].alias("path"),
+        file["file_block_start"].alias("block")).alias("place"))
 
 
-def with_seq(lines: DataFrame) -> DataFrame:
-    """Lines with an arrival number: the message's own ``seq``, else the order of reading."""
-    own = F.get_json_object("value", "$.seq").try_cast("bigint")
-    return lines.select("value", F.coalesce(own, F.monotonically_increasing_id()).alias("seq"))
+def with_seq(messages: DataFrame) -> DataFrame:
+    """Messages (value, place) of a batch with their arrival ``seq``: the place, then the line within it.
+
+    Rows of one block are read by one task in their order, so the number Spark gives them rises within it.
+    """
+    return messages.select("value", F.struct(
+        "place.time", "place.path", "place.block", F.monotonically_increasing_id().alias("line")).alias("seq"))
 
 
 def read_topic(spark: SparkSession, path: str | None = None, kafka: dict[str, str] | None = None) -> DataFrame:
-    """All messages of the topic as a batch: (value, seq)."""
+    """All messages of the topic as a batch: (value, seq); ``seq`` orders them by arrival."""
     if kafka:
         options = {"subscribe": TOPIC, "startingOffsets": "earliest", **kafka}
         return _kafka_messages(spark.read.format("kafka").options(**options).load())
-    return with_seq(spark.read.text(path))
+    return with_seq(_file_messages(spark.read.text(path)))
 
 
 def stream_topic(spark: SparkSession, path: str | None = None, kafka: dict[str, str] | None = None) -> DataFrame:
-    """The topic as a stream from its beginning: (value, seq), or (value) from a folder."""
+    """The topic as a stream from its beginning: (value, seq), or (value, place) from a folder."""
     if kafka:
         options = {"subscribe": TOPIC, "startingOffsets": "earliest", **kafka}
         return _kafka_messages(spark.readStream.format("kafka").options(**options).load())
-    return spark.readStream.text(path)
+    return _file_messages(spark.readStream.text(path))
 
 
 def peek_topic(messages: DataFrame, n: int = PEEK) -> DataFrame:
-    """The first messages of the topic."""
+    """The first ``n`` of messages (value, seq): no task hands on more than ``n``."""
     return messages.orderBy("seq").limit(n)
+
+
+def peek_files(spark: SparkSession, path: str, n: int = PEEK) -> DataFrame:
+    """The first ``n`` messages of a folder. Only as many of its oldest files are read as hold that many lines."""
+    listed = spark.read.format("binaryFile").load(path).select("path", "modificationTime", "length").filter("length > 0")
+    known = 1
+    while True:
+        oldest = [row["path"] for row in listed.orderBy("modificationTime", "path").limit(known).collect()]
+        if not oldest:
+            return read_topic(spark, path).limit(n)
+        first = read_topic(spark, oldest)
+        if len(oldest) < known or first.limit(n).count() == n:
+            return peek_topic(first, n)
+        known *= 4

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from newsflow.functions.encoders import COLLECTION_DIM
 from newsflow.operators.upsert import upsert
-from newsflow.schemas import BUCKET_KEYS, TABLE_COLUMNS, WAREHOUSE_TABLES
-from newsflow.session import stage
+from newsflow.schemas import BUCKET_KEYS, ID_PARTS, PARTITIONS, TABLE_COLUMNS, WAREHOUSE_TABLES
+from newsflow.session import stage, staging
 
 METADATA = "article_metadata"
 POINTS = "points"
@@ -19,6 +22,18 @@ def _columns(table: str) -> list[str]:
     return StructType.fromDDL(TABLE_COLUMNS[table]).fieldNames()
 
 
+@contextlib.contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """An overwrite replaces only the partitions it has rows for."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Warehouse:
     """Tables of ``database``; with ``buckets``, large tables are bucketed on the key they are joined by.
 
@@ -43,8 +58,8 @@ class Warehouse:
         self.spark.catalog.refreshTable(self.name(table))
 
     def _create(self, table: str) -> None:
-        partition = " PARTITIONED BY (load_id)" if table in WAREHOUSE_TABLES else ""
-        columns = TABLE_COLUMNS[table] + (", load_id BIGINT" if partition else "")
+        by = "load_id BIGINT" if table in WAREHOUSE_TABLES else PARTITIONS[table]
+        columns, partition = f"{TABLE_COLUMNS[table]}, {by}", f" PARTITIONED BY ({by.split()[0]})"
         key = BUCKET_KEYS.get(table)
         bucketed = f" CLUSTERED BY ({key}) INTO {self.buckets} BUCKETS" if self.buckets and key else ""
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet{partition}{bucketed}")
@@ -93,16 +108,17 @@ class Warehouse:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(POINTS)}")
 
     def read_metadata(self) -> DataFrame:
-        """The four columns the ETL needs."""
-        return self.table(METADATA).select("url_hash", "title", "content", "url")
+        """The four columns the ETL needs, and the day of ingest they are stored by."""
+        return self.table(METADATA).select("url_hash", "title", "content", "url", "ingest_day")
 
     def append_metadata(self, rows: DataFrame) -> None:
-        stamped = rows.withColumn("crawled_at", F.current_timestamp())
+        now = F.current_timestamp()
+        stamped = rows.withColumns({"crawled_at": now, "ingest_day": F.to_date(now)})
         self._insert(METADATA, stamped)
 
-    def _insert(self, table: str, df: DataFrame) -> None:
-        columns = _columns(table)
-        self._placed(table, df.select(*columns)).write.insertInto(self.name(table))
+    def _insert(self, table: str, df: DataFrame, overwrite: bool = False) -> None:
+        columns = [*_columns(table), PARTITIONS[table].split()[0]]
+        self._placed(table, df.select(*columns)).write.insertInto(self.name(table), overwrite=overwrite)
 
     def next_load(self) -> int:
         """One more than the last complete load; ``fact_articles`` is written last and marks completion."""
@@ -126,18 +142,37 @@ class Warehouse:
         for table in (METADATA, *WAREHOUSE_TABLES):
             self.spark.sql(f"TRUNCATE TABLE {self.name(table)}")
 
+    def _wide(self, points: DataFrame) -> DataFrame:
+        """Points with the part their id belongs to; a dense vector of another width fails the write."""
+        dim = self.points_dim()
+        wrong = F.raise_error(F.lit(f"points must have {dim} dense values"))
+        return points.withColumns({
+            "dense": F.when(F.size("dense") == dim, F.col("dense")).otherwise(wrong.cast("array<float>")),
+            "id_part": F.pmod(F.xxhash64("id"), F.lit(ID_PARTS)).cast("int")})
+
+    def append_points(self, points: DataFrame) -> None:
+        """Insert points whose ids are not in the collection; they are written once."""
+        self._insert(POINTS, self._wide(points).repartition("id_part", F.pmod(F.hash("id"), F.lit(8))))
+
     def upsert_points(self, points: DataFrame) -> None:
-        """Insert points, replacing those with the same id; a pure insert only appends."""
-        points = stage(points, "points")
-        wrong = points.filter(F.size("dense") != self.points_dim()).limit(1).count()
-        if wrong:
+        """Insert points, replacing those with the same id: only the parts of the collection that hold such ids are rewritten.
+
+        The merged parts are staged first and then put in place of the old ones.
+        """
+        wrong = points.filter(F.size("dense") != self.points_dim())
+        if not wrong.isEmpty():
             raise ValueError(f"points must have {self.points_dim()} dense values")
-        target = self.table(POINTS)
-        if target.join(points.select("id"), "id", "left_semi").isEmpty():
-            self._insert(POINTS, points)
-            return
-        merged = stage(upsert(target, points, "id"), "points")
-        self._placed(POINTS, merged).write.insertInto(self.name(POINTS), overwrite=True)
+        with staging(self.spark):
+            new = stage(self._wide(points), "points")
+            target = self.table(POINTS)
+            here = target.filter(F.col("id_part").isin([r["id_part"] for r in new.select("id_part").distinct().collect()]))
+            hit = here.join(new.select("id"), "id", "left_semi").select("id_part").distinct().collect()
+            touched = F.col("id_part").isin([row["id_part"] for row in hit])
+            if hit:
+                merged = stage(upsert(target.filter(touched), new.filter(touched), "id"), "points")
+                with _dynamic_overwrite(self.spark):
+                    self._insert(POINTS, merged, overwrite=True)
+            self._insert(POINTS, new.filter(~touched) if hit else new)
 
     def report(self, sql: str) -> DataFrame:
         """Ad-hoc SQL; ``{table}`` names a table of this database."""

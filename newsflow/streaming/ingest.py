@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from newsflow.operators.ingest import decode_messages, first_arrivals, metadata_rows, numbered, usable_messages
+from newsflow.session import stage, staging
 from newsflow.sources.topic import with_seq
 from newsflow.sources.warehouse import METADATA, Warehouse
 
@@ -41,20 +41,19 @@ class IngestCounters(StreamingQueryListener):
 
 
 def ingest_articles(messages: DataFrame, warehouse: Warehouse, checkpoint: str, **trigger) -> StreamingQuery:
-    """Stream (value[, seq]) into the raw table. Options of ``trigger()`` pass through.
+    """Stream (value, seq) or (value, place) into the raw table. Options of ``trigger()`` pass through.
 
-    A batch inserts only keys the table does not hold, so repeating it after a failure adds nothing. Every
-    batch reads the key column of the table; lengthen the trigger as the table grows.
+    A batch inserts only keys the table does not hold, so repeating it after a failure adds nothing. Its usable messages
+    are staged in the shared folder, with the numbers they got, so a lost executor changes neither. Every batch reads the key
+    column of the table; lengthen the trigger as the table grows.
     """
     def load(batch: DataFrame, _: int) -> None:
         arrived = batch if "seq" in batch.columns else with_seq(batch)
-        decoded = numbered(usable_messages(decode_messages(arrived))).persist(StorageLevel.DISK_ONLY)
         inside = Warehouse(batch.sparkSession, warehouse.database, buckets=warehouse.buckets)
-        try:
+        with staging(batch.sparkSession):
+            decoded = stage(numbered(usable_messages(decode_messages(arrived))), "messages")
             known = inside.table(METADATA).select("url_hash")
             inside.append_metadata(metadata_rows(first_arrivals(decoded, known)))
-        finally:
-            decoded.unpersist()
         warehouse.refresh(METADATA)
 
     return (

@@ -2,36 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from newsflow.plans.reports import warehouse_metrics
+from newsflow.sources.warehouse import METADATA, Warehouse
+
 # Seconds between refreshes.
 REFRESH = "10 seconds"
 
 
-def live_counts(spark: SparkSession, tables: dict[str, str], where: dict[str, str] | None = None) -> DataFrame:
-    """Running row count per label; ``tables`` maps a label to a table, ``where`` a label to a filter.
+def refresh_metrics(warehouse: Warehouse, name: str) -> DataFrame:
+    """Put the numbers of the tables as they are now into the view ``name``: one row, counted in one pass per table.
+
+    Only complete loads count.
+    """
+    for table in (METADATA, "fact_articles", "fact_chunks"):
+        warehouse.refresh(table)
+    rows = warehouse_metrics(warehouse)
+    now = warehouse.spark.createDataFrame(rows.collect(), rows.schema)
+    now.createOrReplaceTempView(name)
+    return now
+
+
+def live_metrics(warehouse: Warehouse, name: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Keep the numbers of the tables in the view ``name``, refreshed at every tick of the trigger.
 
-    Only the filtered columns are read, and each task counts before the shuffle. Files count when they
-    appear: after a load that had to be repeated, start again with a new checkpoint.
+    Each refresh counts the tables' state anew, so truncated tables, replaced partitions and repeated loads show as they are.
     """
-    where = where or {}
-    parts = []
-    for label, table in tables.items():
-        rows = spark.readStream.table(table)
-        rows = rows.filter(where[label]) if label in where else rows
-        parts.append(rows.select(F.lit(label).alias("metric")))
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged.groupBy("metric").agg(F.count(F.lit(1)).alias("n"))
-
-
-def live_metrics(counts: DataFrame, name: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the counts as an in-memory table of that name, refreshed every ten seconds."""
+    ticks = warehouse.spark.readStream.format("rate").load()
     return (
-        counts.writeStream.outputMode("complete").format("memory").queryName(name)
+        ticks.writeStream.foreachBatch(lambda _, __: refresh_metrics(warehouse, name) and None)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": REFRESH}))
         .start()

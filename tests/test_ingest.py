@@ -1,11 +1,12 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
 from newsflow.operators.ingest import decode_messages, ingest_batch, ingest_counters
 from newsflow.sources import topic
 from newsflow.streaming.ingest import IngestCounters, count_statuses, ingest_articles
-from newsflow.streaming.live import live_counts, live_metrics
+from newsflow.streaming.live import live_metrics, refresh_metrics
 
 LINES = ['{bad', '[1]', '{"url":""}', '{"title":"no url"}', '{"url":null}', '{"url":5}', '{"url":"u","title":null}',
          '{"url":"v"}', '{"url":"u","title":"late","author":"x"}', "", "null"]
@@ -98,21 +99,55 @@ def test_status_counters_of_a_stream(spark, folder):
     assert observed == {"ok": 3, "skipped": 3, "bad": 4}
 
 
-def test_live_metrics_follow_new_rows(spark, folder, warehouse):
+def test_live_metrics_show_the_tables_as_they_are(spark, folder, warehouse):
     warehouse.init_metadata()
+    warehouse.init_warehouse()
 
     def insert(*dates):
         rows = spark.createDataFrame([(d,) for d in dates], "publish_date STRING")
         columns = {c: F.lit("x") for c in ("url_hash", "url", "title", "content", "author")}
         warehouse.append_metadata(rows.withColumns(columns))
 
-    def run():
-        name = warehouse.name("article_metadata")
-        counts = live_counts(spark, {"raw": name, "unknown": name}, {"unknown": "publish_date = 'Unknown'"})
-        live_metrics(counts, "live_test", f"{folder}/live", availableNow=True).awaitTermination()
-        return {r["metric"]: r["n"] for r in spark.table("live_test").collect()}
+    def facts(load, n, chunks):
+        warehouse.write_load("fact_chunks", spark.range(chunks).select(
+            "id", "id", F.lit(0), F.lit("x")).toDF("chunk_id", "article_id", "chunk_index", "content"), load)
+        warehouse.write_load("fact_articles", spark.range(n).select(*["id"] * 7).toDF(
+            "article_id", "url_hash", "title", "source_id", "time_id", "content_id", "content_length"), load)
+
+    def now():
+        return tuple(refresh_metrics(warehouse, "live_now").first())
 
     insert("Unknown", "2024-01-01 00:00:00")
-    assert run() == {"raw": 2, "unknown": 1}
-    insert("Unknown")
-    assert run() == {"raw": 3, "unknown": 2}
+    facts(1, 2, 3)
+    assert now() == (2, 3, 1, 1.5)
+    facts(1, 2, 4)
+    assert now() == (2, 4, 1, 2.0)
+    warehouse.write_load("fact_chunks", spark.createDataFrame([(1, 1, 0, "x")], "chunk_id BIGINT, article_id BIGINT, "
+                                                              "chunk_index INT, content STRING"), 2)
+    assert now() == (2, 4, 1, 2.0)
+    warehouse.truncate_all()
+    assert now()[:3] == (0, 0, 0)
+    running = live_metrics(warehouse, "live_test", f"{folder}/live", processingTime="1 second")
+    deadline = time.monotonic() + 60
+    while not spark.catalog.tableExists("live_test") and time.monotonic() < deadline:
+        time.sleep(0.2)
+    running.stop()
+    assert spark.table("live_test").first()["articles"] == 0
+
+
+def test_arrival_order(spark, folder):
+    """A later, larger file does not come first, and a number in a message means nothing."""
+    write(spark, folder, [json.dumps({"url": "a", "title": "first"}), json.dumps({"url": "b", "title": "second"})])
+    time.sleep(1.1)
+    write(spark, folder, [json.dumps({"url": "a", "title": "late", "seq": -1})] * 3000)
+    rows = ingest_batch(topic.read_topic(spark, folder), spark.createDataFrame([], "url_hash STRING")).collect()
+    assert {(r["url"], r["title"]) for r in rows} == {("a", "first"), ("b", "second")}
+    assert [json.loads(r["value"])["title"] for r in topic.peek_files(spark, folder, 3).orderBy("seq").collect()] == [
+        "first", "second", "late"]
+
+
+def test_kafka_positions_do_not_collide(spark):
+    stamp = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    raw = spark.createDataFrame([("x", 4096, 0), ("y", 0, 1), ("z", 5000, 1)], "value STRING, partition INT, offset BIGINT")
+    found = topic._kafka_messages(raw.withColumn("timestamp", stamp))
+    assert found.select("seq").distinct().count() == 3
