@@ -206,7 +206,8 @@ def matched_clauses(texts: pa.Array, stems: Stems) -> tuple[np.ndarray, list[tup
 
 
 def _features(texts: pa.Array, stems: Stems) -> np.ndarray:
-    """Per text: 1, and logarithms of the matched weight, its share of the words, the greatest clause, the matched clauses, the words."""
+    """Per text: 1, and logarithms of the matched weight, its share of the words, the greatest clause, the matched clauses, their
+    share, the words, and whether there are any. All but the first are 0 without a matched clause: length alone says nothing."""
     out = []
     for _, part in text_slices(texts):
         count, found = matched_clauses(part, stems)
@@ -218,7 +219,8 @@ def _features(texts: pa.Array, stems: Stems) -> np.ndarray:
         np.maximum.at(most, row, weight)
         out.append(np.column_stack([
             np.ones(len(part)), np.log1p(total), np.log1p(100 * total / (count + 10)), np.log1p(most),
-            np.log1p(clauses), np.log1p(100 * clauses / (count + 10)), np.log1p(count / 100), clauses > 0]))
+            np.log1p(clauses), np.log1p(100 * clauses / (count + 10)),
+            np.log1p(count / 100) * (clauses > 0), clauses > 0]))
     return np.concatenate(out) if out else np.empty((0, 8))
 
 
@@ -328,8 +330,9 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
     keys, hits = _frequent(toxic, max(LEAST_TEXTS, int(LEAST_SHARE * texts[1])))
     misses = _clean_counts(clean, keys) if len(keys) else np.empty(0, np.int64)
     odds = np.log((hits + 0.5) / (texts[1] - hits + 0.5)) - np.log((misses + 0.5) / (texts[0] - misses + 0.5))
-    expected = (hits + misses) * (texts[1] / (texts[0] + texts[1]))
-    telling = (odds >= LEAST_ODDS) & ((hits - expected) / np.sqrt(expected + 1e-9) >= LEAST_DEVIATION)
+    pooled = (hits + misses) / (texts[1] + texts[0])
+    error = np.sqrt(pooled * (1 - pooled) * (1 / texts[1] + 1 / texts[0])) + 1e-12
+    telling = (odds >= LEAST_ODDS) & ((hits / texts[1] - misses / texts[0]) / error >= LEAST_DEVIATION)
     best = np.flatnonzero(telling)[np.argsort(-odds[telling], kind="stable")[:MAX_STEMS]]
     stems = Stems(keys[best], odds[best])
 

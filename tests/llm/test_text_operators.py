@@ -206,7 +206,7 @@ def test_clauses_are_read_as_wholes():
 
 def test_toxicity_of_odd_texts(spark):
     toxic = [f"thing {i} is a moron and more" for i in range(60)]
-    clean = [f"thing {i} is fine and more" for i in range(60)]
+    clean = [f"thing {i} is a marvel and more" for i in range(60)]
     docs = documents(spark, toxic + clean + ODD_TEXTS, score=5.0, toxic="clash", label="clash")
     marks = labels(spark, [(i, 1, int(i < 60)) for i in range(120)] + [(None, 1, 1), (3, None, None)])
     rows = {r["doc_id"]: r for r in toxicity.op8_toxicity(docs, marks).collect()}
