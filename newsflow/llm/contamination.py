@@ -205,9 +205,10 @@ def matches(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     by_kind = one_to_one.select(*whole, F.explode("places").alias("place"), rewritten.alias("rewritten")).groupBy(*whole).agg(
         F.countDistinct("place").alias("matched"), F.min("rewritten").alias("rewritten"))
     enough = by_kind.filter((F.col("matched") >= F.col("windows") * LEAST_COVERAGE) | (F.col("matched") >= LEAST_RUN))
-    return enough.groupBy("id", "row_key", "item_id").agg(
-        F.max(F.struct("matched", "windows")).alias("best"), F.min("rewritten").alias("rewritten")).select(
-        "id", "row_key", "item_id", "best.matched", "best.windows", "rewritten")
+    # the kind of window that covers more of the item speaks for the match
+    best = F.max(F.struct((F.col("matched") / F.col("windows")).alias("cover"), (~F.col("rewritten")).alias("same"), "matched", "windows"))
+    return enough.groupBy("id", "row_key", "item_id").agg(best.alias("best")).select(
+        "id", "row_key", "item_id", "best.matched", "best.windows", (~F.col("best.same")).alias("rewritten"))
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
