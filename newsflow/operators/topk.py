@@ -241,7 +241,7 @@ def topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
     else:
         parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         dealt = batches.withColumn("part", F.pmod(F.xxhash64(F.get("ids", F.lit(0))), F.lit(parts)))
-        copies = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("bigint"))
+        copies = blocks.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
         met = dealt.select("*", numbers).join(copies, ["block", "part"]).drop("part")
     order = Window.partitionBy("side", "query_id").orderBy(F.desc("score"), F.col("id"))
     found = _candidates(met, k, schema)
