@@ -1,71 +1,48 @@
 """LM scoring by cross-entropy difference.
 
-Two bigram models, of a target corpus and of the background (all documents), share one vocabulary of hashed words, one table of hashed bigrams and
-their smoothing. A document's score is the mean over its tokens of the target model's loss less the background model's: negative
-means closer to the target. Counts are taken over all texts: each task adds up its own, tables are summed in two steps,
-and the driver gets one table of a fixed number of cells.
+Two bigram models, of a target corpus and of the background (all documents), share their smoothing. A document's score is the
+mean over its tokens of the target model's loss less the background model's: negative means closer to the target.
+
+Words and bigrams are counted under keys of 63 bits over all texts; no table has a fixed size. Documents are dealt into groups. Every
+group packs its distinct keys and their counts by ranges of keys; a range adds up what all groups sent and answers each of them with
+the sums of its own keys, in the same order. The group scores its documents with these.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from newsflow.llm.batches import over_batches, small_batches
 from newsflow.llm.spans import mix, split_words, text_slices, word_keys
-from newsflow.session import estimated_bytes
 
+# Words that smoothing allows for at least; a corpus that has more of them counts its own.
 WORD_CELLS = 1 << 17
-PAIR_CELLS = 1 << 21
 CHUNK = 1 << 14
 SMOOTHING = 0.1
 BACKOFF = 8.0
-TASK_BYTES = 32 << 20
+# Text of a group, and text whose counts meet in a range.
+GROUP_BYTES = 16 << 20
+RANGE_BYTES = 32 << 20
 _START = np.uint64(0x5A17)
-_CELLS = WORD_CELLS + PAIR_CELLS
+_WORD_BIT = np.uint64(1 << 63)
 
 
 def _cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every token: its word cell, its context's word cell, its bigram cell; and the bounds of rows."""
+    """Of every token: its word's key, its context's, its bigram's; and the bounds of rows. Keys of words are negative, of bigrams not."""
     words = split_words(texts)
     keys = word_keys(words)
     opens = np.zeros(len(keys), dtype=bool)
     opens[words.bounds[:-1][words.count > 0]] = True
     context = np.where(opens, _START, np.roll(keys, 1)) if len(keys) else keys
     pair = mix(keys ^ mix(context))
-    return (keys % np.uint64(WORD_CELLS)).astype(np.int64), (context % np.uint64(WORD_CELLS)).astype(np.int64), (
-        WORD_CELLS + (pair % np.uint64(PAIR_CELLS)).astype(np.int64)), words.bounds
-
-
-def _task_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's counts, as the cells in use of every chunk of either table."""
-    tables = np.zeros((2, _CELLS), dtype=np.int64)
-    for batch in batches:
-        target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        for first, part in text_slices(batch.column(0)):
-            word, _, pair, bounds = _cells(part)
-            own = np.repeat(target[first:first + len(part)], np.diff(bounds))
-            for place in (word, pair):
-                tables[0] += np.bincount(place, minlength=_CELLS)
-                if own.any():
-                    tables[1] += np.bincount(place[own], minlength=_CELLS)
-    yield from _chunk_rows(tables)
-
-
-def _chunk_rows(tables: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for model in range(2):
-        for chunk in range(_CELLS // CHUNK):
-            values = tables[model, chunk * CHUNK:(chunk + 1) * CHUNK]
-            if values.any():
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([model], pa.int32()), pa.array([chunk], pa.int32()),
-                    pa.array([_packed(values)], pa.binary())], names=["model", "chunk", "counts"])
+    return (keys | _WORD_BIT).view(np.int64), (context | _WORD_BIT).view(np.int64), (pair & ~_WORD_BIT).view(np.int64), words.bounds
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -82,88 +59,156 @@ def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     return place, np.frombuffer(packed, f"u{size}", n, 8 + 2 * n).astype(np.int64)
 
 
-def _add_up(table: pa.Table) -> pa.Table:
-    total = np.zeros(CHUNK, dtype=np.int64)
-    for packed in table.column("counts"):
-        place, n = _unpacked(packed.as_py())
-        total[place] += n
-    return table.slice(0, 1).select(["model", "chunk"]).append_column("counts", pa.array([_packed(total)], pa.binary()))
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes in front; upper bytes that are 0 throughout are left out."""
+    width = (int(values.max(initial=0)).bit_length() + 7) // 8 or 1
+    return bytes([width]) + np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-@dataclass
-class Pair:
-    """Counts of words and bigrams under the background (0) and the target (1)."""
-
-    counts: np.ndarray
-
-    def __post_init__(self) -> None:
-        self.totals = self.counts[:, :WORD_CELLS].sum(axis=1, dtype=np.float64)
-
-    def losses(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of every text, and (texts, 2) sums of their losses under either model."""
-        tokens, sums = [], []
-        for _, part in text_slices(texts):
-            word, context, pair, bounds = _cells(part)
-            row = np.repeat(np.arange(len(part)), np.diff(bounds))
-            both = []
-            for own, total in zip(self.counts, self.totals):
-                single = (own[word] + SMOOTHING) / (total + SMOOTHING * WORD_CELLS)
-                chance = (own[pair] + BACKOFF * single) / (np.maximum(own[context], own[pair]) + BACKOFF)
-                both.append(np.bincount(row, weights=-np.log(chance), minlength=len(part)))
-            tokens.append(np.diff(bounds))
-            sums.append(np.stack(both, axis=1))
-        return np.concatenate(tokens), np.concatenate(sums)
-
-
-def train(documents: DataFrame, target, text: str = "text") -> Pair:
-    """Count all texts for the background, and those where the column ``target`` is true for the target.
-
-    Null texts count nothing; a null ``target`` is false. Without any target text the target model is the smoothing alone.
-    """
-    small_batches(documents.sparkSession)
-    rows = documents.filter(F.col(text).isNotNull()).select(F.col(text), F.coalesce(target, F.lit(False)).alias("target"))
-    schema = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("chunk", T.IntegerType()),
-                           T.StructField("counts", T.BinaryType())])
-    # about as many partial sums as each of them adds up
-    partial = max(1, int((estimated_bytes(documents) / TASK_BYTES) ** 0.5))
-    parts = rows.mapInArrow(_task_counts, schema).withColumn("part", F.spark_partition_id() % partial)
-    once = parts.groupBy("part", "model", "chunk").applyInArrow(_add_up, schema).groupBy("model", "chunk").applyInArrow(
-        _add_up, schema)
-    counts = np.zeros((2, _CELLS), dtype=np.float32)
-    for row in once.toLocalIterator():
-        place, n = _unpacked(bytes(row["counts"]))
-        counts[row["model"], row["chunk"] * CHUNK + place] = n
-    return Pair(counts)
-
-
-def score(documents: DataFrame, models: Pair, text: str = "text") -> DataFrame:
-    """``documents`` with ``tokens``, ``target_loss``, ``background_loss`` (means per token) and ``score``, their difference.
-
-    Texts without tokens, null ones too, have 0 in all four. Columns of these names are replaced; repeated rows score
-    alike.
-    """
-    made = ("tokens", "target_loss", "background_loss", "score")
-    kept = documents.drop(*made)
-    small_batches(documents.sparkSession)
-    shared = documents.sparkSession.sparkContext.broadcast(models)
-    schema = T.StructType([*kept.schema.fields, T.StructField(made[0], T.LongType()),
-                           *(T.StructField(name, T.DoubleType()) for name in made[1:])])
-    place = kept.columns.index(text)
+def _from_planes(packed: bytes) -> np.ndarray:
+    width = packed[0]
+    flat = np.frombuffer(packed, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((flat.shape[1], 8), dtype=np.uint8)
+    out[:, :width] = flat.T
+    return out.view("<u8").ravel()
+
+
+def _rotated(cells: np.ndarray) -> np.ndarray:
+    """Keys whose last bit tells a word, so that ranges of them hold words and bigrams alike."""
+    own = cells.view(np.uint64)
+    return (own << np.uint64(1)) | (own >> np.uint64(63))
+
 
-    def add(batch: pa.RecordBatch) -> dict:
-        tokens, sums = shared.value.losses(batch.column(place))
-        means = np.round(sums / np.maximum(tokens, 1)[:, None], 9)
-        columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-        return columns | {"tokens": tokens, "target_loss": means[:, 1], "background_loss": means[:, 0],
-                          "score": np.round(means[:, 1] - means[:, 0], 9)}
+def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of the even ranges of 64-bit numbers starts in sorted ``keys``, and their end."""
+    firsts = np.array([(i << 64) // ranges for i in range(ranges)], dtype=np.uint64)
+    return np.append(np.searchsorted(keys, firsts), len(keys))
 
-    return over_batches(kept, add, schema)
+
+@dataclass
+class Tokens:
+    """Tokens of a group's texts: of every token its row, whether it opens that, and the places of its word and its bigram in ``keys``."""
+
+    keys: np.ndarray
+    word: np.ndarray
+    pair: np.ndarray
+    row: np.ndarray
+    opens: np.ndarray
+
+    @classmethod
+    def of(cls, texts: pa.Array) -> Tokens:
+        words, pairs, rows = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for first, part in text_slices(texts):
+            word, _, pair, bounds = _cells(part)
+            words.append(_rotated(word))
+            pairs.append(_rotated(pair))
+            rows.append(first + np.repeat(np.arange(len(part)), np.diff(bounds)))
+        row = np.concatenate(rows)
+        keys, place = np.unique(np.concatenate(words + pairs), return_inverse=True)
+        return cls(keys, place[:len(row)], place[len(row):], row, np.diff(row, prepend=-1) != 0)
+
+    def counts(self, wanted: np.ndarray | None = None) -> np.ndarray:
+        """How often each key occurs, in the rows that are wanted."""
+        own = slice(None) if wanted is None else wanted[self.row]
+        return np.bincount(self.word[own], minlength=len(self.keys)) + np.bincount(self.pair[own], minlength=len(self.keys))
+
+    def losses(self, counts: np.ndarray, total: float, vocabulary: float, rows: int) -> np.ndarray:
+        """The sum of losses of each row under a model."""
+        single = (counts[self.word] + SMOOTHING) / (total + SMOOTHING * vocabulary)
+        pair = counts[self.pair]
+        # the start of a text is no word and has no count of its own
+        context = np.where(self.opens, pair, counts[np.roll(self.word, 1)])
+        return np.bincount(self.row, weights=-np.log((pair + BACKOFF * single) / (context + BACKOFF)), minlength=rows)
+
+
+def _column(table: pa.Table, place: int) -> pa.Array:
+    own = table.column(place).combine_chunks()
+    return own if isinstance(own, pa.Array) else pa.concat_arrays(own.chunks)
+
+
+_REQUEST = T.StructType([
+    T.StructField("group", T.LongType()), T.StructField("range", T.IntegerType()), T.StructField("keys", T.BinaryType()),
+    T.StructField("background", T.BinaryType()), T.StructField("target", T.BinaryType())])
+_ANSWER = T.StructType([
+    T.StructField("group", T.LongType()), T.StructField("range", T.IntegerType()), T.StructField("words", T.LongType()),
+    T.StructField("background_total", T.LongType()), T.StructField("target_total", T.LongType()),
+    T.StructField("background", T.BinaryType()), T.StructField("target", T.BinaryType())])
+
+
+def _answers(requests: pa.Table) -> pa.Table:
+    """Sums of a range for every group's keys, and over the range the number of words, distinct and in all."""
+    sides = [[_from_planes(x.as_py()) for x in requests.column(i)] for i in (2, 3, 4)]
+    sizes = [len(x) for x in sides[0]]
+    keys, place = np.unique(np.concatenate([np.cumsum(x, dtype=np.uint64) for x in sides[0]]), return_inverse=True)
+    word = (keys & np.uint64(1)).astype(bool)
+    sums = [np.bincount(place, weights=np.concatenate(side), minlength=len(keys)).astype(np.int64) for side in sides[1:]]
+    ends = np.cumsum(sizes)
+    rows = len(sizes)
+    packed = [pa.array([_planes(own[place[end - size:end]]) for size, end in zip(sizes, ends)], pa.binary()) for own in sums]
+    repeated = [pa.array([int(n)] * rows, pa.int64()) for n in (word.sum(), *(own[word].sum() for own in sums))]
+    return pa.Table.from_arrays([_column(requests, 0), _column(requests, 1), *repeated, *packed], schema=to_arrow_schema(_ANSWER))
+
+
+def score(documents: DataFrame, good: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, tokens, target_loss, background_loss, score) of every row: means per token and their difference.
+
+    All texts count for the background, those whose id is among ``good`` for the target; without any the target model is the smoothing
+    alone. Texts without tokens, null ones too, have 0 in all four. Repeated rows score alike.
+    """
+    size = documents.agg(F.sum(F.octet_length(text)).alias("size")).first()["size"] or 0
+    least = documents.sparkSession.sparkContext.defaultParallelism
+    groups, ranges = (max(least, -(-size // each)) for each in (GROUP_BYTES, RANGE_BYTES))
+    number = lambda hashed: F.pmod(hashed, F.lit(groups)).alias("group")
+    kind = documents.schema[key].dataType
+    # rows without an id are in no target and are dealt out by their text
+    texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text"), number(
+        F.when(F.col(key).isNull(), F.xxhash64(F.col(text))).otherwise(F.xxhash64(F.col(key)))))
+    wanted = good.select(F.col(key).cast(kind).alias("id")).filter("id IS NOT NULL").distinct()
+    wanted = wanted.select("id", number(F.xxhash64("id")))
+    by_group = texts.groupBy("group")
+
+    def ask(docs: pa.Table, ids: pa.Table) -> pa.Table:
+        names = to_arrow_schema(_REQUEST)
+        if not docs.num_rows:
+            return names.empty_table()
+        tokens = Tokens.of(_column(docs, 1))
+        target = pc.fill_null(pc.is_in(_column(docs, 0), value_set=_column(ids, 0)), False).to_numpy(zero_copy_only=False)
+        both = tokens.counts(), tokens.counts(target)
+        cuts = _cuts(tokens.keys, ranges)
+        parts = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
+        zero = np.zeros(1, np.uint64)
+        return pa.Table.from_arrays([
+            pa.array([docs.column(2)[0].as_py()] * ranges, pa.int64()), pa.array(range(ranges), pa.int32()),
+            pa.array([_planes(np.diff(tokens.keys[x], prepend=zero)) for x in parts], pa.binary()),
+            *(pa.array([_planes(own[x]) for x in parts], pa.binary()) for own in both)], schema=names)
+
+    made = T.StructType([
+        T.StructField(key, kind), T.StructField("tokens", T.LongType()),
+        *(T.StructField(name, T.DoubleType()) for name in ("target_loss", "background_loss", "score"))])
+
+    def add(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        names = to_arrow_schema(made)
+        if not docs.num_rows:
+            return names.empty_table()
+        tokens = Tokens.of(_column(docs, 1))
+        answers = answers.sort_by("range")
+        vocabulary, *totals = (sum(answers.column(i).to_pylist()) for i in (2, 3, 4))
+        n = np.bincount(tokens.row, minlength=docs.num_rows)
+        means = []
+        for place, total in zip((5, 6), totals):
+            counts = np.concatenate([_from_planes(x.as_py()) for x in answers.column(place)])
+            if len(counts) != len(tokens.keys):
+                raise ValueError("the counts are not those of this group's keys")
+            sums = tokens.losses(counts.astype(np.float64), total, max(WORD_CELLS, vocabulary), docs.num_rows)
+            means.append(np.round(sums / np.maximum(n, 1), 9))
+        return pa.Table.from_arrays([_column(docs, 0), pa.array(n, pa.int64()), pa.array(means[1]), pa.array(means[0]),
+                                     pa.array(np.round(means[1] - means[0], 9))], schema=names)
+
+    requests = by_group.cogroup(wanted.groupBy("group")).applyInArrow(ask, _REQUEST)
+    answers = requests.groupBy("range").applyInArrow(_answers, _ANSWER)
+    return by_group.cogroup(answers.groupBy("group")).applyInArrow(add, made)
 
 
 def op7_lm_scoring(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, tokens, target_loss, background_loss, score for every row; the target is documents labelled as of good quality."""
-    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("good", F.lit(True))
-    texts = documents.select("doc_id", "text")
-    # labels grow with the corpus, so texts and labels are always merged, never broadcast
-    models = train(texts.join(good.hint("merge"), "doc_id", "left"), F.col("good"))
-    return score(texts, models).drop("text")
+    return score(documents, labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id"))

@@ -277,3 +277,28 @@ def test_lm_tables_pack_and_unpack():
     values[[0, 5, lmscore.CHUNK - 1]] = [1, 300, 1 << 40]
     place, n = lmscore._unpacked(lmscore._packed(values))
     assert place.tolist() == [0, 5, lmscore.CHUNK - 1] and n.tolist() == [1, 300, 1 << 40]
+
+
+def test_words_and_bigrams_are_counted_apart(spark):
+    """Counts by strings, over more words and bigrams than a small table of cells keeps apart."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 6000, size=600)) for _ in range(40)]
+    marks = labels(spark, [(i, 1, 0) for i in range(0, 40, 3)])
+    rows = {r["doc_id"]: r for r in lmscore.op7_lm_scoring(documents(spark, texts), marks).collect()}
+    single, pairs = [{}, {}], [{}, {}]
+    for i, text in enumerate(texts):
+        split = text.split()
+        for model in (0, 1) if i % 3 == 0 else (0,):
+            for context, word in zip([None, *split], split):
+                single[model][word] = single[model].get(word, 0) + 1
+                pairs[model][context, word] = pairs[model].get((context, word), 0) + 1
+    for i, text in enumerate(texts):
+        split = text.split()
+        for model, name in enumerate(("background_loss", "target_loss")):
+            loss, total = 0.0, sum(single[model].values())
+            for context, word in zip([None, *split], split):
+                chance = (single[model].get(word, 0) + lmscore.SMOOTHING) / (total + lmscore.SMOOTHING * lmscore.WORD_CELLS)
+                both = pairs[model].get((context, word), 0)
+                loss -= np.log((both + lmscore.BACKOFF * chance) / (
+                    (both if context is None else single[model].get(context, 0)) + lmscore.BACKOFF))
+            assert abs(rows[i][name] - loss / len(split)) < 1e-7
