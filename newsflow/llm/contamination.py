@@ -112,41 +112,49 @@ def _templates(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _windows(texts: pa.Array, bitmap: np.ndarray | None) -> dict[str, list]:
-    """Windows of the texts with enough words in them, those that the bitmap has if there is one.
+    """Windows of the texts, those that the bitmap has if there is one. Slots are part of the hash where a window has nothing else.
 
-    row, hash, place, the number of its row's windows of that kind, kind, and slots in order.
+    row, hash, place, the number of its row's windows of that kind and of those with a word in them, kind, slots in order, the places of
+    the window's words in the row, and how many words and tokens the row has.
     """
-    found: dict[str, list] = {name: [] for name in ("row", "hash", "place", "windows", "kind", "slots")}
+    found: dict[str, list] = {name: [] for name in ("row", *_WINDOW.names)}
     for first, part in text_slices(texts):
         for kind, (token, types, slots, bounds) in enumerate(_templates(part)):
             hashes, own = windows(token, bounds, WIDTH)
             sizes = np.diff(own)
+            plain = np.concatenate([[0], np.cumsum(types == _WORD)])
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            start = bounds[of] + np.arange(len(hashes)) - own[of]
+            stop = np.minimum(start + WIDTH, bounds[of + 1])
+            worded = plain[stop] > plain[start]
+            hashes = np.where(worded, hashes, hashes ^ mix(windows(slots, bounds, WIDTH)[0]))
             if bitmap is None:
                 hit = np.arange(len(hashes))
             else:
                 slot = hashes & np.uint64(BITMAP_BITS - 1)
                 hit = np.flatnonzero((bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
-            row = np.searchsorted(own, hit, side="right") - 1
-            place = hit - own[row]
-            plain = np.concatenate([[0], np.cumsum(types == _WORD)])
-            start = bounds[row] + place
-            stop = np.minimum(start + WIDTH, bounds[row + 1])
-            ok = plain[stop] - plain[start] >= np.minimum(LEAST_WORDS, stop - start)
-            for at in np.flatnonzero(ok):
-                found["row"].append(first + int(row[at]))
-                found["hash"].append(int(hashes[hit[at]].view(np.int64)))
-                found["place"].append(int(place[at]))
-                found["windows"].append(int(sizes[row[at]]))
-                found["kind"].append(kind)
+            templates = np.bincount(of, weights=worded, minlength=len(sizes))
+            for at in hit:
+                row = of[at]
                 inner = slice(start[at], stop[at])
+                found["row"].append(first + int(row))
+                found["hash"].append(int(hashes[at].view(np.int64)))
+                found["place"].append(int(start[at] - bounds[row]))
+                found["windows"].append(int(sizes[row]))
+                found["templates"].append(int(templates[row]))
+                found["kind"].append(kind)
                 found["slots"].append(slots[inner][types[inner] != _WORD].view(np.int64).tolist())
+                found["words"].append((np.flatnonzero(types[inner] == _WORD) + start[at] - bounds[row]).tolist())
+                found["row_words"].append(int(plain[bounds[row + 1]] - plain[bounds[row]]))
+                found["tokens"].append(int(bounds[row + 1] - bounds[row]))
     return found
 
 
 _WINDOW = T.StructType([
     T.StructField("hash", T.LongType()), T.StructField("place", T.IntegerType()),
-    T.StructField("windows", T.IntegerType()), T.StructField("kind", T.IntegerType()),
-    T.StructField("slots", T.ArrayType(T.LongType()))])
+    T.StructField("windows", T.IntegerType()), T.StructField("templates", T.IntegerType()), T.StructField("kind", T.IntegerType()),
+    T.StructField("slots", T.ArrayType(T.LongType())), T.StructField("words", T.ArrayType(T.IntegerType())),
+    T.StructField("row_words", T.IntegerType()), T.StructField("tokens", T.IntegerType())])
 
 
 def _window_rows(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
@@ -190,19 +198,29 @@ def matches(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     known = stage(_window_rows(items, None).withColumnsRenamed(
         {"place": "item_place", "slots": "item_slots"}), "benchmark")
     texts = documents.select(F.col(key).alias("id"), row_key(key, text).alias("row_key"), F.col(text).alias("text"))
-    found = _window_rows(texts, _bitmap(known)).drop("windows")
+    found = _window_rows(texts, _bitmap(known)).select(
+        "id", "row_key", "hash", "kind", "place", "slots")
     small = estimated_bytes(known) <= max(broadcast_limit(spark), 8 << 20)
     both = found.join(F.broadcast(known) if small else known, ["hash", "kind"])
     both = both.filter(F.size("slots") == F.size("item_slots")).distinct()
 
     whole = ["id", "row_key", "item_id", "windows", "kind"]
-    aligned = both.groupBy(*whole, (F.col("place") - F.col("item_place")).alias("offset")).agg(
+    item_side = ["templates", "row_words", "tokens"]
+    aligned = both.groupBy(*whole, *item_side, (F.col("place") - F.col("item_place")).alias("offset")).agg(
         F.collect_set("item_place").alias("places"),
+        F.collect_set(F.when(F.col("slots") == F.col("item_slots"), F.col("item_place"))).alias("exact"),
+        F.size(F.collect_set(F.when(F.size("words") > 0, F.col("item_place")))).alias("templated"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("words")))).alias("covered"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"))
     bound = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["item_slots"])))
     one_to_one = aligned.filter(bound)
-    rewritten = F.exists("pairs", lambda x: x["item_slots"] != x["slots"])
-    by_kind = one_to_one.select(*whole, F.explode("places").alias("place"), rewritten.alias("rewritten")).groupBy(*whole).agg(
+    # slots filled anew need words around them: enough, or those of all windows of an item that is poor in them
+    all_of_it = (F.col("tokens") > WIDTH) & (F.col("row_words") >= 2) & (F.col("templated") == F.col("templates")) & (
+        F.col("templates") >= 2)
+    worded = (F.col("covered") >= LEAST_WORDS) | all_of_it
+    rewritten = worded & F.exists("pairs", lambda x: x["item_slots"] != x["slots"])
+    places = F.explode(F.when(worded, F.col("places")).otherwise(F.col("exact")))
+    by_kind = one_to_one.select(*whole, places.alias("place"), rewritten.alias("rewritten")).groupBy(*whole).agg(
         F.countDistinct("place").alias("matched"), F.min("rewritten").alias("rewritten"))
     enough = by_kind.filter((F.col("matched") >= F.col("windows") * LEAST_COVERAGE) | (F.col("matched") >= LEAST_RUN))
     # the kind of window that covers more of the item speaks for the match

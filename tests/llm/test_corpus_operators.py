@@ -389,3 +389,11 @@ def test_too_many_rules_are_refused(spark, monkeypatch):
     monkeypatch.setattr(urls, "MAX_INDEX_BYTES", 10)
     with pytest.raises(ValueError):
         urls.filter_urls(spark.createDataFrame([(1, "x")], "page_id BIGINT, url STRING"))
+
+
+def test_items_poor_in_words_are_found(spark):
+    items = [(0, "A train travels 60 km in 2 hours and 30 minutes"), (1, "3 + 4 * 12 - 5 + 81 * 7 - 6 + 19 * 2"), (2, "Is 7 + 5 less than 13")]
+    texts = ["Before that. " + items[0][1] + ". After it.", "A train travels 80 km in 3 hours and 15 minutes",
+             "We saw " + items[1][1] + " there", "We saw 1 + 4 * 12 - 5 + 80 * 7 - 3 + 19 * 2 there", items[2][1],
+             "It was 60 km in 2 hours by bus and 10 km in 30 minutes on foot"]
+    assert found_items(spark, texts, items) == {(0, 0): False, (1, 0): True, (2, 1): False, (4, 2): False}
