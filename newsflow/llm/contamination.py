@@ -26,6 +26,9 @@ WIDTH = 8
 LEAST_WORDS = 5
 LEAST_COVERAGE = 0.25
 LEAST_RUN = 6
+# Items below both of these are common words rather than questions; they are found only as a whole text.
+SHORT_WORDS = 3
+SHORT_BYTES = 16
 BITMAP_BITS = 1 << 24
 # Units that may follow a number.
 UNITS = (
@@ -87,8 +90,8 @@ def _types(words: Words, raw: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _templates(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For both kinds of window: token keys, token types, slot keys, and bounds of rows, of a null-free array."""
+def _templates(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
+    """For both kinds of window: token keys, token types, slot keys, and bounds of rows, of a null-free array; and which rows are tiny."""
     lower = _lowered(texts)
     words = split_words(lower, lower=False)
     raw, _ = raw_bytes(texts)
@@ -108,45 +111,59 @@ def _templates(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray
         kept = own[lead]
         token = np.where(kept == _WORD, keys[lead], _PLACEHOLDERS[kept]) ^ _KINDS[kind]
         out.append((token, kept, slots, np.searchsorted(lead, words.bounds)))
-    return out
+    length = np.concatenate([[0], np.cumsum(words.end - words.start)])
+    return out, (words.count < SHORT_WORDS) & (np.diff(length[words.bounds]) < SHORT_BYTES)
 
 
-def _windows(texts: pa.Array, bitmap: np.ndarray | None) -> dict[str, list]:
-    """Windows of the texts, those that the bitmap has if there is one. Slots are part of the hash where a window has nothing else.
+def _windows(texts: pa.Array, bitmap: np.ndarray | None, widths: list[int], whole_widths: list[int]) -> dict[str, list]:
+    """Windows of the texts. Slots are part of the hash where a window has nothing else.
 
-    row, hash, place, the number of its row's windows of that kind and of those with a word in them, kind, slots in order, the places of
-    the window's words in the row, and how many words and tokens the row has.
+    Without a bitmap, those of benchmark items: of ``WIDTH`` tokens, or of all if there are fewer. Else those of documents that the bitmap
+    has: of all ``widths``, and whole texts of ``whole_widths``. Each with its row, hash, place, the number of its row's windows of that kind and of those
+    with a word in them, kind, slots in order, the places of the window's words in the row, how many words and tokens the row has, and
+    whether it is tiny.
     """
     found: dict[str, list] = {name: [] for name in ("row", *_WINDOW.names)}
     for first, part in text_slices(texts):
-        for kind, (token, types, slots, bounds) in enumerate(_templates(part)):
-            hashes, own = windows(token, bounds, WIDTH)
-            sizes = np.diff(own)
+        kinds, tiny = _templates(part)
+        for kind, (token, types, slots, bounds) in enumerate(kinds):
+            count = np.diff(bounds)
             plain = np.concatenate([[0], np.cumsum(types == _WORD)])
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            start = bounds[of] + np.arange(len(hashes)) - own[of]
-            stop = np.minimum(start + WIDTH, bounds[of + 1])
-            worded = plain[stop] > plain[start]
-            hashes = np.where(worded, hashes, hashes ^ mix(windows(slots, bounds, WIDTH)[0]))
-            if bitmap is None:
-                hit = np.arange(len(hashes))
-            else:
-                slot = hashes & np.uint64(BITMAP_BITS - 1)
-                hit = np.flatnonzero((bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
-            templates = np.bincount(of, weights=worded, minlength=len(sizes))
-            for at in hit:
-                row = of[at]
-                inner = slice(start[at], stop[at])
-                found["row"].append(first + int(row))
-                found["hash"].append(int(hashes[at].view(np.int64)))
-                found["place"].append(int(start[at] - bounds[row]))
-                found["windows"].append(int(sizes[row]))
-                found["templates"].append(int(templates[row]))
-                found["kind"].append(kind)
-                found["slots"].append(slots[inner][types[inner] != _WORD].view(np.int64).tolist())
-                found["words"].append((np.flatnonzero(types[inner] == _WORD) + start[at] - bounds[row]).tolist())
-                found["row_words"].append(int(plain[bounds[row + 1]] - plain[bounds[row]]))
-                found["tokens"].append(int(bounds[row + 1] - bounds[row]))
+            for width in range(1, WIDTH + 1):
+                if bitmap is None:
+                    rows = count == width if width < WIDTH else count >= width
+                elif width in widths:
+                    rows = count >= width
+                else:
+                    rows = (count == width) & (width in whole_widths)
+                if not rows.any():
+                    continue
+                hashes, own = windows(token, bounds, width)
+                sizes = np.diff(own)
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                start = bounds[of] + np.arange(len(hashes)) - own[of]
+                stop = np.minimum(start + width, bounds[of + 1])
+                worded = plain[stop] > plain[start]
+                hashes = np.where(worded, hashes, hashes ^ mix(windows(slots, bounds, width)[0]))
+                hit = rows[of]
+                if bitmap is not None:
+                    slot = hashes & np.uint64(BITMAP_BITS - 1)
+                    hit &= ((bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+                templates = np.bincount(of, weights=worded, minlength=len(sizes))
+                for at in np.flatnonzero(hit):
+                    row = of[at]
+                    inner = slice(start[at], stop[at])
+                    found["row"].append(first + int(row))
+                    found["hash"].append(int(hashes[at].view(np.int64)))
+                    found["place"].append(int(start[at] - bounds[row]))
+                    found["windows"].append(int(sizes[row]))
+                    found["templates"].append(int(templates[row]))
+                    found["kind"].append(kind)
+                    found["slots"].append(slots[inner][types[inner] != _WORD].view(np.int64).tolist())
+                    found["words"].append((np.flatnonzero(types[inner] == _WORD) + start[at] - bounds[row]).tolist())
+                    found["row_words"].append(int(plain[bounds[row + 1]] - plain[bounds[row]]))
+                    found["tokens"].append(int(count[row]))
+                    found["tiny"].append(bool(tiny[row]))
     return found
 
 
@@ -154,10 +171,11 @@ _WINDOW = T.StructType([
     T.StructField("hash", T.LongType()), T.StructField("place", T.IntegerType()),
     T.StructField("windows", T.IntegerType()), T.StructField("templates", T.IntegerType()), T.StructField("kind", T.IntegerType()),
     T.StructField("slots", T.ArrayType(T.LongType())), T.StructField("words", T.ArrayType(T.IntegerType())),
-    T.StructField("row_words", T.IntegerType()), T.StructField("tokens", T.IntegerType())])
+    T.StructField("row_words", T.IntegerType()), T.StructField("tokens", T.IntegerType()),
+    T.StructField("tiny", T.BooleanType())])
 
 
-def _window_rows(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
+def _window_rows(texts: DataFrame, bitmap: np.ndarray | None = None, widths: list[int] = (), whole_widths: list[int] = ()) -> DataFrame:
     """The windows of texts (columns, last of them ``text``) with the other columns."""
     small_batches(texts.sparkSession)
     kept = texts.drop("text")
@@ -166,7 +184,7 @@ def _window_rows(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
     shared = None if bitmap is None else texts.sparkSession.sparkContext.broadcast(bitmap)
 
     def make(batch: pa.RecordBatch) -> dict:
-        found = _windows(batch.column(len(names)), None if shared is None else shared.value)
+        found = _windows(batch.column(len(names)), None if shared is None else shared.value, widths, whole_widths)
         rows = pa.array(found.pop("row"), type=pa.int64())
         return {name: batch.column(i).take(rows) for i, name in enumerate(names)} | found
 
@@ -190,22 +208,25 @@ def matches(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """(id, row_key, item_id, matched, windows, rewritten): the items that a document has in it.
 
     ``matched`` of an item's ``windows`` stand in the document in alignments whose slots are consistent; a quarter of them, or six in
-    all, make a match. ``rewritten`` tells that slots were filled anew. Items of fewer than eight template tokens are found
-    only as a whole text; null and empty texts match nothing. Repeated rows of a document or an item are each reported once.
+    all, make a match. ``rewritten`` tells that slots were filled anew. An item of fewer than eight template tokens is one
+    window of all of them; below three words and 16 bytes it is found only as a whole text. Null and empty texts match nothing. Repeated rows of a document or an item are each reported once.
     """
     spark = documents.sparkSession
     items = benchmark.select(F.col(item).alias("item_id"), F.col(item_text).alias("text")).distinct()
-    known = stage(_window_rows(items, None).withColumnsRenamed(
-        {"place": "item_place", "slots": "item_slots"}), "benchmark")
+    known = stage(_window_rows(items).withColumnsRenamed(
+        {"place": "item_place", "slots": "item_slots", "tokens": "item_tokens"}), "benchmark")
+    lengths = known.select(F.least("item_tokens", F.lit(WIDTH)).alias("width"), "tiny").distinct().collect()
+    widths, whole_widths = ([x["width"] for x in lengths if x["tiny"] == tiny] for tiny in (False, True))
     texts = documents.select(F.col(key).alias("id"), row_key(key, text).alias("row_key"), F.col(text).alias("text"))
-    found = _window_rows(texts, _bitmap(known)).select(
-        "id", "row_key", "hash", "kind", "place", "slots")
+    found = _window_rows(texts, _bitmap(known), widths, whole_widths).select(
+        "id", "row_key", "hash", "kind", "place", "slots", "tokens")
     small = estimated_bytes(known) <= max(broadcast_limit(spark), 8 << 20)
     both = found.join(F.broadcast(known) if small else known, ["hash", "kind"])
-    both = both.filter(F.size("slots") == F.size("item_slots")).distinct()
+    both = both.filter(F.size("slots") == F.size("item_slots")).filter(
+        ~F.col("tiny") | (F.col("tokens") == F.col("item_tokens"))).drop("tokens", "tiny").distinct()
 
     whole = ["id", "row_key", "item_id", "windows", "kind"]
-    item_side = ["templates", "row_words", "tokens"]
+    item_side = ["templates", "row_words", "item_tokens"]
     aligned = both.groupBy(*whole, *item_side, (F.col("place") - F.col("item_place")).alias("offset")).agg(
         F.collect_set("item_place").alias("places"),
         F.collect_set(F.when(F.col("slots") == F.col("item_slots"), F.col("item_place"))).alias("exact"),
@@ -215,7 +236,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     bound = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["item_slots"])))
     one_to_one = aligned.filter(bound)
     # slots filled anew need words around them: enough, or those of all windows of an item that is poor in them
-    all_of_it = (F.col("tokens") > WIDTH) & (F.col("row_words") >= 2) & (F.col("templated") == F.col("templates")) & (
+    all_of_it = (F.col("item_tokens") > WIDTH) & (F.col("row_words") >= 2) & (F.col("templated") == F.col("templates")) & (
         F.col("templates") >= 2)
     worded = (F.col("covered") >= LEAST_WORDS) | all_of_it
     rewritten = worded & F.exists("pairs", lambda x: x["item_slots"] != x["slots"])

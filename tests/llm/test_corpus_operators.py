@@ -397,3 +397,11 @@ def test_items_poor_in_words_are_found(spark):
              "We saw " + items[1][1] + " there", "We saw 1 + 4 * 12 - 5 + 80 * 7 - 3 + 19 * 2 there", items[2][1],
              "It was 60 km in 2 hours by bus and 10 km in 30 minutes on foot"]
     assert found_items(spark, texts, items) == {(0, 0): False, (1, 0): True, (2, 1): False, (4, 2): False}
+
+
+def test_short_items_are_found_inside_of_texts(spark):
+    items = [(0, "who wrote the long letters"), (1, "why"), (2, "Is 7 + 5 less than 13"), (3, "今天天气怎么样呢朋友们")]
+    texts = ["first this, then who wrote the long letters, and more of it after that one", "nobody knows why it is so late in the day today",
+             "we asked: is 7 + 5 less than 13, or is it not as large as that", "we asked: is 8 + 5 less than 14, or is it not as large",
+             "问 今天天气怎么样呢朋友们 答 很好", "why", "who wrote the longer letters to all of them in that year", "letters"]
+    assert found_items(spark, texts, items) == {(0, 0): False, (2, 2): False, (4, 3): False, (5, 1): False}
