@@ -207,7 +207,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
             item_text: str = "text") -> DataFrame:
     """(id, row_key, item_id, matched, windows, rewritten): the items that a document has in it.
 
-    ``matched`` of an item's ``windows`` stand in the document in alignments whose slots are consistent; a quarter of them, or six in
+    ``matched`` of an item's ``windows`` stand in the document, word for word or in alignments whose slots are consistent; a quarter of them, or six in
     all, make a match. ``rewritten`` tells that slots were filled anew. An item of fewer than eight template tokens is one
     window of all of them; below three words and 16 bytes it is found only as a whole text. Null and empty texts match nothing. Repeated rows of a document or an item are each reported once.
     """
@@ -234,14 +234,13 @@ def matches(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         F.size(F.array_distinct(F.flatten(F.collect_set("words")))).alias("covered"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"))
     bound = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["item_slots"])))
-    one_to_one = aligned.filter(bound)
     # slots filled anew need words around them: enough, or those of all windows of an item that is poor in them
     all_of_it = (F.col("item_tokens") > WIDTH) & (F.col("row_words") >= 2) & (F.col("templated") == F.col("templates")) & (
         F.col("templates") >= 2)
-    worded = (F.col("covered") >= LEAST_WORDS) | all_of_it
-    rewritten = worded & F.exists("pairs", lambda x: x["item_slots"] != x["slots"])
-    places = F.explode(F.when(worded, F.col("places")).otherwise(F.col("exact")))
-    by_kind = one_to_one.select(*whole, places.alias("place"), rewritten.alias("rewritten")).groupBy(*whole).agg(
+    trusted = bound & ((F.col("covered") >= LEAST_WORDS) | all_of_it)
+    rewritten = trusted & F.exists("pairs", lambda x: x["item_slots"] != x["slots"])
+    places = F.explode(F.when(trusted, F.col("places")).otherwise(F.col("exact")))
+    by_kind = aligned.select(*whole, places.alias("place"), rewritten.alias("rewritten")).groupBy(*whole).agg(
         F.countDistinct("place").alias("matched"), F.min("rewritten").alias("rewritten"))
     enough = by_kind.filter((F.col("matched") >= F.col("windows") * LEAST_COVERAGE) | (F.col("matched") >= LEAST_RUN))
     # the kind of window that covers more of the item speaks for the match

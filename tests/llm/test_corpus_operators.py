@@ -405,3 +405,9 @@ def test_short_items_are_found_inside_of_texts(spark):
              "we asked: is 7 + 5 less than 13, or is it not as large as that", "we asked: is 8 + 5 less than 14, or is it not as large",
              "问 今天天气怎么样呢朋友们 答 很好", "why", "who wrote the longer letters to all of them in that year", "letters"]
     assert found_items(spark, texts, items) == {(0, 0): False, (2, 2): False, (4, 3): False, (5, 1): False}
+
+
+def test_an_edited_number_leaves_the_verbatim_windows(spark):
+    item = "take 2 cups of flour and 2 eggs from the box and stir them in a deep bowl for a while then bake it with 2 sticks of butter"
+    texts = [item.replace("2 sticks", "3 sticks"), item.replace("2", "4"), item]
+    assert found_items(spark, texts, [(0, item)]) == {(0, 0): False, (1, 0): True, (2, 0): False}
