@@ -8,7 +8,7 @@ two shingle runs decides: shingles aligned, divided by all shingles of both less
 Equal word sequences are one node. In a bucket every node is first compared with one of them, the leader, twice over. In buckets that
 then still hold nodes of different groups, the nodes outside of the largest group are compared with all others, in blocks: labelled
 shingles that two texts share bound their alignment from above, and what passes the bound is aligned until the two groups are
-linked. In buckets of more than one block, texts have to agree on a second sketch for that, as similar ones do.
+linked.
 """
 
 from __future__ import annotations
@@ -275,21 +275,28 @@ def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _block_links(left: list[dict], right: list[dict], band: int, agreements: int, least: float) -> list[tuple[bytes, bytes]]:
+def _block_links(left: list[dict], right: list[dict], band: int, least: float) -> list[tuple[bytes, bytes]]:
     """Links between the nodes of two blocks, one for every two groups that have any.
 
     Pairs that agree on an earlier sketch meet in that one's bucket.
     """
     agree = np.array([x["sketches"] for x in left])[:, None, :] == np.array([x["sketches"] for x in right])[None, :, :]
-    wanted = (agree.sum(axis=2) >= agreements) & (agree.argmax(axis=2) == band) & agree.any(axis=2)
+    wanted = (agree.argmax(axis=2) == band) & agree.any(axis=2)
     groups = {root: i for i, root in enumerate({x["root"] for x in (*left, *right)})}
     group_a, group_b = (np.array([groups[x["root"]] for x in side]) for side in (left, right))
     wanted &= group_a[:, None] != group_b[None, :]
     if not wanted.any():
         return []
     runs_a, runs_b = ([_shingles(x["tokens"]) for x in side] for side in (left, right))
-    total = np.array([len(x) for x in runs_a])[:, None] + np.array([len(x) for x in runs_b])[None, :]
-    shared = _shared(runs_a, runs_b)
+    size_a, size_b = (np.array([len(x) for x in runs]) for runs in (runs_a, runs_b))
+    needed = np.ceil((size_a[:, None] + size_b[None, :]) * least / (1 + least) - 1e-9)
+    # texts of too different lengths cannot be similar; the rest of the blocks is compared
+    wanted &= np.minimum(size_a[:, None], size_b[None, :]) >= needed
+    rows, columns = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
+    if not len(rows):
+        return []
+    shared = np.zeros(wanted.shape)
+    shared[np.ix_(rows, columns)] = _shared([runs_a[i] for i in rows], [runs_b[j] for j in columns])
     found, parent = [], list(range(len(groups)))
 
     def top(x: int) -> int:
@@ -297,7 +304,7 @@ def _block_links(left: list[dict], right: list[dict], band: int, agreements: int
             x = parent[x]
         return x
 
-    for i, j in zip(*np.nonzero(wanted & (shared >= np.ceil(total * least / (1 + least) - 1e-9)))):
+    for i, j in zip(*np.nonzero(wanted & (shared >= needed))):
         one, two = top(group_a[i]), top(group_b[j])
         if one != two and _alike(runs_a[i], runs_b[j], least):
             parent[one] = two
@@ -318,21 +325,21 @@ def _open_links(members: DataFrame, reps: DataFrame, tokens: DataFrame, least: f
     rest = F.ceil((F.col("n") - F.col("most.size")) / size)
     block = F.when(F.col("root") == F.col("most.root"), -1 - F.pmod(F.xxhash64("node"), main)).otherwise(
         F.pmod(F.xxhash64("node"), rest))
-    placed = known.select("key", "used", "node", "root", "n", main.alias("main"), rest.alias("rest"), block.alias("block"))
+    placed = known.select("key", "used", "node", "root", main.alias("main"), rest.alias("rest"), block.alias("block"))
     nodes = placed.join(reps.select("node", "sketches"), "node").join(tokens, "node")
-    packed = stage(nodes.groupBy("key", "used", "n", "main", "rest", "block").agg(
+    packed = stage(nodes.groupBy("key", "used", "main", "rest", "block").agg(
         F.collect_list(F.struct("node", "root", "sketches", "tokens")).alias("nodes")), "blocks")
     meets = F.concat(F.sequence(F.col("block"), F.col("rest") - 1), F.sequence(-F.col("main"), F.lit(-1).cast("bigint")))
-    left = packed.filter("block >= 0").select("key", "used", "n", F.col("nodes").alias("left"), F.explode(meets).alias("block"))
+    left = packed.filter("block >= 0").select("key", "used", F.col("nodes").alias("left"), F.explode(meets).alias("block"))
     both = left.join(packed.select("key", "block", F.col("nodes").alias("right")), ["key", "block"]).select(
-        "used", "n", "left", "right")
+        "used", "left", "right")
     node = T.StructField("a", T.BinaryType())
 
     def search(batch: pa.RecordBatch) -> dict:
         found = []
         for at in range(batch.num_rows):
-            used, n, left, right = (batch.column(i)[at].as_py() for i in range(4))
-            found += _block_links(left, right, used, 1 if n <= size else 2, least)
+            used, left, right = (batch.column(i)[at].as_py() for i in range(3))
+            found += _block_links(left, right, used, least)
         return {"a": _binary([x for x, _ in found]), "b": _binary([x for _, x in found])}
 
     return over_batches(both, search, T.StructType([node, T.StructField("b", T.BinaryType())]))

@@ -411,3 +411,18 @@ def test_an_edited_number_leaves_the_verbatim_windows(spark):
     item = "take 2 cups of flour and 2 eggs from the box and stir them in a deep bowl for a while then bake it with 2 sticks of butter"
     texts = [item.replace("2 sticks", "3 sticks"), item.replace("2", "4"), item]
     assert found_items(spark, texts, [(0, item)]) == {(0, 0): False, (1, 0): True, (2, 0): False}
+
+
+def test_one_sketch_is_enough_in_buckets_of_any_size(spark):
+    import pyarrow as pa
+
+    run = [f"w{i}" for i in range(40)]
+    tokens = neardup._tokens(pa.array([" ".join(run), " ".join([*run, "more"]), " ".join(run[:20])])).to_pylist()
+    sketches = [[100 * i + j if j != 3 else 7 for j in range(16)] for i in range(3)]
+    nodes = [b"a", b"b", b"c"]
+    for n in (3, 10 * neardup.BLOCK):
+        members = spark.createDataFrame([(7, 3, x, x, n) for x in nodes], "key BIGINT, used INT, node BINARY, root BINARY, n BIGINT")
+        reps = spark.createDataFrame(list(zip(nodes, sketches)), "node BINARY, sketches ARRAY<BIGINT>")
+        runs = spark.createDataFrame(list(zip(nodes, tokens)), "node BINARY, tokens BINARY")
+        links = neardup._open_links(members, reps, runs, neardup.SIMILARITY).collect()
+        assert [{bytes(r["a"]), bytes(r["b"])} for r in links] == [{b"a", b"b"}]
