@@ -13,6 +13,7 @@ from newsflow.llm.lmscore import op7_lm_scoring
 from newsflow.llm.mixing import op9_mixing
 from newsflow.llm.neardup import op2_near_dedup
 from newsflow.llm.quality import op6_quality
+from newsflow.llm.runs import op12_periodic_runs
 from newsflow.llm.topk import OP4_SQL, op4_topk
 from newsflow.llm.toxicity import op8_toxicity
 from newsflow.llm.urls import OP10_SQL, op10_url_filters
@@ -39,6 +40,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": _over(op8_toxicity, "documents", "labels"),
     "op9_mixing": _over(op9_mixing, "documents"),
     "op10_url_filters": _over(op10_url_filters, "pages"),
+    "op12_periodic_runs": _over(op12_periodic_runs, "documents"),
 }
 
 ORACLES: dict[str, str] = {
