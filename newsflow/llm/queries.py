@@ -14,6 +14,8 @@ from newsflow.llm.mixing import op9_mixing
 from newsflow.llm.neardup import op2_near_dedup
 from newsflow.llm.quality import op6_quality
 from newsflow.llm.runs import op12_periodic_runs
+from newsflow.llm.spelling import op11_spelling_variants
+from newsflow.llm.tokens import op13_token_files
 from newsflow.llm.topk import OP4_SQL, op4_topk
 from newsflow.llm.toxicity import op8_toxicity
 from newsflow.llm.urls import OP10_SQL, op10_url_filters
@@ -40,7 +42,9 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": _over(op8_toxicity, "documents", "labels"),
     "op9_mixing": _over(op9_mixing, "documents"),
     "op10_url_filters": _over(op10_url_filters, "pages"),
+    "op11_spelling_variants": _over(op11_spelling_variants, "documents"),
     "op12_periodic_runs": _over(op12_periodic_runs, "documents"),
+    "op13_token_files": _over(op13_token_files, "documents"),
 }
 
 ORACLES: dict[str, str] = {
