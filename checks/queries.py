@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import corpus
 from newsflow.functions import dates, encoders, ids, lexical, markup, people, urls
+from newsflow.functions.elements import Page
 from newsflow.functions.text import clean_text
 from newsflow.operators import articles as art
 from newsflow.operators import chunks, etl, evaluation, ingest, links, points, retrieval, topk
@@ -249,8 +250,8 @@ def _names(spark, sf) -> DataFrame:
     return (
         corpus.articles(spark, sf).select(F.col("doc_id").alias("k"), F.explode(F.array("author", "title", "publish_date"))
                                           .alias("name"))
-        .unionByName(corpus.table(spark, sf, "pages").select(
-            (-F.col("page_id") - 1).alias("k"), markup.page_title(F.col("html")).alias("name")))
+        .unionByName(art.visible_pages(corpus.table(spark, sf, "pages")).select(
+            (-F.col("page_id") - 1).alias("k"), markup.page_title(Page()).alias("name")))
     )
 
 
@@ -261,20 +262,20 @@ def is_valid_author(spark, sf):
 
 @query("ext_5")
 def ext_5(spark, sf):
-    pages = _marked(spark, sf).withColumn("byline", art.join_authors(art.byline(F.col("html"), F.col("tags"))))
+    pages = _marked(spark, sf).withColumn("byline", art.join_authors(art.byline(Page())))
     kept, parked = art.park_house_name(F.col("byline"))
     return pages.select("page_id", kept.alias("author"), parked.alias("parked"))
 
 
 @query("ext_6")
 def ext_6(spark, sf):
-    found = art.first_valid_author(art.author_candidates(F.col("html"), F.col("tags")))
+    found = art.first_valid_author(art.author_candidates(Page()))
     return _marked(spark, sf).select("page_id", found.alias("author"))
 
 
 @query("ext_7")
 def ext_7(spark, sf):
-    found = art.tail_author(F.col("tags"))
+    found = art.tail_author(Page())
     return _marked(spark, sf).select("page_id", found.alias("author"))
 
 
@@ -286,7 +287,7 @@ def ext_8(spark, sf):
 @query("ext_9")
 def ext_9(spark, sf):
     return _marked(spark, sf).select(
-        "page_id", F.array_join(art.date_candidates(F.col("html"), F.col("tags")), "|").alias("candidates"))
+        "page_id", F.array_join(art.date_candidates(Page()), "|").alias("candidates"))
 
 
 @query("parse_publish_date")

@@ -1,8 +1,7 @@
-"""Reading HTML with native functions.
+"""Reading HTML: links, titles, texts and selector rules.
 
-Stored pages are not well formed. A visible page is cut once into tags, each with the text behind it; selectors are evaluated on
-that array by higher-order functions: an element reaches from its opening tag to its end, a descendant has to start inside,
-and its own text is what stands in it outside of child elements. Patterns use neither look-around nor back-references.
+Links are cut out of a page by patterns. What needs the structure of a page reads its element table (``elements``): a selector is an
+intersection of place lists, a descendant has to start inside its ancestor's interval, and an element's own text is what it owns.
 """
 
 from __future__ import annotations
@@ -10,41 +9,38 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import dataclass
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsflow.functions.elements import LOOSE_TAG, STRICT_TAG, Page, attribute, end, inside, listed, own_texts, span
 from newsflow.functions.text import bind, collapse_spaces, strip
 
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article\s*>"
-BODY = r"(?is)<body\b[^>]*>(.*?)</body\s*>"
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-BLOCK = r"(?i)</?(?:p|div|h[1-6]|li|ul|ol|br|blockquote|section|header|footer|table|tr)\b[^>]*>"
-TAG = r"<[^>]*>"
-# A tag and the text behind it; a bare < is text.
-TAG_AND_TEXT = r"(?s)</?[a-zA-Z][^>]*>[^<]*(?:<[^a-zA-Z/][^<]*)*"
-ATTRIBUTE = r"""[^\s"'>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+ATTRIBUTE = r"""[^\s"'>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,30});"
 
-# Elements without content, elements whose end closes what is open in them, and what ends a paragraph.
-VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
-CONTAINERS = ("article", "aside", "blockquote", "body", "div", "footer", "header", "main", "nav", "ol", "section", "table", "td",
-              "tr", "ul")
-ENDS_PARAGRAPH = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "form", "figure", "hr", "pre", *CONTAINERS)
+# Elements that begin a new paragraph of text where they open and where they close.
+BLOCKS = ("p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "br", "blockquote", "section", "header", "footer",
+          "table", "tr")
+# What windows-1252 has at the numbers that Unicode leaves to control characters; references to these mean the former.
+_WESTERN = {point: bytes([point]).decode("cp1252", "ignore") for point in range(0x80, 0xA0)}
+_BREAK = "\x01"
 
 
 def _character(point: Column) -> Column:
     """The character of a code point; U+FFFD for none."""
+    western = F.from_json(F.lit(json.dumps({str(point): char for point, char in _WESTERN.items() if char})), "map<string,string>")
     real = ((point > 0) & (point < 0xD800)) | ((point > 0xDFFF) & (point <= 0x10FFFF))
     safe = F.when(real, point).otherwise(F.lit(0xFFFD))
-    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    return F.coalesce(F.when(point.between(0x80, 0x9F), F.try_element_at(western, point.cast("string"))),
+                      F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32"))
 
 
 def _named() -> Column:
     """Names of character references and what they stand for."""
-    known = {"apos": "'", **{name: chr(point) for name, point in name2codepoint.items()}}
+    known = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
     return F.from_json(F.lit(json.dumps(known)), "map<string,string>")
 
 
@@ -67,14 +63,9 @@ def decode_entities(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
 
 
-def plain(fragment: Column) -> Column:
-    """Tags out, references decoded, white space collapsed and trimmed."""
-    return strip(collapse_spaces(decode_entities(F.regexp_replace(fragment, TAG, " "))))
-
-
-def page_title(html: Column) -> Column:
-    """Text of the title element."""
-    return plain(F.regexp_extract(html, TITLE, 1))
+def tidy(text: Column) -> Column:
+    """White space collapsed and trimmed."""
+    return strip(collapse_spaces(text))
 
 
 def visible(html: Column) -> Column:
@@ -82,22 +73,18 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, " ")
 
 
-def main_region(html: Column) -> Column:
-    """Inside the article element, else the body, else all."""
-    article = F.regexp_extract(html, ARTICLE, 1)
-    body = F.regexp_extract(html, BODY, 1)
-    return F.when(article != "", article).when(body != "", body).otherwise(html)
-
-
-def main_text(html: Column) -> Column:
-    """Paragraphs of the main region of a visible page, joined by a blank line."""
-    paragraphs = F.filter(F.transform(F.split(main_region(html), BLOCK), plain), lambda p: p != "")
-    return F.array_join(paragraphs, "\n\n")
-
+def hrefs(html: Column) -> Column:
+    """All link targets of a visible page in document order."""
+    def target(tag: Column) -> Column:
+        held = F.filter(_attributes(F.substr(tag, F.lit(3))), lambda each: each["name"] == "href")
+        return F.get(held, F.lit(0))["value"]
 
-def attribute(tag: Column, name) -> Column:
-    """The value of an attribute of a tag, references not decoded; NULL without it."""
-    return F.get(F.filter(tag["attrs"], lambda held: held["name"] == name), F.lit(0))["value"]
+    # nothing behind the last > is a tag, and patterns would look for its end from every <
+    tagged = F.left(html, F.length(html) - F.length(F.substring_index(html, ">", -1)))
+    tags = F.regexp_extract_all(tagged, F.lit(f"{STRICT_TAG}|{LOOSE_TAG}"), F.lit(0))
+    links = F.filter(tags, lambda tag: F.rlike(tag, F.lit(r"^<[aA][\s/]")))
+    found = F.filter(F.transform(links, target), lambda x: x.isNotNull())
+    return F.transform(found, decode_entities)
 
 
 def _attributes(text: Column) -> Column:
@@ -111,117 +98,74 @@ def _attributes(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(0)), read)
 
 
-def tags(html: Column) -> Column:
-    """Tags of a visible page in order: whether it closes, element name, attributes, and the text up to the next tag."""
-    def read(token: Column) -> Column:
-        def parts(tag: Column) -> Column:
-            name = F.regexp_extract(tag, r"^</?([a-zA-Z][^\s/>]*)", 1)
-            return F.struct(
-                F.startswith(tag, F.lit("</")).alias("close"), F.lower(name).alias("name"),
-                _attributes(F.substr(tag, F.length(name) + 2)).alias("attrs"),
-                F.substr(token, F.length(tag) + 2).alias("text"))
-        return bind(F.substring_index(token, ">", 1), parts)
-    return F.transform(F.regexp_extract_all(html, F.lit(TAG_AND_TEXT), F.lit(0)), read)
-
-
-def hrefs(page_tags: Column) -> Column:
-    """All link targets of a page in document order."""
-    links = F.filter(page_tags, lambda t: ~t["close"] & (t["name"] == "a"))
-    found = F.filter(F.transform(links, lambda t: attribute(t, "href")), lambda x: x.isNotNull())
-    return F.transform(found, decode_entities)
-
-
-def _span(first: Column, last: Column) -> Column:
-    """Numbers from ``first`` to ``last``; none if that is less."""
-    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-
+def page_title(page: Page) -> Column:
+    """Text of the title element; empty without one."""
+    return bind(F.get(listed(page, F.lit("title")), F.lit(0)), lambda at: F.coalesce(
+        whole_text(page, at, end(page, at)), F.lit("")))
 
-def element_end(page_tags: Column, start: Column) -> Column:
-    """The tag at which the element that starts at tag ``start`` ends.
-
-    That is its own closing tag, the end of an element around it, or for a paragraph what cannot stand in one; the number of tags
-    if nothing ends it.
-    """
-    count = F.size(page_tags)
-    name = F.get(page_tags, start)["name"]
 
-    def step(state: Column, at: Column) -> Column:
-        tag = F.get(page_tags, at)
-        own, box = tag["name"] == name, tag["name"].isin(*CONTAINERS)
-        change = F.when(tag["close"], -1).otherwise(1)
-        depth = state["depth"] + F.when(own, change).otherwise(0)
-        outer = state["outer"] + F.when(box & ~own, change).otherwise(0)
-        new_block = (name == "p") & ~tag["close"] & tag["name"].isin(*ENDS_PARAGRAPH)
-        ends = (depth <= 0) | (outer < 0) | new_block
-        return F.struct(depth.cast("int").alias("depth"), outer.cast("int").alias("outer"),
-                        F.coalesce(state["end"], F.when(ends, at)).alias("end"))
+def _paragraphs(page: Page, start: Column) -> Column:
+    """Paragraphs of an element, joined by a blank line; NULL without an element or a paragraph."""
+    breaks = [*BLOCKS, *["/" + name for name in BLOCKS]]
 
-    begin = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("outer"), F.lit(None).cast("int").alias("end"))
-    found = F.aggregate(_span(start + 1, count - 1), begin, step, lambda state: F.coalesce(state["end"], count))
-    return F.when(name.isin(*VOID), start).otherwise(found)
+    def piece(at: Column) -> Column:
+        text = F.get(page.texts, at)
+        lead = F.when(at == start, "").when(F.get(page.names, at).isin(*breaks), _BREAK).otherwise(" ")
+        return F.concat(lead, text)
 
+    raw = F.array_join(F.transform(span(start, end(page, start) - 1), piece), "")
+    parts = F.filter(F.transform(F.split(raw, _BREAK, -1), tidy), lambda text: text != "")
+    return F.nullif(F.array_join(parts, "\n\n"), F.lit(""))
 
-def own_texts(page_tags: Column, start: Column) -> Column:
-    """Texts of an element that stand in none of its child elements."""
-    def step(state: Column, at: Column) -> Column:
-        tag = F.get(page_tags, at)
-        change = F.when(at == start, 0).when(tag["name"].isin(*VOID), 0).when(tag["close"], -1).otherwise(1)
-        depth = F.greatest(state["depth"] + change, F.lit(0)).cast("int")
-        here = (depth == 0) & (tag["text"] != "")
-        return F.struct(depth.alias("depth"), F.when(here, F.concat(state["found"], F.array(tag["text"]))).otherwise(
-            state["found"]).alias("found"))
 
-    begin = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("found"))
-    return F.aggregate(_span(start, element_end(page_tags, start) - 1), begin, step, lambda state: state["found"])
+def main_text(page: Page) -> Column:
+    """Paragraphs of the article element, else of the body, else of all, joined by a blank line."""
+    first = [F.get(listed(page, F.lit(name)), F.lit(0)) for name in ("article", "body")]
+    return F.coalesce(*[bind(at, lambda at: _paragraphs(page, at)) for at in (*first, F.lit(0))], F.lit(""))
 
 
-def whole_text(page_tags: Column, start: Column, end: Column) -> Column:
-    """All text of an element, decoded, its white space collapsed and trimmed."""
-    raw = F.array_join(F.transform(_span(start, end - 1), lambda at: F.get(page_tags, at)["text"]), "")
-    return strip(collapse_spaces(decode_entities(raw)))
+def whole_text(page: Page, start: Column, stop: Column) -> Column:
+    """All text of an element, its white space collapsed and trimmed."""
+    return tidy(F.array_join(F.transform(span(start, stop - 1), lambda at: F.get(page.texts, at)), ""))
 
 
-_COMPOUND = "struct<name:string,attrs:array<struct<name:string,value:string,part:boolean>>,classes:array<string>>"
+_COMPOUND = "struct<keys:array<string>,tests:array<struct<name:string,value:string,part:boolean>>>"
 
 
 def _compound(text: str) -> dict:
-    """``tag``, ``.class``, ``[name="v"]``, ``[name*="v"]``, ``*`` or a mix of these, as data."""
-    head = re.match(r"[a-zA-Z][a-zA-Z0-9]*", text)
-    return {"name": head.group().lower() if head else "",
-            "attrs": [{"name": name, "value": value, "part": bool(part)}
-                      for name, part, value in re.findall(r'\[([\w-]+)(\*?)="([^"]*)"\]', text)],
-            "classes": re.findall(r"\.([\w-]+)", text.split("[")[0])}
+    """``tag``, ``.class``, ``[name="v"]``, ``[name*="v"]``, ``*`` or a mix of these, as look-up keys and tests of values.
 
+    The rarest come first: classes, then attributes, then the name.
+    """
+    name = re.match(r"[a-zA-Z][a-zA-Z0-9]*", text)
+    tests = [{"name": name, "value": value, "part": bool(part)} for name, part, value in re.findall(r'\[([\w-]+)(\*?)="([^"]*)"\]', text)]
+    keys = ["." + word for word in re.findall(r"\.([\w-]+)", text.split("[")[0])] + ["[" + test["name"] for test in tests]
+    return {"keys": [*keys, *([name.group().lower()] if name else [])] or ["*"], "tests": tests}
 
-def _holds(compound: Column, tag: Column) -> Column:
-    """Whether a tag opens an element that fits a compound."""
-    def held(test: Column) -> Column:
-        return bind(F.coalesce(attribute(tag, test["name"]), F.lit("")), lambda value: F.when(
-            test["part"], F.contains(value, test["value"])).otherwise(value == test["value"]))
-
-    words = F.split(F.coalesce(attribute(tag, "class"), F.lit("")), r"\s+")
-    return (~tag["close"] & ((compound["name"] == "") | (tag["name"] == compound["name"]))
-            & F.forall(compound["attrs"], held)
-            & ((F.size(compound["classes"]) == 0) | (F.size(F.array_except(compound["classes"], words)) == 0)))
 
+def _fitting(page: Page, compound: Column) -> Column:
+    """Places of the opening tags that fit a compound, in order."""
+    def holds(at: Column) -> Column:
+        def held(test: Column) -> Column:
+            return bind(F.coalesce(attribute(page, at, test["name"]), F.lit("")), lambda value: F.when(
+                test["part"], F.contains(value, test["value"])).otherwise(value == test["value"]))
+        return F.forall(compound["tests"], held)
 
-def _fitting(page_tags: Column, compounds: Column) -> Column:
-    """Places of the opening tags that fit one of an array of compounds."""
-    return F.filter(_span(F.lit(0), F.size(page_tags) - 1), lambda at: bind(
-        F.get(page_tags, at), lambda tag: F.exists(compounds, lambda compound: _holds(compound, tag))))
+    keys = compound["keys"]
+    places = F.aggregate(F.slice(keys, F.lit(2), F.size(keys)), listed(page, F.get(keys, F.lit(0))),
+                         lambda found, key: F.array_intersect(found, listed(page, key)))
+    return F.filter(places, holds)
 
 
-def starts(page_tags: Column, *compounds: str) -> Column:
-    """Places of the opening tags that fit one of the compounds."""
-    listed = F.from_json(F.lit(json.dumps([_compound(x) for x in compounds])), f"array<{_COMPOUND}>")
-    return _fitting(page_tags, listed)
+def _fitting_one(page: Page, compounds: Column) -> Column:
+    """Places of the opening tags that fit one of an array of compounds, in order."""
+    found = F.flatten(F.transform(compounds, lambda compound: _fitting(page, compound)))
+    return F.when(F.size(compounds) == 1, found).otherwise(F.array_sort(F.array_distinct(found)))
 
 
-def inside(places: Column, page_tags: Column, around: Column) -> Column:
-    """The places that lie in one of the elements starting at ``around``."""
-    spans = F.transform(around, lambda at: F.struct(at.alias("start"), element_end(page_tags, at).alias("end")))
-    return bind(spans, lambda own: F.filter(places, lambda at: F.exists(
-        own, lambda span: (span["start"] < at) & (at < span["end"]))))
+def starts(page: Page, *compounds: str) -> Column:
+    """Places of the opening tags that fit one of the compounds, in order."""
+    return _fitting_one(page, F.from_json(F.lit(json.dumps([_compound(x) for x in compounds])), f"array<{_COMPOUND}>"))
 
 
 @dataclass(frozen=True)
@@ -236,46 +180,39 @@ class Rule:
         parts = [part.rsplit("::", 1) for part in self.selector.split(", ")]
         return [re.findall(r"(?:\[[^\]]*\]|[^\s\[])+", path) for path, _ in parts], parts[0][1]
 
-    @property
-    def needle(self) -> str:
-        """A literal that every match contains, to skip pages without looking at their tags."""
-        if ", " in self.selector:
-            return "<"
-        words = re.findall(r'="([^"]*)"|\.([\w-]+)', self.selector)
-        return max((value or name for value, name in words), key=len, default="<")
-
     def described(self) -> dict:
         """The rule as data: last and first compounds of its paths, the attribute wanted (none: text)."""
         paths, target = self._paths()
-        return {"needle": self.needle, "every": self.every, "last": [_compound(path[-1]) for path in paths],
+        return {"every": self.every, "last": [_compound(path[-1]) for path in paths],
                 "first": [_compound(path[0]) for path in paths if len(path) > 1],
                 "attribute": "" if target == "text" else target[len("attr("):-1]}
 
 
-_RULES = (f"array<struct<needle:string,every:boolean,last:array<{_COMPOUND}>,first:array<{_COMPOUND}>,attribute:string>>")
+_RULES = f"array<struct<every:boolean,last:array<{_COMPOUND}>,first:array<{_COMPOUND}>,attribute:string>>"
+
 
+def _found(rule: Column, page: Page) -> Column:
+    """The string a rule finds on a page; empty when there is none."""
+    def within(around: Column) -> Column:
+        # without an ancestor there is no descendant to look for
+        return F.when(F.size(around) > 0, inside(page, _fitting_one(page, rule["last"]), around))
 
-def _found(rule: Column, page_tags: Column) -> Column:
-    """The raw string a rule finds on a page; empty when there is none."""
-    places = _fitting(page_tags, rule["last"])
-    places = F.when(F.size(rule["first"]) == 0, places).otherwise(
-        inside(places, page_tags, _fitting(page_tags, rule["first"])))
+    places = F.when(F.size(rule["first"]) == 0, _fitting_one(page, rule["last"])).otherwise(
+        F.coalesce(bind(_fitting_one(page, rule["first"]), within), F.array().cast("array<int>")))
 
     def read(places: Column) -> Column:
-        texts = F.flatten(F.transform(places, lambda at: own_texts(page_tags, at)))
-        values = F.filter(F.transform(places, lambda at: attribute(F.get(page_tags, at), rule["attribute"])),
-                          lambda value: value.isNotNull())
+        texts = F.flatten(F.transform(places, lambda at: own_texts(page, at)))
+        values = F.filter(F.transform(places, lambda at: attribute(page, at, rule["attribute"])), lambda value: value.isNotNull())
         return bind(F.when(rule["attribute"] == "", texts).otherwise(values), lambda found: F.when(
             rule["every"], F.array_join(F.filter(F.transform(found, strip), lambda text: text != ""), " ")).otherwise(
             F.get(found, F.lit(0))))
     return F.coalesce(bind(places, read), F.lit(""))
 
 
-def candidates(html: Column, page_tags: Column, rules: tuple[Rule, ...]) -> Column:
-    """What each rule finds, in rule order, decoded. A rule that occurs again cannot win and is not evaluated twice."""
+def candidates(page: Page, rules: tuple[Rule, ...]) -> Column:
+    """What each rule finds, in rule order. A rule that occurs again cannot win and is not evaluated twice."""
     once = F.from_json(F.lit(json.dumps([rule.described() for rule in dict.fromkeys(rules)])), _RULES)
-    return F.transform(once, lambda rule: F.when(
-        F.contains(html, rule["needle"]), decode_entities(_found(rule, page_tags))).otherwise(F.lit("")))
+    return F.transform(once, lambda rule: _found(rule, page))
 
 
 # Where an author name may stand, in the order tried; True joins all matches.

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.functions import dates, markup, people, urls
+from newsflow.functions import dates, elements, markup, people, urls
+from newsflow.functions.elements import ELEMENTS, Page
 from newsflow.functions.text import bind, blank, collapse_spaces, strip
 from newsflow.operators.compute import compute_once, remembered
 
@@ -11,17 +12,14 @@ MIN_TEXT = 100
 
 
 def visible_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html, tags) without scripts, styles and comments, cut once; the operators below read these."""
-    seen = compute_once(pages.select("page_id", "url", F.col("html").alias("_raw")),
-                        html=markup.visible(F.col("_raw"))).drop("_raw")
-    return compute_once(seen, tags=markup.tags(F.col("html")))
+    """(page_id, url) and the columns of element tables without scripts, styles and comments; the operators below read these."""
+    return elements.with_elements(pages.select("page_id", "url", markup.visible(F.col("html")).alias("html")), "html")
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html, tags, title, text) for every page."""
-    html = F.col("html")
-    return compute_once(pages.select("page_id", "url", "html", "tags"), title=markup.page_title(html),
-                        text=markup.main_text(html))
+    """(page_id, url, title, text) and the element table of every page."""
+    page = Page()
+    return compute_once(pages.select("page_id", "url", *ELEMENTS.names), title=markup.page_title(page), text=markup.main_text(page))
 
 
 def long_enough(texts: DataFrame) -> DataFrame:
@@ -34,9 +32,9 @@ def join_authors(authors: Column) -> Column:
     return strip(F.array_join(authors, ", "))
 
 
-def byline(html: Column, tags: Column) -> Column:
+def byline(page: Page) -> Column:
     """Author list a page declares in its metadata."""
-    declared = F.get(markup.candidates(html, tags, markup.META_AUTHOR_RULES[:1]), F.lit(0))
+    declared = F.get(markup.candidates(page, markup.META_AUTHOR_RULES[:1]), F.lit(0))
     names = F.transform(F.split(declared, ","), strip)
     return F.filter(names, lambda name: name != "")
 
@@ -49,9 +47,9 @@ def park_house_name(author: Column) -> tuple[Column, Column]:
     return kept, parked
 
 
-def author_candidates(html: Column, tags: Column) -> Column:
+def author_candidates(page: Page) -> Column:
     """What each author rule finds, in rule order."""
-    return markup.candidates(html, tags, markup.AUTHOR_RULES)
+    return markup.candidates(page, markup.AUTHOR_RULES)
 
 
 def first_valid_author(candidates: Column) -> Column:
@@ -60,49 +58,56 @@ def first_valid_author(candidates: Column) -> Column:
     return F.get(F.filter(F.transform(present, people.tidy_candidate), people.is_valid_author), F.lit(0))
 
 
-def tail_nodes(tags: Column) -> Column:
+def tail_nodes(page: Page) -> Column:
     """Places of the last paragraphs and aligned blocks of the content areas, last first; of the page if it has no such area.
 
-    A block in two areas, one inside the other, counts in both.
+    A block in two areas, one inside the other, counts in both. Areas are read from the last until there are blocks enough.
     """
+    def last(blocks: Column) -> Column:
+        return F.reverse(F.slice(blocks, F.greatest(F.size(blocks) - markup.TAIL_NODES + 1, F.lit(1)), F.lit(markup.TAIL_NODES)))
+
     def closing(blocks: Column) -> Column:
-        areas = F.transform(markup.starts(tags, *markup.CONTENT_AREAS), lambda at: F.filter(
-            blocks, lambda block: (at < block) & (block < markup.element_end(tags, at))))
-        found = bind(areas, lambda parts: F.when(F.size(parts) > 0, F.flatten(parts)).otherwise(blocks))
-        return bind(found, lambda nodes: F.reverse(F.slice(
-            nodes, F.greatest(F.size(nodes) - markup.TAIL_NODES + 1, F.lit(1)), F.lit(markup.TAIL_NODES))))
-    return bind(markup.starts(tags, *markup.TAIL_BLOCKS), closing)
-
-
-def _emphasised(tags: Column, start: Column, end: Column) -> Column:
-    """Whether a block holds a bold element or is aligned right."""
-    bold = F.exists(markup.starts(tags, *markup.TAIL_EMPHASIS), lambda at: (start < at) & (at < end))
-    tag = F.get(tags, start)
+        def add(found: Column, area: Column) -> Column:
+            within = bind(elements.end(page, area), lambda stop: last(F.filter(blocks, lambda at: (area < at) & (at < stop))))
+            return F.when(F.size(found) >= markup.TAIL_NODES, found).otherwise(F.concat(found, within))
+
+        def read(areas: Column) -> Column:
+            found = F.aggregate(F.reverse(areas), F.array().cast("array<int>"), add)
+            return F.when(F.size(areas) > 0, F.slice(found, 1, markup.TAIL_NODES)).otherwise(last(blocks))
+        return bind(markup.starts(page, *markup.CONTENT_AREAS), read)
+    return bind(markup.starts(page, *markup.TAIL_BLOCKS), closing)
+
+
+def _emphasised(page: Page, bold: Column, start: Column, stop: Column) -> Column:
+    """Whether a block holds one of the bold elements or is aligned right."""
+    found = F.exists(bold, lambda at: (start < at) & (at < stop))
     for name, mark in markup.TAIL_ALIGNED:
-        bold = bold | F.contains(F.lower(F.coalesce(markup.attribute(tag, name), F.lit(""))), F.lit(mark))
-    return bold
+        found = found | F.contains(F.lower(F.coalesce(elements.attribute(page, start, F.lit(name)), F.lit(""))), F.lit(mark))
+    return found
 
 
-def tail_author(tags: Column) -> Column:
+def tail_author(page: Page) -> Column:
     """The first author among closing blocks: a named source, else a valid bold or right-aligned text."""
-    def read(start: Column) -> Column:
-        def within(end: Column) -> Column:
-            text = strip(F.regexp_replace(markup.whole_text(tags, start, end), markup.QUOTES, ""))
+    def read(start: Column, bold: Column) -> Column:
+        def within(stop: Column) -> Column:
+            text = strip(F.regexp_replace(markup.whole_text(page, start, stop), markup.QUOTES, ""))
 
             def choose(text: Column) -> Column:
                 named = strip(F.regexp_extract(text, "(?iu)" + people.SOURCE_PREFIX, 1))
                 return (F.when(~F.length(text).between(2, 100), F.lit(None).cast("string"))
                         .when(people.is_valid_author(named), named)
-                        .when(people.is_valid_author(text) & _emphasised(tags, start, end), text))
+                        .when(people.is_valid_author(text) & _emphasised(page, bold, start, stop), text))
             return bind(text, choose)
-        return bind(markup.element_end(tags, start), within)
+        return bind(elements.end(page, start), within)
 
-    return F.get(F.filter(F.transform(tail_nodes(tags), read), lambda name: name.isNotNull()), F.lit(0))
+    found = bind(markup.starts(page, *markup.TAIL_EMPHASIS), lambda bold: F.filter(
+        F.transform(tail_nodes(page), lambda start: read(start, bold)), lambda name: name.isNotNull()))
+    return F.get(found, F.lit(0))
 
 
-def meta_author(html: Column, tags: Column) -> Column:
+def meta_author(page: Page) -> Column:
     """The first author in page metadata, if it is a valid name."""
-    found = F.filter(markup.candidates(html, tags, markup.META_AUTHOR_RULES), lambda raw: raw != "")
+    found = F.filter(markup.candidates(page, markup.META_AUTHOR_RULES), lambda raw: raw != "")
     return bind(strip(F.get(found, F.lit(0))), lambda name: F.when(people.is_valid_author(name), name))
 
 
@@ -113,27 +118,27 @@ def last_resort_author(author: Column, parked: Column, from_meta: Column) -> Col
 
 @remembered
 def _page_byline() -> Column:
-    return join_authors(byline(F.col("html"), F.col("tags")))
+    return join_authors(byline(Page()))
 
 
 @remembered
 def _rule_author() -> Column:
-    return first_valid_author(author_candidates(F.col("html"), F.col("tags")))
+    return first_valid_author(author_candidates(Page()))
 
 
 @remembered
 def _tail_author() -> Column:
-    return tail_author(F.col("tags"))
+    return tail_author(Page())
 
 
 @remembered
 def _page_meta_author() -> Column:
-    return meta_author(F.col("html"), F.col("tags"))
+    return meta_author(Page())
 
 
 @remembered
 def _page_date() -> Column:
-    return dates.first_publish_date(date_candidates(F.col("html"), F.col("tags")))
+    return dates.first_publish_date(date_candidates(Page()))
 
 
 def page_authors(pages: DataFrame) -> DataFrame:
@@ -147,9 +152,9 @@ def page_authors(pages: DataFrame) -> DataFrame:
         "_declared", "_kept", "_parked", "_found", "_closing", "_meta")
 
 
-def date_candidates(html: Column, tags: Column) -> Column:
+def date_candidates(page: Page) -> Column:
     """What each date rule finds, in rule order, without blanks."""
-    return F.filter(markup.candidates(html, tags, markup.DATE_RULES), lambda raw: strip(raw) != "")
+    return F.filter(markup.candidates(page, markup.DATE_RULES), lambda raw: strip(raw) != "")
 
 
 def page_dates(pages: DataFrame) -> DataFrame:

@@ -4,15 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import markup, urls
-from newsflow.operators.compute import compute_once, unfold
+from newsflow.operators.compute import unfold
 from newsflow.session import stage
 
 
 def raw_links(pages: DataFrame) -> DataFrame:
     """Every link target of the visible pages, decoded: (page_id, src_url, position, href), position from 0 in document order."""
-    named = compute_once(pages.select("page_id", F.col("url").alias("src_url"), "html"),
-                         tags=markup.tags(markup.visible(F.col("html"))))
-    return unfold(named, ["page_id", "src_url"], markup.hrefs(F.col("tags")), "position", "href")
+    seen = pages.select("page_id", F.col("url").alias("src_url"), markup.visible(F.col("html")).alias("html"))
+    return unfold(seen, ["page_id", "src_url"], markup.hrefs(F.col("html")), "position", "href")
 
 
 def followable_links(links: DataFrame) -> DataFrame:
