@@ -262,15 +262,15 @@ def is_valid_author(spark, sf):
 
 @query("ext_5")
 def ext_5(spark, sf):
-    pages = _marked(spark, sf).withColumn("byline", art.join_authors(art.byline(Page())))
+    pages = art.rule_texts(_marked(spark, sf)).withColumn("byline", art.join_authors(art.byline(F.col("rule_texts"))))
     kept, parked = art.park_house_name(F.col("byline"))
     return pages.select("page_id", kept.alias("author"), parked.alias("parked"))
 
 
 @query("ext_6")
 def ext_6(spark, sf):
-    found = art.first_valid_author(art.author_candidates(Page()))
-    return _marked(spark, sf).select("page_id", found.alias("author"))
+    found = art.first_valid_author(art.author_candidates(F.col("rule_texts")))
+    return art.rule_texts(_marked(spark, sf)).select("page_id", found.alias("author"))
 
 
 @query("ext_7")
@@ -286,8 +286,8 @@ def ext_8(spark, sf):
 
 @query("ext_9")
 def ext_9(spark, sf):
-    return _marked(spark, sf).select(
-        "page_id", F.array_join(art.date_candidates(Page()), "|").alias("candidates"))
+    return art.rule_texts(_marked(spark, sf)).select(
+        "page_id", F.array_join(art.date_candidates(F.col("rule_texts")), "|").alias("candidates"))
 
 
 @query("parse_publish_date")

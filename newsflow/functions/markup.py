@@ -211,10 +211,14 @@ def _found(rule: Column, page: Page) -> Column:
 
 def candidates(page: Page, rules: tuple[Rule, ...]) -> Column:
     """What each rule finds, in rule order. A rule that occurs again cannot win and is not evaluated twice."""
-    once = F.from_json(F.lit(json.dumps([rule.described() for rule in dict.fromkeys(rules)])), _RULES)
+    once = F.from_json(F.lit(json.dumps([rule.described() for rule in distinct(rules)])), _RULES)
     return F.transform(once, lambda rule: _found(rule, page))
 
 
+def distinct(rules: tuple[Rule, ...]) -> tuple[Rule, ...]:
+    return tuple(dict.fromkeys(rules))
+
+
 # Where an author name may stand, in the order tried; True joins all matches.
 AUTHOR_RULES = tuple(Rule(*entry) for entry in (
     ('a[href*="tac-gia"]::text', True),

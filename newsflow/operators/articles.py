@@ -32,9 +32,28 @@ def join_authors(authors: Column) -> Column:
     return strip(F.array_join(authors, ", "))
 
 
-def byline(page: Page) -> Column:
+_RULES = markup.AUTHOR_RULES + markup.META_AUTHOR_RULES + markup.DATE_RULES
+
+
+@remembered
+def _rule_texts() -> Column:
+    return markup.candidates(Page(), _RULES)
+
+
+def rule_texts(pages: DataFrame) -> DataFrame:
+    """Adds ``rule_texts``: what every rule for authors and dates finds on a page, in one evaluation."""
+    return pages if "rule_texts" in pages.columns else compute_once(pages, rule_texts=_rule_texts())
+
+
+def _found_by(texts: Column, rules: tuple[markup.Rule, ...]) -> Column:
+    """What some of the rules, that stand together, have found."""
+    some = markup.distinct(rules)
+    return F.slice(texts, markup.distinct(_RULES).index(some[0]) + 1, len(some))
+
+
+def byline(texts: Column) -> Column:
     """Author list a page declares in its metadata."""
-    declared = F.get(markup.candidates(page, markup.META_AUTHOR_RULES[:1]), F.lit(0))
+    declared = F.get(_found_by(texts, markup.META_AUTHOR_RULES), F.lit(0))
     names = F.transform(F.split(declared, ","), strip)
     return F.filter(names, lambda name: name != "")
 
@@ -47,9 +66,9 @@ def park_house_name(author: Column) -> tuple[Column, Column]:
     return kept, parked
 
 
-def author_candidates(page: Page) -> Column:
+def author_candidates(texts: Column) -> Column:
     """What each author rule finds, in rule order."""
-    return markup.candidates(page, markup.AUTHOR_RULES)
+    return _found_by(texts, markup.AUTHOR_RULES)
 
 
 def first_valid_author(candidates: Column) -> Column:
@@ -105,9 +124,9 @@ def tail_author(page: Page) -> Column:
     return F.get(found, F.lit(0))
 
 
-def meta_author(page: Page) -> Column:
+def meta_author(texts: Column) -> Column:
     """The first author in page metadata, if it is a valid name."""
-    found = F.filter(markup.candidates(page, markup.META_AUTHOR_RULES), lambda raw: raw != "")
+    found = F.filter(_found_by(texts, markup.META_AUTHOR_RULES), lambda raw: raw != "")
     return bind(strip(F.get(found, F.lit(0))), lambda name: F.when(people.is_valid_author(name), name))
 
 
@@ -118,12 +137,12 @@ def last_resort_author(author: Column, parked: Column, from_meta: Column) -> Col
 
 @remembered
 def _page_byline() -> Column:
-    return join_authors(byline(Page()))
+    return join_authors(byline(F.col("rule_texts")))
 
 
 @remembered
 def _rule_author() -> Column:
-    return first_valid_author(author_candidates(Page()))
+    return first_valid_author(author_candidates(F.col("rule_texts")))
 
 
 @remembered
@@ -133,17 +152,17 @@ def _tail_author() -> Column:
 
 @remembered
 def _page_meta_author() -> Column:
-    return meta_author(Page())
+    return meta_author(F.col("rule_texts"))
 
 
 @remembered
 def _page_date() -> Column:
-    return dates.first_publish_date(date_candidates(Page()))
+    return dates.first_publish_date(date_candidates(F.col("rule_texts")))
 
 
 def page_authors(pages: DataFrame) -> DataFrame:
     """Adds ``author``, trying byline, rules, closing blocks, the parked name and metadata in turn."""
-    declared = compute_once(pages, _declared=_page_byline())
+    declared = compute_once(rule_texts(pages), _declared=_page_byline())
     kept, parked = park_house_name(F.col("_declared"))
     sorted_out = compute_once(declared, _kept=F.nullif(kept, F.lit("")), _parked=parked)
     by_rule = compute_once(sorted_out, _found=F.coalesce(F.col("_kept"), _rule_author()))
@@ -152,14 +171,14 @@ def page_authors(pages: DataFrame) -> DataFrame:
         "_declared", "_kept", "_parked", "_found", "_closing", "_meta")
 
 
-def date_candidates(page: Page) -> Column:
+def date_candidates(texts: Column) -> Column:
     """What each date rule finds, in rule order, without blanks."""
-    return F.filter(markup.candidates(page, markup.DATE_RULES), lambda raw: strip(raw) != "")
+    return F.filter(_found_by(texts, markup.DATE_RULES), lambda raw: strip(raw) != "")
 
 
 def page_dates(pages: DataFrame) -> DataFrame:
     """Adds ``publish_date`` in the stored form: from the page, else from its address, else ``Unknown``."""
-    found = compute_once(pages, _found=_page_date())
+    found = compute_once(rule_texts(pages), _found=_page_date())
     return found.withColumn("publish_date", dates.format_publish_date(
         F.coalesce(F.col("_found"), dates.url_date(F.col("url"))))).drop("_found")
 
