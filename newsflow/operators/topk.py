@@ -1,9 +1,13 @@
 """Exact top-k of points for a table of queries.
 
-Queries are packed into blocks of bounded size and staged, points into one row per Arrow batch, and every batch meets every
-block in a join: the points are scanned once, however many queries there are and whether dense, sparse or both scores are
-wanted, and neither queries nor points pass through the driver. A task scores a batch against a block by one
-matrix product (dense) or by the block's postings (sparse) and hands on the k best rows per query it has seen.
+Queries are packed into blocks of bounded size and staged; neither they nor the points pass through the driver. A single block is
+broadcast to the points, which then stay where they are. More blocks meet the points in a grid: points are dealt into parts that fit a
+task, each crosses the shuffle once, and every block once per part. A task packs the points of its part into pieces,
+strongest first, and runs the blocks over them one by one.
+
+Dense scores are matrix products. Sparse scores come from the inverted lists of a piece, so that only rows sharing a
+token with a query are touched; the greatest weight per token and piece bounds what a query can score there, and pieces that
+cannot reach a query's k-th score so far are passed over, which loses nothing.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,11 +27,15 @@ from newsflow.session import estimated_bytes, stage
 
 # Sums differ in their last bits by the order of summation; scores are compared at this many decimals, equal ones by id.
 SCORE_DECIMALS = 12
-QUERY_BLOCK_BYTES = 32 << 20
-BROADCAST_BYTES = 64 << 20
+QUERY_BLOCK_BYTES = 16 << 20
+# Points, by Catalyst's estimate, that a task of the grid holds at a time, and the least it is worth to deal out.
+PART_BYTES, LEAST_PART_BYTES = 64 << 20, 1 << 20
+PIECE_ROWS = 2048
 DENSE, SPARSE = "dense", "sparse"
 _CELLS = 8 << 20
-_OPEN_BLOCKS = 8
+_MATCHES = 4 << 20
+# Catalyst's estimate of what it knows nothing about is beyond this.
+_UNKNOWN_BYTES = 1 << 55
 
 
 class _Best:
@@ -39,19 +48,14 @@ class _Best:
         self.score = np.empty(0)
         self.id: np.ndarray | None = None
 
-    def add(self, scores: np.ndarray, ids: np.ndarray, keep: np.ndarray) -> None:
-        """Scores are (points, queries); ``keep`` marks the pairs that may be hits."""
-        floor = self.floor
-        if len(scores) > self.k:
-            cut = len(scores) - self.k
-            here = np.partition(np.where(keep, scores, -np.inf), cut, axis=0)[cut]
-            floor = np.maximum(floor, here)
-        row, query = np.nonzero(keep & (scores >= floor))
-        if not len(row):
+    def add(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        """Hits as pairs of a query and a point; equal pairs must not come twice."""
+        held = score >= self.floor[query]
+        if not held.any():
             return
-        query = np.concatenate([self.query, query])
-        score = np.concatenate([self.score, scores[row, query[len(self.query):]]])
-        found = ids[row] if self.id is None else np.concatenate([self.id, ids[row]])
+        query = np.concatenate([self.query, query[held]])
+        score = np.concatenate([self.score, score[held]])
+        found = ids[held] if self.id is None else np.concatenate([self.id, ids[held]])
         order = np.lexsort((found, -score, query))
         query, score, found = query[order], score[order], found[order]
         rank = np.arange(len(query)) - np.searchsorted(query, query, side="left")
@@ -72,28 +76,28 @@ def _matrix(vectors: pa.ListArray, width: int) -> np.ndarray:
 
 
 def _entries(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, token id and weight of every entry of an array column."""
-    bounds = column.offsets.to_numpy().astype(np.int64)
+    """Row, token id and weight of every entry of an array column, in order of tokens."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
     flat = column.flatten()
-    return (np.repeat(np.arange(len(column)), np.diff(bounds)), flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64),
-            flat.field(1).to_numpy(zero_copy_only=False).astype(np.float64))
+    owner = np.repeat(np.arange(len(column)), sizes)
+    token = flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    weight = flat.field(1).to_numpy(zero_copy_only=False).astype(np.float64)
+    order = np.argsort(token, kind="stable")
+    return owner[order], token[order], weight[order]
 
 
 _PACKED = ("dense", "owner", "token", "weight")
+_KINDS = (np.float64, np.int64, np.int64, np.float64)
 
 
-def _pack(table: pa.Table | pa.RecordBatch, width: int, by_token: bool) -> dict[str, bytes | None]:
-    """The vectors and entries of rows as bytes; entries in order of tokens if asked for."""
+def _pack(table: pa.Table | pa.RecordBatch, width: int) -> dict[str, bytes | None]:
+    """The vectors and entries of rows as bytes."""
     out: dict[str, bytes | None] = dict.fromkeys(_PACKED)
     names = table.schema.names
     if "vector" in names:
         out["dense"] = _matrix(_whole(table.column("vector")), width).tobytes()
     if "entries" in names:
-        owner, token, weight = _entries(_whole(table.column("entries")))
-        if by_token:
-            order = np.argsort(token, kind="stable")
-            owner, token, weight = owner[order], token[order], weight[order]
-        out |= {"owner": owner.tobytes(), "token": token.tobytes(), "weight": weight.tobytes()}
+        out |= {name: part.tobytes() for name, part in zip(_PACKED[1:], _entries(_whole(table.column("entries"))))}
     return out
 
 
@@ -105,72 +109,117 @@ def _packed_fields(prefix: str) -> list[T.StructField]:
     return [T.StructField(prefix + name, T.BinaryType()) for name in _PACKED]
 
 
-def _unpacked(row: dict, prefix: str) -> tuple:
-    kinds = (np.float64, np.int64, np.int64, np.float64)
-    return tuple(None if row[prefix + name] is None else np.frombuffer(row[prefix + name], kind)
-                 for name, kind in zip(_PACKED, kinds))
+def _unpacked(row: dict, prefix: str) -> list:
+    return [None if row[prefix + name] is None else np.frombuffer(row[prefix + name], kind) for name, kind in zip(_PACKED, _KINDS)]
+
+
+class _Piece:
+    """Some points: their vectors, and the inverted lists of their entries with the greatest and least weight of each token."""
+
+    def __init__(self, ids: np.ndarray, dense: np.ndarray | None, owner: np.ndarray | None, token: np.ndarray | None,
+                 weight: np.ndarray | None) -> None:
+        self.ids = ids
+        self.dense = None if dense is None else dense.reshape(len(ids), -1)
+        self.sparse = token is not None
+        if self.sparse:
+            self.owner, self.weight = owner, weight
+            self.token, first = np.unique(token, return_index=True)
+            self.first, self.count = first, np.diff(np.append(first, len(token)))
+            self.top = np.maximum.reduceat(weight, first) if len(first) else weight
+            self.low = np.minimum.reduceat(weight, first) if len(first) else weight
+
+    def dense_hits(self, asked: np.ndarray, best: _Best) -> None:
+        """All points against all queries, in steps of bounded size."""
+        step = max(1, _CELLS // max(1, len(asked)))
+        for at in range(0, len(self.ids), step):
+            scores = np.round(self.dense[at:at + step] @ asked.T, SCORE_DECIMALS)
+            floor = best.floor
+            if len(scores) > best.k:
+                cut = len(scores) - best.k
+                floor = np.maximum(floor, np.partition(scores, cut, axis=0)[cut])
+            row, query = np.nonzero(scores >= floor)
+            best.add(query, scores[row, query], self.ids[at + row])
+
+    def sparse_hits(self, query: np.ndarray, token: np.ndarray, value: np.ndarray, best: _Best) -> None:
+        """Points that share a token with a query, unless the query cannot reach its k-th score here."""
+        if not len(self.token):
+            return
+        place = np.minimum(np.searchsorted(self.token, token), len(self.token) - 1)
+        shared = np.flatnonzero(self.token[place] == token)
+        query, value, place = query[shared], value[shared], place[shared]
+        most = np.maximum(np.maximum(value * self.top[place], value * self.low[place]), 0)
+        reach = np.bincount(query, most, len(best.queries))
+        # sums may differ in their last bits
+        open_to = reach + 1e-9 * (1 + np.abs(reach)) >= best.floor
+        live = np.flatnonzero(open_to[query])
+        live = live[np.argsort(query[live], kind="stable")]
+        query, value, place = query[live], value[live], place[live]
+        done = np.cumsum(self.count[place])
+        at = 0
+        while at < len(query):
+            # whole queries, up to a bound of matches
+            last = int(np.searchsorted(done, (done[at - 1] if at else 0) + _MATCHES, side="right"))
+            last = int(np.searchsorted(query, query[last], side="left")) if last < len(query) else last
+            if last <= at:
+                last = int(np.searchsorted(query, query[at], side="right"))
+            self._score(query[at:last], value[at:last], place[at:last], best)
+            at = last
+
+    def _score(self, query: np.ndarray, value: np.ndarray, place: np.ndarray, best: _Best) -> None:
+        n = self.count[place]
+        posting = np.repeat(self.first[place], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        weight = np.repeat(value, n) * self.weight[posting]
+        cell = np.repeat(query - query[0], n) * len(self.ids) + self.owner[posting]
+        cells = int(query[-1] - query[0] + 1) * len(self.ids)
+        if cells <= 4 * len(cell):
+            hit = np.flatnonzero(np.bincount(cell, minlength=cells))
+            score = np.bincount(cell, weight, cells)[hit]
+        else:
+            hit, which = np.unique(cell, return_inverse=True)
+            score = np.bincount(which, weight, len(hit))
+        best.add(query[0] + hit // len(self.ids), np.round(score, SCORE_DECIMALS), self.ids[hit % len(self.ids)])
+
+
+class _Block:
+    """A block of queries and the best points found for it, by side."""
+
+    def __init__(self, row: dict, k: int) -> None:
+        self.queries = row["query_ids"]
+        dense, self.owner, self.token, self.weight = _unpacked(row, "q_")
+        self.dense = None if dense is None else dense.reshape(len(self.queries), -1)
+        self.best = {side: _Best(self.queries, k) for side in (DENSE, SPARSE)}
+
+    def search(self, piece: _Piece) -> None:
+        if piece.dense is not None and self.dense is not None:
+            piece.dense_hits(self.dense, self.best[DENSE])
+        if piece.sparse and self.token is not None:
+            piece.sparse_hits(self.owner, self.token, self.weight, self.best[SPARSE])
+
+    def hits(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for side, best in self.best.items():
+            if best.id is not None:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([side] * len(best.query), schema.field(0).type),
+                    pa.array([self.queries[q] for q in best.query], schema.field(1).type),
+                    pa.array(best.id.tolist(), schema.field(2).type),
+                    pa.array(best.score, schema.field(3).type)], schema=schema)
 
 
-def _query_blocks(queries: DataFrame, width: int, longest: int, count: int) -> DataFrame:
-    """(block, query_ids, packed columns), staged: each block at most about ``QUERY_BLOCK_BYTES``."""
-    per_block = max(1, QUERY_BLOCK_BYTES // (8 * width + 24 * longest))
-    blocks = max(1, math.ceil(count / per_block))
+def _query_blocks(queries: DataFrame, width: int, blocks: int) -> DataFrame:
+    """(block, query_ids, packed columns), staged."""
     numbered = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     ids = T.StructField("query_ids", T.ArrayType(queries.schema["query_id"].dataType))
     schema = T.StructType([T.StructField("block", T.IntegerType()), ids, *_packed_fields("q_")])
     names = to_arrow_schema(schema)
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
-        packed = {f"q_{name}": [value] for name, value in _pack(table, width, by_token=True).items()}
+        packed = {f"q_{name}": [value] for name, value in _pack(table, width).items()}
         row = {"block": [key[0].as_py()], "query_ids": [table.column("query_id").to_pylist()], **packed}
         return pa.table([pa.array(row[field.name], field.type) for field in names], schema=names)
 
     return stage(numbered.groupBy("block").applyInArrow(pack, schema), "queries")
 
 
-def _point_batches(points: DataFrame, width: int) -> DataFrame:
-    """(ids, packed columns): a row per Arrow batch."""
-    schema = T.StructType([T.StructField("ids", T.ArrayType(points.schema["id"].dataType)), *_packed_fields("p_")])
-    names = to_arrow_schema(schema)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                row = {f"p_{name}": [value] for name, value in _pack(batch, width, by_token=False).items()}
-                row["ids"] = [batch.column("id").to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(row[field.name], field.type) for field in names], schema=names)
-
-    return points.mapInArrow(pack, schema)
-
-
-def _dense_scores(points: np.ndarray, queries: np.ndarray, rows: int, asked: int) -> Iterator[tuple]:
-    """(slice, scores, may be a hit) in pieces of bounded size."""
-    points, queries = points.reshape(rows, -1), queries.reshape(asked, -1).T
-    step = max(1, _CELLS // max(1, asked))
-    for at in range(0, rows, step):
-        scores = np.round(points[at:at + step] @ queries, SCORE_DECIMALS)
-        yield slice(at, at + step), scores, np.ones_like(scores, dtype=bool)
-
-
-def _sparse_scores(points: tuple, queries: tuple, rows: int, asked: int) -> Iterator[tuple]:
-    """Products over shared tokens, found by the queries' postings; no shared token, no hit."""
-    owner, token, weight = points
-    query, known, value = queries
-    first, last = np.searchsorted(known, token), np.searchsorted(known, token, side="right")
-    shared = np.flatnonzero(last > first)
-    owner, weight, first, each = owner[shared], weight[shared], first[shared], (last - first)[shared]
-    step = max(1, _CELLS // max(1, asked))
-    for at in range(0, rows, step):
-        here = slice(*np.searchsorted(owner, [at, at + step]))
-        n = each[here]
-        place = np.repeat(first[here], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        cell = np.repeat(owner[here] - at, n) * asked + query[place]
-        size = min(step, rows - at)
-        scores = np.bincount(cell, np.repeat(weight[here], n) * value[place], size * asked).reshape(size, asked)
-        touched = np.bincount(cell, minlength=size * asked).reshape(size, asked) > 0
-        yield slice(at, at + step), np.round(scores, SCORE_DECIMALS), touched
-
-
 def _hit_schema(queries: DataFrame, points: DataFrame) -> T.StructType:
     return T.StructType([
         T.StructField("side", T.StringType()),
@@ -180,50 +229,84 @@ def _hit_schema(queries: DataFrame, points: DataFrame) -> T.StructType:
     ])
 
 
-def _candidates(met: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    """The best rows of every task, from rows of a point batch and a query block each."""
-    names = to_arrow_schema(schema)
+def _beside(points: DataFrame, block: DataFrame, width: int, k: int, schema: T.StructType) -> DataFrame:
+    """The best points of every task for the only block, which is broadcast to the points, packed by Arrow batch."""
+    kind = T.StructType([T.StructField("ids", T.ArrayType(points.schema["id"].dataType)), *_packed_fields("p_")])
+    names, out = to_arrow_schema(kind), to_arrow_schema(schema)
 
-    def drain(best: dict) -> Iterator[pa.RecordBatch]:
-        for (_, side), kept in best.items():
-            if kept.id is not None:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([side] * len(kept.query), names.field(0).type),
-                    pa.array([kept.queries[q] for q in kept.query], names.field(1).type),
-                    pa.array(kept.id.tolist(), names.field(2).type),
-                    pa.array(kept.score, names.field(3).type)], schema=names)
-        best.clear()
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                row = {f"p_{name}": [value] for name, value in _pack(batch, width).items()}
+                row["ids"] = [batch.column("id").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(row[field.name], field.type) for field in names], schema=names)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = found or _Block(row, k)
+                found.search(_Piece(np.asarray(row["ids"]), *_unpacked(row, "p_")))
+        if found:
+            yield from found.hits(out)
+
+    packed = points.mapInArrow(pack, kind).withColumn("block", F.lit(0))
+    return packed.join(F.broadcast(block), "block").mapInArrow(search, schema)
+
+
+def _dealt(points: DataFrame, blocks: DataFrame, parts: int) -> DataFrame:
+    """Points and blocks by part: a row per point, then a row per block; the strongest points come first."""
+    strength = F.array_max(F.transform("entries", lambda entry: entry["weight"])) if "entries" in points.columns else F.lit(0)
+    rows = points.select("*", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), strength.cast("double").alias("strength"))
+    copies = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    both = rows.unionByName(copies, allowMissingColumns=True)
+    return both.repartition(parts, "part").sortWithinPartitions("part", F.col("block").asc_nulls_first(), F.desc("strength"))
+
+
+def _grid(points: DataFrame, blocks: DataFrame, width: int, parts: int, k: int, schema: T.StructType) -> DataFrame:
+    """The best points of every part for every block."""
+    sides = [name for name in ("vector", "entries") if name in points.columns]
+    out = to_arrow_schema(schema)
+
+    def pieces(tables: list[pa.Table]) -> list[_Piece]:
+        table = pa.concat_tables(tables)
+        made = []
+        for at in range(0, len(table), PIECE_ROWS):
+            some = table.slice(at, PIECE_ROWS).combine_chunks()
+            dense = _matrix(_whole(some.column("vector")), width) if "vector" in sides else None
+            sparse = _entries(_whole(some.column("entries"))) if "entries" in sides else (None, None, None)
+            made.append(_Piece(np.asarray(some.column("id").to_pylist()), dense, *sparse))
+        return made
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[tuple[int, str], _Best] = {}
+        part, held, ready = None, [], []
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = {name: batch.column(i)[at].as_py() for i, name in enumerate(batch.schema.names)}
-                ids, asked = np.asarray(row["ids"]), row["query_ids"]
-                p_dense, *p_sparse = _unpacked(row, "p_")
-                q_dense, *q_sparse = _unpacked(row, "q_")
-                if (row["block"], DENSE) not in best and (row["block"], SPARSE) not in best and len(best) >= 2 * _OPEN_BLOCKS:
-                    yield from drain(best)
-                scored = []
-                if p_dense is not None and q_dense is not None:
-                    scored.append((DENSE, _dense_scores(p_dense, q_dense, len(ids), len(asked))))
-                if p_sparse[0] is not None and q_sparse[0] is not None:
-                    scored.append((SPARSE, _sparse_scores(p_sparse, q_sparse, len(ids), len(asked))))
-                for side, parts in scored:
-                    kept = best.setdefault((row["block"], side), _Best(asked, k))
-                    for part, scores, keep in parts:
-                        kept.add(scores, ids[part], keep)
-        yield from drain(best)
-
-    return met.mapInArrow(search, schema)
+            table = pa.Table.from_batches([batch])
+            numbers, is_point = table.column("part").to_numpy(), table.column("block").is_null().to_numpy()
+            cuts = np.flatnonzero((numbers[1:] != numbers[:-1]) | (is_point[1:] != is_point[:-1])) + 1
+            for first, last in zip([0, *cuts], [*cuts, len(table)]):
+                if numbers[first] != part:
+                    part, held, ready = numbers[first], [], []
+                some = table.slice(first, last - first)
+                if is_point[first]:
+                    held.append(some.select(["id", *sides]))
+                    continue
+                if held:
+                    ready, held = pieces(held), []
+                for at in range(len(some) if ready else 0):
+                    block = _Block(some.slice(at, 1).to_pylist()[0], k)
+                    for piece in ready:
+                        block.search(piece)
+                    yield from block.hits(out)
+
+    return _dealt(points, blocks, parts).mapInArrow(search, schema)
 
 
 def topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
     """(side, query_id, id, score, rank) by one scan of the points.
 
-    Queries (query_id) and points (id) may both have ``vector`` (side dense: cosine) and ``entries`` (side sparse: dot product over
-    shared token ids). Blocks of all queries are broadcast if they are within ``BROADCAST_BYTES``; beyond it point batches
-    are dealt out and meet them in a shuffle.
+    Queries (query_id) and points (id, each once) may both have ``vector`` (side dense: cosine) and ``entries`` (side sparse: dot product
+    over shared token ids).
     """
     sides = [name for name in ("vector", "entries") if name in queries.columns and name in points.columns]
     sizes = [F.count(F.lit(1)).alias("count"), *[F.max(F.size(name)).alias(name) for name in sides]]
@@ -232,19 +315,20 @@ def topk(queries: DataFrame, points: DataFrame, k: int = 50) -> DataFrame:
     if not row["count"] or not sides:
         return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
     width = max(1, row.get("vector") or 1)
-    blocks = _query_blocks(queries.select("query_id", *sides), width, row.get("entries") or 0, row["count"])
-    batches = _point_batches(points.select("id", *sides), width)
-    last = blocks.agg(F.max("block")).first()[0]
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(last))).alias("block")
-    if estimated_bytes(blocks) <= BROADCAST_BYTES:
-        met = batches.select("*", numbers).join(F.broadcast(blocks), "block")
+    per_block = max(1, QUERY_BLOCK_BYTES // (8 * width + 24 * (row.get("entries") or 0)))
+    count = math.ceil(row["count"] / per_block)
+    blocks = _query_blocks(queries.select("query_id", *sides), width, count)
+    held = points.select("id", *sides)
+    if count == 1:
+        found = _beside(held, blocks, width, k, schema)
     else:
-        parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = batches.withColumn("part", F.pmod(F.xxhash64(F.get("ids", F.lit(0))), F.lit(parts)))
-        copies = blocks.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
-        met = dealt.select("*", numbers).join(copies, ["block", "part"]).drop("part")
+        size = estimated_bytes(held)
+        if size >= _UNKNOWN_BYTES:
+            size = held.count() * 24 * (width + (row.get("entries") or 0))
+        cores = points.sparkSession.sparkContext.defaultParallelism
+        parts = max(math.ceil(size / PART_BYTES), min(cores, math.ceil(size / LEAST_PART_BYTES)), 1)
+        found = _grid(held, blocks, width, parts, k, schema)
     order = Window.partitionBy("side", "query_id").orderBy(F.desc("score"), F.col("id"))
-    found = _candidates(met, k, schema)
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 

@@ -66,17 +66,60 @@ def test_topk_reads_points_once(spark, monkeypatch, folder):
     assert hits.groupBy("side").count().collect().__len__() == 2 and hits.count() == 9 * 3 * 2
 
 
-def test_topk_beyond_the_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr(topk, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(topk, "QUERY_BLOCK_BYTES", 8 * 4 * 2)
+def test_grid_deals_each_point_once(spark, monkeypatch, folder):
+    """Twenty query blocks: the only exchange of the points holds a row per point, and a row per block and part."""
+    monkeypatch.setattr(topk, "QUERY_BLOCK_BYTES", 8 * 4)
+    monkeypatch.setattr(topk, "LEAST_PART_BYTES", 1000)
     rng = np.random.default_rng(5)
-    points, queries = rng.normal(size=(200, 4)), rng.normal(size=(9, 4))
-    cosine = queries @ points.astype(np.float32).astype(float).T
-    hits = topk.dense_topk(vectors(spark, queries, "query_id"), vectors(spark, points, "id").repartition(4), 5)
-    assert hits.count() == 45
-    best = {r["query_id"]: r["id"] for r in hits.filter("rank = 1").collect()}
-    lengths = np.linalg.norm(points, axis=1)
-    assert best == {q: int((cosine[q] / lengths).argmax()) for q in range(9)}
+    points, queries = rng.normal(size=(200, 4)), rng.normal(size=(20, 4))
+    vectors(spark, points, "id").write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    seen = []
+    dealt = topk._dealt
+    monkeypatch.setattr(topk, "_dealt", lambda points, blocks, parts: seen.append((points, blocks, parts)) or dealt(points, blocks, parts))
+    hits = topk.dense_topk(vectors(spark, queries, "query_id"), stored, 5)
+    (held, blocks, parts), = seen
+    full = blocks.count()
+    assert 10 < full <= 20 and dealt(held, blocks, 3).filter("block IS NULL").count() == 200 and dealt(held, blocks, 3).count() == 200 + 3 * full
+    plan = hits._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count(folder.rsplit("/", 1)[1]) == 1 and plan.count("Exchange hashpartitioning(part") == 1
+    assert hits.count() == 100
+    cosine = queries.astype(np.float32).astype(float) @ points.astype(np.float32).astype(float).T / np.linalg.norm(points, axis=1)
+    assert {r["query_id"]: r["id"] for r in hits.filter("rank = 1").collect()} == {q: int(cosine[q].argmax()) for q in range(20)}
+
+
+def test_pieces_that_cannot_reach_are_passed_over(monkeypatch):
+    """Only postings of pieces that may hold one of the k best are read; the hits are those of all pieces."""
+    rng = np.random.default_rng(6)
+    read = []
+    score = topk._Piece._score
+    monkeypatch.setattr(topk._Piece, "_score", lambda self, query, value, place, best: read.append(int(self.count[place].sum())) or score(
+        self, query, value, place, best))
+    strengths = np.sort(rng.random(4000))[::-1] ** 4
+    tokens = [rng.choice(30, size=6, replace=False) for _ in strengths]
+    pieces = []
+    for at in range(0, 4000, 200):
+        rows = range(at, at + 200)
+        token = np.concatenate([tokens[i] for i in rows])
+        owner, order = np.repeat(np.arange(200), 6), np.argsort(token, kind="stable")
+        pieces.append(topk._Piece(np.array(rows), None, owner[order], token[order], np.repeat(strengths[list(rows)], 6)[order]))
+    row = {"query_ids": list(range(8)), "q_dense": None, "q_owner": np.repeat(np.arange(8), 3).tobytes(),
+           "q_token": np.concatenate([rng.choice(30, size=3, replace=False) for _ in range(8)]).tobytes(), "q_weight": (rng.random(24) - 0.2).tobytes()}
+    block = topk._Block(row, 10)
+    for piece in pieces:
+        block.search(piece)
+    asked = [dict(zip(block.token[block.owner == q].tolist(), block.weight[block.owner == q])) for q in range(8)]
+    expected = np.full((8, 4000), np.nan)
+    for q in range(8):
+        for i, held in enumerate(tokens):
+            shared = [asked[q][t] * strengths[i] for t in held if t in asked[q]]
+            if shared:
+                expected[q, i] = sum(shared)
+    best = block.best[topk.SPARSE]
+    got = {(int(q), int(i), round(float(s), 9)) for q, s, i in zip(best.query, best.score, best.id)}
+    assert got == {(q, i, round(float(s), 9)) for q, i, s, _ in [(q, i, expected[q, i], 0) for q, i, *_ in brute_force(expected, 10)]}
+    touched = sum(len(pieces[0].owner) * 0 + int(np.isin(np.concatenate(tokens), block.token[block.owner == q]).sum()) for q in range(8))
+    assert sum(read) < touched / 2
 
 
 def test_dense_topk_rejects_other_widths(spark):
@@ -84,9 +127,11 @@ def test_dense_topk_rejects_other_widths(spark):
         topk.dense_topk(vectors(spark, np.ones((1, 2)), "query_id"), vectors(spark, np.ones((4, 3)), "id")).collect()
 
 
-@pytest.mark.parametrize("block", [32 << 20, 200])
-def test_sparse_topk(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, matches", [(32 << 20, 4 << 20), (200, 4 << 20), (500, 3)])
+def test_sparse_topk(spark, monkeypatch, block, matches):
     monkeypatch.setattr(topk, "QUERY_BLOCK_BYTES", block)
+    monkeypatch.setattr(topk, "_MATCHES", matches)
+    monkeypatch.setattr(topk, "PIECE_ROWS", 30)
     rng = np.random.default_rng(2)
 
     def entries(n):
