@@ -107,6 +107,22 @@ def delete_folders(spark: SparkSession, folders: list[str]) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is started inside; the caller's own come back behind it."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def together(*jobs: Callable[[], T]) -> list[T]:
     """Run independent jobs at the same time, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(len(jobs)) as pool:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +74,40 @@ def peek_topic(messages: DataFrame, n: int = PEEK) -> DataFrame:
     return messages.orderBy("seq").limit(n)
 
 
+def peek_options(kafka: dict[str, str], n: int = PEEK) -> dict[str, str]:
+    """Options of a batch read that ends ``n`` messages behind each partition's start, where the start is given by offsets.
+
+    A start by name, such as ``earliest``, has no known end; nothing is added for it.
+    """
+    options = {"subscribe": TOPIC, "startingOffsets": "earliest", **kafka}
+    if not options["startingOffsets"].startswith("{") or "endingOffsets" in options:
+        return options
+    starts = json.loads(options["startingOffsets"])
+    if any(offset < 0 for parts in starts.values() for offset in parts.values()):
+        return options
+    ends = {topic: {part: offset + n for part, offset in parts.items()} for topic, parts in starts.items()}
+    return {**options, "endingOffsets": json.dumps(ends)}
+
+
+def first_of_tasks(messages: DataFrame, n: int = PEEK) -> DataFrame:
+    """The first ``n`` rows of every task; a source that reads in order, such as a partition of a topic, is not read on."""
+    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = n
+        for batch in batches:
+            yield batch.slice(0, left)
+            left -= min(left, batch.num_rows)
+            if not left:
+                return
+
+    return messages.mapInArrow(head, messages.schema)
+
+
+def peek_kafka(spark: SparkSession, kafka: dict[str, str], n: int = PEEK) -> DataFrame:
+    """The first ``n`` messages of a Kafka topic: of every partition only about its first ``n`` are read."""
+    raw = spark.read.format("kafka").options(**peek_options(kafka, n)).load()
+    return peek_topic(first_of_tasks(_kafka_messages(raw), n), n)
+
+
 def peek_files(spark: SparkSession, path: str, n: int = PEEK) -> DataFrame:
     """The first ``n`` messages of a folder. Only as many of its oldest files are read as hold that many lines."""
     listed = spark.read.format("binaryFile").load(path).select("path", "modificationTime", "length").filter("length > 0")

@@ -151,3 +151,62 @@ def test_kafka_positions_do_not_collide(spark):
     raw = spark.createDataFrame([("x", 4096, 0), ("y", 0, 1), ("z", 5000, 1)], "value STRING, partition INT, offset BIGINT")
     found = topic._kafka_messages(raw.withColumn("timestamp", stamp))
     assert found.select("seq").distinct().count() == 3
+
+
+def test_kafka_peek_is_bounded(spark):
+    """Known starts give ends; a start by name is cut by the tasks, which keep their first messages."""
+    starts = json.dumps({"news_raw": {"0": 100, "1": 7}})
+    options = topic.peek_options({"kafka.bootstrap.servers": "b:9092", "startingOffsets": starts}, 3)
+    assert json.loads(options["endingOffsets"]) == {"news_raw": {"0": 103, "1": 10}} and options["subscribe"] == "news_raw"
+    assert "endingOffsets" not in topic.peek_options({"kafka.bootstrap.servers": "b:9092"}, 3)
+    assert "endingOffsets" not in topic.peek_options({"startingOffsets": json.dumps({"news_raw": {"0": -2}})}, 3)
+    rows = spark.range(0, 20_000, 1, 4).select(F.col("id").cast("string").alias("value"), F.col("id").alias("seq"))
+    kept = topic.first_of_tasks(rows, 3)
+    assert sorted(r["seq"] for r in kept.collect()) == [p * 5000 + i for p in range(4) for i in range(3)]
+    assert [r["seq"] for r in topic.peek_topic(kept, 3).collect()] == [0, 1, 2]
+
+
+def test_stream_state_starts_from_the_table(spark, folder, warehouse):
+    """Keys of the table are known to a new checkpoint; later batches read no key of the table."""
+    warehouse.init_metadata()
+    known = ingest_batch(messages(spark, ['{"url":"old","title":"kept"}']), spark.createDataFrame([], "url_hash STRING"))
+    warehouse.append_metadata(known)
+    lines = [json.dumps({"url": url, "title": f"{url}{i}"}) for i in range(3) for url in ("old", "new", "newer")]
+    write(spark, f"{folder}/topic", lines[:6])
+    time.sleep(1.1)
+    write(spark, f"{folder}/topic", lines[6:] + ['{"url":"last","title":"z"}'])
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{folder}/topic")
+    query = ingest_articles(topic._file_messages(stream), warehouse, f"{folder}/checkpoint", availableNow=True)
+    query.awaitTermination()
+    assert {(r["url"], r["title"]) for r in warehouse.table("article_metadata").collect()} == {
+        ("old", "kept"), ("new", "new0"), ("newer", "newer0"), ("last", "z")}
+    batches = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(batches) == 2 and batches[-1]["stateOperators"][0]["numRowsTotal"] == 4
+    plan = query._jsq.explainInternal(False) if hasattr(query._jsq, "explainInternal") else ""
+    assert "LeftAnti" not in plan
+
+
+def test_a_batch_that_was_written_but_not_committed_is_not_written_again(spark, folder, warehouse):
+    """The commit of the last batch is lost: its messages come again, with the state before it."""
+    import os
+
+    warehouse.init_metadata()
+
+    def run():
+        ingest_articles(topic.stream_topic(spark, f"{folder}/topic"), warehouse, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+        return sorted(r["title"] for r in warehouse.table("article_metadata").collect())
+
+    write(spark, f"{folder}/topic", [json.dumps({"url": "a", "title": "one"})])
+    assert run() == ["one"]
+    time.sleep(1.1)
+    write(spark, f"{folder}/topic", [json.dumps({"url": url, "title": "two"}) for url in "aabb"])
+    assert run() == ["one", "two"]
+    commits = f"{folder}/checkpoint/commits"
+    last = max((name for name in os.listdir(commits) if name.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        if os.path.exists(f"{commits}/{name}"):
+            os.remove(f"{commits}/{name}")
+    assert run() == ["one", "two"]
+    time.sleep(1.1)
+    write(spark, f"{folder}/topic", [json.dumps({"url": url, "title": "three"}) for url in "abc"])
+    assert run() == ["one", "three", "two"]
