@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from newsflow.functions import dates, people
 from newsflow.functions.text import clean_text
 from newsflow.functions.urls import domain_of
-from newsflow.session import stage
 
 
 def new_articles(metadata: DataFrame, fact_articles: DataFrame) -> DataFrame:
@@ -25,18 +24,34 @@ def dedup_titles(articles: DataFrame) -> DataFrame:
     return articles.join(winners, "url_hash", "left_semi")
 
 
-def articles_to_load(metadata: DataFrame, fact_articles: DataFrame) -> DataFrame:
-    """New articles, one per title. Only keys and titles take part in the choice; text moves once.
+def open_days(metadata: DataFrame, outcomes: DataFrame) -> list:
+    """Days of ingest that hold an article without an outcome. Raw rows are counted by partition, no column of them is read."""
+    raw = metadata.groupBy("ingest_day").agg(F.count(F.lit(1)).alias("n"))
+    known = outcomes.groupBy("ingest_day").agg(F.count(F.lit(1)).alias("known"))
+    left = raw.join(known, "ingest_day", "left").filter(F.col("n") > F.coalesce("known", F.lit(0)))
+    return [row["ingest_day"] for row in left.select("ingest_day").collect()]
 
-    The days of ingest that the chosen articles came in are known before their text is read, so other days' partitions
-    are not.
-    """
-    keys = new_articles(metadata.select("url_hash", "title", "ingest_day"), fact_articles)
-    first = F.min(F.struct("url_hash", "ingest_day")).alias("first")
-    winners = stage(keys.groupBy("title").agg(first).select("first.url_hash", "first.ingest_day"), "winners")
-    days = [row["ingest_day"] for row in winners.select("ingest_day").distinct().collect()]
-    return metadata.filter(F.col("ingest_day").isin(days)).join(
-        winners, ["url_hash", "ingest_day"], "left_semi").drop("ingest_day")
+
+def open_articles(metadata: DataFrame, outcomes: DataFrame, days: list) -> DataFrame:
+    """(url_hash, title, ingest_day, state): articles of the open days without an outcome, and those an earlier load rejected."""
+    here = F.col("ingest_day").isin(days)
+    fresh = metadata.filter(here).select("url_hash", "title", "ingest_day").join(
+        outcomes.filter(here).select("url_hash"), "url_hash", "left_anti")
+    rejected = outcomes.filter(F.col("state") != "loaded").select("url_hash", "title", "ingest_day", "state")
+    return fresh.withColumn("state", F.lit(None).cast("string")).unionByName(rejected)
+
+
+def title_winners(articles: DataFrame) -> DataFrame:
+    """Of each title the article with the lowest url_hash, combined before the shuffle."""
+    first = F.min(F.struct("url_hash", "ingest_day", "state")).alias("first")
+    return articles.groupBy("title").agg(first).select("title", "first.*")
+
+
+def texts_of(metadata: DataFrame, winners: DataFrame) -> DataFrame:
+    """Raw articles of the winners without an outcome; of the other days' partitions nothing is read."""
+    wanted = winners.filter(F.col("state").isNull()).select("url_hash", "ingest_day")
+    days = [row["ingest_day"] for row in wanted.select("ingest_day").distinct().collect()]
+    return metadata.filter(F.col("ingest_day").isin(days)).join(wanted, ["url_hash", "ingest_day"], "left_semi")
 
 
 def _read(message: Column, url: Column) -> Column:
@@ -81,7 +96,8 @@ def parse_articles(articles: DataFrame) -> DataFrame:
     ``state`` is ``error`` for what cannot be read, ``skipped`` without author or date, else ``loaded``.
     """
     fields = F.transform(F.array(F.try_parse_json("content")), lambda message: _read(message, F.col("url")))
-    return articles.select("url_hash", "title", "url", F.inline_outer(fields))
+    kept = [name for name in ("ingest_day",) if name in articles.columns]
+    return articles.select("url_hash", "title", "url", *kept, F.inline_outer(fields))
 
 
 def gate_articles(parsed: DataFrame) -> DataFrame:
@@ -100,7 +116,7 @@ def clean_articles(parsed: DataFrame) -> DataFrame:
         dates.stored_timestamp(F.col("raw_date")).cast("date").alias("date"),
         F.array_distinct(authors).alias("authors"),
         F.when(F.col("state") == "loaded", clean_text(F.col("raw_content"))).alias("content"),
-        "state",
+        "state", *[name for name in ("ingest_day",) if name in parsed.columns],
     )
 
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.chunks import chunk_rows
-from newsflow.operators.etl import articles_to_load, clean_articles, gate_articles, parse_articles, run_summary
+from newsflow.operators.etl import (clean_articles, gate_articles, new_articles, open_articles, open_days, parse_articles, run_summary,
+                                    texts_of, title_winners)
 from newsflow.operators.joins import lookup
 from newsflow.operators.keys import new_keys
 from newsflow.session import stage, staging, together
-from newsflow.sources.warehouse import Warehouse
+from newsflow.sources.warehouse import OUTCOMES, Warehouse
 
 # Bits of a chunk key that hold the chunk's place in its article.
 CHUNK_BITS = 24
@@ -70,13 +71,32 @@ def chunk_fact_rows(texts: DataFrame) -> DataFrame:
 
 
 
+def _chosen(warehouse: Warehouse, load: int) -> tuple[DataFrame, DataFrame | None]:
+    """(winners, settled): the staged winners of this load, one per title, and articles whose outcome an earlier load did not note."""
+    metadata, outcomes = warehouse.read_metadata(), warehouse.loaded(OUTCOMES, load)
+    facts = warehouse.loaded("fact_articles", load)
+    days = open_days(metadata, outcomes)
+    found = open_articles(metadata, outcomes, days)
+    # outcomes are written after the facts: a load may have died between the two
+    noted = {row["load_id"] for row in outcomes.select("load_id").distinct().collect()}
+    missing = [row["load_id"] for row in facts.select("load_id").distinct().collect() if row["load_id"] not in noted]
+    settled = None
+    if missing:
+        found = stage(found, "open")
+        there = facts.filter(F.col("load_id").isin(missing))
+        settled = stage(found.filter(F.col("state").isNull()).join(there.select("url_hash"), "url_hash", "left_semi"), "settled")
+        found = new_articles(found, there)
+    return stage(title_winners(found), "winners"), settled
+
+
 def run_etl(warehouse: Warehouse) -> DataFrame:
     """Load all new raw articles; returns one row: found, loaded, skipped, errors.
 
     Read articles are staged once, with their state, and every table is filled from there by column. Text
     meets its key in one join, for ``dim_content``; chunks are cut from what that wrote.
     ``fact_articles`` is written last: until then the load does not count, and a repeated run replaces
-    its partitions.
+    its partitions. The outcome of every article read is noted behind that, so that days whose articles all have one are not
+    looked at again, and rejected ones count in later summaries without being read.
     """
     spark = warehouse.spark
     warehouse.init_warehouse()
@@ -86,8 +106,8 @@ def run_etl(warehouse: Warehouse) -> DataFrame:
         return warehouse.loaded(table, load)
 
     with staging(spark):
-        chosen = articles_to_load(warehouse.read_metadata(), known("fact_articles"))
-        read = stage(clean_articles(parse_articles(chosen)), "articles")
+        winners, settled = _chosen(warehouse, load)
+        read = stage(clean_articles(parse_articles(texts_of(warehouse.read_metadata(), winners))), "articles")
         clean = gate_articles(read)
 
         def fill(table: str, rows) -> None:
@@ -115,5 +135,10 @@ def run_etl(warehouse: Warehouse) -> DataFrame:
         together(fill_texts, fill_bridge)
         warehouse.write_load("fact_articles", fact_rows(
             keyed, warehouse.loaded("dim_source", now), warehouse.loaded("dim_time", now)), load)
-        summary = run_summary(read)
+        outcomes = read.select("url_hash", "title", "state", "ingest_day")
+        if settled is not None:
+            outcomes = outcomes.unionByName(settled.withColumn("state", F.lit("loaded")))
+        warehouse.write_load(OUTCOMES, outcomes, load)
+        rejected = winners.filter(F.col("state").isNotNull()).select("state")
+        summary = run_summary(read.select("state").unionByName(rejected))
         return spark.createDataFrame(summary.collect(), summary.schema)

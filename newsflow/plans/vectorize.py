@@ -20,16 +20,18 @@ def warehouse_chunks(warehouse: Warehouse, chunks: DataFrame | None = None) -> D
 def vectorize(warehouse: Warehouse, encoder=None) -> None:
     """Encode new chunks and add them to the collection. Nothing new means nothing written.
 
-    New chunks are found by key; only the loads they came in are read on, and only their text is joined and encoded.
+    The collection records up to which load it holds all chunks. Only later loads are read and, as a run may have died between
+    its points and that record, compared with the collection by key; only their new text is joined and encoded.
     """
     warehouse.init_points()
     factory = encoder or hashing_encoder(warehouse.points_dim())
-    chunks = warehouse.table("fact_chunks")
+    done, last = warehouse.points_loads(), warehouse.next_load() - 1
+    chunks = warehouse.table("fact_chunks").filter(F.col("load_id").between(done + 1, last))
     place = ["article_id", "chunk_index"]
     with staging(warehouse.spark):
-        fresh = new_chunks(chunks.select(*place, "load_id").distinct(), warehouse.table(POINTS))
-        keys = stage(fresh.select(*place, "load_id"), "fresh")
-        loads = [row["load_id"] for row in keys.select("load_id").distinct().collect()]
-        if loads:
-            todo = chunks.filter(F.col("load_id").isin(loads)).join(keys, [*place, "load_id"], "left_semi")
-            warehouse.append_points(assemble_points(warehouse_chunks(warehouse, todo), factory))
+        keys = stage(new_chunks(chunks.select(*place), warehouse.table(POINTS)).select(*place), "fresh")
+        if not keys.isEmpty():
+            todo = chunks.join(keys, place, "left_semi")
+            warehouse.append_points(assemble_points(warehouse_chunks(warehouse, todo), factory), last)
+        elif last > done:
+            warehouse.mark_loads(last)

@@ -34,9 +34,16 @@ TABLE_COLUMNS = {
               "publish_timestamp: BIGINT>",
 }
 
-# Columns that tables are partitioned by beside the load: the day of ingest, and a part of the id that is replaced as a whole.
-PARTITIONS = {"article_metadata": "ingest_day DATE", "points": "id_part INT"}
-ID_PARTS = 64
+# What the collection is made of: the points of every write, and the ids that a write puts in place of older ones. And what became
+# of each raw article that a load read.
+TABLE_COLUMNS |= {
+    "points_log": TABLE_COLUMNS["points"],
+    "points_replaced": "id STRING",
+    "load_outcomes": "url_hash STRING, title STRING, state STRING, ingest_day DATE",
+}
+
+# Columns that tables are partitioned by if not by the load: the day of ingest, and the number of the write.
+PARTITIONS = {"article_metadata": "ingest_day DATE", "points_log": "version BIGINT", "points_replaced": "version BIGINT"}
 
 # The key on which large tables meet; they are bucketed on it when buckets are asked for.
 BUCKET_KEYS = {
@@ -45,7 +52,8 @@ BUCKET_KEYS = {
     "fact_articles": "url_hash",
     "fact_article_authors": "article_id",
     "fact_chunks": "article_id",
-    "points": "id",
+    "points_log": "id",
+    "points_replaced": "id",
 }
 
 WAREHOUSE_TABLES = ("dim_source", "dim_time", "dim_content", "dim_author",

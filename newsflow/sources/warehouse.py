@@ -2,38 +2,24 @@
 
 from __future__ import annotations
 
-import contextlib
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from newsflow.functions.encoders import COLLECTION_DIM
-from newsflow.operators.upsert import upsert
-from newsflow.schemas import BUCKET_KEYS, ID_PARTS, PARTITIONS, TABLE_COLUMNS, WAREHOUSE_TABLES
+from newsflow.schemas import BUCKET_KEYS, PARTITIONS, TABLE_COLUMNS, WAREHOUSE_TABLES
 from newsflow.session import stage, staging
 
 METADATA = "article_metadata"
-POINTS = "points"
+OUTCOMES = "load_outcomes"
+# The collection is a view over the points of all writes and the ids that later writes replace.
+POINTS, LOG, REPLACED = "points", "points_log", "points_replaced"
 
 
 def _columns(table: str) -> list[str]:
     return StructType.fromDDL(TABLE_COLUMNS[table]).fieldNames()
 
 
-@contextlib.contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """An overwrite replaces only the partitions it has rows for."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 class Warehouse:
     """Tables of ``database``; with ``buckets``, large tables are bucketed on the key they are joined by.
 
@@ -58,7 +44,7 @@ class Warehouse:
         self.spark.catalog.refreshTable(self.name(table))
 
     def _create(self, table: str) -> None:
-        by = "load_id BIGINT" if table in WAREHOUSE_TABLES else PARTITIONS[table]
+        by = PARTITIONS.get(table, "load_id BIGINT")
         columns, partition = f"{TABLE_COLUMNS[table]}, {by}", f" PARTITIONED BY ({by.split()[0]})"
         key = BUCKET_KEYS.get(table)
         bucketed = f" CLUSTERED BY ({key}) INTO {self.buckets} BUCKETS" if self.buckets and key else ""
@@ -74,9 +60,9 @@ class Warehouse:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`{place}")
 
     def init_warehouse(self) -> None:
-        """Create the seven tables that do not exist; ``dim_time`` gets its unknown member with key 0."""
+        """Create the seven tables that do not exist, and that of outcomes; ``dim_time`` gets its unknown member with key 0."""
         self.init_database()
-        for table in WAREHOUSE_TABLES:
+        for table in (*WAREHOUSE_TABLES, OUTCOMES):
             self._create(table)
         self.spark.sql(
             f"INSERT OVERWRITE {self.name('dim_time')} PARTITION (load_id = 0) "
@@ -87,7 +73,7 @@ class Warehouse:
         self._create(METADATA)
 
     def reset_metadata(self) -> None:
-        """Drop and recreate the raw table."""
+        """Drop and recreate the raw table. A stream that filled it needs a new checkpoint to fill it again."""
         self.init_database()
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(METADATA)}")
         self._create(METADATA)
@@ -95,17 +81,38 @@ class Warehouse:
     def init_points(self, dim: int = COLLECTION_DIM) -> None:
         """Create the vector collection if absent; its vector size is a table property."""
         self.init_database()
-        self._create(POINTS)
-        known = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(POINTS)}").filter(F.col("key") == "dense.dim").first()
-        if known is None:
-            self.spark.sql(f"ALTER TABLE {self.name(POINTS)} SET TBLPROPERTIES ('dense.dim' = '{dim}')")
+        for table in (LOG, REPLACED):
+            self._create(table)
+        if "dense.dim" not in self._points_state():
+            self._commit_points(**{"dense.dim": dim, "points.base": 1, "points.last": 0, "points.replaced": 0, "points.loads": 0})
+
+    def _points_state(self) -> dict[str, str]:
+        return {row["key"]: row["value"] for row in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(LOG)}").collect()}
+
+    def _commit_points(self, **changes) -> None:
+        """Record the state of the collection and show it: readers see whole writes only, as the view names the last one.
+
+        A point is shown unless a later write replaced its id.
+        """
+        listed = ", ".join(f"'{key}' = '{value}'" for key, value in changes.items())
+        self.spark.sql(f"ALTER TABLE {self.name(LOG)} SET TBLPROPERTIES ({listed})")
+        state = self._points_state()
+        written = f"version BETWEEN {state['points.base']} AND {state['points.last']}"
+        live = ""
+        if int(state["points.replaced"]):
+            live = (f" LEFT ANTI JOIN (SELECT id, max(version) AS version FROM {self.name(REPLACED)} WHERE {written} GROUP BY id) r"
+                    " ON p.id = r.id AND p.version < r.version")
+        columns = ", ".join(f"p.{name}" for name in _columns(POINTS))
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(POINTS)} AS SELECT {columns} FROM "
+                       f"(SELECT * FROM {self.name(LOG)} WHERE {written}) p{live}")
 
     def points_dim(self) -> int:
-        row = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(POINTS)}").filter(F.col("key") == "dense.dim").first()
-        return int(row["value"])
+        return int(self._points_state()["dense.dim"])
 
     def drop_points(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(POINTS)}")
+        self.spark.sql(f"DROP VIEW IF EXISTS {self.name(POINTS)}")
+        for table in (LOG, REPLACED):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
 
     def read_metadata(self) -> DataFrame:
         """The four columns the ETL needs, and the day of ingest they are stored by."""
@@ -116,14 +123,17 @@ class Warehouse:
         stamped = rows.withColumns({"crawled_at": now, "ingest_day": F.to_date(now)})
         self._insert(METADATA, stamped)
 
-    def _insert(self, table: str, df: DataFrame, overwrite: bool = False) -> None:
+    def _insert(self, table: str, df: DataFrame) -> None:
         columns = [*_columns(table), PARTITIONS[table].split()[0]]
-        self._placed(table, df.select(*columns)).write.insertInto(self.name(table), overwrite=overwrite)
+        self._placed(table, df.select(*columns)).write.insertInto(self.name(table))
 
     def next_load(self) -> int:
-        """One more than the last complete load; ``fact_articles`` is written last and marks completion."""
-        last = self.table("fact_articles").agg(F.max("load_id")).first()[0]
-        return (last or 0) + 1
+        """One more than the last complete load.
+
+        ``fact_articles`` is written last and marks completion; a load that found nothing to keep has outcomes alone.
+        """
+        last = self.table("fact_articles").select("load_id").unionByName(self.table(OUTCOMES).select("load_id"))
+        return (last.agg(F.max("load_id")).first()[0] or 0) + 1
 
     def loaded(self, table: str, before: int) -> DataFrame:
         """Rows of complete loads."""
@@ -131,48 +141,79 @@ class Warehouse:
 
     def write_load(self, table: str, df: DataFrame, load_id: int) -> None:
         """Fill, or replace, the partition of one load, and record the table's size for join planning."""
-        columns = ", ".join(_columns(table))
-        self.spark.sql(
-            f"INSERT OVERWRITE {self.name(table)} PARTITION (load_id = {int(load_id)}) "
-            f"SELECT {columns} FROM {{rows}}", rows=self._placed(table, df))
+        self._write_partition(table, df, load_id)
         self.spark.sql(f"ANALYZE TABLE {self.name(table)} COMPUTE STATISTICS NOSCAN")
 
+    def _write_partition(self, table: str, df: DataFrame, number: int) -> None:
+        columns, by = ", ".join(_columns(table)), PARTITIONS.get(table, "load_id").split()[0]
+        self.spark.sql(f"INSERT OVERWRITE {self.name(table)} PARTITION ({by} = {int(number)}) SELECT {columns} FROM {{rows}}",
+                       rows=self._placed(table, df))
+
     def truncate_all(self) -> None:
-        """Empty the raw table and the star schema. Keys restart, as the next key is the highest plus one."""
-        for table in (METADATA, *WAREHOUSE_TABLES):
+        """Empty the raw table and the star schema. Keys and loads restart, as the next key is the highest plus one."""
+        for table in (METADATA, *WAREHOUSE_TABLES, OUTCOMES):
+            self._create(table)
             self.spark.sql(f"TRUNCATE TABLE {self.name(table)}")
+        if self.spark.catalog.tableExists(self.name(LOG)):
+            self._commit_points(**{"points.loads": 0})
 
     def _wide(self, points: DataFrame) -> DataFrame:
-        """Points with the part their id belongs to; a dense vector of another width fails the write."""
+        """Points whose dense vectors have the collection's width; another one fails the write."""
         dim = self.points_dim()
         wrong = F.raise_error(F.lit(f"points must have {dim} dense values"))
-        return points.withColumns({
-            "dense": F.when(F.size("dense") == dim, F.col("dense")).otherwise(wrong.cast("array<float>")),
-            "id_part": F.pmod(F.xxhash64("id"), F.lit(ID_PARTS)).cast("int")})
-
-    def append_points(self, points: DataFrame) -> None:
-        """Insert points whose ids are not in the collection; they are written once."""
-        self._insert(POINTS, self._wide(points).repartition("id_part", F.pmod(F.hash("id"), F.lit(8))))
+        return points.withColumn("dense", F.when(F.size("dense") == dim, F.col("dense")).otherwise(wrong.cast("array<float>")))
+
+    def _write_points(self, points: DataFrame, replace: bool, **changes) -> None:
+        """Write one more version, in as many files as its size asks for, and show it. One that died is written again."""
+        version = int(self._points_state()["points.last"]) + 1
+        self._write_partition(LOG, self._wide(points).hint("rebalance"), version)
+        if replace:
+            written = self.table(LOG).filter(F.col("version") == version)
+            self._write_partition(REPLACED, written.select("id").hint("rebalance"), version)
+            changes["points.replaced"] = version
+        self._commit_points(**{"points.last": version, **changes})
+
+    def append_points(self, points: DataFrame, loads: int | None = None) -> None:
+        """Insert points whose ids are not in the collection; they are written once. ``loads``: the last load that is whole in it."""
+        self._write_points(points, False, **({} if loads is None else {"points.loads": loads}))
+
+    def points_loads(self) -> int:
+        """The chunks of all loads up to this one are in the collection."""
+        return int(self._points_state()["points.loads"])
+
+    def mark_loads(self, last: int) -> None:
+        """Record that the chunks of all loads up to ``last`` are in the collection."""
+        self._commit_points(**{"points.loads": last})
 
     def upsert_points(self, points: DataFrame) -> None:
-        """Insert points, replacing those with the same id: only the parts of the collection that hold such ids are rewritten.
+        """Insert points, unique by id, in place of those with the same id.
+
+        Only the points given are written, with their ids; the points they replace are left out when reading, until
+        ``compact_points`` removes them.
+        """
+        with staging(self.spark):
+            new = stage(points.select(*_columns(POINTS)), "points")
+            if not new.filter(F.size("dense") != self.points_dim()).isEmpty():
+                raise ValueError(f"points must have {self.points_dim()} dense values")
+            self._write_points(new, True)
+
+    def compact_points(self) -> None:
+        """Write the points that are shown as one version and drop what came before. Readers see the same points throughout.
 
-        The merged parts are staged first and then put in place of the old ones.
+        The new version is shown in one step; a compaction that died before leaves the old ones as they are.
         """
-        wrong = points.filter(F.size("dense") != self.points_dim())
-        if not wrong.isEmpty():
-            raise ValueError(f"points must have {self.points_dim()} dense values")
+        state = self._points_state()
+        version = int(state["points.last"]) + 1
         with staging(self.spark):
-            new = stage(self._wide(points), "points")
-            target = self.table(POINTS)
-            here = target.filter(F.col("id_part").isin([r["id_part"] for r in new.select("id_part").distinct().collect()]))
-            hit = here.join(new.select("id"), "id", "left_semi").select("id_part").distinct().collect()
-            touched = F.col("id_part").isin([row["id_part"] for row in hit])
-            if hit:
-                merged = stage(upsert(target.filter(touched), new.filter(touched), "id"), "points")
-                with _dynamic_overwrite(self.spark):
-                    self._insert(POINTS, merged, overwrite=True)
-            self._insert(POINTS, new.filter(~touched) if hit else new)
+            live = stage(self.table(POINTS), "points")
+            self._write_partition(LOG, live.hint("rebalance"), version)
+            self._commit_points(**{"points.base": version, "points.last": version, "points.replaced": 0})
+        for table in (LOG, REPLACED):
+            old = [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
+            gone = [name.split("=")[1] for name in old if int(name.split("=")[1]) < version]
+            if gone:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS " + ", ".join(
+                    f"PARTITION (version = {number})" for number in gone))
 
     def report(self, sql: str) -> DataFrame:
         """Ad-hoc SQL; ``{table}`` names a table of this database."""

@@ -9,7 +9,7 @@ from newsflow.plans import reports
 from newsflow.plans.etl import run_etl
 from newsflow.plans.vectorize import vectorize
 from newsflow.schemas import WAREHOUSE_TABLES
-from newsflow.sources.warehouse import POINTS, Warehouse
+from newsflow.sources.warehouse import LOG, OUTCOMES, POINTS, REPLACED, Warehouse
 
 
 def raw(spark, *items):
@@ -131,6 +131,107 @@ def test_vectorize_is_incremental(spark, warehouse):
         warehouse.upsert_points(changed.withColumn("dense", F.array(F.lit(1.0).cast("float"))))
 
 
+def some_points(spark, ids, title="t", dim=4):
+    return spark.createDataFrame([(i,) for i in ids], "id STRING").select(
+        "id", F.array_repeat(F.lit(0.5).cast("float"), dim).alias("dense"), F.create_map(F.lit(1), F.lit(1.0).cast("float")).alias("sparse"),
+        F.struct(F.lit(1).cast("bigint").alias("article_id"), F.lit(0).alias("chunk_index"), F.lit(title).alias("title"), F.lit("u").alias("url"),
+                 F.lit("c").alias("content"), F.lit("a").alias("authors"), F.lit(0).cast("bigint").alias("publish_timestamp")).alias("payload"))
+
+
+def test_upsert_writes_its_own_rows_and_compaction_changes_nothing(spark, warehouse):
+    """Points replaced once, twice, and after a compaction; new ones among them."""
+    warehouse.init_points(4)
+    warehouse.append_points(some_points(spark, [f"p{i}" for i in range(1000)]))
+
+    def shown():
+        rows = warehouse.table(POINTS).select("id", "payload.title").collect()
+        assert len({r["id"] for r in rows}) == len(rows)
+        return {r["id"]: r["title"] for r in rows}
+
+    def written():
+        return warehouse.table(LOG).count(), warehouse.table(REPLACED).count()
+
+    expected = {f"p{i}": "t" for i in range(1000)}
+    for title, start in (("one", 968), ("two", 980), ("three", 960)):
+        before = written()
+        ids = [f"p{i}" for i in range(start, start + 64)]
+        warehouse.upsert_points(some_points(spark, ids, title))
+        expected |= dict.fromkeys(ids, title)
+        assert written() == (before[0] + 64, before[1] + 64) and shown() == expected
+        if title == "two":
+            warehouse.compact_points()
+            assert written() == (len(expected), 0) and shown() == expected
+    warehouse.append_points(some_points(spark, ["late"]))
+    assert shown() == expected | {"late": "t"}
+    warehouse.compact_points()
+    assert written() == (len(expected) + 1, 0) and shown() == expected | {"late": "t"}
+
+
+def test_writes_are_seen_whole_or_not_at_all(spark, warehouse):
+    """A write or a compaction that died before its commit shows nothing, and is overwritten by the next one."""
+    warehouse.init_points(4)
+    warehouse.append_points(some_points(spark, ["a", "b"]))
+    warehouse._write_partition(LOG, some_points(spark, ["a", "x", "y"], "half"), 2)
+    assert sorted(r["id"] for r in warehouse.table(POINTS).collect()) == ["a", "b"]
+    warehouse.upsert_points(some_points(spark, ["b"], "new"))
+    assert sorted((r["id"], r["payload"]["title"]) for r in warehouse.table(POINTS).collect()) == [("a", "t"), ("b", "new")]
+    with pytest.raises(Exception, match="4 dense values"):
+        warehouse.append_points(some_points(spark, ["c"], dim=3))
+    assert warehouse.table(POINTS).count() == 2
+
+
+def test_vectorize_reads_later_loads_only(spark, warehouse):
+    warehouse.init_metadata()
+    warehouse.append_metadata(raw(spark, ("https://d/1", "one", GOOD)))
+    run_etl(warehouse)
+    warehouse.init_points(16)
+    vectorize(warehouse)
+    assert warehouse.points_loads() == 1 and warehouse.table(LOG).count() == 1
+    read = warehouse.table
+    vectorize(warehouse)
+    assert read(LOG).count() == 1
+    warehouse.append_metadata(raw(spark, ("https://d/2", "two", GOOD)))
+    run_etl(warehouse)
+    vectorize(warehouse)
+    assert warehouse.points_loads() == 2 and read(POINTS).count() == 2
+    # a run that died between its points and the record repeats nothing
+    warehouse.mark_loads(0)
+    vectorize(warehouse)
+    assert read(POINTS).count() == 2 and warehouse.points_loads() == 2
+
+
+def test_rejected_articles_are_counted_but_not_read_again(spark, warehouse, monkeypatch):
+    """A second load over a day with rejected rows reads no content; their outcomes stand in for them."""
+    from newsflow.plans import etl as plan
+
+    warehouse.init_metadata()
+    warehouse.append_metadata(raw(spark, ("https://d/1", "one", GOOD), ("https://d/2", "two", {**GOOD, "author": "Unknown"}),
+                                  ("https://d/3", "three", "{bad")))
+    read = []
+    texts_of = plan.texts_of
+    monkeypatch.setattr(plan, "texts_of", lambda *args: read.append(texts_of(*args).select("content").collect()) or texts_of(*args))
+    assert run_etl(warehouse).first().asDict() == {"found": 3, "loaded": 1, "skipped": 1, "errors": 1}
+    assert {(r["title"], r["state"]) for r in warehouse.table(OUTCOMES).collect()} == {
+        ("one", "loaded"), ("two", "skipped"), ("three", "error")}
+    assert run_etl(warehouse).first().asDict() == {"found": 2, "loaded": 0, "skipped": 1, "errors": 1}
+    assert [len(rows) for rows in read] == [3, 0]
+    warehouse.append_metadata(raw(spark, ("https://d/4", "four", GOOD), ("https://d/5", "two", GOOD)))
+    assert run_etl(warehouse).first()["found"] in (3, 4) and len(read[-1]) in (1, 2)
+    assert {r["title"] for r in warehouse.table("fact_articles").collect()} >= {"one", "four"}
+
+
+def test_facts_without_outcomes_are_not_loaded_again(spark, warehouse):
+    """A load died behind its facts: its articles are known by these, and get their outcomes with the next load."""
+    warehouse.init_metadata()
+    warehouse.append_metadata(raw(spark, ("https://d/1", "one", GOOD), ("https://d/2", "two", GOOD)))
+    run_etl(warehouse)
+    spark.sql(f"TRUNCATE TABLE {warehouse.name(OUTCOMES)}")
+    assert run_etl(warehouse).first()["found"] == 0
+    assert warehouse.table("fact_articles").count() == 2
+    assert {(r["title"], r["state"]) for r in warehouse.table(OUTCOMES).collect()} == {("one", "loaded"), ("two", "loaded")}
+    assert run_etl(warehouse).first()["found"] == 0
+
+
 def test_metrics_round_half_to_even(spark, warehouse):
     warehouse.init_metadata()
     warehouse.init_warehouse()
