@@ -1,65 +1,85 @@
 """Text encoders and pair scorers that run in Arrow batches.
 
 An encoder factory is called once per Python worker and returns a function from a list of texts to a
-matrix with one row per text. A trained model plugs in the same way; the default needs no weights.
+matrix with one row per text; a trained model plugs in that way. The default needs no weights: texts are cut into tokens by
+native functions, the distinct tokens of a batch are numbered, and array arithmetic folds them into vectors.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsflow.functions import lexical
+
 Encoder = Callable[[list[str]], np.ndarray]
 
 # Batch size for encoding and the vector width of the collection.
 ENCODE_BATCH = 32
 COLLECTION_DIM = 1024
 
-# Tokens whose hash a worker remembers.
-_REMEMBERED = 1 << 20
+# Cells that are folded at a time.
+_CELLS = 4 << 20
+
+
+def _numbers(tokens: list[str]) -> np.ndarray:
+    """The id of each token, as ``lexical.token_id`` makes it."""
+    return np.array([int(hashlib.sha256(token.encode()).hexdigest()[:lexical.TOKEN_ID_DIGITS], 16) for token in tokens], np.int64)
+
+
+def _folded(texts: pa.Array, dim: int) -> pa.Array:
+    """Lists of tokens as vectors of ``dim`` signed counts, scaled to length 1; empty and null ones are zero."""
+    parts = []
+    for at in range(0, len(texts), max(1, _CELLS // dim)):
+        rows = texts.slice(at, max(1, _CELLS // dim))
+        held = rows.flatten().dictionary_encode()
+        known = held.dictionary.to_pylist()
+        ids = _numbers(known)
+        sign = np.where((ids // dim) % 2 == 1, -1.0, 1.0) * np.array([token != "" for token in known], bool)
+        code = held.indices.to_numpy(zero_copy_only=False)
+        owner = pc.list_parent_indices(rows).to_numpy()
+        cells = np.bincount(owner * dim + (ids % dim)[code], sign[code], len(rows) * dim).reshape(len(rows), dim)
+        length = np.linalg.norm(cells, axis=1, keepdims=True)
+        parts.append(np.divide(cells, length, out=np.zeros_like(cells), where=length > 0).astype(np.float32))
+    values = np.concatenate(parts).ravel() if parts else np.empty(0, np.float32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * dim, pa.int32()), pa.array(values))
+
 
+@dataclass(frozen=True)
+class HashingEncoder:
+    """Signed feature hashing: token counts folded into ``dim`` cells, length 1."""
 
-def hashing_encoder(dim: int) -> Callable[[], Encoder]:
-    """Factory of a signed feature-hashing encoder: token counts folded into ``dim`` cells, length 1."""
-    def build() -> Encoder:
-        import hashlib
-        import re
-        from collections import Counter
+    dim: int
 
-        word = re.compile(r"[^\W_]+")
-        numbers: dict[str, int] = {}
+    def vector(self, text: Column) -> Column:
+        """Dense vector of a text."""
+        dim = self.dim
 
-        def number(token: str) -> int:
-            found = numbers.get(token)
-            if found is None:
-                if len(numbers) >= _REMEMBERED:
-                    numbers.clear()
-                found = numbers[token] = int(hashlib.sha256(token.encode()).hexdigest()[:7], 16)
-            return found
+        @F.arrow_udf("array<float>")
+        def fold(tokens: pa.Array) -> pa.Array:
+            return _folded(tokens, dim)
 
-        def vector(text: str) -> np.ndarray:
-            counts = Counter(word.findall(text.lower()))
-            ids = np.fromiter(map(number, counts), np.int64, len(counts))
-            signed = np.fromiter(counts.values(), np.float64, len(counts))
-            signed[(ids // dim) % 2 == 1] *= -1
-            return np.bincount(ids % dim, weights=signed, minlength=dim)
+        return fold(F.split(F.lower(text), lexical.TOKEN_BREAK))
 
-        def encode(texts: list[str]) -> np.ndarray:
-            out = np.stack([vector(text) for text in texts])
-            length = np.linalg.norm(out, axis=1, keepdims=True)
-            return np.divide(out, length, out=np.zeros_like(out), where=length > 0)
 
-        return encode
+def hashing_encoder(dim: int) -> HashingEncoder:
+    """The default encoder for vectors of ``dim`` values."""
+    return HashingEncoder(dim)
 
-    return build
 
+def dense_vector(text: Column, factory: Callable[[], Encoder] | HashingEncoder, batch: int = ENCODE_BATCH) -> Column:
+    """Dense vector of a text; a model is built once per worker and fed ``batch`` texts at a time."""
+    if isinstance(factory, HashingEncoder):
+        return factory.vector(text)
 
-def dense_vector(text: Column, factory: Callable[[], Encoder], batch: int = ENCODE_BATCH) -> Column:
-    """Dense vector of a text; the encoder is built once per worker and fed ``batch`` texts at a time."""
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = factory()
