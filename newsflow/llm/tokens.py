@@ -12,9 +12,13 @@ index (offsets, counts, keys, null flags), and a footer of fixed size. All numbe
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import struct
+import sys
 import uuid
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -41,6 +45,11 @@ FILE_BYTES = 64 << 20
 READ_BYTES = 8 << 20
 MAX_MODEL_BYTES = 64 << 20
 LEVEL = 3
+# Parts of texts whose ids a task remembers, their greatest length, and how many are encoded together.
+REMEMBERED, REMEMBERED_LENGTH, LINES = 1 << 19, 64, 1000
+# Fixed rule: byte-level vocabularies write a printable byte as its Latin-1 letter, the n-th other one as code point 256 + n.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {byte: chr(256 + n) for n, byte in enumerate(sorted(set(range(256)) - _PRINTABLE))}
 
 MANIFEST = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("number", T.IntegerType()), T.StructField("file", T.StringType()),
@@ -138,20 +147,127 @@ class FileReader:
             at = last
 
 
-def _tokenizer(content: bytes):
-    """A tokenizer that works in the calling thread; tasks already fill the cores."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+def _raw(ids: list[int]) -> bytes:
+    """Unsigned 32-bit integers, little-endian."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
 
-    return Tokenizer.from_str(content.decode())
 
+class Encoder:
+    """Ids of texts by a tokenizer file, in one thread, as tasks already fill the cores.
 
-def _encoded(tokenizer, texts: pa.Array, end_id: int | None) -> Iterator[tuple[int, np.ndarray]]:
+    Byte-level tokenizers begin a new piece at every space before a character that is no white space, and treat a piece
+    alike wherever it stands. Texts are cut there, and each distinct part is encoded once while it is remembered. Other
+    tokenizers are given whole texts.
+    """
+
+    def __init__(self, content: bytes) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(content.decode())
+        self.model = self.tokenizer.model
+        newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.newline = newline[0] if len(newline) == 1 and _cuts_at_spaces(json.loads(content)) else None
+        self.known: dict[str, bytes] = {}
+
+    def largest(self) -> int:
+        return max(self.tokenizer.get_vocab(with_added_tokens=True).values())
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [_raw(found.ids) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _piece(self, text: str) -> bytes:
+        """Ids of a text that the pattern does not cut: the model reads its bytes by their letters."""
+        if text.isascii():
+            letters = text.replace(" ", BYTE_LETTERS[32])
+        else:
+            letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return _raw([token.id for token in self.model.tokenize(letters)])
+
+    def _learn(self, keys: set[str]) -> dict[str, bytes]:
+        """Ids of parts by their keys. Words and signs behind them go to the model, other plain parts are encoded together, a line each."""
+        out: dict[str, bytes] = {}
+        signs: dict[str, bytes] = {"": b""}
+        parts = []
+        for key in keys:
+            word = _WORD.fullmatch(key)
+            if not word:
+                parts.append(key)
+                continue
+            letters, sign = word.groups()
+            head = self.known.get(letters) or out.get(letters)
+            if head is None:
+                head = out[letters] = self._piece(" " + letters)
+            if sign not in signs:
+                signs[sign] = self._piece(sign)
+            out[key] = head + signs[sign]
+        texts = [_part(key) for key in parts]
+        plain = [at for at, text in enumerate(texts) if text[:1] == " " and "\n" not in text and not text[-1].isspace()]
+        for first in range(0, len(plain), LINES):
+            some = plain[first:first + LINES]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(texts[at] for at in some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = [*(4 * np.flatnonzero(ids == self.newline)).tolist(), 4 * len(ids)]
+            raw, at = ids.tobytes(), 0
+            for place, end in zip(some, ends, strict=True):
+                out[parts[place]] = raw[at:end]
+                at = end + 4
+        rest = [at for at in range(len(parts)) if parts[at] not in out]
+        out.update(zip([parts[at] for at in rest], self._whole([texts[at] for at in rest])))
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as unsigned 32-bit integers, little-endian."""
+        if self.newline is None:
+            return self._whole(texts)
+        keys = [_parts_of(text) for text in texts]
+        new = self._learn(set().union(*keys) - self.known.keys())
+        full = len(self.known) >= REMEMBERED
+        self.known.update(new)
+        out = [b"".join(map(self.known.__getitem__, row)) for row in keys]
+        for key in new if full else [key for key in new if len(key) > REMEMBERED_LENGTH]:
+            del self.known[key]
+        return out
+
+
+def _cuts_at_spaces(model: dict) -> bool:
+    """Whether a tokenizer file describes a byte-level tokenizer of the usual pattern, on texts as they are."""
+    cutter = model.get("pre_tokenizer") or {}
+    return (cutter.get("type") == "ByteLevel" and cutter.get("use_regex") is True and cutter.get("add_prefix_space") is False
+            and not any(model.get(name) for name in ("normalizer", "truncation", "padding"))
+            and not (model.get("model") or {}).get("dropout")
+            and not any(" " in token["content"] or token["lstrip"] or token["rstrip"] or token["normalized"] or token["single_word"]
+                        for token in model.get("added_tokens") or []))
+
+
+# A space before these begins a piece; before any other character it may, and is not cut at.
+_CUT = re.compile(r"(?= [!-~\u00a1-\u024f])")
+# Latin letters, then ASCII signs: a space and the letters are one piece, the signs another.
+_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
+_UNCUT = re.compile(r" (?![!-~\u00a1-\u024f])")
+
+
+def _parts_of(text: str) -> list[str]:
+    """Keys of the parts of a text: without their space, that of the first part behind two."""
+    if _UNCUT.search(text):
+        first, *rest = _CUT.split(text) if text[:1] != " " or text[1:2] in (" ", "") or _UNCUT.match(text) else ["", *_CUT.split(text)[1:]]
+        return ["  " + first, *[part[1:] for part in rest]]
+    first, *rest = text.split(" ")
+    return ["  " + first, *rest]
+
+
+def _part(key: str) -> str:
+    return key[2:] if key[:2] == "  " else " " + key
+
+
+def _encoded(encoder: Encoder, texts: pa.Array, end_id: int | None) -> Iterator[tuple[int, np.ndarray]]:
     """(row, ids) of each text, by slices of bounded size; null is an empty text."""
-    tail = [] if end_id is None else [end_id]
+    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
     for first, part in text_slices(texts):
-        for row, encoding in enumerate(tokenizer.encode_batch_fast(part.to_pylist(), add_special_tokens=False), first):
-            yield row, np.array(encoding.ids + tail, dtype=np.uint32)
+        for row, ids in enumerate(encoder.encode(part.to_pylist()), first):
+            yield row, np.frombuffer(ids + tail, "<u4")
 
 
 def train_dictionary(texts: DataFrame, text: str, model, width: int, end_id: int | None) -> bytes:
@@ -166,9 +282,9 @@ def train_dictionary(texts: DataFrame, text: str, model, width: int, end_id: int
     picked = short.distinct().orderBy(F.xxhash64("text"), "text").limit(SAMPLE_TEXTS)
 
     def serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(model.value)
+        encoder = Encoder(model.value)
         for batch in batches:
-            made = [ids.astype(f"<u{width}").tobytes() for _, ids in _encoded(tokenizer, batch.column(0), end_id)]
+            made = [ids.astype(f"<u{width}").tobytes() for _, ids in _encoded(encoder, batch.column(0), end_id)]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["ids"])
 
     samples = [bytes(row["ids"]) for row in picked.mapInArrow(serialise, "ids BINARY").collect()]
@@ -194,7 +310,7 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id"
         content = file.read()
     if len(content) > MAX_MODEL_BYTES:
         raise ValueError(f"the tokenizer takes {len(content)} bytes; at most {MAX_MODEL_BYTES} are brought to each task")
-    width = 2 if max(end_id or 0, *_tokenizer(content).get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
+    width = 2 if max(end_id or 0, Encoder(content).largest()) < 1 << 16 else 4
     model = spark.sparkContext.broadcast(content)
     rows = df.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     dictionary = train_dictionary(rows, "text", model, width, end_id)
@@ -211,7 +327,7 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id"
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, attempt, number = TaskContext.get().partitionId(), uuid.uuid4().hex, 0
         there, root = _place(folder)
-        tokenizer = writer = None
+        encoder = writer = None
         name = ""
 
         def done() -> pa.RecordBatch:
@@ -219,9 +335,9 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id"
             return pa.RecordBatch.from_pylist([row], schema=to_arrow_schema(MANIFEST))
 
         for batch in batches:
-            tokenizer = tokenizer or _tokenizer(model.value)
+            encoder = encoder or Encoder(model.value)
             keys = batch.column(0).to_pylist()
-            for row, ids in _encoded(tokenizer, batch.column(1), end_id):
+            for row, ids in _encoded(encoder, batch.column(1), end_id):
                 if writer is None:
                     name = f"{part:06d}-{number:04d}-{attempt}.ids"
                     writer = FileWriter(there.open_output_stream(f"{root}/data/{name}"), dictionary, width)
