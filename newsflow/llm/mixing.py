@@ -24,6 +24,7 @@ BLOCK_WORDS = 1 << 14
 MOST_BLOCKS = 1 << 16
 SHARD_WORDS = 1 << 22
 MOST_SHARDS = 1 << 12
+COPY_PARTS = 1 << 12
 SEED = 9
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -108,6 +109,27 @@ def _plans(rows: DataFrame, block_words: int) -> DataFrame:
     return stage(plans.join(cuts.drop("before"), "source_key", "left").join(limits, "source_key", "left"), "plans")
 
 
+def _told_apart(sized: DataFrame, repeated: DataFrame, row: str) -> DataFrame:
+    """``sized`` with another hash in ``row`` for each of the rows that share one of ``repeated``, so that a cut may fall between copies.
+
+    Only such rows are staged and numbered, dealt into ``COPY_PARTS`` by their place so that no task holds all copies of one.
+    """
+    flag, part, before = (fresh(sized, name) for name in ("repeated", "copy_part", "copies_before"))
+    marked = lookup(sized, repeated.withColumn(flag, F.lit(True)), row, F.monotonically_increasing_id(), "left")
+    copies = stage(marked.filter(F.col(flag)).drop(flag).withColumn(
+        part, F.pmod(F.monotonically_increasing_id(), F.lit(COPY_PARTS))), "copies")
+    counts = copies.groupBy(row, part).agg(F.count(F.lit(1)).alias(before))
+    running = Window.partitionBy(row).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn(before, F.coalesce(F.sum(before).over(running), F.lit(0)))
+    rest = [F.col(f"`{name}`").cast("string") for name in sized.columns if name != row]
+    within = F.row_number().over(Window.partitionBy(row, part).orderBy(F.xxhash64(*rest))) - 1
+    number = within + F.col(before)
+    told = copies.join(offsets, [row, part]).withColumn("_", number).withColumn(
+        row, F.when(F.col("_") == 0, F.col(row)).otherwise(F.xxhash64(F.lit(SEED + 3), row, "_")))
+    columns = [f"`{name}`" for name in sized.columns]
+    return marked.filter(F.col(flag).isNull()).select(*columns).unionByName(stage(told.select(*columns), "copies"))
+
+
 def _log_factorial(n: str) -> str:
     """Stirling's series; exact to six digits from 2 on."""
     return (f"IF({n} < 2, 0D, {n} * ln({n}) - {n} + 0.5D * ln(2 * pi() * {n}) + 1 / (12D * {n})"
@@ -175,7 +197,8 @@ def mix(documents: DataFrame, key: str = "doc_id", source: str = "source", text:
     """``documents`` with ``size``, ``source_size``, ``target``, ``copies`` (0 to 2), ``taken`` (size times copies) and ``shards``.
 
     ``shards`` has the shard of every copy. Columns of these names are replaced. Null texts have size 0; a null source is
-    one source. Rows equal in key and text are taken alike. No rows and only empty texts give targets of 0. The same rows
+    one source. Of rows equal in key and text each is taken on its own: which of them, if they differ in other columns, depends on
+    their places. No rows and only empty texts give targets of 0. The same rows
     give the same mix, whatever their order or partitions.
     """
     made = ("size", "source_size", "target", "copies", "taken", "shards")
@@ -184,8 +207,12 @@ def mix(documents: DataFrame, key: str = "doc_id", source: str = "source", text:
     sized = base.withColumn("size", text_size(F.col(text))).withColumn(
         names["source_key"], source_key(F.col(source))).withColumn(
         names["row"], F.xxhash64(F.col(key).isNull(), F.col(key), F.col(text)))
-    rows = stage(sized.select(F.col(names["source_key"]).alias("source_key"), "size",
-                              F.col(names["row"]).alias("row")), "sizes")
+    narrow = [F.col(names["source_key"]).alias("source_key"), "size", F.col(names["row"]).alias("row")]
+    rows = stage(sized.select(*narrow), "sizes")
+    repeated = stage(rows.groupBy("row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("row").alias(names["row"])), "repeated")
+    if not repeated.isEmpty():
+        sized = _told_apart(sized, repeated, names["row"])
+        rows = stage(sized.select(*narrow), "sizes")
     plans = _plans(rows, block_words)
 
     pieces = (F.col("passes") * F.col("blocks") + F.coalesce(F.col("cut") + 1, F.lit(0))).cast("long")

@@ -325,6 +325,25 @@ def test_mix_meets_its_targets(spark, block_words):
     assert all(abs(taken[s] - targets[s]) <= 40 for s in by_source)
 
 
+def test_copies_of_a_row_are_taken_one_by_one(spark, monkeypatch):
+    """A source that is mostly copies of one row meets its target within one text, whatever the partitions."""
+    monkeypatch.setattr(mixing, "COPY_PARTS", 7)
+    rows = [(7, "a", "w " * 100)] * 1000 + [(i, "a", "v " * 100) for i in range(100, 200)] + [(None, "b", None)] * 3
+    rows += [(i, "b", "u " * 100) for i in range(1000, 1400)] + [(9, "b", "t " * 50)] * 2 + [(3000, "c", "s")]
+    for parts in (1, 6):
+        made = mixing.mix(documents(spark, rows, copy_part="clash", repeated="clash").repartition(parts))
+        got = made.collect()
+        assert len(got) == len(rows) and made.columns[:5] == ["doc_id", "source", "text", "copy_part", "repeated"]
+        for source in "abc":
+            here = [r for r in got if r["source"] == source]
+            assert abs(sum(r["taken"] for r in here) - here[0]["target"]) <= 100
+            assert sum(r["size"] for r in here) == here[0]["source_size"] and all(r["copies"] <= 2 for r in here)
+        counted = Counter((r["doc_id"], r["copies"]) for r in got)
+        assert counted[7, 0] + counted[7, 1] + counted[7, 2] == 1000
+        first = counted if parts == 1 else first
+        assert counted == first
+
+
 def test_quotas_are_split_exactly(spark):
     quotas = [0, 1, 37, 500, 3, 1000]
     one = spark.createDataFrame([(quotas,)], "quotas ARRAY<BIGINT>")
