@@ -2,6 +2,7 @@
 
 import functools
 import operator
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ JUNK_PATTERNS = (
     r"Hãy gửi câu hỏi về.*",
 )
 
-# The literal start of each of these patterns, in lower case.
-JUNK_HEADS = ("chia sẻ bài viết qua email", "ảnh:", "video:", "độc giả", "bản quyền thuộc về", "hãy gửi câu hỏi về")
+# The literal start of each of these patterns, in lower case.
+JUNK_HEADS = tuple(re.match(r"[^.*?\\]+", pattern).group().lower() for pattern in JUNK_PATTERNS)
 
 # Characters stripped from the start of a chunk.
 CHUNK_LEAD = ". ,!?\n\t"
