@@ -5,14 +5,16 @@ shingles with the least hash values and keeps them in text order, so that texts
 (edit similarity), not only as a set. Texts that agree on one of several sketches are candidates; a banded alignment of the
 two shingle runs decides: shingles aligned, divided by all shingles of both less the aligned ones, is 0.8 or more.
 
-Equal word sequences are one node. In a bucket every node is first compared with one of them, the leader, twice over. In buckets that
-then still hold nodes of different groups, the nodes outside of the largest group are compared with all others, in blocks: labelled
+Equal word sequences are one node. In a bucket every node is first compared with one of them, the leader, and those not linked to it
+with one of their own. In buckets that then still hold nodes of different groups, the nodes outside of the largest group are compared with all others, in blocks: labelled
 shingles that two texts share bound their alignment from above, and what passes the bound is aligned until the two groups are
 linked.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -220,36 +222,36 @@ def _verified(pairs: DataFrame, tokens: DataFrame, least: float) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for the nodes of links (a, b): the least node that links lead to.
 
-    Every round takes the least root of the neighbours and then the root of that root; rounds grow with the logarithm
-    of the longest chain.
+    Every round a node takes the least root among those of its neighbours, of its root and of itself, which one join and one
+    grouping bring; rounds grow with the logarithm of the longest chain.
     """
     edges = stage(links.union(links.select("b", "a")).distinct(), "edges")
     roots = stage(edges.groupBy("a").agg(F.min("b").alias("root")).select(
         F.col("a").alias("node"), F.least("a", "root").alias("root")), "roots")
     while True:
-        ahead = roots.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        near = edges.join(roots, edges["b"] == roots["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        moved = roots.join(near, roots["node"] == near["a"]).join(ahead, "root").select(
-            "node", F.least("root", "next", "near").alias("new"), F.col("root").alias("old"))
-        moved = stage(moved, "roots")
-        if moved.filter(F.col("new") != F.col("old")).isEmpty():
-            return moved.select("node", F.col("new").alias("root"))
-        roots = moved.select("node", F.col("new").alias("root"))
-
-
-def _open_buckets(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+        own, ahead = roots.select(F.col("node").alias("a"), F.col("node").alias("b")), roots.select(
+            F.col("node").alias("a"), F.col("root").alias("b"))
+        asked = edges.union(ahead).withColumn("own", F.lit(False)).union(own.withColumn("own", F.lit(True)))
+        moved = stage(asked.join(roots, asked["b"] == roots["node"]).groupBy("a").agg(
+            F.min("root").alias("new"), F.min(F.when(F.col("own"), F.col("root"))).alias("old")), "roots")
+        settled = moved.filter(F.col("new") != F.col("old")).isEmpty()
+        roots = moved.select(F.col("a").alias("node"), F.col("new").alias("root"))
+        if settled:
+            return roots
+
+
+def _open_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows (key, used, node, root, n) of the buckets (key, used, node) that hold more than one root."""
-    own = buckets.withColumn("root", F.col("node")) if roots is None else buckets.join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
+    own = stage(buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
     sizes = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     return own.join(sizes.filter("low != high").select("key", "n"), "key").select("key", "used", "node", "root", "n")
 
 
-def _leader_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """(a, b): the nodes of every bucket with the node that leads it this turn, if their roots differ."""
-    first = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("order"), "node", "root")).alias("first")
-    leaders = members.groupBy("key").agg(first).select("key", F.col("first.node").alias("a"), F.col("first.root").alias("lead"))
-    return members.join(leaders, "key").filter("root != lead").select("a", F.col("node").alias("b")).distinct()
+def _led(members: DataFrame, turn: int) -> DataFrame:
+    """(key, a, b): the other nodes b of every bucket (key, node) with the node a that leads it this turn."""
+    first = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("order"), "node")).alias("first")
+    leaders = members.groupBy("key").agg(first).select("key", F.col("first.node").alias("a"))
+    return members.join(leaders, "key").filter("node != a").select("key", "a", F.col("node").alias("b"))
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -346,18 +348,19 @@ def _open_links(members: DataFrame, reps: DataFrame, tokens: DataFrame, least: f
 
 
 def _linked(buckets: DataFrame, reps: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
-    """(node, root) of all nodes that have a link."""
+    """(node, root) of all nodes that have a link.
+
+    The second leader of a bucket leads the nodes that are not linked to the first one.
+    """
     spark = buckets.sparkSession
-    links = compared = roots = None
-    members = stage(_open_buckets(buckets, None), "members")
+    members, parts = buckets.select("key", "node"), []
     for turn in range(LEADERS):
-        pairs = _leader_pairs(members, turn)
-        pairs = stage(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        found = stage(_verified(pairs, tokens, similarity), "links")
-        links = found if links is None else links.union(found)
-        compared = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        roots = components(links)
-        members = stage(_open_buckets(buckets, roots), "members")
+        led = stage(_led(members, turn), "pairs")
+        parts.append(stage(_verified(led.select("a", "b").distinct(), tokens, similarity), "links"))
+        members = led.join(parts[-1], ["a", "b"], "left_anti").select("key", F.col("b").alias("node"))
+    links = functools.reduce(DataFrame.union, parts)
+    roots = components(links)
+    members = stage(_open_buckets(buckets, roots), "members")
     with arrow_rows(spark, BLOCK_BATCH):
         found = stage(_open_links(members, reps, tokens, similarity), "links")
     return roots if found.isEmpty() else components(links.union(found))
