@@ -5,19 +5,21 @@ rows per bit. A query's coarse scores are sums of slices, added bit by bit with
 complement of the slices. The k-th coarse score is found from the most significant slice of the sum downward, all rows that the error
 of the coarse values leaves in reach of it are the boundary, and their scores are computed exactly from the whole integers.
 
-Rows travel in index blocks and queries in query blocks; every pair of blocks meets once, as one row of a join on the block's
-number, and gives k rows per query at most.
+Rows travel in index blocks and queries in query blocks. A task takes an index block, slices it once, and runs the query blocks over
+it one by one; every pair of blocks meets once and gives k rows per query at most.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from newsflow.llm.batches import over_batches
 from newsflow.session import stage
 
 SCALE = 1024
@@ -150,11 +152,14 @@ def usable(vector):
         F.abs(x.cast("double")) < float("inf"))), F.lit(False))
 
 
-def _blocks(rows: DataFrame, per_block: int, width: int, name: str) -> DataFrame:
-    """(block, ids, values): about ``per_block`` rows packed in one, numbered from 0."""
+def _blocks(rows: DataFrame, per_block: int, width: int, name: str, repeated: bool) -> DataFrame:
+    """(block, ids, values): about ``per_block`` rows packed in one, numbered from 0.
+
+    A row's block depends on all of it and, where rows are ``repeated``, on its place in the input, so that copies part too.
+    """
     count = max(1, -(-rows.count() // per_block))
-    # a row's block depends on all of it and on its place among equal ones, so that repeated rows part too
-    spread = rows.withColumn("block", F.pmod(F.xxhash64("id", "vector", F.monotonically_increasing_id()), F.lit(count)))
+    place = [F.monotonically_increasing_id()] if repeated else []
+    spread = rows.withColumn("block", F.pmod(F.xxhash64("id", "vector", *place), F.lit(count)))
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("values", T.BinaryType())])
 
@@ -174,6 +179,49 @@ def _blocks(rows: DataFrame, per_block: int, width: int, name: str) -> DataFrame
     return stage(packed, name)
 
 
+HITS = T.StructType([T.StructField(name, T.LongType()) for name in ("query_id", "id", "score")])
+
+
+def _met(index: DataFrame, asking: DataFrame, count: int, asked: int) -> DataFrame:
+    """Rows (block, lane, query_block, ids, values): an index block, then the query blocks that it meets.
+
+    An index block crosses the shuffle once per lane, a query block once per index block. There is more than one lane only where there are
+    fewer index blocks than cores.
+    """
+    lanes = max(1, min(asked, -(-index.sparkSession.sparkContext.defaultParallelism // count)))
+    blocks = index.select("block", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.lit(None).cast("bigint").alias("query_block"),
+                          "ids", "values")
+    copies = asking.select(
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))).alias("block"),
+        F.pmod("query_block", F.lit(lanes)).cast("int").alias("lane"), "query_block", "ids", "values")
+    return blocks.unionByName(copies).repartition(count * lanes, "block", "lane").sortWithinPartitions(
+        "block", "lane", F.col("query_block").asc_nulls_first())
+
+
+def _search(width: int, k: int):
+    """The k best rows of an index block for each query that meets it; a block's slices are made once."""
+    names = to_arrow_schema(HITS)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = ids = held = None
+        for batch in batches:
+            for at in range(batch.num_rows):
+                number, _, query_block, some, values = (batch.column(i)[at].as_py() for i in range(5))
+                some = np.frombuffer(some, dtype=np.int64)
+                if query_block is None:
+                    block, ids, held = SlicedBlock(_integers(values, width)), some, number
+                # a number may have no rows
+                if query_block is None or number != held:
+                    continue
+                hits = [(own, *block.top(query, ids, own, k)) for own, query in zip(some.tolist(), _integers(values, width))]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(some, [len(rows) for _, rows, _ in hits]), pa.int64()),
+                    pa.array(np.concatenate([ids[rows] for _, rows, _ in hits]), pa.int64()),
+                    pa.array(np.concatenate([scores for _, _, scores in hits]), pa.int64())], schema=names)
+
+    return search
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, block_rows: int = BLOCK_ROWS,
           query_rows: int = QUERY_ROWS) -> DataFrame:
     """The k rows of ``vectors`` (id, vector of bigint) with the highest inner product, for each row of ``queries`` alike.
@@ -185,32 +233,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, block_rows: int
     points = vectors.filter("id IS NOT NULL AND vector IS NOT NULL").select(F.col("id").cast("long"), "vector")
     asked = queries.filter("id IS NOT NULL AND vector IS NOT NULL").select(F.col("id").cast("long"), "vector").distinct()
     width = max(1, points.agg(F.max(F.size("vector"))).first()[0] or 1, asked.agg(F.max(F.size("vector"))).first()[0] or 1)
-    index = _blocks(points, block_rows, width, "index")
-    asking = _blocks(asked, query_rows, width, "queries").withColumnsRenamed(
-        {"block": "query_block", "ids": "query_ids", "values": "query_values"})
-    numbers = index.agg(F.max("block")).first()[0]
-    if numbers is None:
-        numbers = -1
-    met = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(numbers)).cast("array<bigint>")) if numbers >= 0
-                            else F.explode(F.array().cast("array<bigint>"))).join(index.hint("shuffle_hash"), "block")
-    met = met.repartition(max(1, (numbers + 1)), "block", "query_block")
-    schema = T.StructType([T.StructField(name, T.LongType()) for name in ("query_id", "id", "score")])
-    names = ["ids", "values", "query_ids", "query_values"]
-
-    def search(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"query_id": [], "id": [], "score": []}
-        for at in range(batch.num_rows):
-            ids, values, query_ids, query_values = (batch.column(i)[at].as_py() for i in range(4))
-            ids, query_ids = np.frombuffer(ids, dtype=np.int64), np.frombuffer(query_ids, dtype=np.int64)
-            block = SlicedBlock(_integers(values, width))
-            for own, query in zip(query_ids.tolist(), _integers(query_values, width)):
-                rows, scores = block.top(query, ids, own, k)
-                out["query_id"] += [own] * len(rows)
-                out["id"] += ids[rows].tolist()
-                out["score"] += scores.tolist()
-        return out
-
-    found = over_batches(met.select(*names), search, schema)
+    index = _blocks(points, block_rows, width, "index", True)
+    asking = _blocks(asked, query_rows, width, "queries", False).withColumnRenamed("block", "query_block")
+    count, asked_count = ((x.agg(F.max(name)).first()[0] or 0) + 1 for x, name in ((index, "block"), (asking, "query_block")))
+    found = _met(index, asking, count, asked_count).mapInArrow(_search(width, k), HITS)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "id", "score")
