@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import operator
 import os
 import re
 import struct
 import sys
 import uuid
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -147,7 +148,10 @@ class FileReader:
             at = last
 
 
-def _raw(ids: list[int]) -> bytes:
+_ID = operator.attrgetter("id")
+
+
+def _raw(ids: Iterable[int]) -> bytes:
     """Unsigned 32-bit integers, little-endian."""
     numbers = array("I", ids)
     if sys.byteorder == "big":
@@ -159,7 +163,7 @@ class Encoder:
     """Ids of texts by a tokenizer file, in one thread, as tasks already fill the cores.
 
     Byte-level tokenizers begin a new piece at every space before a character that is no white space, and treat a piece
-    alike wherever it stands. Texts are cut there, and each distinct part is encoded once while it is remembered. Other
+    alike wherever it stands. Texts are cut there, and each distinct part is encoded once while a worker remembers it. Other
     tokenizers are given whole texts.
     """
 
@@ -181,18 +185,19 @@ class Encoder:
 
     def _piece(self, text: str) -> bytes:
         """Ids of a text that the pattern does not cut: the model reads its bytes by their letters."""
-        if text.isascii():
-            letters = text.replace(" ", BYTE_LETTERS[32])
-        else:
-            letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return _raw([token.id for token in self.model.tokenize(letters)])
+        letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return _raw(map(_ID, self.model.tokenize(letters)))
 
     def _learn(self, keys: set[str]) -> dict[str, bytes]:
         """Ids of parts by their keys. Words and signs behind them go to the model, other plain parts are encoded together, a line each."""
         out: dict[str, bytes] = {}
         signs: dict[str, bytes] = {"": b""}
         parts = []
+        space, tokenize = BYTE_LETTERS[32], self.model.tokenize
         for key in keys:
+            if key.isalpha() and key.isascii():
+                out[key] = _raw(map(_ID, tokenize(space + key)))
+                continue
             word = _WORD.fullmatch(key)
             if not word:
                 parts.append(key)
@@ -200,7 +205,8 @@ class Encoder:
             letters, sign = word.groups()
             head = self.known.get(letters) or out.get(letters)
             if head is None:
-                head = out[letters] = self._piece(" " + letters)
+                head = _raw(map(_ID, tokenize(space + letters))) if letters.isascii() else self._piece(" " + letters)
+                out[letters] = head
             if sign not in signs:
                 signs[sign] = self._piece(sign)
             out[key] = head + signs[sign]
@@ -223,15 +229,34 @@ class Encoder:
         if self.newline is None:
             return self._whole(texts)
         keys = [_parts_of(text) for text in texts]
-        new = self._learn(set().union(*keys) - self.known.keys())
-        full = len(self.known) >= REMEMBERED
-        self.known.update(new)
-        out = [b"".join(map(self.known.__getitem__, row)) for row in keys]
-        for key in new if full else [key for key in new if len(key) > REMEMBERED_LENGTH]:
-            del self.known[key]
+        found = [list(map(self.known.get, row)) for row in keys]
+        new = self._learn({key for row, held in zip(keys, found) for key, ids in zip(row, held) if ids is None})
+        if len(self.known) < REMEMBERED:
+            self.known.update((key, ids) for key, ids in new.items() if len(key) <= REMEMBERED_LENGTH)
+        out = []
+        for row, held in zip(keys, found):
+            try:
+                out.append(b"".join(held))
+            except TypeError:  # a part was not known
+                out.append(b"".join([new[key] if ids is None else ids for key, ids in zip(row, held)]))
         return out
 
 
+def _encoder(content: bytes) -> Encoder:
+    """The encoder of this process, with the parts it remembers.
+
+    Functions travel to the tasks by value and bring modules of their own; what later tasks of a worker are to find hangs on an installed one.
+    """
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
+    name = hashlib.sha256(content).digest()
+    if name not in kept:
+        kept.clear()
+        kept[name] = Encoder(content)
+    return kept[name]
+
+
 def _cuts_at_spaces(model: dict) -> bool:
     """Whether a tokenizer file describes a byte-level tokenizer of the usual pattern, on texts as they are."""
     cutter = model.get("pre_tokenizer") or {}
@@ -282,7 +307,7 @@ def train_dictionary(texts: DataFrame, text: str, model, width: int, end_id: int
     picked = short.distinct().orderBy(F.xxhash64("text"), "text").limit(SAMPLE_TEXTS)
 
     def serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model.value)
+        encoder = _encoder(model.value)
         for batch in batches:
             made = [ids.astype(f"<u{width}").tobytes() for _, ids in _encoded(encoder, batch.column(0), end_id)]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["ids"])
@@ -335,7 +360,7 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id"
             return pa.RecordBatch.from_pylist([row], schema=to_arrow_schema(MANIFEST))
 
         for batch in batches:
-            encoder = encoder or Encoder(model.value)
+            encoder = encoder or _encoder(model.value)
             keys = batch.column(0).to_pylist()
             for row, ids in _encoded(encoder, batch.column(1), end_id):
                 if writer is None:
