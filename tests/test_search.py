@@ -1,7 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from newsflow import session
+from newsflow.functions import encoders
 from newsflow.functions.encoders import hashing_encoder
 from newsflow.operators import evaluation, links, retrieval, topk
 from newsflow.plans.search import retrieve, search_view
@@ -66,6 +69,31 @@ def test_topk_reads_points_once(spark, monkeypatch, folder):
     assert hits.groupBy("side").count().collect().__len__() == 2 and hits.count() == 9 * 3 * 2
 
 
+def test_one_block_is_searched_batch_by_batch(spark):
+    """A single block comes with the first point of a task and meets the points of every later Arrow batch; nothing is packed before."""
+    rng = np.random.default_rng(8)
+    points, queries = rng.normal(size=(300, 4)), rng.normal(size=(6, 4))
+    stored, asked = vectors(spark, points, "id").repartition(3), vectors(spark, queries, "query_id")
+    with session.arrow_batches(spark, 7):
+        hits = topk.dense_topk(asked, stored, 5)
+        plan = hits._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("MapInArrow") == 1 and "BroadcastHashJoin" in plan
+        got = {(r["query_id"], r["rank"]): r["id"] for r in hits.collect()}
+    unit = [rows.astype(np.float32).astype(float) for rows in (queries, points)]
+    cosine = unit[0] @ (unit[1] / np.linalg.norm(unit[1], axis=1, keepdims=True)).T
+    assert got == {(q, rank + 1): int(i) for q in range(6) for rank, i in enumerate(np.argsort(-cosine[q])[:5])}
+
+
+def test_texts_are_folded_in_bounded_steps(monkeypatch):
+    """A hundred texts of fifty tokens are not folded at once, and give the same vectors."""
+    texts = pa.array([[f"w{i}-{j}" for j in range(50)] for i in range(100)] + [None, []])
+    whole, held, numbers = encoders._folded(texts, 8), [], encoders._numbers
+    monkeypatch.setattr(encoders, "_CELLS", 1000)
+    monkeypatch.setattr(encoders, "_numbers", lambda tokens: held.append(len(tokens)) or numbers(tokens))
+    assert encoders._folded(texts, 8).equals(whole)
+    assert sum(held) == 5000 and max(held) <= 1000
+
+
 def test_grid_deals_each_point_once(spark, monkeypatch, folder):
     """Twenty query blocks: the only exchange of the points holds a row per point, and a row per block and part."""
     monkeypatch.setattr(topk, "QUERY_BLOCK_BYTES", 8 * 4)
