@@ -73,3 +73,10 @@ def test_chunk_rows_strip_and_keep_the_index(spark):
                 for i, chunk in enumerate(brute_force(text, CHUNK_SIZE, CHUNK_OVERLAP))}
     assert found == {key: chunk for key, chunk in stripped.items() if chunk}
     assert (4, 0) in found and (4, 1) not in found and (4, 2) in found
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """A hundred rows at a time, whatever the Arrow batch: many long texts are never held at once."""
+    plan = chunk_rows(spark.range(3).selectExpr("id AS article_id", "repeat('a b. ', 400) AS content"))
+    assert "BatchEvalPython" in (text := plan._jdf.queryExecution().executedPlan().toString()) and "ArrowEvalPython" not in text
+    assert plan.count() == 3 * len(split_text("a b. " * 400))
