@@ -319,3 +319,14 @@ def test_scratch_folder_without_the_setting():
     assert session.scratch_root(fake("local[2]")) == session.scratch_root(fake("local[2]"))
     with pytest.raises(ValueError):
         session.scratch_root(fake("yarn"))
+
+
+def test_truncate_all_ingests_once(spark, monkeypatch):
+    """Both loads take the same staged rows; the messages are decoded and staged once."""
+    from checks import corpus, queries
+
+    calls, metadata = [], corpus.metadata
+    monkeypatch.setattr(corpus, "metadata", lambda *args: calls.append(args) or metadata(*args))
+    facts = queries.truncate_all(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
+    assert facts.agg(F.min("article_id")).first()[0] == 1 and not facts.isEmpty()
