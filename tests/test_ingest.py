@@ -210,3 +210,28 @@ def test_a_batch_that_was_written_but_not_committed_is_not_written_again(spark,
     time.sleep(1.1)
     write(spark, f"{folder}/topic", [json.dumps({"url": url, "title": "three"}) for url in "abc"])
     assert run() == ["one", "three", "two"]
+
+
+def test_state_takes_the_first_of_plain_rows():
+    """A key costs a look at its rows, not a frame of its own; nulls come last."""
+    from pyspark.sql import Row
+
+    from newsflow.streaming.ingest import _FIELDS, _ORDER, FirstArrival
+
+    class Seen:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def update(self, value):
+            self.held = value
+
+    def row(value, *order):
+        return Row(**{name: value for name in _FIELDS}, **dict(zip(_ORDER, order)))
+
+    one = FirstArrival()
+    one.seen = Seen()
+    rows = [row("none", None, "a", 0, 0), row("late", 2, "a", 0, 0), row("first", 1, "b", 0, 3), row("copy", 1, "b", 0, 3)]
+    assert [found["value"] for found in one.handleInputRows(("k",), iter(rows), None)] == ["first"]
+    assert one.seen.held == (True,) and not list(one.handleInputRows(("k",), iter(rows), None))
