@@ -1,11 +1,15 @@
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from newsflow.operators.keys import assign_keys, new_keys
-from newsflow.operators.joins import lookup
-from newsflow.plans import reports
+from newsflow.operators import joins
+from newsflow.operators.etl import texts_of, title_winners
+from newsflow.operators.ingest import ingest_batch
+from newsflow.operators.joins import lookup, numbered_rows
+from newsflow.plans import etl, reports
 from newsflow.plans.etl import run_etl
 from newsflow.plans.vectorize import vectorize
 from newsflow.schemas import WAREHOUSE_TABLES
@@ -330,3 +334,69 @@ def test_truncate_all_ingests_once(spark, monkeypatch):
     facts = queries.truncate_all(spark, "/root/testdata/sf0.001")
     assert len(calls) == 1
     assert facts.agg(F.min("article_id")).first()[0] == 1 and not facts.isEmpty()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def never_small(spark):
+    """Every table is too large to be broadcast by its size."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_numbered_rows_are_a_semi_join(spark, never_small):
+    rows = spark.range(0, 70000, 1, 3).select((F.col("id") * 3).alias("row"), F.col("id").cast("string").alias("text"),
+                                              F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("file"))
+    kept = rows.filter("row % 7 = 1").select("row", "file").unionByName(
+        spark.createDataFrame([(None, "a"), (3, None), (3, "b"), (1 << 40, "a")], "row LONG, file STRING"))
+    for within, keys in ((None, ["row"]), ("file", ["file", "row"])):
+        found = numbered_rows(rows, kept, "row", within)
+        wanted = rows.join(kept.select(*keys), keys, "left_semi").select(*rows.columns)
+        assert "SortMergeJoin" not in plan_of(found) and "SortMergeJoin" in plan_of(wanted)
+        assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty() and not found.isEmpty()
+    assert numbered_rows(rows, kept.limit(0), "row").isEmpty()
+
+
+def test_numbered_rows_beyond_the_bitmaps_are_joined(spark, never_small, monkeypatch):
+    monkeypatch.setattr(joins, "BITMAP_BYTES", 0)
+    rows = spark.range(100).select(F.col("id").alias("row"))
+    found = numbered_rows(rows, rows.filter("row % 3 = 0"), "row")
+    assert "SortMergeJoin" in plan_of(found) and found.count() == 34
+
+
+def test_messages_and_texts_stay_where_they_are(spark, warehouse, never_small):
+    lines = [(n, json.dumps({"url": f"https://d/{n % 40}", "title": f"t{n % 30}", **GOOD})) for n in range(60)]
+    rows = ingest_batch(spark.createDataFrame(lines, "seq LONG, value STRING"), spark.createDataFrame([], "url_hash STRING"))
+    assert "SortMergeJoin" not in plan_of(rows) and rows.count() == 40
+    warehouse.init_metadata()
+    warehouse.append_metadata(rows)
+    metadata = warehouse.read_metadata()
+    winners = title_winners(metadata.select("url_hash", "title", "ingest_day", F.lit(None).cast("string").alias("state")))
+    texts = texts_of(metadata, winners)
+    assert "SortMergeJoin" not in plan_of(texts) and texts.columns == metadata.columns
+    assert {r["url_hash"] for r in texts.collect()} == {r["url_hash"] for r in winners.collect()} and texts.count() == 30
+
+
+def test_facts_are_made_without_texts(spark, warehouse, monkeypatch):
+    seen, fact_rows = [], etl.fact_rows
+    monkeypatch.setattr(etl, "fact_rows", lambda keyed, *dims: seen.append(keyed.columns) or fact_rows(keyed, *dims))
+    warehouse.init_metadata()
+    warehouse.append_metadata(raw(spark, ("https://d/1", "one", GOOD)))
+    run_etl(warehouse)
+    assert "content" not in seen[0]
+    assert warehouse.table("fact_articles").first()["content_length"] == len(GOOD["content"])
+
+
+def test_texts_are_written_compressed(spark, warehouse):
+    warehouse.init_metadata()
+    warehouse.append_metadata(raw(spark, ("https://d/1", "one", GOOD)))
+    run_etl(warehouse)
+    for table in ("article_metadata", "dim_content", "fact_chunks"):
+        file = pq.ParquetFile(warehouse.table(table).inputFiles()[0].removeprefix("file:").replace("///", "/"))
+        assert file.metadata.row_group(0).column(0).compression == "ZSTD"
