@@ -400,3 +400,16 @@ def test_texts_are_written_compressed(spark, warehouse):
     for table in ("article_metadata", "dim_content", "fact_chunks"):
         file = pq.ParquetFile(warehouse.table(table).inputFiles()[0].removeprefix("file:").replace("///", "/"))
         assert file.metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_points_are_written_where_they_are_made(spark, warehouse, monkeypatch):
+    warehouse.init_metadata()
+    warehouse.append_metadata(raw(spark, *[(f"https://d/{n}", f"t{n}", GOOD) for n in range(20)]))
+    run_etl(warehouse)
+    warehouse.init_points(8)
+    plans, write = [], Warehouse._write_partition
+    monkeypatch.setattr(Warehouse, "_write_partition", lambda self, table, df, number: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(self, table, df, number)))
+    vectorize(warehouse)
+    assert "RebalancePartitions" not in plans[0]
+    assert warehouse.table(POINTS).count() == 20
