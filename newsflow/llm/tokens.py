@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -48,6 +49,8 @@ MAX_MODEL_BYTES = 64 << 20
 LEVEL = 3
 # Parts of texts whose ids a task remembers, their greatest length, and how many are encoded together.
 REMEMBERED, REMEMBERED_LENGTH, LINES = 1 << 19, 64, 1000
+# Bytes of the texts whose parts are looked up together.
+TEXT_BYTES = 4 << 20
 # Fixed rule: byte-level vocabularies write a printable byte as its Latin-1 letter, the n-th other one as code point 256 + n.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_LETTERS = {byte: chr(256 + n) for n, byte in enumerate(sorted(set(range(256)) - _PRINTABLE))}
@@ -189,27 +192,35 @@ class Encoder:
         return _raw(map(_ID, self.model.tokenize(letters)))
 
     def _learn(self, keys: set[str]) -> dict[str, bytes]:
-        """Ids of parts by their keys. Words and signs behind them go to the model, other plain parts are encoded together, a line each."""
+        """Ids of parts by their keys. Words and signs behind them go to the model, also on several lines, other plain parts are encoded together, a line each."""
         out: dict[str, bytes] = {}
         signs: dict[str, bytes] = {"": b""}
         parts = []
-        space, tokenize = BYTE_LETTERS[32], self.model.tokenize
+        space, newline, tokenize = BYTE_LETTERS[32], _raw([self.newline]), self.model.tokenize
         for key in keys:
             if key.isalpha() and key.isascii():
                 out[key] = _raw(map(_ID, tokenize(space + key)))
                 continue
-            word = _WORD.fullmatch(key)
-            if not word:
+            bare = key[:2] == "  "
+            words = [_WORD.fullmatch(line) for line in (key[2:] if bare else key).split("\n")]
+            if None in words:
                 parts.append(key)
                 continue
-            letters, sign = word.groups()
-            head = self.known.get(letters) or out.get(letters)
-            if head is None:
-                head = _raw(map(_ID, tokenize(space + letters))) if letters.isascii() else self._piece(" " + letters)
-                out[letters] = head
-            if sign not in signs:
-                signs[sign] = self._piece(sign)
-            out[key] = head + signs[sign]
+            lines = []
+            for word in words:
+                letters, sign = word.groups()
+                # no space is before the first word of a text or line
+                name = "  " + letters if bare else letters
+                head = self.known.get(name) or out.get(name)
+                if head is None:
+                    head = _raw(map(_ID, tokenize(space + letters))) if not bare and letters.isascii() else self._piece(_part(name))
+                    if not bare:
+                        out[name] = head
+                if sign not in signs:
+                    signs[sign] = self._piece(sign)
+                lines.append(head + signs[sign])
+                bare = True
+            out[key] = newline.join(lines)
         texts = [_part(key) for key in parts]
         plain = [at for at, text in enumerate(texts) if text[:1] == " " and "\n" not in text and not text[-1].isspace()]
         for first in range(0, len(plain), LINES):
@@ -224,22 +235,40 @@ class Encoder:
         out.update(zip([parts[at] for at in rest], self._whole([texts[at] for at in rest])))
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as unsigned 32-bit integers, little-endian."""
+    def _ids_of(self, keys: list[str]) -> list[bytes]:
+        """The ids of parts by their keys; new ones are learned and remembered."""
+        found = list(map(self.known.get, keys))
+        if None in found:
+            places = [at for at, ids in enumerate(found) if ids is None]
+            new = self._learn({keys[at] for at in places})
+            if len(self.known) < REMEMBERED:
+                self.known.update((key, ids) for key, ids in new.items() if len(key) <= REMEMBERED_LENGTH)
+            for at in places:
+                found[at] = new[keys[at]]
+        return found
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, as unsigned 32-bit integers. Of the parts of all texts, equal ones are looked up once."""
         if self.newline is None:
-            return self._whole(texts)
-        keys = [_parts_of(text) for text in texts]
-        found = [list(map(self.known.get, row)) for row in keys]
-        new = self._learn({key for row, held in zip(keys, found) for key, ids in zip(row, held) if ids is None})
-        if len(self.known) < REMEMBERED:
-            self.known.update((key, ids) for key, ids in new.items() if len(key) <= REMEMBERED_LENGTH)
-        out = []
-        for row, held in zip(keys, found):
-            try:
-                out.append(b"".join(held))
-            except TypeError:  # a part was not known
-                out.append(b"".join([new[key] if ids is None else ids for key, ids in zip(row, held)]))
-        return out
+            return (np.frombuffer(ids, "<u4") for ids in self._whole(texts.to_pylist()))
+        cut = _cut(texts)
+        ends = cut.offsets.to_numpy().astype(np.int64)
+        flat, starts = cut.values.slice(ends[0], ends[-1] - ends[0]), ends[:-1] - ends[0]
+        later = np.ones(len(flat), bool)
+        later[starts] = False
+        parts = flat.filter(pa.array(later)).dictionary_encode()
+        keys = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        keys += ["  " + first for first in flat.take(pa.array(starts)).to_pylist()]
+        of = np.empty(len(flat), np.int64)
+        of[later], of[starts] = parts.indices.to_numpy(), len(parts.dictionary) + np.arange(len(starts))
+        held = self._ids_of(keys)
+        ids, sizes = np.frombuffer(b"".join(held), "<u4"), np.fromiter(map(len, held), np.int64, len(held)) // 4
+        # ids of a part lie behind those of the parts before it, here and in the texts
+        sizes, begins = sizes[of], (np.cumsum(sizes) - sizes)[of]
+        lasts = np.cumsum(sizes)
+        laid = ids[np.arange(lasts[-1]) + np.repeat(begins - lasts + sizes, sizes)]
+        bounds = np.concatenate([[0], lasts])[np.concatenate([starts, [len(flat)]])]
+        return (laid[first:last] for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
 
 
 def _encoder(content: bytes) -> Encoder:
@@ -271,16 +300,25 @@ def _cuts_at_spaces(model: dict) -> bool:
 _CUT = re.compile(r"(?= [!-~\u00a1-\u024f])")
 # Latin letters, then ASCII signs: a space and the letters are one piece, the signs another.
 _WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
-_UNCUT = re.compile(r" (?![!-~\u00a1-\u024f])")
+# A text where a space is not cut at, for RE2.
+_UNCUT = r" (?:[^!-~\x{a1}-\x{24f}]|$)"
+
+
+def _cut(texts: pa.Array) -> pa.ListArray:
+    """The parts of each text without their space. The first part of a text has none; an empty text is one empty part."""
+    texts = texts.cast(pa.string())
+    cut = pc.split_pattern(texts, " ")
+    uncut = pc.match_substring_regex(texts, _UNCUT)
+    if not pc.any(uncut).as_py():
+        return cut
+    return pa.array([_parts_of(text) if whole else parts for text, whole, parts
+                     in zip(texts.to_pylist(), uncut.to_pylist(), cut.to_pylist())], pa.list_(pa.string()))
 
 
 def _parts_of(text: str) -> list[str]:
-    """Keys of the parts of a text: without their space, that of the first part behind two."""
-    if _UNCUT.search(text):
-        first, *rest = _CUT.split(text) if text[:1] != " " or text[1:2] in (" ", "") or _UNCUT.match(text) else ["", *_CUT.split(text)[1:]]
-        return ["  " + first, *[part[1:] for part in rest]]
-    first, *rest = text.split(" ")
-    return ["  " + first, *rest]
+    """The parts of a text that has a space that is not cut at."""
+    first, *rest = _CUT.split(text)
+    return [first, *[part[1:] for part in rest]]
 
 
 def _part(key: str) -> str:
@@ -289,10 +327,10 @@ def _part(key: str) -> str:
 
 def _encoded(encoder: Encoder, texts: pa.Array, end_id: int | None) -> Iterator[tuple[int, np.ndarray]]:
     """(row, ids) of each text, by slices of bounded size; null is an empty text."""
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-    for first, part in text_slices(texts):
-        for row, ids in enumerate(encoder.encode(part.to_pylist()), first):
-            yield row, np.frombuffer(ids + tail, "<u4")
+    tail = np.array([] if end_id is None else [end_id], "<u4")
+    for first, part in text_slices(texts, TEXT_BYTES):
+        for row, ids in enumerate(encoder.encode(part), first):
+            yield row, np.concatenate([ids, tail])
 
 
 def train_dictionary(texts: DataFrame, text: str, model, width: int, end_id: int | None) -> bytes:

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -96,3 +97,26 @@ def test_other_tokenizers(spark):
     folder = new_folder(spark, "test")
     tokens.write_tokens(spark.createDataFrame(ROWS, SCHEMA), folder, path, end_id=None)
     check(read(spark, folder), ROWS, path=path, end=None)
+
+
+def test_parts_are_looked_up_once_and_lines_go_to_the_model(monkeypatch):
+    """Equal parts of many texts cost one look at what is known; words on several lines are not given to the whole tokenizer."""
+    tokenizer = Tokenizer.from_file(PATH)
+    with open(PATH, "rb") as file:
+        encoder = tokens.Encoder(file.read())
+    texts = ["One two.\nThree, four\nFive", "One two.\nThree, four\nFive one", None, "", "Es é.\nÈé! ñ\nA"] * 50
+    wanted = [tokenizer.encode(text or "", add_special_tokens=False).ids + [2] for text in texts]
+    asked, whole = [], []
+    ids_of, encode_whole = encoder._ids_of, encoder._whole
+    monkeypatch.setattr(encoder, "_ids_of", lambda keys: asked.extend(keys) or ids_of(keys))
+    monkeypatch.setattr(encoder, "_whole", lambda some: whole.extend(some) or encode_whole(some))
+    assert [ids.tolist() for _, ids in tokens._encoded(encoder, pa.array(texts), 2)] == wanted
+    later = [key for key in asked if key[:2] != "  "]
+    assert len(later) == len(set(later)) and not any(whole)
+    odd = ["", " ", "  ", None, " a", "a ", "a  b", "x\n\n y", "tab\t z", "日本 語 text", " 日本 x", "a\u3000b c", "é è", "\n", "a.\r\nb 1.\nA",
+           "don't.\nIt's \n x", "it'\ns x'\nt", "a\n b\n", "\na", "a \U0001F600 b", "We\nre\n.a b.\n.c"]
+    assert [ids.tolist() for _, ids in tokens._encoded(encoder, pa.array(odd), None)] == [
+        tokenizer.encode(text or "", add_special_tokens=False).ids for text in odd]
+    sliced = pa.array(["x y", *odd, "z"]).slice(1, len(odd))
+    assert [ids.tolist() for _, ids in tokens._encoded(encoder, sliced, None)] == [
+        tokenizer.encode(text or "", add_special_tokens=False).ids for text in odd]
